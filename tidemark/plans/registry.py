@@ -147,3 +147,189 @@ def q_topics_hourly_full(spark, sf_dir):
        _r("decayed_velocity") + " AS decayed_velocity, ts_hour, topic_id, platform FROM videos_with_topics"))
 def q_videos_with_topics(spark, sf_dir):
     return PL.rounded(PL.videos_with_topics(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- dashboard views over gold
+
+from . import views as V  # noqa: E402
+from ..operators import network as NW  # noqa: E402
+
+MAIN = V.WindowFilter(hours=None, rising_only=True, min_videos=2)     # custom range, default dates
+TZ = "Asia/Colombo"
+SEARCH_Q = "the|les"
+
+
+def _gold(spark, sf_dir):
+    return PL.topics_hourly(spark, sf_dir), PL.videos_with_topics(spark, sf_dir)
+
+
+def _main(spark, sf_dir, f: V.WindowFilter = MAIN):
+    th, vt = _gold(spark, sf_dir)
+    return th, vt, V.topic_window(th, vt, f)
+
+
+def _local(c: str) -> str:
+    return f"timezone('{TZ}', timezone('UTC', {c}))"
+
+
+def _utc(c: str) -> str:
+    return f"timezone('UTC', timezone('{TZ}', {c}))"
+
+
+def _sub_sql(name: str, hours: int | None = None, d1: str | None = None, d2: str | None = None,
+             rising: bool = True, langs: list[str] | None = None, plats: list[str] | None = None) -> str:
+    if hours is not None:
+        win = (f"{name}_w AS (SELECT t.* FROM topics_hourly t, (SELECT max(ts_hour) AS m FROM topics_hourly) x "
+               f"WHERE t.ts_hour >= x.m - INTERVAL {hours} HOUR)")
+    elif d1 is None:
+        win = (f"{name}_w AS (SELECT t.* FROM topics_hourly t, (SELECT min({_local('ts_hour')}) AS lo, "
+               f"max({_local('ts_hour')}) AS hi FROM topics_hourly) b "
+               f"WHERE t.ts_hour >= {_utc('CAST(CAST(b.lo AS DATE) AS TIMESTAMP)')} "
+               f"AND t.ts_hour < {_utc('CAST(CAST(b.hi AS DATE) + INTERVAL 1 DAY AS TIMESTAMP)')})")
+    else:
+        win = (f"{name}_w AS (SELECT * FROM topics_hourly WHERE ts_hour >= {_utc(f'TIMESTAMP {chr(39)}{d1} 00:00:00{chr(39)}')} "
+               f"AND ts_hour < {_utc(f'CAST(DATE {chr(39)}{d2}{chr(39)} + INTERVAL 1 DAY AS TIMESTAMP)')})")
+    conds = []
+    if rising:
+        conds.append("rising_flag = 1")
+    if langs is None or langs:
+        lc = "lang IS NOT NULL" if langs is None else "lang IN (" + ", ".join(f"'{x}'" for x in langs) + ")"
+        conds.append(f"topic_id IN (SELECT topic_id FROM videos_with_topics WHERE {lc})")
+    if plats is None or plats:
+        pc = "" if plats is None else " AND coalesce(platform, 'youtube') IN (" + ", ".join(f"'{x}'" for x in plats) + ")"
+        conds.append(f"topic_id IN (SELECT topic_id FROM videos_with_topics WHERE topic_id IS NOT NULL{pc})")
+    where = (" WHERE " + " AND ".join(conds)) if conds else ""
+    return f",\n{win},\n{name} AS (SELECT * FROM {name}_w{where})"
+
+
+_TOP_SQL = _sub_sql("sub") + r""",
+top AS (
+  SELECT topic_id, topic_label, sample_title, leader_channels, rising_score, velocity_sum, video_count, channel_count,
+         substring(coalesce(nullif(topic_label, ''), sample_title), 1, 80) AS label
+  FROM (
+    SELECT topic_id, sum(velocity_sum) AS velocity_sum, avg(rising_score) AS rising_score,
+           sum(video_count) AS video_count, sum(channel_count) AS channel_count,
+           arg_max(nullif(sample_title, ''), ts_hour) FILTER (WHERE nullif(sample_title, '') IS NOT NULL) AS sample_title,
+           arg_max(nullif(topic_label, ''), ts_hour) FILTER (WHERE nullif(topic_label, '') IS NOT NULL) AS topic_label,
+           arg_max_null(leader_channels, ts_hour) AS leader_channels
+    FROM sub GROUP BY topic_id) a
+  WHERE video_count >= 2
+  ORDER BY rising_score DESC, velocity_sum DESC, topic_id LIMIT 20),
+sel AS (SELECT topic_id FROM top ORDER BY rising_score DESC, velocity_sum DESC, topic_id LIMIT 1),
+tv AS (SELECT v.* FROM videos_with_topics v
+       WHERE (v.topic_id, v.ts_hour) IN (SELECT s.topic_id, s.ts_hour FROM sub s WHERE s.topic_id IN (SELECT topic_id FROM sel)))"""
+
+
+def _top_sql(body: str) -> str:
+    return S.with_(S.GOLD + _TOP_SQL, body)
+
+
+@query("window_last_n_hours", S.with_(S.GOLD + _sub_sql("sub", hours=24, rising=False, langs=[], plats=[]),
+       "SELECT ts_hour, topic_id, " + _r("velocity_sum") + " AS velocity_sum FROM sub"))
+def q_window_last_n_hours(spark, sf_dir):
+    th, vt = _gold(spark, sf_dir)
+    sub = V.topic_window(th, vt, V.WindowFilter(hours=24, rising_only=False, langs=[], platforms=[]))
+    return PL.rounded(sub.select("ts_hour", "topic_id", "velocity_sum"))
+
+
+@query("window_local_range", S.with_(S.GOLD + _sub_sql("sub", d1="2024-01-10", d2="2024-01-12", rising=False, langs=[], plats=[]),
+       "SELECT ts_hour, topic_id, " + _r("velocity_sum") + " AS velocity_sum FROM sub"))
+def q_window_local_range(spark, sf_dir):
+    th, vt = _gold(spark, sf_dir)
+    f = V.WindowFilter(hours=None, date_from="2024-01-10", date_to="2024-01-12", rising_only=False, langs=[], platforms=[])
+    return PL.rounded(V.topic_window(th, vt, f).select("ts_hour", "topic_id", "velocity_sum"))
+
+
+@query("topic_window_filters", S.with_(S.GOLD + _sub_sql("sub", rising=True, langs=["fr", "de"], plats=["trends"]),
+       "SELECT ts_hour, topic_id, rising_score FROM sub"))
+def q_topic_window_filters(spark, sf_dir):
+    th, vt = _gold(spark, sf_dir)
+    f = V.WindowFilter(hours=None, rising_only=True, langs=["fr", "de"], platforms=["trends"])
+    return V.topic_window(th, vt, f).select("ts_hour", "topic_id", "rising_score")
+
+
+@query("top_topics", _top_sql("SELECT topic_id, topic_label, sample_title, leader_channels, " + _r("rising_score") +
+                              " AS rising_score, " + _r("velocity_sum") + " AS velocity_sum, video_count, channel_count, label FROM top"))
+def q_top_topics(spark, sf_dir):
+    th, vt, sub = _main(spark, sf_dir)
+    return PL.rounded(V.top_topics(sub))
+
+
+@query("kpis", _top_sql("SELECT (SELECT count(DISTINCT topic_id) FROM sub) AS topics_in_window, "
+                        "(SELECT count(DISTINCT videoId) FROM videos_with_topics WHERE ts_hour IN (SELECT ts_hour FROM sub)) AS videos_in_window, "
+                        "(SELECT " + _r("max(rising_score)") + " FROM top) AS top_rising_score"))
+def q_kpis(spark, sf_dir):
+    th, vt, sub = _main(spark, sf_dir)
+    return PL.rounded(V.kpis(sub, vt, V.top_topics(sub)))
+
+
+@query("topic_history", _top_sql("SELECT ts_hour, " + _local("ts_hour") + " AS ts_hour_local, " + _r("velocity_sum") +
+                                 " AS velocity_sum, rising_score FROM sub WHERE topic_id IN (SELECT topic_id FROM sel)"))
+def q_topic_history(spark, sf_dir):
+    th, vt, sub = _main(spark, sf_dir)
+    return PL.rounded(V.topic_history(sub, V.selected_topic(V.top_topics(sub))))
+
+
+def _tv(spark, sf_dir):
+    th, vt, sub = _main(spark, sf_dir)
+    return V.topic_videos(sub, vt, V.selected_topic(V.top_topics(sub)))
+
+
+@query("topic_videos_search", _top_sql(
+    "SELECT " + _local("ts_hour") + " AS ts_hour_local, platform, channelTitle, title_clean, lang, " + _r("decayed_velocity") +
+    " AS decayed_velocity, CASE WHEN lower(coalesce(platform, 'youtube')) = 'youtube' AND length(videoId) = 11 "
+    "THEN 'https://www.youtube.com/watch?v=' || videoId END AS url, videoId FROM tv "
+    f"WHERE coalesce(regexp_matches(lower(title_clean), '{SEARCH_Q}'), false)"))
+def q_topic_videos_search(spark, sf_dir):
+    return PL.rounded(V.topic_videos_search(_tv(spark, sf_dir), SEARCH_Q))
+
+
+@query("platform_mix", _top_sql("SELECT platform, " + _r("sum(decayed_velocity)") + " AS momentum, count(DISTINCT videoId) AS posts "
+                                "FROM tv WHERE platform IS NOT NULL GROUP BY platform"))
+def q_platform_mix(spark, sf_dir):
+    return PL.rounded(V.platform_mix(_tv(spark, sf_dir)))
+
+
+@query("channel_contributions", _top_sql("SELECT channelTitle, " + _r("sum(decayed_velocity)") + " AS contrib "
+                                         "FROM tv WHERE channelTitle IS NOT NULL GROUP BY channelTitle"))
+def q_channel_contributions(spark, sf_dir):
+    return PL.rounded(V.channel_contributions(_tv(spark, sf_dir)))
+
+
+@query("channel_leaderboard", _top_sql(
+    "SELECT channelTitle, " + _r("momentum") + " AS momentum, posts FROM (SELECT channelTitle, sum(decayed_velocity) AS momentum, "
+    "count(DISTINCT videoId) AS posts FROM videos_with_topics WHERE ts_hour IN (SELECT ts_hour FROM sub) AND channelTitle IS NOT NULL "
+    "GROUP BY channelTitle ORDER BY momentum DESC, channelTitle LIMIT 25)"))
+def q_channel_leaderboard(spark, sf_dir):
+    th, vt, sub = _main(spark, sf_dir)
+    return PL.rounded(V.channel_leaderboard(sub, vt))
+
+
+@query("filter_options", S.with_(S.GOLD, "SELECT DISTINCT 'lang' AS option, lang AS value FROM videos_with_topics WHERE lang IS NOT NULL "
+       "UNION ALL SELECT DISTINCT 'platform', coalesce(platform, 'youtube') FROM videos_with_topics "
+       f"UNION ALL SELECT 'min_local_date', strftime(min({_local('ts_hour')}), '%Y-%m-%d') FROM topics_hourly "
+       f"UNION ALL SELECT 'max_local_date', strftime(max({_local('ts_hour')}), '%Y-%m-%d') FROM topics_hourly"))
+def q_filter_options(spark, sf_dir):
+    th, vt = _gold(spark, sf_dir)
+    return V.filter_options(th, vt)
+
+
+@query("last_updated", S.with_(S.GOLD, "SELECT strftime(max(ts_hour), '%Y-%m-%d %H:%M') AS last_utc, "
+       f"strftime(max({_local('ts_hour')}), '%Y-%m-%d %H:%M') AS last_local FROM topics_hourly"))
+def q_last_updated(spark, sf_dir):
+    th, _ = _gold(spark, sf_dir)
+    return V.last_updated(th)
+
+
+_EDGES = (",\nedges AS (SELECT channelTitle, topic_id, sum(decayed_velocity) AS weight FROM videos_with_topics "
+          "WHERE channelTitle IS NOT NULL AND topic_id IS NOT NULL GROUP BY channelTitle, topic_id)")
+
+
+@query("network_channel", S.with_(S.GOLD + _EDGES, "SELECT channelTitle, " + _r("sum(weight)") + " AS weight FROM edges GROUP BY channelTitle"))
+def q_network_channel(spark, sf_dir):
+    return PL.rounded(NW.channel_strength(NW.edges(PL.videos_with_topics(spark, sf_dir))))
+
+
+@query("network_topic", S.with_(S.GOLD + _EDGES, "SELECT topic_id, " + _r("sum(weight)") + " AS weight FROM edges GROUP BY topic_id"))
+def q_network_topic(spark, sf_dir):
+    return PL.rounded(NW.topic_strength(NW.edges(PL.videos_with_topics(spark, sf_dir))))
