@@ -50,11 +50,16 @@ def tokens(c, min_len: int = 2) -> Column:
 
 
 def bigrams(arr) -> Column:
-    """Adjacent pairs of an array, joined by one space; never across rows."""
+    """Adjacent pairs of an array, joined by one space; never across rows.
+
+    ``zip_with`` of the array with itself shifted by one: a single pass,
+    the array expression is read twice, not once per element.
+    """
     a = _c(arr)
+    n = F.size(a) - 1
     return F.when(
         F.size(a) >= 2,
-        F.transform(F.sequence(F.lit(0), F.size(a) - 2), lambda i: F.concat(a[i], F.lit(" "), a[i + 1])),
+        F.zip_with(F.slice(a, 1, n), F.slice(a, 2, n), lambda x, y: F.concat(x, F.lit(" "), y)),
     ).otherwise(F.array().cast("array<string>"))
 
 

@@ -1,0 +1,18 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows above which a "small" side is shuffled instead of broadcast.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint if ``small`` has at most ``max_rows`` rows, else unchanged.
+
+    The count runs on the small side only; beyond the bound the planner
+    (and AQE at run time) picks a shuffle join.
+    """
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small

@@ -333,3 +333,104 @@ def q_network_channel(spark, sf_dir):
 @query("network_topic", S.with_(S.GOLD + _EDGES, "SELECT topic_id, " + _r("sum(weight)") + " AS weight FROM edges GROUP BY topic_id"))
 def q_network_topic(spark, sf_dir):
     return PL.rounded(NW.topic_strength(NW.edges(PL.videos_with_topics(spark, sf_dir))))
+
+
+# ---------------------------------------------------------------- text mining over documents
+
+from ..operators import langid as LID  # noqa: E402
+from ..operators import textmine as TX  # noqa: E402
+from ..sources.tables import table as _table  # noqa: E402
+
+
+def _docs(spark, sf_dir):
+    return _table(spark, sf_dir, "documents")
+
+
+_WORDS_SQL = f"regexp_extract_all(text, '{S.WORD_RE2}')"
+
+
+@query("tokens", f"SELECT doc_id, pos, w[pos + 1] AS word FROM (SELECT doc_id, w, unnest(generate_series(0, len(w) - 1)) AS pos "
+                 f"FROM (SELECT doc_id, {_WORDS_SQL} AS w FROM documents))")
+def q_tokens(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.posexplode(X.words("text")).alias("pos", "word"))
+
+
+@query("bigrams", f"SELECT doc_id, w[i] || ' ' || w[i + 1] AS gram, count(*) AS cnt FROM (SELECT doc_id, w, "
+                  f"unnest(generate_series(1, len(w) - 1)) AS i FROM (SELECT doc_id, {_WORDS_SQL} AS w FROM documents)) GROUP BY ALL")
+def q_bigrams(spark, sf_dir):
+    d = _docs(spark, sf_dir).select("doc_id", F.explode(X.bigrams(X.words("text"))).alias("gram"))
+    return d.groupBy("doc_id", "gram").agg(F.count("*").alias("cnt"))
+
+
+def _tfidf_sql() -> str:
+    tok = f"list_filter(regexp_extract_all(lower(text), '{S.WORD_RE2}'), lambda t: length(t) >= 2)"
+    return f"""WITH n AS (SELECT count(*) AS n FROM documents),
+toks AS (SELECT doc_id, {tok} AS t FROM documents),
+terms AS (SELECT doc_id, unnest(t) AS term FROM toks
+          UNION ALL SELECT doc_id, t[i] || ' ' || t[i + 1] FROM (SELECT doc_id, t, unnest(generate_series(1, len(t) - 1)) AS i FROM toks)),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+st AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
+vocab AS (SELECT term, ln((1.0 + n.n) / (df + 1.0)) + 1.0 AS idf FROM st, n
+          WHERE df >= CASE WHEN n.n >= 10 THEN 2 ELSE 1 END
+          ORDER BY cf DESC, term LIMIT (SELECT CASE WHEN n > 500 THEN 12000 ELSE 8000 END FROM n)),
+w AS (SELECT doc_id, tf.term, tf * idf AS w FROM tf JOIN vocab USING (term)),
+nm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
+SELECT doc_id, term, round(w / norm, 6) AS weight FROM w JOIN nm USING (doc_id)"""
+
+
+@query("tfidf_weights", _tfidf_sql())
+def q_tfidf_weights(spark, sf_dir):
+    return PL.rounded(TX.tfidf(_docs(spark, sf_dir), "doc_id", "text"))
+
+
+_DOC_LABELS = S.labels_cte("documents", key="source", text="text", order="doc_id", name="dl", nfc=True)
+
+
+@query("doc_topic_label", S.with_(_DOC_LABELS, "SELECT source, topic_label FROM dl"))
+def q_doc_topic_label(spark, sf_dir):
+    return TX.topic_labels(_docs(spark, sf_dir), key="source", text="text", order=("doc_id",))
+
+
+@query("label_guard", S.with_(_DOC_LABELS + ",\nsamp AS (SELECT source, arg_max(nullif(text, ''), doc_id) AS sample_title "
+                              "FROM documents GROUP BY source)",
+                              "SELECT dl.source, " + S.readable_label_sql("dl.topic_label", "samp.sample_title") +
+                              " AS topic_label FROM dl JOIN samp USING (source)"))
+def q_label_guard(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    labels = TX.topic_labels(docs, key="source", text="text", order=("doc_id",))
+    samp = docs.groupBy("source").agg(F.max_by(F.nullif("text", F.lit("")), "doc_id").alias("sample_title"))
+    return labels.join(samp, "source").select("source", X.readable_label("topic_label", "sample_title").alias("topic_label"))
+
+
+@query("kmeans_topics")
+def q_kmeans_topics(spark, sf_dir):
+    return TX.kmeans_topics(_docs(spark, sf_dir), "doc_id", "text")
+
+
+def _langid_sql() -> str:
+    strip = f"regexp_replace(regexp_replace(text, '^{S.WS_RE2}', ''), '{S.WS_RE2}$', '')"
+    grams = "list_transform(generate_series(1, length(t) - 2), lambda i: substring(t, i, 3))"
+    return f"""WITH d AS (SELECT doc_id, lang, text, lower({strip}) AS t FROM documents),
+dg AS (SELECT doc_id, lang, unnest({grams}) AS gram FROM d WHERE length(t) >= 3),
+pc AS (SELECT lang, gram, count(*) AS c FROM dg WHERE lang IS NOT NULL GROUP BY ALL),
+nv AS (SELECT count(DISTINCT gram) AS v FROM pc),
+norms AS (SELECT lang, ln(sum(c) + (SELECT v FROM nv)) AS log_denom FROM pc GROUP BY lang),
+prof AS (SELECT lang, gram, ln(c + 1.0) AS lc FROM pc),
+g AS (SELECT doc_id, gram, count(*) AS n FROM dg GROUP BY ALL),
+tot AS (SELECT doc_id, sum(n) AS nn FROM g GROUP BY doc_id),
+m AS (SELECT doc_id, lang, sum(n * lc) AS s FROM g JOIN prof USING (gram) GROUP BY ALL),
+sc AS (SELECT tot.doc_id, norms.lang, coalesce(m.s, 0.0) - tot.nn * norms.log_denom AS score
+       FROM tot CROSS JOIN norms LEFT JOIN m ON m.doc_id = tot.doc_id AND m.lang = norms.lang),
+best AS (SELECT doc_id, arg_min(lang, (-score, lang)) AS best FROM sc GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL OR length({strip}) < 3 THEN NULL
+                      WHEN regexp_matches(d.text, '[\\x{{0D80}}-\\x{{0DFF}}]') THEN 'si'
+                      WHEN regexp_matches(d.text, '[\\x{{0B80}}-\\x{{0BFF}}]') THEN 'ta'
+                      ELSE best.best END AS lang_pred
+FROM d LEFT JOIN best USING (doc_id)"""
+
+
+@query("lang_profile", _langid_sql())
+def q_lang_profile(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    profile, norms = LID.train_profile(docs)
+    return LID.detect(docs, profile, norms)
