@@ -434,3 +434,109 @@ def q_lang_profile(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     profile, norms = LID.train_profile(docs)
     return LID.detect(docs, profile, norms)
+
+
+# ---------------------------------------------------------------- collector semantics (re-aimed)
+
+from ..operators import ingest as IG  # noqa: E402
+from ..sources import fixtures as FX  # noqa: E402
+
+RUN_AT = "2024-01-31 00:00:00"     # the collector's "now" is a parameter
+LOOKBACK_DAYS = 14
+CAP = 50
+FETCHED_AT = "2024-01-31T00:00:00Z"
+
+_LISTING_SQL = f"""listing AS (
+  SELECT 'UC' || CAST(user_id AS VARCHAR) AS channelId, 'vid' || lpad(CAST(event_id % 4000 AS VARCHAR), 8, '0') AS videoId,
+         CASE WHEN event_id % 89 = 0 THEN NULL ELSE CAST(ts AS TIMESTAMP) END AS videoPublishedAt FROM events),
+seen AS (SELECT DISTINCT 'vid' || lpad(CAST(event_id % 4000 AS VARCHAR), 8, '0') AS videoId FROM events
+         WHERE event_type = 'view' AND ts < TIMESTAMP '{RUN_AT}' - INTERVAL {LOOKBACK_DAYS} DAY),
+capped AS (SELECT channelId, videoId, videoPublishedAt FROM (
+  SELECT *, row_number() OVER (PARTITION BY channelId ORDER BY videoPublishedAt DESC NULLS LAST, videoId) AS rn
+  FROM listing WHERE videoPublishedAt IS NULL OR videoPublishedAt >= TIMESTAMP '{RUN_AT}' - INTERVAL {LOOKBACK_DAYS} DAY)
+  WHERE rn <= {CAP}),
+newl AS (SELECT * FROM capped WHERE videoId NOT IN (SELECT videoId FROM seen)),
+details AS (SELECT 'vid' || lpad(CAST(event_id % 4000 AS VARCHAR), 8, '0') AS videoId,
+                   arg_max(value * 100, event_id) AS views FROM events WHERE event_type <> 'error' GROUP BY 1),
+channels AS (SELECT trim(c_name) AS channel_name, trim('UC' || CAST(c_custkey AS VARCHAR)) AS channelId FROM customer)"""
+
+
+def _listing(spark, sf_dir):
+    return FX.listing_from_tables(spark, sf_dir)
+
+
+def _seen(spark, sf_dir):
+    return FX.seen_from_tables(spark, sf_dir, F.lit(RUN_AT).cast("timestamp") - F.make_dt_interval(days=F.lit(LOOKBACK_DAYS)))
+
+
+def _new_listing(spark, sf_dir):
+    cutoff = F.lit(RUN_AT).cast("timestamp") - F.make_dt_interval(days=F.lit(LOOKBACK_DAYS))
+    listing = IG.per_channel_cap(IG.lookback(_listing(spark, sf_dir), cutoff), CAP)
+    return IG.skip_seen(listing, _seen(spark, sf_dir))
+
+
+@query("ingest_new_listing", f"WITH {_LISTING_SQL} SELECT channelId, videoId, videoPublishedAt FROM newl")
+def q_ingest_new_listing(spark, sf_dir):
+    return _new_listing(spark, sf_dir).select("channelId", "videoId", "videoPublishedAt")
+
+
+@query("ingest_state_advance", f"WITH {_LISTING_SQL} SELECT videoId FROM seen UNION "
+                               "SELECT videoId FROM newl WHERE videoId IN (SELECT videoId FROM details)")
+def q_ingest_state_advance(spark, sf_dir):
+    fetched = IG.fetch_details(_new_listing(spark, sf_dir), FX.details_from_tables(spark, sf_dir))
+    return IG.advance_seen(_seen(spark, sf_dir), fetched)
+
+
+@query("ingest_resolve_channels", f"WITH {_LISTING_SQL} SELECT n.channelId, c.channel_name, n.videoId, round(d.views, 6) AS views, "
+                                  f"'{FETCHED_AT}' AS _fetched_at, 'youtube' AS platform "
+                                  "FROM newl n JOIN channels c USING (channelId) JOIN details d USING (videoId)")
+def q_ingest_resolve_channels(spark, sf_dir):
+    resolved, _ = IG.resolve_channels(_new_listing(spark, sf_dir), FX.channels_from_tables(spark, sf_dir))
+    got = IG.fetch_details(resolved, FX.details_from_tables(spark, sf_dir))
+    return PL.rounded(IG.stamp(got, F.lit(FETCHED_AT)).select("channelId", "channel_name", "videoId", "views", "_fetched_at", "platform"))
+
+
+@query("ingest_unresolved_channels", f"WITH {_LISTING_SQL} SELECT channelId, channel_name FROM channels "
+                                     "WHERE channelId NOT IN (SELECT channelId FROM newl)")
+def q_ingest_unresolved_channels(spark, sf_dir):
+    _, unresolved = IG.resolve_channels(_new_listing(spark, sf_dir), FX.channels_from_tables(spark, sf_dir))
+    return unresolved
+
+
+@query("ingest_manifest", """WITH runs AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events WHERE event_type <> 'error')
+SELECT 'youtube_raw_' || strftime(day, '%Y%m%dT%H%M%SZ') || '.jsonl' AS file, count(*) AS records,
+       (SELECT count(*) FROM customer) AS channels,
+       strftime(day - INTERVAL 2 DAY, '%Y-%m-%dT%H:%M:%SZ') AS published_after, strftime(day, '%Y-%m-%dT%H:%M:%SZ') AS fetched_at
+FROM runs GROUP BY day""")
+def q_ingest_manifest(spark, sf_dir):
+    from ..sources.tables import events
+    runs = events(spark, sf_dir).where(F.col("event_type") != "error").select(F.date_trunc("day", "ts").alias("day"))
+    return IG.run_manifest(
+        runs, "day", FX.channels_from_tables(spark, sf_dir),
+        file=F.concat(F.lit("youtube_raw_"), F.date_format("day", "yyyyMMdd'T'HHmmss'Z'"), F.lit(".jsonl")),
+        published_after=IG.iso_z(F.col("day") - F.make_dt_interval(days=F.lit(IG.DEFAULT_DAYS))),
+        fetched_at=IG.iso_z("day"))
+
+
+TRENDS_DAYS = 7
+
+
+@query("trends_unpivot", f"""WITH h AS (SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS ts, event_type FROM events),
+lim AS (SELECT max(ts) AS m FROM h),
+wide AS (SELECT ts, count(*) FILTER (WHERE event_type = 'view') AS view, count(*) FILTER (WHERE event_type = 'click') AS click,
+                count(*) FILTER (WHERE event_type = 'purchase') AS purchase, count(*) FILTER (WHERE event_type = 'signup') AS signup,
+                count(*) FILTER (WHERE event_type = 'error') AS error
+         FROM h, lim WHERE ts >= lim.m - INTERVAL {min(TRENDS_DAYS, 7)} DAY GROUP BY ts),
+long AS (UNPIVOT wide ON view, click, purchase, signup, error INTO NAME q VALUE interest)
+SELECT 'trends' AS platform, 'trends_' || q || '_' || CAST(epoch(ts) AS BIGINT) AS id, q AS title,
+       'Google Trends interest for ''' || q || '''' AS description, 'trends:LK' AS channelId, 'Google Trends (LK)' AS channelTitle,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS publishedAt, CAST(coalesce(interest, 0) AS INTEGER) AS viewCount,
+       0 AS likeCount, 0 AS commentCount, '{FETCHED_AT}' AS _fetched_at FROM long""")
+def q_trends_unpivot(spark, sf_dir):
+    wide = FX.trends_wide_from_tables(spark, sf_dir, IG.clamp_days(TRENDS_DAYS))
+    rec = IG.trends_records(IG.unpivot_interest(wide), F.lit(FETCHED_AT))
+    return rec.select("platform", "id", F.col("snippet.title").alias("title"), F.col("snippet.description").alias("description"),
+                      F.col("snippet.channelId").alias("channelId"), F.col("snippet.channelTitle").alias("channelTitle"),
+                      F.col("snippet.publishedAt").alias("publishedAt"), F.col("statistics.viewCount").alias("viewCount"),
+                      F.col("statistics.likeCount").alias("likeCount"), F.col("statistics.commentCount").alias("commentCount"),
+                      "_fetched_at")

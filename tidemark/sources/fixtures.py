@@ -88,3 +88,48 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("_lang"),
         (k % N_TOPICS).cast("int").alias("topic_id"),
     )
+
+
+# ---------------------------------------------------------------- collector-side tables
+
+EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
+
+
+def _vid(eid: F.Column) -> F.Column:
+    return F.concat(F.lit("vid"), F.lpad((eid % N_VIDEOS).cast("string"), 8, "0"))
+
+
+def listing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upload listing: one item per event; a channel per user; some publish times unknown."""
+    ev = events(spark, sf_dir)
+    return ev.select(
+        F.concat(F.lit("UC"), F.col("user_id").cast("string")).alias("channelId"),
+        _vid(F.col("event_id")).alias("videoId"),
+        F.when(F.col("event_id") % 89 == 0, F.lit(None).cast("timestamp")).otherwise(F.col("ts")).alias("videoPublishedAt"))
+
+
+def seen_from_tables(spark: SparkSession, sf_dir: str, before: F.Column) -> DataFrame:
+    """Ids fetched by earlier runs: viewed items older than the lookback cutoff."""
+    ev = events(spark, sf_dir)
+    return ev.where((F.col("event_type") == "view") & (F.col("ts") < before)).select(_vid(F.col("event_id")).alias("videoId")).distinct()
+
+
+def details_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail lookup: latest statistics per id; ids only seen in error events have none."""
+    ev = events(spark, sf_dir).where(F.col("event_type") != "error")
+    return ev.groupBy(_vid(F.col("event_id")).alias("videoId")).agg(F.max_by(F.col("value") * 100, "event_id").alias("views"))
+
+
+def channels_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configured channels (name, channel_id) from ``customer``."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.col("c_name").alias("name"), F.concat(F.lit("UC"), F.col("c_custkey").cast("string")).alias("channel_id"))
+
+
+def trends_wide_from_tables(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
+    """Wide hourly interest table (ts, one column per query, isPartial) over the last ``days``."""
+    ev = events(spark, sf_dir).select(F.date_trunc("hour", "ts").alias("ts"), "event_type")
+    latest = ev.agg(F.max("ts").alias("_m"))
+    recent = ev.crossJoin(F.broadcast(latest)).where(F.col("ts") >= F.col("_m") - F.make_dt_interval(days=F.lit(days)))
+    wide = recent.groupBy("ts", "_m").pivot("event_type", EVENT_TYPES).agg(F.count(F.lit(1)))
+    return wide.withColumn("isPartial", F.col("ts") == F.col("_m")).drop("_m")
