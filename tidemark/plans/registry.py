@@ -540,3 +540,61 @@ def q_trends_unpivot(spark, sf_dir):
                       F.col("snippet.publishedAt").alias("publishedAt"), F.col("statistics.viewCount").alias("viewCount"),
                       F.col("statistics.likeCount").alias("likeCount"), F.col("statistics.commentCount").alias("commentCount"),
                       "_fetched_at")
+
+
+# ---------------------------------------------------------------- file sources and sinks (round trips)
+
+from ..schemas import TOPICS_HOURLY, TOPICS_HOURLY_COLS  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sinks import write_csv  # noqa: E402
+from ..sources.bronze import read_bronze  # noqa: E402
+from ..sources.csv import read_csv_tolerant, tolerant_rows  # noqa: E402
+
+DUMP_STAMP = "20240131T000000Z"
+
+
+def bronze_json_lines(b: DataFrame) -> DataFrame:
+    """One JSON text per record; an object-shaped id is emitted as an object."""
+    rest = F.to_json(F.struct("platform", "snippet", "statistics", "contentDetails", "_fetched_at"))
+    id_json = F.when(F.ltrim("id").startswith("{"), F.col("id")) \
+               .otherwise(F.regexp_extract(F.to_json(F.struct(F.col("id").alias("x"))), r'^\{"x":(.*)\}$', 1))
+    return b.select("platform", F.concat(F.lit('{"id":'), id_json, F.lit(","), F.substring(rest, 2, 1 << 30)).alias("value"))
+
+
+_BAD_JSON = '{"id": "vidBROKEN", "snippet": {"title": "unterminated'
+
+
+@query("json_union_sources", S.with_(S.BRONZE_FLAT, "SELECT " + ", ".join(
+    _r(c) + " AS " + c if c in ("views", "likes", "comments") else c for c in _FLAT_COLS) + " FROM flat"))
+def q_json_union_sources(spark, sf_dir):
+    lines = bronze_json_lines(PL.bronze(spark, sf_dir))
+    root = scratch_path(spark, "bronze_jsonl")
+    bad = spark.createDataFrame([(_BAD_JSON,)], "value string")
+    is_trends = F.coalesce(F.col("platform") == "Trends", F.lit(False))
+    lines.where(~is_trends).select("value").unionByName(bad).write.text(f"{root}/youtube_raw_{DUMP_STAMP}")
+    lines.where(is_trends).select("value").unionByName(bad).write.text(f"{root}/trends_raw_{DUMP_STAMP}")
+    got = read_bronze(spark, root)
+    return PL.rounded(clean.flatten(got.where(F.col("_corrupt").isNull())).select(*_FLAT_COLS))
+
+
+_CSV_EXTRA = [
+    ",".join(TOPICS_HOURLY_COLS),
+    ",".join(TOPICS_HOURLY_COLS),
+    "2024-02-01T00:00:00.000Z,99,short row",
+    "2024-02-01T01:00:00.000Z,98,too,many,fields,1,2,3,4,5,6,7,8,9",
+    '2024-02-01T02:00:00.000Z,97,"two\nlines, ""quoted""",,1.5,2,1,0.25,0,5.0,sample',
+]
+
+_CSV_SQL = S.with_(S.GOLD, "SELECT ts_hour, topic_id, topic_label, leader_channels, " + _r("velocity_sum") +
+                   " AS velocity_sum, video_count, channel_count, " + _r("zscore") +
+                   " AS zscore, rising_flag, rising_score, sample_title FROM topics_hourly "
+                   "UNION ALL SELECT TIMESTAMP '2024-02-01 00:00:00', 99, 'short row', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL "
+                   "UNION ALL SELECT TIMESTAMP '2024-02-01 02:00:00', 97, 'two' || chr(10) || 'lines, \"quoted\"', NULL, 1.5, 2, 1, "
+                   "0.25, 0, 5.0, 'sample'")
+
+
+@query("csv_tolerant_roundtrip", _CSV_SQL)
+def q_csv_tolerant_roundtrip(spark, sf_dir):
+    root = write_csv(PL.topics_hourly(spark, sf_dir), scratch_path(spark, "topics_hourly_csv"))
+    spark.createDataFrame([("\n".join(_CSV_EXTRA),)], "value string").write.mode("append").text(root)
+    return PL.rounded(tolerant_rows(read_csv_tolerant(spark, root, TOPICS_HOURLY)))
