@@ -546,21 +546,13 @@ def q_trends_unpivot(spark, sf_dir):
 
 from ..schemas import TOPICS_HOURLY, TOPICS_HOURLY_COLS  # noqa: E402
 from ..session import scratch_path  # noqa: E402
-from ..sinks import write_csv  # noqa: E402
+from ..sinks import bronze_json_lines, write_csv  # noqa: E402
 from ..sources.bronze import read_bronze  # noqa: E402
 from ..sources.csv import read_csv_tolerant, tolerant_rows  # noqa: E402
 
 DUMP_STAMP = "20240131T000000Z"
 
 
-def bronze_json_lines(b: DataFrame) -> DataFrame:
-    """One JSON text per record; an object-shaped id is emitted as an object."""
-    rest = F.to_json(F.struct("platform", "snippet", "statistics", "contentDetails", "_fetched_at"))
-    id_json = F.when(F.ltrim("id").startswith("{"), F.col("id")) \
-               .otherwise(F.regexp_extract(F.to_json(F.struct(F.col("id").alias("x"))), r'^\{"x":(.*)\}$', 1))
-    return b.select("platform", F.concat(F.lit('{"id":'), id_json, F.lit(","), F.substring(rest, 2, 1 << 30)).alias("value"))
-
-
 _BAD_JSON = '{"id": "vidBROKEN", "snippet": {"title": "unterminated'
 
 
@@ -598,3 +590,89 @@ def q_csv_tolerant_roundtrip(spark, sf_dir):
     root = write_csv(PL.topics_hourly(spark, sf_dir), scratch_path(spark, "topics_hourly_csv"))
     spark.createDataFrame([("\n".join(_CSV_EXTRA),)], "value string").write.mode("append").text(root)
     return PL.rounded(tolerant_rows(read_csv_tolerant(spark, root, TOPICS_HOURLY)))
+
+
+# ---------------------------------------------------------------- streaming (file source, availableNow runs)
+
+from pyspark.sql import types as _T  # noqa: E402
+
+from ..schemas import BRONZE  # noqa: E402
+from ..streaming import stream as ST  # noqa: E402
+
+STREAM_SPLIT = "2024-01-16 00:00:00"      # run 1 sees files before this day, run 2 the rest
+STREAM_SCHEMA = _T.StructType(list(BRONZE.fields) + [_T.StructField("topic_id", _T.IntegerType()),
+                                                     _T.StructField("_seq", _T.LongType())])
+
+
+def _stream_input(spark, sf_dir, stage: int, root: str | None = None) -> str:
+    """Write the bronze of one stage as JSONL files into the input folder."""
+    from ..sinks import bronze_json_lines
+    from ..sources.tables import events
+    root = root or scratch_path(spark, "stream_in")
+    b = PL.bronze(spark, sf_dir)
+    ev = events(spark, sf_dir).select(F.col("event_id").alias("_seq"), "ts")
+    b = b.join(ev, "_seq")
+    part = b.where(F.col("ts") < F.lit(STREAM_SPLIT).cast("timestamp")) if stage == 1 else \
+        b.where(F.col("ts") >= F.lit(STREAM_SPLIT).cast("timestamp"))
+    bronze_json_lines(part, extra=["topic_id", "_seq"]).select("value").write.mode("append").text(root)
+    return root
+
+
+_FLAT_KEYED = S.BRONZE_FLAT + r""",
+keyed AS (SELECT * REPLACE (least(publishedAt, fetchedAt) AS publishedAt) FROM flat
+          WHERE videoId IS NOT NULL AND publishedAt IS NOT NULL AND fetchedAt IS NOT NULL),
+hourly AS (SELECT date_trunc('hour', fetchedAt) AS ts_hour, topic_id, sum(views) AS views_sum, count(*) AS records
+           FROM keyed GROUP BY ALL),
+closed AS (SELECT h.* FROM hourly h, (SELECT max(fetchedAt) AS m FROM keyed) x
+           WHERE h.ts_hour + INTERVAL 1 HOUR <= x.m - INTERVAL 2 HOUR)"""
+
+
+def _hourly_sink(spark, sf_dir) -> str:
+    src = _stream_input(spark, sf_dir, 1)
+    _stream_input(spark, sf_dir, 2, src)
+    flat = ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"])
+    return ST.run_available_now(ST.hourly_topic(flat), scratch_path(spark, "stream_hourly"), scratch_path(spark, "ckpt_hourly"))
+
+
+@query("stream_hourly", S.with_(_FLAT_KEYED, "SELECT ts_hour, topic_id, " + _r("views_sum") + " AS views_sum, records FROM closed"))
+def q_stream_hourly(spark, sf_dir):
+    return PL.rounded(spark.read.parquet(_hourly_sink(spark, sf_dir)))
+
+
+@query("stream_dedup", S.with_(_FLAT_KEYED, f"SELECT platform, videoId, min(CASE WHEN fetchedAt < TIMESTAMP '{STREAM_SPLIT}' "
+                                            "THEN 1 ELSE 2 END) AS first_run FROM keyed GROUP BY platform, videoId"))
+def q_stream_dedup(spark, sf_dir):
+    src = _stream_input(spark, sf_dir, 1)
+    sink, ckpt = scratch_path(spark, "stream_first_seen"), scratch_path(spark, "ckpt_first_seen")
+    flat = lambda: ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"])
+    ST.run_available_now(ST.first_seen(flat()), sink, ckpt)
+    _stream_input(spark, sf_dir, 2, src)
+    ST.run_available_now(ST.first_seen(flat()), sink, ckpt)       # same checkpoint: state carries over
+    got = spark.read.parquet(sink)
+    return got.select("platform", "videoId", F.when(F.col("fetchedAt") < F.lit(STREAM_SPLIT).cast("timestamp"), 1)
+                      .otherwise(2).alias("first_run"))
+
+
+@query("stream_upsert", S.with_(S.SILVER, "SELECT platform, videoId, fetchedAt, seq AS _seq FROM ded"))
+def q_stream_upsert(spark, sf_dir):
+    src = _stream_input(spark, sf_dir, 1)
+    root, ckpt = scratch_path(spark, "stream_snapshots"), scratch_path(spark, "ckpt_upsert")
+    flat = lambda: ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"])
+    ST.upsert_latest(flat(), root, ckpt, order=["_seq"])
+    _stream_input(spark, sf_dir, 2, src)
+    ST.upsert_latest(flat(), root, ckpt, order=["_seq"])
+    return spark.read.parquet(ST.latest_snapshot(spark, root)).select("platform", "videoId", "fetchedAt", "_seq")
+
+
+@query("stream_baseline", S.with_(_FLAT_KEYED + r""",
+zb AS (SELECT *, (views_sum - coalesce(avg(views_sum) OVER w, 0.0)) /
+                 (CASE WHEN stddev_samp(views_sum) OVER w IS NULL OR stddev_samp(views_sum) OVER w = 0
+                       THEN 1.0 ELSE stddev_samp(views_sum) OVER w END) AS zscore
+       FROM closed WINDOW w AS (PARTITION BY topic_id ORDER BY ts_hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+    "SELECT ts_hour, topic_id, " + _r("views_sum") + " AS views_sum, " + _r("zscore") + " AS zscore FROM zb"))
+def q_stream_baseline(spark, sf_dir):
+    hourly = _hourly_sink(spark, sf_dir)
+    src = spark.readStream.schema(spark.read.parquet(hourly).schema).parquet(hourly)
+    sink = ST.run_available_now(ST.expanding_baseline_stream(src), scratch_path(spark, "stream_baseline"),
+                                scratch_path(spark, "ckpt_baseline"))
+    return PL.rounded(spark.read.parquet(sink))

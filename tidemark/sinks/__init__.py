@@ -5,6 +5,7 @@ import datetime as _dt
 import os
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def dump_name(prefix: str, at: _dt.datetime | None = None) -> str:
@@ -46,3 +47,16 @@ def append_manifest(manifest: DataFrame, path: str) -> str:
 def repair_and_save(df: DataFrame, new_path: str) -> str:
     """Rewrite a tolerant read as clean CSV into a *new* folder (SNK-6)."""
     return write_csv(df, new_path)
+
+
+def bronze_json_lines(b: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Bronze records as JSON text lines (``value``) plus ``platform``.
+
+    An id holding a JSON object (search-shaped record) is emitted as an
+    object, a plain id as a string; ``extra`` columns are appended as fields.
+    """
+    fields = ["platform", "snippet", "statistics", "contentDetails", "_fetched_at"] + list(extra or [])
+    rest = F.to_json(F.struct(*fields))
+    id_json = F.when(F.ltrim("id").startswith("{"), F.col("id")) \
+               .otherwise(F.regexp_extract(F.to_json(F.struct(F.col("id").alias("x"))), r'^\{"x":(.*)\}$', 1))
+    return b.select("platform", F.concat(F.lit('{"id":'), id_json, F.lit(","), F.substring(rest, 2, 1 << 30)).alias("value"))
