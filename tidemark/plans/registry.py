@@ -577,9 +577,10 @@ _CSV_EXTRA = [
     '2024-02-01T02:00:00.000Z,97,"two\nlines, ""quoted""",,1.5,2,1,0.25,0,5.0,sample',
 ]
 
-_CSV_SQL = S.with_(S.GOLD, "SELECT ts_hour, topic_id, topic_label, leader_channels, " + _r("velocity_sum") +
+_CSV_SQL = S.with_(S.GOLD, "SELECT ts_hour, topic_id, nullif(topic_label, '') AS topic_label, "
+                   "nullif(leader_channels, '') AS leader_channels, " + _r("velocity_sum") +
                    " AS velocity_sum, video_count, channel_count, " + _r("zscore") +
-                   " AS zscore, rising_flag, rising_score, sample_title FROM topics_hourly "
+                   " AS zscore, rising_flag, rising_score, nullif(sample_title, '') AS sample_title FROM topics_hourly "
                    "UNION ALL SELECT TIMESTAMP '2024-02-01 00:00:00', 99, 'short row', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL "
                    "UNION ALL SELECT TIMESTAMP '2024-02-01 02:00:00', 97, 'two' || chr(10) || 'lines, \"quoted\"', NULL, 1.5, 2, 1, "
                    "0.25, 0, 5.0, 'sample'")
