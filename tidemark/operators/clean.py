@@ -57,8 +57,10 @@ def dedup_latest(df: DataFrame, keys=("platform", "videoId"), order: list[str] |
     order = list(order or [])
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(F.col("fetchedAt"), *[F.col(c) for c in order],
-                    *[F.col(c) for c in rest if c not in order and c != "fetchedAt"])
+    # With a unique tie-break key the rank stays narrow; without one, every
+    # remaining column breaks ties so the choice is still deterministic.
+    tail = order if order else [c for c in rest if c != "fetchedAt"]
+    rank = F.struct(F.col("fetchedAt"), *[F.col(c) for c in tail])
     picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
 

@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
 
 # Fixed values.
 NGRAM = 3
@@ -39,27 +38,37 @@ def char_grams(c, n: int = NGRAM) -> Column:
     return F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
 
 
-def train_profile(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
-    """Returns (profile[lang, gram, lc], norms[lang, log_denom])."""
-    grams = (docs.where(F.col(lang).isNotNull())
-             .select(lang, F.explode(char_grams(text)).alias("gram"))
-             .groupBy(lang, "gram").agg(F.count("*").alias("c")))
-    vocab = grams.agg(F.count_distinct("gram").alias("V"))
-    totals = grams.groupBy(lang).agg(F.sum("c").alias("T"))
+def doc_grams(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(key, lang, gram, n): trigram counts per document, computed once."""
+    return (docs.select(key, lang, F.explode(char_grams(text)).alias("gram"))
+            .groupBy(key, lang, "gram").agg(F.count("*").alias("n")))
+
+
+def train_profile(grams: DataFrame, lang: str = "lang") -> tuple[DataFrame, DataFrame]:
+    """From per-document gram counts: (profile[lang, gram, lc], norms[lang, log_denom])."""
+    per_lang = (grams.where(F.col(lang).isNotNull())
+                .groupBy(lang, "gram").agg(F.sum("n").alias("c")))
+    vocab = per_lang.agg(F.count_distinct("gram").alias("V"))
+    totals = per_lang.groupBy(lang).agg(F.sum("c").alias("T"))
     norms = totals.crossJoin(vocab).select(F.col(lang).alias("lang"), F.log(F.col("T") + F.col("V")).alias("log_denom"))
-    profile = grams.select(F.col(lang).alias("lang"), "gram", F.log(F.col("c") + 1.0).alias("lc"))
+    profile = per_lang.select(F.col(lang).alias("lang"), "gram", F.log(F.col("c") + 1.0).alias("lc"))
     return profile, norms
 
 
-def detect(docs: DataFrame, profile: DataFrame, norms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred) for every row of ``docs``."""
-    grams = (docs.select(key, F.explode(char_grams(text)).alias("gram"))
-             .groupBy(key, "gram").agg(F.count("*").alias("n")))
-    totals = grams.groupBy(key).agg(F.sum("n").alias("N"))
-    matched = (grams.join(bounded_broadcast(profile), "gram")
+def detect(docs: DataFrame, grams: DataFrame, profile: DataFrame, norms: DataFrame,
+           key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, lang_pred) for every row of ``docs``.
+
+    The profile join is a plain equi-join: AQE turns it into a broadcast
+    only when the profile's runtime size is under the broadcast threshold,
+    otherwise it stays a shuffle join (hot grams are split by AQE skew
+    handling).  ``norms`` has one row per language.
+    """
+    g = grams.select(key, "gram", "n")
+    totals = g.groupBy(key).agg(F.sum("n").alias("N"))
+    matched = (g.join(profile, "gram")
                .groupBy(key, "lang").agg(F.sum(F.col("n") * F.col("lc")).alias("s")))
-    # one row per (doc, language): the language list is tiny and counted
-    base = totals.crossJoin(bounded_broadcast(norms, 10_000))
+    base = totals.crossJoin(norms)
     scored = (base.join(matched, [key, "lang"], "left")
               .select(key, "lang", (F.coalesce("s", F.lit(0.0)) - F.col("N") * F.col("log_denom")).alias("score")))
     best = scored.groupBy(key).agg(F.min_by("lang", F.struct(F.negative("score"), F.col("lang"))).alias("_best"))
@@ -71,3 +80,10 @@ def detect(docs: DataFrame, profile: DataFrame, norms: DataFrame, key: str = "do
     pred = F.when(F.col(text).isNull() | (F.length(t) < MIN_CHARS), F.lit(None).cast("string")) \
             .otherwise(F.coalesce(rule, F.col("_best")))
     return out.select(key, pred.alias("lang_pred"))
+
+
+def fit_detect(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """Train on the labelled rows and label every row, sharing one gram count."""
+    grams = doc_grams(docs, key, text, lang)
+    profile, norms = train_profile(grams, lang)
+    return detect(docs, grams, profile, norms, key, text)

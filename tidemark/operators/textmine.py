@@ -28,9 +28,11 @@ def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_cl
             .withColumn("_doc", F.row_number().over(w_docs))
             .where(F.col("_doc") <= cap))                        # WindowGroupLimit: ≤ cap rows per key per task
     wd = docs.select(key, "_doc", X.words(text, normalize=normalize).alias("_w"))
-    uni = wd.select(key, "_doc", F.posexplode("_w").alias("_pos", "_g")).withColumn("_kind", F.lit(1))
-    bi = wd.select(key, "_doc", F.posexplode(X.bigrams("_w")).alias("_pos", "_g")).withColumn("_kind", F.lit(2))
-    grams = uni.unionByName(bi)
+    # unigrams and bigrams tagged in one array, exploded once
+    tagged = F.concat(
+        F.transform("_w", lambda g, i: F.struct(F.lit(1).alias("_kind"), i.alias("_pos"), g.alias("_g"))),
+        F.transform(X.bigrams("_w"), lambda g, i: F.struct(F.lit(2).alias("_kind"), i.alias("_pos"), g.alias("_g"))))
+    grams = wd.select(key, "_doc", F.inline(tagged))
     counts = grams.groupBy(key, "_kind", "_g").agg(
         F.count("*").alias("_cnt"), F.min(F.struct("_doc", "_pos")).alias("_first"))
     w_top = Window.partitionBy(key).orderBy(F.desc("_cnt"), F.asc("_first"))

@@ -65,7 +65,7 @@ def q_dedup_latest(spark, sf_dir):
 @query("title_clean", "SELECT doc_id, " + S.clean_ws("text") + " AS title_clean FROM documents")
 def q_title_clean(spark, sf_dir):
     from ..sources.tables import table
-    return table(spark, sf_dir, "documents").select("doc_id", X.collapse_whitespace("text").alias("title_clean"))
+    return table(spark, sf_dir, "documents", spread_rows=True).select("doc_id", X.collapse_whitespace("text").alias("title_clean"))
 
 
 @query("rates_and_age", S.with_(S.SILVER, "SELECT platform, videoId, " + ", ".join(
@@ -343,7 +343,7 @@ from ..sources.tables import table as _table  # noqa: E402
 
 
 def _docs(spark, sf_dir):
-    return _table(spark, sf_dir, "documents")
+    return _table(spark, sf_dir, "documents", spread_rows=True)
 
 
 _WORDS_SQL = f"regexp_extract_all(text, '{S.WORD_RE2}')"
@@ -431,9 +431,7 @@ FROM d LEFT JOIN best USING (doc_id)"""
 
 @query("lang_profile", _langid_sql())
 def q_lang_profile(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    profile, norms = LID.train_profile(docs)
-    return LID.detect(docs, profile, norms)
+    return LID.fit_detect(_docs(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- collector semantics (re-aimed)
