@@ -34,7 +34,8 @@ def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_cl
         F.transform(X.bigrams("_w"), lambda g, i: F.struct(F.lit(2).alias("_kind"), i.alias("_pos"), g.alias("_g"))))
     grams = wd.select(key, "_doc", F.inline(tagged))
     counts = grams.groupBy(key, "_kind", "_g").agg(
-        F.count("*").alias("_cnt"), F.min(F.struct("_doc", "_pos")).alias("_first"))
+        # first occurrence as one long (title rank, position): a hash-aggregatable min
+        F.count("*").alias("_cnt"), F.min(F.col("_doc").cast("long") * (1 << 32) + F.col("_pos")).alias("_first"))
     w_top = Window.partitionBy(key).orderBy(F.desc("_cnt"), F.asc("_first"))
     best_kind = counts.groupBy(key).agg(F.max("_kind").alias("_kind"))
     picked = (counts.join(best_kind, [key, "_kind"], "left_semi")

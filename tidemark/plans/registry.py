@@ -444,18 +444,19 @@ LOOKBACK_DAYS = 14
 CAP = 50
 FETCHED_AT = "2024-01-31T00:00:00Z"
 
-_LISTING_SQL = f"""listing AS (
-  SELECT 'UC' || CAST(user_id AS VARCHAR) AS channelId, 'vid' || lpad(CAST(event_id % 4000 AS VARCHAR), 8, '0') AS videoId,
-         CASE WHEN event_id % 89 = 0 THEN NULL ELSE CAST(ts AS TIMESTAMP) END AS videoPublishedAt FROM events),
-seen AS (SELECT DISTINCT 'vid' || lpad(CAST(event_id % 4000 AS VARCHAR), 8, '0') AS videoId FROM events
+_LISTING_SQL = f"""nvid AS (SELECT greatest(1, CAST(floor(count(*) * 2 / 5) AS BIGINT)) AS nv FROM events),
+listing AS (
+  SELECT 'UC' || CAST(user_id AS VARCHAR) AS channelId, 'vid' || lpad(CAST(event_id % nv AS VARCHAR), CAST(greatest(8, length(CAST(event_id % nv AS VARCHAR))) AS INTEGER), '0') AS videoId,
+         CASE WHEN event_id % 89 = 0 THEN NULL ELSE CAST(ts AS TIMESTAMP) END AS videoPublishedAt FROM events, nvid),
+seen AS (SELECT DISTINCT 'vid' || lpad(CAST(event_id % nv AS VARCHAR), CAST(greatest(8, length(CAST(event_id % nv AS VARCHAR))) AS INTEGER), '0') AS videoId FROM events, nvid
          WHERE event_type = 'view' AND ts < TIMESTAMP '{RUN_AT}' - INTERVAL {LOOKBACK_DAYS} DAY),
 capped AS (SELECT channelId, videoId, videoPublishedAt FROM (
   SELECT *, row_number() OVER (PARTITION BY channelId ORDER BY videoPublishedAt DESC NULLS LAST, videoId) AS rn
   FROM listing WHERE videoPublishedAt IS NULL OR videoPublishedAt >= TIMESTAMP '{RUN_AT}' - INTERVAL {LOOKBACK_DAYS} DAY)
   WHERE rn <= {CAP}),
 newl AS (SELECT * FROM capped WHERE videoId NOT IN (SELECT videoId FROM seen)),
-details AS (SELECT 'vid' || lpad(CAST(event_id % 4000 AS VARCHAR), 8, '0') AS videoId,
-                   arg_max(value * 100, event_id) AS views FROM events WHERE event_type <> 'error' GROUP BY 1),
+details AS (SELECT 'vid' || lpad(CAST(event_id % nv AS VARCHAR), CAST(greatest(8, length(CAST(event_id % nv AS VARCHAR))) AS INTEGER), '0') AS videoId,
+                   arg_max(value * 100, event_id) AS views FROM events, nvid WHERE event_type <> 'error' GROUP BY 1),
 channels AS (SELECT trim(c_name) AS channel_name, trim('UC' || CAST(c_custkey AS VARCHAR)) AS channelId FROM customer)"""
 
 

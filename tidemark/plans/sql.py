@@ -17,14 +17,15 @@ def clean_ws(expr: str) -> str:
 
 BRONZE_FLAT = r"""
 nd AS (SELECT count(*) AS n FROM documents),
+nvid AS (SELECT greatest(1, CAST(floor(count(*) * 2 / 5) AS BIGINT)) AS nv FROM events),
 b0 AS (
   SELECT e.event_id AS seq, e.event_type, e.user_id, e.value, CAST(e.ts AS TIMESTAMP) AS ts,
-         CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k, d.text, d.lang AS dlang, d.source
-  FROM events e CROSS JOIN nd JOIN documents d ON d.doc_id = e.event_id % nd.n),
+         CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k, d.text, d.lang AS dlang, d.source, nvid.nv
+  FROM events e CROSS JOIN nd CROSS JOIN nvid JOIN documents d ON d.doc_id = e.event_id % nd.n),
 flat AS (
   SELECT seq,
     CASE WHEN event_type = 'signup' THEN 'trends' ELSE 'youtube' END AS platform,
-    CASE WHEN seq % 331 = 0 THEN NULL ELSE 'vid' || lpad(CAST(seq % 4000 AS VARCHAR), 8, '0') END AS videoId,
+    CASE WHEN seq % 331 = 0 THEN NULL ELSE 'vid' || lpad(CAST(seq % nv AS VARCHAR), CAST(greatest(8, length(CAST(seq % nv AS VARCHAR))) AS INTEGER), '0') END AS videoId,
     coalesce(nullif(CASE WHEN seq % 50 = 0 THEN NULL WHEN seq % 50 = 25 THEN '' ELSE text END, ''),
              CASE WHEN seq % 4 < 2 THEN source || ' ' || text END) AS title,
     'Interest in ' || source AS description,

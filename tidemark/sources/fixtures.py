@@ -16,13 +16,26 @@ from pyspark.sql import functions as F
 
 from .tables import events, table
 
-# Fixed values of the adapter (mirrored in plans/sql.py).
-N_VIDEOS = 4000
+# Fixed values of the adapter (mirrored in plans/sql.py): 2 video ids per
+# 5 events (so snapshots repeat and dedup has work at every scale), 24 topics.
+VIDEOS_PER_EVENT = (2, 5)
 N_TOPICS = 24
 
 _MICRO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def n_videos(ev: DataFrame) -> DataFrame:
+    """One-row frame ``_nv``: size of the video id space (2 ids per 5 events)."""
+    a, b = VIDEOS_PER_EVENT
+    return ev.agg(F.greatest(F.lit(1).cast("long"), (F.count("*") * a / b).cast("long")).alias("_nv"))
+
+
+def _vid(eid: F.Column) -> F.Column:
+    """``vid`` + the id number padded to 8 digits (11 characters) or longer unpadded."""
+    num = (eid % F.col("_nv")).cast("string")
+    return F.concat(F.lit("vid"), F.when(F.length(num) >= 8, num).otherwise(F.lpad(num, 8, "0")))
+
+
 def _k() -> F.Column:
     return F.get_json_object("props", "$.k").try_cast("int")
 
@@ -33,12 +46,13 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     # one-row count joined as a column: no scalar subquery inside the join condition
     n_docs = docs.agg(F.count("*").alias("_n"))
-    ev = ev.crossJoin(F.broadcast(n_docs)).withColumn("_doc", F.col("event_id") % F.col("_n"))
+    ev = (ev.crossJoin(F.broadcast(n_docs)).crossJoin(F.broadcast(n_videos(ev)))
+          .withColumn("_doc", F.col("event_id") % F.col("_n")))
     e = ev.join(docs, ev["_doc"] == docs["doc_id"], "inner")
 
     eid = F.col("event_id")
     k = _k()
-    vid = F.concat(F.lit("vid"), F.lpad((eid % N_VIDEOS).cast("string"), 8, "0"))
+    vid = _vid(eid)
     ident = (F.when(eid % 331 == 0, F.lit('{"kind": "youtube#searchResult"}'))
               .when(eid % 7 == 3, F.to_json(F.struct(vid.alias("videoId"))))
               .otherwise(vid))
@@ -95,13 +109,10 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
 
 
-def _vid(eid: F.Column) -> F.Column:
-    return F.concat(F.lit("vid"), F.lpad((eid % N_VIDEOS).cast("string"), 8, "0"))
-
-
 def listing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upload listing: one item per event; a channel per user; some publish times unknown."""
     ev = events(spark, sf_dir)
+    ev = ev.crossJoin(F.broadcast(n_videos(ev)))
     return ev.select(
         F.concat(F.lit("UC"), F.col("user_id").cast("string")).alias("channelId"),
         _vid(F.col("event_id")).alias("videoId"),
@@ -111,12 +122,14 @@ def listing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seen_from_tables(spark: SparkSession, sf_dir: str, before: F.Column) -> DataFrame:
     """Ids fetched by earlier runs: viewed items older than the lookback cutoff."""
     ev = events(spark, sf_dir)
+    ev = ev.crossJoin(F.broadcast(n_videos(ev)))
     return ev.where((F.col("event_type") == "view") & (F.col("ts") < before)).select(_vid(F.col("event_id")).alias("videoId")).distinct()
 
 
 def details_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail lookup: latest statistics per id; ids only seen in error events have none."""
-    ev = events(spark, sf_dir).where(F.col("event_type") != "error")
+    ev = events(spark, sf_dir)
+    ev = ev.crossJoin(F.broadcast(n_videos(ev))).where(F.col("event_type") != "error")
     return ev.groupBy(_vid(F.col("event_id")).alias("videoId")).agg(F.max_by(F.col("value") * 100, "event_id").alias("views"))
 
 
