@@ -122,5 +122,34 @@ def kmeans_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text",
     return model.transform(feats_in).select(doc_key, F.col("topic_id").cast("int").alias("topic_id"))
 
 
+def hashed_tfidf_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", k: int | None = None,
+                        seed: int = 42, num_features: int = 1 << 18, n_docs: int | None = None) -> DataFrame:
+    """Scale variant (ML-3): English stop words removed, hashed term frequencies
+    (no vocabulary pass), IDF, L2, k-means.
+
+    MLlib k-means keeps *dense* centers (k × num_features doubles, broadcast
+    every iteration), so the bucket count is bounded: 2^18 buckets × 60
+    topics ≈ 126 MB, where a million buckets would be ≈ 480 MB.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import IDF, HashingTF, Normalizer, StopWordsRemover
+
+    if n_docs is None:
+        n_docs = docs.count()
+    k = k or choose_k(n_docs)
+    toks = docs.select(doc_key, X.tokens(text).alias("_t")).repartition(doc_key)
+    if n_docs < 2:
+        return toks.select(doc_key, F.lit(0).alias("topic_id"))
+    pipe = Pipeline(stages=[
+        StopWordsRemover(inputCol="_t", outputCol="_s"),
+        HashingTF(inputCol="_s", outputCol="tf", numFeatures=num_features),
+        IDF(inputCol="tf", outputCol="tfidf"),
+        Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
+        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="topic_id"),
+    ])
+    return pipe.fit(toks).transform(toks).select(doc_key, F.col("topic_id").cast("int").alias("topic_id"))
+
+
 def idf_value(n_docs: int, df: int) -> float:
     return math.log((1.0 + n_docs) / (1.0 + df)) + 1.0

@@ -82,3 +82,20 @@ def videos_with_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every DOUBLE column (engines differ in the last bits of sums/exp)."""
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def silver_with_kmeans_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with ``topic_id`` from TF-IDF + k-means over titles (the reference's gold flow).
+
+    Topic ids come from an MLlib model fitted on the silver titles; each
+    video is keyed by (platform, videoId) for the join back.
+    """
+    from ..operators.textmine import kmeans_topics
+
+    def build():
+        s = silver(spark, sf_dir).drop("topic_id")
+        keyed = s.select(F.concat_ws("\u0001", "platform", "videoId").alias("_key"), "title_clean")
+        topics = kmeans_topics(keyed, doc_key="_key", text="title_clean")
+        return (s.withColumn("_key", F.concat_ws("\u0001", "platform", "videoId"))
+                .join(topics, "_key").drop("_key"))
+    return _materialise(spark, sf_dir, "silver_kmeans", build)

@@ -676,3 +676,40 @@ def q_stream_baseline(spark, sf_dir):
     sink = ST.run_available_now(ST.expanding_baseline_stream(src), scratch_path(spark, "stream_baseline"),
                                 scratch_path(spark, "ckpt_baseline"))
     return PL.rounded(spark.read.parquet(sink))
+
+
+# ---------------------------------------------------------------- the reference's full gold flow and run summary
+
+@query("kmeans_topics_hourly")
+def q_kmeans_topics_hourly(spark, sf_dir):
+    """Silver titles → TF-IDF + k-means topics → gold topic-hours (rows-only check)."""
+    from ..operators import topics as TP
+    v = TP.with_hour(PL.silver_with_kmeans_topics(spark, sf_dir))
+    return PL.rounded(TP.topics_hourly(v))
+
+
+@query("hashed_kmeans_topics")
+def q_hashed_kmeans_topics(spark, sf_dir):
+    return TX.hashed_tfidf_topics(_docs(spark, sf_dir), "doc_id", "text")
+
+
+@query("run_summary", S.with_(S.GOLD, """SELECT (SELECT count(DISTINCT topic_id) FROM topics_hourly) AS topics,
+  (SELECT count(*) FROM silver) AS videos,
+  (SELECT CAST(greatest(2, least(CASE WHEN n >= 40 THEN least(60, greatest(4, n // 80)) ELSE greatest(2, n // 5) END, n)) AS INTEGER)
+   FROM (SELECT count(*) AS n FROM silver)) AS k"""))
+def q_run_summary(spark, sf_dir):
+    """Topics, videos and the k the topic model would use for this silver (AGG-15, ML-4)."""
+    th, s = PL.topics_hourly(spark, sf_dir), PL.silver(spark, sf_dir)
+    a = th.agg(F.count_distinct("topic_id").alias("topics"))
+    b = s.agg(F.count("*").alias("videos"))
+    n = F.col("videos")
+    k = F.when(n >= 40, F.least(F.lit(60), F.greatest(F.lit(4), F.floor(n / 80)))).otherwise(F.greatest(F.lit(2), F.floor(n / 5)))
+    return a.crossJoin(b).select("topics", "videos", F.greatest(F.lit(2), F.least(k, n)).cast("int").alias("k"))
+
+
+@query("topic_lang_videos", S.with_(S.GOLD, "SELECT topic_id, count(DISTINCT videoId) AS lang_vids FROM videos_with_topics "
+                                            "WHERE lang IN ('en', 'es') GROUP BY topic_id"))
+def q_topic_lang_videos(spark, sf_dir):
+    """Distinct videos per topic in the selected languages (AGG-12)."""
+    vt = PL.videos_with_topics(spark, sf_dir)
+    return vt.where(F.col("lang").isin("en", "es")).groupBy("topic_id").agg(F.count_distinct("videoId").alias("lang_vids"))

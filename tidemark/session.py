@@ -57,3 +57,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root for a written table."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidemark`` importable on executors (pandas UDFs, stateful streams).
+
+    Zips the package once into the checkpoint folder and registers it with
+    ``addPyFile`` — what ``--py-files`` does on a cluster.  Idempotent per
+    application.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="tidemark-pkg-")
+    archive = shutil.make_archive(os.path.join(staging, "tidemark"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="tidemark")
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
