@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 
 # Fixed values.
 NGRAM = 3
@@ -84,6 +86,6 @@ def detect(docs: DataFrame, grams: DataFrame, profile: DataFrame, norms: DataFra
 
 def fit_detect(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Train on the labelled rows and label every row, sharing one gram count."""
-    grams = doc_grams(docs, key, text, lang)
+    grams = stage(doc_grams(docs, key, text, lang), "langid_doc_grams")   # read by five consumers
     profile, norms = train_profile(grams, lang)
     return detect(docs, grams, profile, norms, key, text)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import stage
 
 # Fixed values (must equal the reference's behaviour).
 LABEL_TITLES_PER_TOPIC = 300
@@ -36,9 +37,10 @@ def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_cl
     counts = grams.groupBy(key, "_kind", "_g").agg(
         # first occurrence as one long (title rank, position): a hash-aggregatable min
         F.count("*").alias("_cnt"), F.min(F.col("_doc").cast("long") * (1 << 32) + F.col("_pos")).alias("_first"))
+    # bigrams if the topic has any, else unigrams; both windows share one partitioning
+    w_key = Window.partitionBy(key)
     w_top = Window.partitionBy(key).orderBy(F.desc("_cnt"), F.asc("_first"))
-    best_kind = counts.groupBy(key).agg(F.max("_kind").alias("_kind"))
-    picked = (counts.join(best_kind, [key, "_kind"], "left_semi")
+    picked = (counts.withColumn("_best", F.max("_kind").over(w_key)).where(F.col("_kind") == F.col("_best"))
               .withColumn("_rn", F.row_number().over(w_top)).where(F.col("_rn") <= top))
     labels = picked.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "_g"))), lambda s: s["_g"]), ", ")
@@ -82,7 +84,7 @@ def tfidf(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", n_docs:
         n_docs = docs.count()
     p = params or text_params(n_docs)
     dt = doc_terms(docs, doc_key, text, p["ngram_max"])
-    tf = dt.groupBy(doc_key, "term").agg(F.count("*").alias("tf"))
+    tf = stage(dt.groupBy(doc_key, "term").agg(F.count("*").alias("tf")), "tfidf_tf")   # read by vocab and weights
     stats = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
     vocab = (stats.where(F.col("df") >= p["min_df"])
              .orderBy(F.desc("cf"), F.asc("term")).limit(p["max_features"])

@@ -79,3 +79,17 @@ def ship_package(spark: SparkSession) -> None:
                                   root_dir=os.path.dirname(pkg_dir), base_dir="tidemark")
     spark.sparkContext.addPyFile(archive)
     _shipped.add(app)
+
+
+def stage(df, name: str):
+    """Write an intermediate used by several consumers once, and read it back.
+
+    Different consumers prune a shared subtree differently, so Spark cannot
+    reuse its exchange and would recompute it per consumer.  The written
+    table lives in the shared checkpoint folder: lineage is cut and a lost
+    executor does not force the expensive upstream to re-run.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
