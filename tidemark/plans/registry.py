@@ -628,10 +628,16 @@ closed AS (SELECT h.* FROM hourly h, (SELECT max(fetchedAt) AS m FROM keyed) x
 
 
 def _hourly_sink(spark, sf_dir) -> str:
+    """Output folder of the hourly stream; built once per session and shared downstream."""
+    key = PL._key(spark, sf_dir, "stream_hourly")
+    if key in PL._written:
+        return PL._written[key]
     src = _stream_input(spark, sf_dir, 1)
     _stream_input(spark, sf_dir, 2, src)
     flat = ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"])
-    return ST.run_available_now(ST.hourly_topic(flat), scratch_path(spark, "stream_hourly"), scratch_path(spark, "ckpt_hourly"))
+    sink = ST.run_available_now(ST.hourly_topic(flat), scratch_path(spark, "stream_hourly"), scratch_path(spark, "ckpt_hourly"))
+    PL._written[key] = sink
+    return sink
 
 
 @query("stream_hourly", S.with_(_FLAT_KEYED, "SELECT ts_hour, topic_id, " + _r("views_sum") + " AS views_sum, records FROM closed"))
@@ -656,12 +662,12 @@ def q_stream_dedup(spark, sf_dir):
 @query("stream_upsert", S.with_(S.SILVER, "SELECT platform, videoId, fetchedAt, seq AS _seq FROM ded"))
 def q_stream_upsert(spark, sf_dir):
     src = _stream_input(spark, sf_dir, 1)
-    root, ckpt = scratch_path(spark, "stream_snapshots"), scratch_path(spark, "ckpt_upsert")
+    table, ckpt = scratch_path(spark, "stream_snapshot"), scratch_path(spark, "ckpt_upsert")
     flat = lambda: ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"])
-    ST.upsert_latest(flat(), root, ckpt, order=["_seq"])
+    ST.upsert_latest(flat(), table, ckpt, order=["_seq"])
     _stream_input(spark, sf_dir, 2, src)
-    ST.upsert_latest(flat(), root, ckpt, order=["_seq"])
-    return spark.read.parquet(ST.latest_snapshot(spark, root)).select("platform", "videoId", "fetchedAt", "_seq")
+    ST.upsert_latest(flat(), table, ckpt, order=["_seq"])
+    return ST.read_snapshot(spark, table).select("platform", "videoId", "fetchedAt", "_seq")
 
 
 @query("stream_baseline", S.with_(_FLAT_KEYED + r""",
