@@ -71,6 +71,15 @@ def doc_terms(docs: DataFrame, doc_key: str, text: str, ngram_max: int) -> DataF
     return toks.select(doc_key, F.explode(terms).alias("term"))
 
 
+def vocabulary(tf: DataFrame, n_docs: int, params: dict) -> DataFrame:
+    """(term, cf, df, idf) of the kept terms: df ≥ min_df, then the max_features
+    most frequent (corpus count; ties alphabetical).  At most max_features rows."""
+    stats = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    return (stats.where(F.col("df") >= params["min_df"])
+            .orderBy(F.desc("cf"), F.asc("term")).limit(params["max_features"])
+            .select("term", "cf", "df", (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf")))
+
+
 def tfidf(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", n_docs: int | None = None,
           params: dict | None = None) -> DataFrame:
     """TF-IDF weights in long form (doc, term, weight) — the sklearn definition (ML-1).
@@ -85,10 +94,7 @@ def tfidf(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", n_docs:
     p = params or text_params(n_docs)
     dt = doc_terms(docs, doc_key, text, p["ngram_max"])
     tf = stage(dt.groupBy(doc_key, "term").agg(F.count("*").alias("tf")), "tfidf_tf")   # read by vocab and weights
-    stats = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-    vocab = (stats.where(F.col("df") >= p["min_df"])
-             .orderBy(F.desc("cf"), F.asc("term")).limit(p["max_features"])
-             .select("term", (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf")))
+    vocab = vocabulary(tf, n_docs, p).select("term", "idf")
     w = tf.join(F.broadcast(vocab), "term").select(doc_key, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norms = w.groupBy(doc_key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     return w.join(norms, doc_key).select(doc_key, "term", (F.col("w") / F.col("_norm")).alias("weight"))
@@ -103,7 +109,7 @@ def kmeans_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text",
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import IDF, CountVectorizer, Normalizer
+    from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
 
     if n_docs is None:
         n_docs = docs.count()
@@ -111,11 +117,17 @@ def kmeans_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text",
     k = k or choose_k(n_docs)
     toks = docs.select(doc_key, X.tokens(text).alias("_t"))
     terms = F.col("_t") if p["ngram_max"] < 2 else F.concat(F.col("_t"), X.bigrams("_t"))
-    feats_in = toks.select(doc_key, terms.alias("terms")).repartition(doc_key)
+    # fixed partitioning *and* order within partitions: k-means|| initialisation
+    # samples per partition, so the same seed then gives the same topics
+    feats_in = stage(toks.select(doc_key, terms.alias("terms")).repartition(doc_key).sortWithinPartitions(doc_key),
+                     "kmeans_terms")
     if n_docs < 2:
         return feats_in.select(doc_key, F.lit(0).alias("topic_id"))
+    # The vocabulary rule of ``tfidf`` (deterministic ties); at most max_features terms reach the driver.
+    tf = feats_in.select(doc_key, F.explode("terms").alias("term")).groupBy(doc_key, "term").agg(F.count("*").alias("tf"))
+    vocab = [r.term for r in vocabulary(tf, n_docs, p).orderBy(F.desc("cf"), F.asc("term")).select("term").collect()]
     pipe = Pipeline(stages=[
-        CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=p["max_features"], minDF=float(p["min_df"])),
+        CountVectorizerModel.from_vocabulary(vocab, inputCol="terms", outputCol="tf"),
         IDF(inputCol="tf", outputCol="tfidf"),
         Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
         KMeans(k=k, seed=seed, featuresCol="features", predictionCol="topic_id"),
@@ -140,7 +152,7 @@ def hashed_tfidf_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "t
     if n_docs is None:
         n_docs = docs.count()
     k = k or choose_k(n_docs)
-    toks = docs.select(doc_key, X.tokens(text).alias("_t")).repartition(doc_key)
+    toks = docs.select(doc_key, X.tokens(text).alias("_t")).repartition(doc_key).sortWithinPartitions(doc_key)
     if n_docs < 2:
         return toks.select(doc_key, F.lit(0).alias("topic_id"))
     pipe = Pipeline(stages=[

@@ -79,9 +79,24 @@ def videos_with_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
                         lambda: topics.videos_with_topics(silver(spark, sf_dir)))
 
 
+ROUND_LIMIT = 1e12
+
+
+def round_half_away(c, digits: int = 6):
+    """sign(x)·floor(|x|·10^d + 0.5)/10^d — the same IEEE operations in every engine.
+
+    (Spark's ``round`` rounds the shortest decimal text, other engines the
+    binary value; half-way cases then differ.)  Values beyond 1e12 are left
+    as they are.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    m = float(10 ** digits)
+    return F.when(F.abs(x) < ROUND_LIMIT, F.signum(x) * F.floor(F.abs(x) * m + 0.5) / m).otherwise(x)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every DOUBLE column (engines differ in the last bits of sums/exp)."""
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[round_half_away(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def silver_with_kmeans_topics(spark: SparkSession, sf_dir: str) -> DataFrame:

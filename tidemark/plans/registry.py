@@ -31,7 +31,10 @@ def query(name: str, sql: str | None = None):
 
 
 def _r(expr: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits})"
+    """SQL twin of ``pipeline.round_half_away``."""
+    m = f"{10 ** digits}.0"
+    return (f"(CASE WHEN abs({expr}) < 1e12 THEN sign({expr}) * floor(abs({expr}) * {m} + 0.5) / {m} "
+            f"ELSE {expr} END)")
 
 
 # ---------------------------------------------------------------- bronze → silver
@@ -375,7 +378,7 @@ vocab AS (SELECT term, ln((1.0 + n.n) / (df + 1.0)) + 1.0 AS idf FROM st, n
           ORDER BY cf DESC, term LIMIT (SELECT CASE WHEN n > 500 THEN 12000 ELSE 8000 END FROM n)),
 w AS (SELECT doc_id, tf.term, tf * idf AS w FROM tf JOIN vocab USING (term)),
 nm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
-SELECT doc_id, term, round(w / norm, 6) AS weight FROM w JOIN nm USING (doc_id)"""
+SELECT doc_id, term, {_r("w / norm")} AS weight FROM w JOIN nm USING (doc_id)"""
 
 
 @query("tfidf_weights", _tfidf_sql())
@@ -486,7 +489,7 @@ def q_ingest_state_advance(spark, sf_dir):
     return IG.advance_seen(_seen(spark, sf_dir), fetched)
 
 
-@query("ingest_resolve_channels", f"WITH {_LISTING_SQL} SELECT n.channelId, c.channel_name, n.videoId, round(d.views, 6) AS views, "
+@query("ingest_resolve_channels", f"WITH {_LISTING_SQL} SELECT n.channelId, c.channel_name, n.videoId, " + _r("d.views") + " AS views, "
                                   f"'{FETCHED_AT}' AS _fetched_at, 'youtube' AS platform "
                                   "FROM newl n JOIN channels c USING (channelId) JOIN details d USING (videoId)")
 def q_ingest_resolve_channels(spark, sf_dir):
