@@ -63,10 +63,10 @@ def stamp(records: DataFrame, fetched_at: Column, platform: str = "youtube") ->
 def run_manifest(records: DataFrame, run_key: str, channels: DataFrame, file: Column,
                  published_after: Column, fetched_at: Column) -> DataFrame:
     """One summary row per run; ``channels`` = configured channels, not channels with rows (ING-8)."""
-    n_ch = channels.agg(F.count("*").alias("channels"))
+    n_ch = channels.agg(F.count("*")).scalar()
     per_run = records.groupBy(run_key).agg(F.count("*").alias("records"))
-    return per_run.crossJoin(F.broadcast(n_ch)).select(
-        file.alias("file"), "records", "channels", published_after.alias("published_after"), fetched_at.alias("fetched_at"))
+    return per_run.select(file.alias("file"), "records", n_ch.alias("channels"),
+                          published_after.alias("published_after"), fetched_at.alias("fetched_at"))
 
 
 def unpivot_interest(wide: DataFrame, ts: str = "ts", drop=("isPartial",)) -> DataFrame:

@@ -48,15 +48,18 @@ def doc_grams(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: st
 
 def train_profile(grams: DataFrame, lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """From per-document gram counts: (profile[lang, gram, lc], norms[lang, log_denom])."""
-    per_lang = (grams.where(F.col(lang).isNotNull())
-                .groupBy(lang, "gram").agg(F.sum("n").alias("c")))
-    vocab = per_lang.agg(F.count_distinct("gram").alias("V"))
+    per_lang = stage(grams.where(F.col(lang).isNotNull())
+                     .groupBy(lang, "gram").agg(F.sum("n").alias("c")), "langid_profile")
+    vocab = per_lang.agg(F.count_distinct("gram")).scalar()
     totals = per_lang.groupBy(lang).agg(F.sum("c").alias("T"))
-    norms = totals.crossJoin(vocab).select(F.col(lang).alias("lang"), F.log(F.col("T") + F.col("V")).alias("log_denom"))
+    norms = totals.select(F.col(lang).alias("lang"), F.log(F.col("T") + vocab).alias("log_denom"))
     profile = per_lang.select(F.col(lang).alias("lang"), "gram", F.log(F.col("c") + 1.0).alias("lc"))
     return profile, norms
 
 
+MAX_LANGS = 10_000
+
+
 def detect(docs: DataFrame, grams: DataFrame, profile: DataFrame, norms: DataFrame,
            key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred) for every row of ``docs``.
@@ -64,21 +67,30 @@ def detect(docs: DataFrame, grams: DataFrame, profile: DataFrame, norms: DataFra
     The profile join is a plain equi-join: AQE turns it into a broadcast
     only when the profile's runtime size is under the broadcast threshold,
     otherwise it stays a shuffle join (hot grams are split by AQE skew
-    handling).  ``norms`` has one row per language.
+    handling).  The language list (one row per language, checked against
+    ``MAX_LANGS``) becomes literals, and every document is scored against
+    each language by a ``transform`` over that list — no document × language
+    join.
     """
+    langs = norms.orderBy("lang").limit(MAX_LANGS + 1).collect()
+    if len(langs) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages in the profile")
     g = grams.select(key, "gram", "n")
     totals = g.groupBy(key).agg(F.sum("n").alias("N"))
     matched = (g.join(profile, "gram")
                .groupBy(key, "lang").agg(F.sum(F.col("n") * F.col("lc")).alias("s")))
-    base = totals.crossJoin(norms)
-    scored = (base.join(matched, [key, "lang"], "left")
-              .select(key, "lang", (F.coalesce("s", F.lit(0.0)) - F.col("N") * F.col("log_denom")).alias("score")))
-    best = scored.groupBy(key).agg(F.min_by("lang", F.struct(F.negative("score"), F.col("lang"))).alias("_best"))
+    # ≤ one entry per language per document
+    per_doc = matched.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lang", "s"))).alias("_m"))
+    cand = F.array(*[F.struct(F.lit(r.lang).alias("lang"), F.lit(float(r.log_denom)).alias("den")) for r in langs])
+    scored = totals.join(per_doc, key, "left").select(
+        key, F.array_min(F.transform(cand, lambda c: F.struct(
+            (F.col("N") * c["den"] - F.coalesce(F.col("_m")[c["lang"]], F.lit(0.0))).alias("neg"),
+            c["lang"].alias("lang"))))["lang"].alias("_best"))
     t = _stripped(text)
     rule = F.lit(None).cast("string")
     for code, pat in reversed(SCRIPT_RULES):
         rule = F.when(F.col(text).rlike(pat), F.lit(code)).otherwise(rule)
-    out = docs.select(key, text).join(best, key, "left")
+    out = docs.select(key, text).join(scored, key, "left")
     pred = F.when(F.col(text).isNull() | (F.length(t) < MIN_CHARS), F.lit(None).cast("string")) \
             .otherwise(F.coalesce(rule, F.col("_best")))
     return out.select(key, pred.alias("lang_pred"))

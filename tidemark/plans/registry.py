@@ -709,11 +709,10 @@ def q_hashed_kmeans_topics(spark, sf_dir):
 def q_run_summary(spark, sf_dir):
     """Topics, videos and the k the topic model would use for this silver (AGG-15, ML-4)."""
     th, s = PL.topics_hourly(spark, sf_dir), PL.silver(spark, sf_dir)
-    a = th.agg(F.count_distinct("topic_id").alias("topics"))
-    b = s.agg(F.count("*").alias("videos"))
+    a = th.agg(F.count_distinct("topic_id").alias("topics"), s.agg(F.count("*")).scalar().alias("videos"))
     n = F.col("videos")
     k = F.when(n >= 40, F.least(F.lit(60), F.greatest(F.lit(4), F.floor(n / 80)))).otherwise(F.greatest(F.lit(2), F.floor(n / 5)))
-    return a.crossJoin(b).select("topics", "videos", F.greatest(F.lit(2), F.least(k, n)).cast("int").alias("k"))
+    return a.select("topics", "videos", F.greatest(F.lit(2), F.least(k, n)).cast("int").alias("k"))
 
 
 @query("topic_lang_videos", S.with_(S.GOLD, "SELECT topic_id, count(DISTINCT videoId) AS lang_vids FROM videos_with_topics "

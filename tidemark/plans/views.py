@@ -40,10 +40,8 @@ class WindowFilter:
 
 def last_n_hours(topics: DataFrame, hours: int) -> DataFrame:
     """ts_hour >= latest ts_hour − N hours (inclusive) (FLT-3)."""
-    latest = topics.agg(F.max("ts_hour").alias("_latest"))
-    return (topics.crossJoin(F.broadcast(latest))
-            .where(F.col("ts_hour") >= F.col("_latest") - F.make_dt_interval(hours=F.lit(hours)))
-            .drop("_latest"))
+    latest = topics.agg(F.max("ts_hour")).scalar()           # scalar subquery, evaluated once
+    return topics.where(F.col("ts_hour") >= latest - F.make_dt_interval(hours=F.lit(hours)))
 
 
 def local_date_range(topics: DataFrame, d1: str, d2: str, tz: str = TM.LOCAL_TZ) -> DataFrame:
@@ -59,11 +57,11 @@ def topic_window(topics: DataFrame, videos: DataFrame, f: WindowFilter) -> DataF
         sub = last_n_hours(topics, f.hours)
     else:
         if f.date_from is None or f.date_to is None:
-            bounds = topics.agg(F.min(TM.to_local("ts_hour", f.tz)).alias("lo"), F.max(TM.to_local("ts_hour", f.tz)).alias("hi"))
-            start = F.to_utc_timestamp(F.to_timestamp(F.to_date("lo")), f.tz)
-            end = F.to_utc_timestamp(F.to_timestamp(F.date_add(F.to_date("hi"), 1)), f.tz)
-            sub = (topics.crossJoin(F.broadcast(bounds))
-                   .where((F.col("ts_hour") >= start) & (F.col("ts_hour") < end)).drop("lo", "hi"))
+            lo = topics.agg(F.min(TM.to_local("ts_hour", f.tz))).scalar()
+            hi = topics.agg(F.max(TM.to_local("ts_hour", f.tz))).scalar()
+            start = F.to_utc_timestamp(F.to_timestamp(F.to_date(lo)), f.tz)
+            end = F.to_utc_timestamp(F.to_timestamp(F.date_add(F.to_date(hi), 1)), f.tz)
+            sub = topics.where((F.col("ts_hour") >= start) & (F.col("ts_hour") < end))
         else:
             sub = local_date_range(topics, f.date_from, f.date_to, f.tz)
     if f.rising_only:
@@ -107,10 +105,10 @@ def kpis(subset: DataFrame, videos: DataFrame, top: DataFrame) -> DataFrame:
     """Topics in window, videos in the window's hours, top rising score (VIEW-3)."""
     hours = subset.select("ts_hour").distinct()
     vids = videos.join(hours, "ts_hour", "left_semi")
-    a = subset.agg(F.count_distinct("topic_id").alias("topics_in_window"))
-    b = vids.agg(F.count_distinct("videoId").alias("videos_in_window"))
-    c = top.agg(F.max("rising_score").alias("top_rising_score"))   # first row of the ordered top list
-    return a.crossJoin(b).crossJoin(c)
+    return subset.agg(
+        F.count_distinct("topic_id").alias("topics_in_window"),
+        vids.agg(F.count_distinct("videoId")).scalar().alias("videos_in_window"),
+        top.agg(F.max("rising_score")).scalar().alias("top_rising_score"))   # first row of the ordered top list
 
 
 def selected_topic(top: DataFrame) -> DataFrame:

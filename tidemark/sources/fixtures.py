@@ -24,10 +24,10 @@ N_TOPICS = 24
 _MICRO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def n_videos(ev: DataFrame) -> DataFrame:
-    """One-row frame ``_nv``: size of the video id space (2 ids per 5 events)."""
+def n_videos(ev: DataFrame) -> F.Column:
+    """Size of the video id space (2 ids per 5 events), as a scalar subquery."""
     a, b = VIDEOS_PER_EVENT
-    return ev.agg(F.greatest(F.lit(1).cast("long"), (F.count("*") * a / b).cast("long")).alias("_nv"))
+    return ev.agg(F.greatest(F.lit(1).cast("long"), (F.count("*") * a / b).cast("long"))).scalar()
 
 
 def _vid(eid: F.Column) -> F.Column:
@@ -44,10 +44,10 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested bronze (schema of ``schemas.BRONZE``) plus ``_seq``, ``_lang``, ``topic_id``."""
     ev = events(spark, sf_dir)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    # one-row count joined as a column: no scalar subquery inside the join condition
-    n_docs = docs.agg(F.count("*").alias("_n"))
-    ev = (ev.crossJoin(F.broadcast(n_docs)).crossJoin(F.broadcast(n_videos(ev)))
-          .withColumn("_doc", F.col("event_id") % F.col("_n")))
+    # counts are scalar subqueries evaluated once; the join key is projected
+    # first (a subquery inside the join condition itself is not supported)
+    n_docs = docs.agg(F.count("*")).scalar()
+    ev = ev.withColumns({"_nv": n_videos(ev), "_doc": F.col("event_id") % n_docs})
     e = ev.join(docs, ev["_doc"] == docs["doc_id"], "inner")
 
     eid = F.col("event_id")
@@ -112,7 +112,7 @@ EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
 def listing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upload listing: one item per event; a channel per user; some publish times unknown."""
     ev = events(spark, sf_dir)
-    ev = ev.crossJoin(F.broadcast(n_videos(ev)))
+    ev = ev.withColumn("_nv", n_videos(ev))
     return ev.select(
         F.concat(F.lit("UC"), F.col("user_id").cast("string")).alias("channelId"),
         _vid(F.col("event_id")).alias("videoId"),
@@ -122,14 +122,14 @@ def listing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seen_from_tables(spark: SparkSession, sf_dir: str, before: F.Column) -> DataFrame:
     """Ids fetched by earlier runs: viewed items older than the lookback cutoff."""
     ev = events(spark, sf_dir)
-    ev = ev.crossJoin(F.broadcast(n_videos(ev)))
+    ev = ev.withColumn("_nv", n_videos(ev))
     return ev.where((F.col("event_type") == "view") & (F.col("ts") < before)).select(_vid(F.col("event_id")).alias("videoId")).distinct()
 
 
 def details_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail lookup: latest statistics per id; ids only seen in error events have none."""
     ev = events(spark, sf_dir)
-    ev = ev.crossJoin(F.broadcast(n_videos(ev))).where(F.col("event_type") != "error")
+    ev = ev.withColumn("_nv", n_videos(ev)).where(F.col("event_type") != "error")
     return ev.groupBy(_vid(F.col("event_id")).alias("videoId")).agg(F.max_by(F.col("value") * 100, "event_id").alias("views"))
 
 
@@ -142,7 +142,7 @@ def channels_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trends_wide_from_tables(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
     """Wide hourly interest table (ts, one column per query, isPartial) over the last ``days``."""
     ev = events(spark, sf_dir).select(F.date_trunc("hour", "ts").alias("ts"), "event_type")
-    latest = ev.agg(F.max("ts").alias("_m"))
-    recent = ev.crossJoin(F.broadcast(latest)).where(F.col("ts") >= F.col("_m") - F.make_dt_interval(days=F.lit(days)))
-    wide = recent.groupBy("ts", "_m").pivot("event_type", EVENT_TYPES).agg(F.count(F.lit(1)))
-    return wide.withColumn("isPartial", F.col("ts") == F.col("_m")).drop("_m")
+    latest = ev.agg(F.max("ts")).scalar()
+    recent = ev.where(F.col("ts") >= latest - F.make_dt_interval(days=F.lit(days)))
+    wide = recent.groupBy("ts").pivot("event_type", EVENT_TYPES).agg(F.count(F.lit(1)))
+    return wide.withColumn("isPartial", F.col("ts") == latest)
