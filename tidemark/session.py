@@ -13,12 +13,24 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Rows per vectorized Parquet batch.  Layers carry whole texts; a 4096-row
+# batch of long documents needs tens of MB of contiguous memory per task.
+READER_BATCH_ROWS = 1024
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Runtime settings the pipeline relies on (safe to set on a live session)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_BATCH_ROWS))
+
+
 def get_spark(app: str = "tidemark", master: str | None = None,
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, driver_memory: str = "8g") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = {
+        "spark.driver.memory": driver_memory,           # only effective before the JVM starts
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -32,8 +44,8 @@ def get_spark(app: str = "tidemark", master: str | None = None,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    # Session timezone is a runtime conf: pin it even on a reused session.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # runtime confs: pin them even on a reused session
+    apply_runtime_conf(spark)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
