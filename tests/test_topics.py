@@ -37,7 +37,7 @@ def test_hourly_aggregate_and_sample_title(spark):
 def test_topic_labels_bigram_then_unigram(spark):
     rows = [(1, "youtube", "a", "x y z"), (1, "youtube", "b", "x y"), (1, "youtube", "c", "w z"),
             (2, "youtube", "a", "solo"), (2, "youtube", "b", "solo"), (2, "youtube", "c", "other"),
-            (3, "youtube", "a", "")]
+            (3, "youtube", "a", ""), (4, "youtube", "a", "p q"), (4, "youtube", "b", "r")]
     df = spark.createDataFrame(rows, "topic_id int, platform string, videoId string, title_clean string")
     got = {r.topic_id: r.topic_label for r in topic_labels(df).collect()}
-    assert got == {1: "x y, y z, w z", 2: "solo, other", 3: ""}
+    assert got == {1: "x y, y z, w z", 2: "solo, other", 3: "", 4: "p q"}   # one bigram: no unigram fill

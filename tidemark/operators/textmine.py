@@ -37,11 +37,14 @@ def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_cl
     counts = grams.groupBy(key, "_kind", "_g").agg(
         # first occurrence as one long (title rank, position): a hash-aggregatable min
         F.count("*").alias("_cnt"), F.min(F.col("_doc").cast("long") * (1 << 32) + F.col("_pos")).alias("_first"))
-    # bigrams if the topic has any, else unigrams; both windows share one partitioning
-    w_key = Window.partitionBy(key)
-    w_top = Window.partitionBy(key).orderBy(F.desc("_cnt"), F.asc("_first"))
-    picked = (counts.withColumn("_best", F.max("_kind").over(w_key)).where(F.col("_kind") == F.col("_best"))
-              .withColumn("_rn", F.row_number().over(w_top)).where(F.col("_rn") <= top))
+    # Bigrams if the topic has any, else unigrams.  Ranking bigrams first and
+    # taking the top k keeps the WindowGroupLimit partial (≤ k rows per topic
+    # leave each map task); among those ≤ k rows only the best kind is kept,
+    # which drops unigrams that filled slots next to too few bigrams.
+    w_top = Window.partitionBy(key).orderBy(F.desc("_kind"), F.desc("_cnt"), F.asc("_first"))
+    top_k = counts.withColumn("_rn", F.row_number().over(w_top)).where(F.col("_rn") <= top)
+    picked = (top_k.withColumn("_best", F.max("_kind").over(Window.partitionBy(key)))
+              .where(F.col("_kind") == F.col("_best")))
     labels = picked.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "_g"))), lambda s: s["_g"]), ", ")
         .alias("topic_label"))
