@@ -71,3 +71,21 @@ def test_unpivot_interest(spark):
     got = sorted((r.q, r.interest) for r in IG.unpivot_interest(wide).collect())
     assert got == [("a", 5), ("b", 0)]
     assert IG.clamp_days(30) == 7 and IG.clamp_days(3) == 3
+
+
+def test_normalize_gold_and_export(spark):
+    import os
+    import tempfile
+
+    topics = spark.createDataFrame([(T0, 1, 2.5, "s")], "ts_hour timestamp, topic_id int, zscore double, sample_title string")
+    videos = spark.createDataFrame([("v1", "A", 1, T0, 2.0), ("v2", "B", 1, T0, 3.0)],
+                                   "videoId string, channelTitle string, topic_id int, ts_hour timestamp, decayed_velocity double")
+    th, vt = V.normalize_gold(topics, videos)
+    r = th.first()
+    assert (r.rising_score, r.leader_channels, r.topic_label) == (50.0, "A, B", "s")
+    assert vt.first().platform == "youtube"
+    root = tempfile.mkdtemp(prefix="tidemark-export-")
+    paths = V.export({"top_topics": th}, root)
+    back = spark.read.option("header", True).csv(paths["top_topics"])
+    assert back.count() == 1 and "leader_channels" in back.columns
+    assert os.path.isdir(paths["top_topics"])

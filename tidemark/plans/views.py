@@ -175,3 +175,33 @@ def last_updated(topics: DataFrame, tz: str = TM.LOCAL_TZ) -> DataFrame:
     m = topics.agg(F.max("ts_hour").alias("t"))
     return m.select(F.date_format("t", "yyyy-MM-dd HH:mm").alias("last_utc"),
                     F.date_format(TM.to_local("t", tz), "yyyy-MM-dd HH:mm").alias("last_local"))
+
+
+def normalize_gold(topics: DataFrame, videos: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tolerate older gold tables (PRJ-10, JN-11): derive what a column-less table lacks.
+
+    * ``rising_score`` missing → from ``zscore`` (clip 0..5, scaled to 0..100, 1 dp);
+    * ``leader_channels`` missing → recomputed from the videos (top-3 channels per topic-hour);
+    * ``topic_label`` missing → the sample title;
+    * ``platform`` missing on videos → every video counts as youtube.
+    """
+    from ..functions import numeric as N
+    from ..operators.topics import leader_channels
+
+    if "platform" not in videos.columns:
+        videos = videos.withColumn("platform", F.lit("youtube"))
+    if "rising_score" not in topics.columns:
+        topics = topics.withColumn("rising_score", N.rising_score(F.coalesce(F.col("zscore"), F.lit(0.0))))
+    if "leader_channels" not in topics.columns:
+        topics = topics.join(leader_channels(videos), ["ts_hour", "topic_id"], "left")
+    if "topic_label" not in topics.columns:
+        topics = topics.withColumn("topic_label", F.col("sample_title"))
+    return topics, videos
+
+
+def export(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Write result tables as CSV folders, e.g. {"top_topics": …, "topic_videos": …} (SNK-7)."""
+    import os
+
+    from ..sinks import write_csv
+    return {name: write_csv(df, os.path.join(root, name)) for name, df in tables.items()}
