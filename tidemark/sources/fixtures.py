@@ -43,7 +43,7 @@ def _k() -> F.Column:
 def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested bronze (schema of ``schemas.BRONZE``) plus ``_seq``, ``_lang``, ``topic_id``."""
     ev = events(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = table(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text", "lang", "source")
     # counts are scalar subqueries evaluated once; the join key is projected
     # first (a subquery inside the join condition itself is not supported)
     n_docs = docs.agg(F.count("*")).scalar()

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A scan smaller than this is never re-spread.
-SPREAD_MIN_BYTES = 4 << 20
+SPREAD_MIN_BYTES = 1 << 20
 
 
 def _input_bytes(spark: SparkSession, df: DataFrame) -> int:
@@ -43,4 +43,4 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # ``ts`` is stored without zone (TIMESTAMP_NTZ); the pipeline works in UTC TIMESTAMP.
-    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events", spread_rows=True).withColumn("ts", F.col("ts").cast("timestamp"))
