@@ -77,19 +77,35 @@ _shipped: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``tidemark`` importable on executors (pandas UDFs, stateful streams).
 
-    Zips the package once into the checkpoint folder and registers it with
+    Zips the package in memory, writes the archive into the shared checkpoint
+    folder through the Hadoop FileSystem API and registers it with
     ``addPyFile`` — what ``--py-files`` does on a cluster.  Idempotent per
     application.
     """
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
-    import shutil
+    import io
+    import zipfile
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    staging = tempfile.mkdtemp(prefix="tidemark-pkg-")
-    archive = shutil.make_archive(os.path.join(staging, "tidemark"), "zip",
-                                  root_dir=os.path.dirname(pkg_dir), base_dir="tidemark")
-    spark.sparkContext.addPyFile(archive)
+    base = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, base))
+    target = scratch_path(spark, "pkg") + "/tidemark.zip"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    spark.sparkContext.addPyFile(target)
     _shipped.add(app)
 
 
