@@ -36,3 +36,19 @@ def test_clean_job_empty_bronze(spark):
     os.makedirs(os.path.join(root, "bronze"))
     silver = jobs.clean_job(spark, os.path.join(root, "bronze"), os.path.join(root, "silver"))
     assert silver.count() == 0 and silver.columns == SILVER_COLS
+
+
+def test_clean_job_tie_goes_to_later_file(spark):
+    import json
+    root = tempfile.mkdtemp(prefix="tidemark-jobs-")
+    def dump(name, views):
+        d = os.path.join(root, "bronze", name)
+        os.makedirs(d)
+        rec = {"id": "abcdefghijk", "platform": "youtube", "_fetched_at": "2025-01-01T10:00:00Z",
+               "snippet": {"title": "t", "publishedAt": "2025-01-01T09:00:00Z"}, "statistics": {"viewCount": views}}
+        with open(os.path.join(d, "part-0.json"), "w") as f:
+            f.write(json.dumps(rec) + "\n")
+    dump("youtube_raw_20250101T100000Z", "1")
+    dump("youtube_raw_20250101T110000Z", "2")        # same fetch time, later dump
+    silver = jobs.clean_job(spark, os.path.join(root, "bronze"), os.path.join(root, "silver"))
+    assert [r.views for r in silver.collect()] == [2.0]

@@ -18,7 +18,7 @@ from ..operators import clean, langid, topics
 from ..operators.textmine import kmeans_topics
 from ..schemas import SILVER_COLS
 from ..sinks import write_csv, write_parquet
-from ..sources.bronze import read_bronze
+from ..sources.bronze import FAMILIES, read_bronze
 
 
 def clean_job(spark: SparkSession, bronze_root: str, silver_path: str, lang_profile: DataFrame | None = None,
@@ -30,8 +30,14 @@ def clean_job(spark: SparkSession, bronze_root: str, silver_path: str, lang_prof
     stays NULL.  An empty bronze gives an empty silver with the full schema.
     """
     bronze = read_bronze(spark, bronze_root).where(F.col("_corrupt").isNull())
+    # equal fetch times: the later file wins — youtube files before trends files, each by name
+    fam = F.lit(0)
+    for i, family in enumerate(FAMILIES):
+        fam = F.when(F.col("_source_file").contains(family.rstrip("*")), F.lit(i)).otherwise(fam)
+    bronze = bronze.withColumn("_family", fam)
     pre_path = silver_path.rstrip("/") + "_pre"
-    write_parquet(clean.prepare(bronze), pre_path)
+    write_parquet(clean.prepare(bronze, keep=["_family", "_source_file"], order=["_family", "_source_file"])
+                  .drop("_family", "_source_file"), pre_path)
     pre = spark.read.parquet(pre_path)
     if lang_profile is not None:
         grams = langid.doc_grams(lang_profile.select(F.monotonically_increasing_id().alias("_id"), "text", "lang"),
