@@ -8,10 +8,12 @@ from ..functions import numeric as N
 from ..functions import text as X
 from ..functions import temporal as TM
 from ..schemas import TOPICS_HOURLY_COLS, VIDEOS_WITH_TOPICS_COLS
+from .joins import bounded_broadcast
 from .textmine import topic_labels
 
 # Fixed value: number of leader channels per topic-hour.
 LEADERS_TOP = 3
+LABELS_BROADCAST_MAX = 100_000
 
 
 def with_hour(videos: DataFrame) -> DataFrame:
@@ -76,8 +78,8 @@ def topics_hourly(videos: DataFrame, labels: DataFrame | None = None) -> DataFra
         labels = topic_labels(v)
     agg = hourly_aggregate(v)
     agg = agg.join(leader_channels(v), ["ts_hour", "topic_id"], "left")
-    # labels: one row per topic — bounded by the topic count, not by the data
-    agg = agg.join(F.broadcast(labels), "topic_id", "left")
+    # labels: one row per topic; broadcast only after counting it (topic ids may come from the data)
+    agg = agg.join(bounded_broadcast(labels, LABELS_BROADCAST_MAX), "topic_id", "left")
     agg = agg.withColumn("topic_label", X.readable_label("topic_label", "sample_title"))
     return expanding_baseline(agg).select(*TOPICS_HOURLY_COLS)
 
