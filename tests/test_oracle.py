@@ -12,7 +12,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 5)
+        return "nan" if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return v.replace(tzinfo=None).isoformat()
     return v
