@@ -43,9 +43,9 @@ def test_collapse_whitespace(spark):
 
 
 def test_words_match_python_regex(spark):
-    s = "ශ්‍රී ලංකා News 7.00 pm வணக்கம்"
+    s = "ශ්‍රී අද 7.00 pm வணக்கம்"          # ZWJ inside a Sinhala word splits it; Tamil marks stay
     want = regex.findall(r"[\p{L}\p{M}\p{N}]+", s)
-    assert len(want) == 8 and want[2] == "ලංකා"
+    assert len(want) == 7 and want[2] == "අද"
     assert col1(spark, [s], X.words)[0] == want
     assert col1(spark, [s], lambda c: X.words(c, normalize=True))[0] == want
     assert col1(spark, [None], X.words)[0] == []
@@ -57,10 +57,10 @@ def test_bigrams(spark):
 
 
 def test_readable_label(spark):
-    df = spark.createDataFrame([("a b cd", "sample"), ("Sri Lanka", "s"), ("", "sample"), ("", ""), (None, None),
+    df = spark.createDataFrame([("a b cd", "sample"), ("New York", "s"), ("", "sample"), ("", ""), (None, None),
                                 ("x, y, zz", "")], "l string, s string")
     got = [r[0] for r in df.select(X.readable_label("l", "s")).collect()]
-    assert got == ["sample", "Sri Lanka", "sample", "", "", "x, y, zz"]
+    assert got == ["sample", "New York", "sample", "", "", "x, y, zz"]
 
 
 def test_display_label_and_url(spark):
