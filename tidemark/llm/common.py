@@ -46,6 +46,24 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.monotonically_increasing_id().alias("rid"))
 
 
+def packed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``texts`` with the text as one Zstandard frame of its UTF-8 bytes: it is to be written and shuffled."""
+    def run(batches):
+        import pyarrow as pa
+        import zstandard
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([pack(t) for t in b.column(1).cast(pa.binary()).to_pylist()], pa.binary()), b.column(2)],
+                names=["doc_id", "text", "rid"])
+    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, text binary, rid long")
+
+
+def unpack(frame: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdDecompressor().decompress(frame)
+
+
 # A row's place in the order (doc_id, rid) as one 38-digit number: unlike a struct it is a fixed-width
 # aggregate buffer, so max() over it stays in the hash aggregate.  Null ids come first.
 ROW_ORDER = ("CAST(coalesce(doc_id, -9223372036854775808) AS DECIMAL(38,0)) * 10000000000000000000BD"

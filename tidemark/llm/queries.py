@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import packing, radix_dedup, seekable
+from . import line_dedup, packing, quality, radix_dedup, seekable, topk
 from . import secrets as secret_scan
 from .common import prepare, table
 
@@ -15,6 +15,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_chunks", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs, ledger = table(spark, sf_dir, "documents"), scratch_path(spark, "ledger")
@@ -26,6 +32,11 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.span_text().alias("spans"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     pieces, places = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -52,11 +63,22 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seekable.starts(read).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return docs.select("doc_id", quality.held_out().alias("held_out"), quality.score(docs, model).alias("score")).withColumn(
+        "predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_secret_scans": op3_secret_scans,
+    "op5_exact_topk": op5_exact_topk,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_files": op8_token_files,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -83,6 +105,13 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 
 
 ORACLE = {
+    "op5_exact_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
     "op3_secret_scans": _secret_sql(),
     "op7_exact_dedup": f"""WITH n AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
