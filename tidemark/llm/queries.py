@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import line_dedup, packing, quality, radix_dedup, seekable, topk
+from . import line_dedup, packing, pieces, quality, radix_dedup, seekable, topk
 from . import secrets as secret_scan
 from .common import prepare, table
 
@@ -21,6 +21,15 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_chunks", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    path = tokenizer_path("piece_bpe_32k.model")
+    ids = pieces.encode(table(spark, sf_dir, "documents"), path)
+    return pieces.decode(ids, path).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), seekable.crc32_ids().alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs, ledger = table(spark, sf_dir, "documents"), scratch_path(spark, "ledger")
@@ -73,6 +82,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_secret_scans": op3_secret_scans,
     "op5_exact_topk": op5_exact_topk,
     "op6_packing": op6_packing,
