@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import line_dedup, packing, pieces, quality, radix_dedup, seekable, topk
+from . import line_dedup, packing, pieces, quality, radix_dedup, seekable, suffix_dedup, topk
 from . import secrets as secret_scan
 from .common import prepare, table
 
@@ -72,6 +72,12 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seekable.starts(read).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
@@ -88,6 +94,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_files": op8_token_files,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 

@@ -26,6 +26,7 @@ SCALE = 256.0
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
 FINALISTS = 64
+MOST_TASKS = 20_000
 
 
 def _matrix(vectors: list, width: int) -> np.ndarray:
@@ -120,6 +121,8 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
         qrow = q.column("rid").to_numpy()
         return pa.table([pa.array([int(qids[a]) for a, _, _ in got], pa.int64()), pa.array([int(qrow[a]) for a, _, _ in got], pa.int64()),
                          pa.array([int(ids[b]) for _, b, _ in got], pa.int64()), pa.array([s for _, _, s in got], pa.int64())], schema=schema)
-    best = left.groupBy("cb", "qb").cogroup(right.groupBy("cb", "qb")).applyInArrow(run, out)
+    pairs = min(blocks * asks, MOST_TASKS)
+    best = (left.repartition(pairs, "cb", "qb").groupBy("cb", "qb")
+            .cogroup(right.repartition(pairs, "cb", "qb").groupBy("cb", "qb")).applyInArrow(run, out))
     rank = F.row_number().over(Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
