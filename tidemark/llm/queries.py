@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import line_dedup, packing, pieces, quality, radix_dedup, seekable, suffix_dedup, topk
-from . import secrets as secret_scan
+from . import line_dedup, near_dup, packing, pieces, quality, radix_dedup, seekable, suffix_dedup, topk
+from . import secret_scan
 from .common import prepare, table
 
 
@@ -41,6 +41,11 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.span_text().alias("spans"))
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return near_dup.near_dup(table(spark, sf_dir, "documents")).drop("rid")
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
@@ -90,6 +95,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_secret_scans": op3_secret_scans,
+    "op4_near_dup": op4_near_dup,
     "op5_exact_topk": op5_exact_topk,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
