@@ -35,18 +35,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """``(doc_id long, text string, rid long)``: null text is empty, ``rid`` numbers the scanned rows.
 
-    Only the two named columns are read, so other columns of the input, whatever
-    their names, neither clash nor travel.
+    ``row_col`` names a column that already numbers the rows.  Only the named columns
+    are read, so other columns of the input, whatever their names, neither clash nor travel.
     """
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-                       F.monotonically_increasing_id().alias("rid"))
+                       (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("rid"))
 
 
-def packed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def packed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """``texts`` with the text as one Zstandard frame of its UTF-8 bytes: it is to be written and shuffled."""
     def run(batches):
         import pyarrow as pa
@@ -56,7 +56,7 @@ def packed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([pack(t) for t in b.column(1).cast(pa.binary()).to_pylist()], pa.binary()), b.column(2)],
                 names=["doc_id", "text", "rid"])
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, text binary, rid long")
+    return texts(docs, id_col, text_col, row_col).mapInArrow(run, "doc_id long, text binary, rid long")
 
 
 def unpack(frame: bytes) -> bytes:

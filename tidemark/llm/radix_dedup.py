@@ -53,16 +53,16 @@ def _split(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                first_width: int = FIRST_WIDTH, growth: int = GROWTH) -> DataFrame:
+                first_width: int = FIRST_WIDTH, growth: int = GROWTH, row_col: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, rid``.
 
     Texts are equal when identical after lower-casing A-Z.  The row with the
     largest ``doc_id`` stays; among rows that repeat that id, the last one in scan
     order.  Null text counts as empty (equal to every empty text); a null
     id is smaller than all others.  An empty table gives no rows.  ``rid`` numbers
-    the input rows in scan order.
+    the input rows in scan order (or is ``row_col``, if given).
     """
-    base = stage(texts(docs, id_col, text_col).mapInArrow(
+    base = stage(texts(docs, id_col, text_col, row_col).mapInArrow(
         _normaliser(first_width),
         "doc_id long, rid long, text_sha256 string, n_bytes long, head binary, tail binary"), "radix_rows")
     out = ["doc_id", "rid", "text_sha256", "gid", "keep_id", "group_size"]

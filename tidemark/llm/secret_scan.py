@@ -125,19 +125,47 @@ def findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, id_c
     empty where nothing was found.  Null text counts as empty and has no span; rows that repeat a text all
     carry its spans; an empty table gives no rows.
     """
-    spark = docs.sparkSession
+    found = _by_blob(read_ledger(docs.sparkSession, ledger), rules)
+    empty = "CAST(array() AS array<struct<start:long,kind:int,rule:string,end:long>>)"
+    return (address(docs, id_col, text_col).join(found, "blob", "left")
+            .select("doc_id", "rid", "blob", F.coalesce("spans", F.expr(empty)).alias("spans")))
+
+
+def _by_blob(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """``blob, spans`` of the blobs in which the rules, at their versions, found something."""
     order = F.create_map(*[x for k, r in enumerate(rules) for x in (F.lit(r.name), F.lit(k))])
     wanted = F.lit(False)
     for r in rules:
         wanted = wanted | ((F.col("rule") == r.name) & (F.col("version") == r.version))
-    found = (read_ledger(spark, ledger).where(wanted & (F.size("spans") > 0))
-             .select("blob", "rule", F.explode("spans").alias("s"))
-             .groupBy("blob").agg(F.sort_array(F.collect_set(F.struct(
-                 F.col("s.start").alias("start"), order[F.col("rule")].alias("kind"),
-                 F.col("rule").alias("rule"), F.col("s.end").alias("end")))).alias("spans")))
-    empty = "CAST(array() AS array<struct<start:long,kind:int,rule:string,end:long>>)"
-    return (address(docs, id_col, text_col).join(found, "blob", "left")
-            .select("doc_id", "rid", "blob", F.coalesce("spans", F.expr(empty)).alias("spans")))
+    return (ledger.where(wanted & (F.size("spans") > 0))
+            .select("blob", "rule", F.explode("spans").alias("s"))
+            .groupBy("blob").agg(F.sort_array(F.collect_set(F.struct(
+                F.col("s.start").alias("start"), order[F.col("rule")].alias("kind"),
+                F.col("rule").alias("rule"), F.col("s.end").alias("end")))).alias("spans")))
+
+
+def redacted(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, text_col: str = "text", mark: str = "[SECRET]",
+             chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with every finding in its text replaced by ``mark``; same columns and rows, null text stays null.
+
+    ``chars_col``, if there, is set anew where a text changes.
+    """
+    found = _by_blob(read_ledger(docs.sparkSession, ledger), rules)
+    blob, spans = _fresh(docs, "_blob"), _fresh(docs, "_spans")
+    rows = docs.withColumn(blob, F.unhex(F.sha2(text_col, 256)))
+    rows = rows.join(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), blob, "left")
+    hit = F.col(spans).isNotNull()
+    rows = rows.withColumn(text_col, F.when(hit, redact(F.col(text_col), F.col(spans), mark)).otherwise(F.col(text_col)))
+    if chars_col in docs.columns:
+        kind = dict(docs.dtypes)[chars_col]
+        rows = rows.withColumn(chars_col, F.when(hit, F.char_length(text_col).cast(kind)).otherwise(F.col(chars_col)))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _fresh(docs: DataFrame, name: str) -> str:
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
 
 
 def span_text(spans="spans"):
