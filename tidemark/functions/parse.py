@@ -23,11 +23,13 @@ def video_id(c) -> Column:
 
 
 def iso_duration_seconds(c) -> Column:
-    """``P1DT2H3M4S`` → 93784; ``P``/``PT`` → 0; anything else → NULL."""
+    """``P1DT2H3M4S`` → 93784; ``P``/``PT`` → 0; anything else, or a number beyond 64 bits → NULL."""
     c = _c(c)
-    grp = [F.coalesce(F.nullif(F.regexp_extract(c, ISO_DURATION, i), F.lit("")).try_cast("bigint"), F.lit(0).cast("bigint"))
-           for i in range(1, 5)]
-    total = grp[0] * 86400 + grp[1] * 3600 + grp[2] * 60 + grp[3]
+    total = F.lit(0).cast("bigint")
+    for i, seconds in enumerate((86400, 3600, 60, 1), 1):
+        part = F.nullif(F.regexp_extract(c, ISO_DURATION, i), F.lit(""))
+        value = F.when(part.isNull(), F.lit(0).cast("bigint")).otherwise(part.try_cast("bigint"))
+        total = F.try_add(total, F.try_multiply(value, F.lit(seconds).cast("bigint")))
     return F.when(c.rlike(ISO_DURATION), total).cast("bigint")
 
 

@@ -12,23 +12,28 @@ from pyspark.sql import functions as F
 from ..functions import temporal as TM
 
 # Fixed values of the collectors.
-DEFAULT_CAP = 120
 DEFAULT_DAYS = 2
-TRENDS_MAX_DAYS = 7
 TRENDS_CHANNEL_ID = "trends:LK"
 TRENDS_CHANNEL_TITLE = "Google Trends (LK)"
-TRENDS_DESCRIPTION = "Google Trends interest for '{q}'"
 
 
-def lookback(listing: DataFrame, cutoff: Column, ts: str = "videoPublishedAt") -> DataFrame:
-    """Keep items published at/after the cutoff; an unknown publish time is kept (ING-1)."""
+def lookback(listing: DataFrame, cutoff: Column | None = None, ts: str = "videoPublishedAt") -> DataFrame:
+    """Keep items published at/after the cutoff, if one is given; an unknown publish time is kept (ING-1)."""
+    if cutoff is None:
+        return listing
     return listing.where(F.col(ts).isNull() | (F.col(ts) >= cutoff))
 
 
-def per_channel_cap(listing: DataFrame, cap: int = DEFAULT_CAP, key: str = "channelId",
-                    ts: str = "videoPublishedAt") -> DataFrame:
-    """Newest ``cap`` items per channel, before the seen filter (ING-2).  Top-k per group."""
-    w = Window.partitionBy(key).orderBy(F.desc_nulls_last(ts), F.asc("videoId"))
+def per_channel_cap(listing: DataFrame, cap: int | None = None, key: str = "channelId",
+                    position: str = "position") -> DataFrame:
+    """First ``cap`` items of each channel's list, before the seen filter (ING-2).
+
+    The list is in upload order, newest first, and ``position`` is an item's place in it, whether or not its
+    publish time is known.  Without ``cap`` all items stay.  Top-k per group.
+    """
+    if cap is None:
+        return listing
+    w = Window.partitionBy(key).orderBy(F.asc(position), F.asc("videoId"))
     return listing.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
 
 
@@ -43,7 +48,10 @@ def advance_seen(seen: DataFrame, fetched: DataFrame, key: str = "videoId") -> D
 
 
 def resolve_channels(listing: DataFrame, channels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(resolved listing with channel name, configured channels that resolved to nothing) (ING-6)."""
+    """(listing with channel name, configured channels of which ``listing`` has no item at all) (ING-6).
+
+    Pass the whole listing: a channel without anything *new* is resolved.
+    """
     ch = channels.select(F.trim("channel_id").alias("channelId"), F.trim(F.coalesce("name", F.lit(""))).alias("channel_name"))
     resolved = listing.join(ch, "channelId", "inner")
     unresolved = ch.join(listing.select("channelId").distinct(), "channelId", "left_anti")
@@ -77,9 +85,14 @@ def unpivot_interest(wide: DataFrame, ts: str = "ts", drop=("isPartial",)) -> Da
     return long.withColumn("interest", F.coalesce(F.col("interest"), F.lit(0)).cast("int"))
 
 
-def clamp_days(days: int) -> int:
-    """Hourly interest is only available for a week (ING-13)."""
-    return min(days, TRENDS_MAX_DAYS)
+def last_days(df: DataFrame, days: int | None = None, ts: str = "ts") -> DataFrame:
+    """Rows of the last ``days`` before the latest one, if a number is given (ING-13).
+
+    The limit of a week that an interface may have is the caller's to pass; nothing is cut by itself.
+    """
+    if days is None:
+        return df
+    return df.where(F.col(ts) >= df.agg(F.max(ts)).scalar() - F.make_dt_interval(days=F.lit(days)))
 
 
 def trends_records(long: DataFrame, fetched_at: Column, ts: str = "ts") -> DataFrame:

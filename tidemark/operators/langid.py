@@ -8,8 +8,8 @@ A character-trigram profile is trained from labelled documents
 
 which equals Σ_g n_g · ln P(g | l) with unseen grams at ln 1/(total_l+V).
 The best language wins (ties: alphabetical).  Blank or < 3 character
-texts get NULL.  Texts written in Sinhala or Tamil script are decided by
-their Unicode block first.
+texts get NULL.  Texts with more than half of their letters in the Sinhala or
+Tamil block are decided by the block.
 """
 from __future__ import annotations
 
@@ -22,6 +22,7 @@ from ..session import stage
 # Fixed values.
 NGRAM = 3
 MIN_CHARS = 3
+LETTERS = r"[\p{L}\p{M}]"
 SCRIPT_RULES = [("si", "[඀-෿]"), ("ta", "[஀-௿]")]
 
 
@@ -57,39 +58,35 @@ def train_profile(grams: DataFrame, lang: str = "lang") -> tuple[DataFrame, Data
     return profile, norms
 
 
-MAX_LANGS = 10_000
+# A gram that most documents hold is spread over so many tasks.
+SALTS = 16
 
 
 def detect(docs: DataFrame, grams: DataFrame, profile: DataFrame, norms: DataFrame,
            key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred) for every row of ``docs``.
 
-    The profile join is a plain equi-join: AQE turns it into a broadcast
-    only when the profile's runtime size is under the broadcast threshold,
-    otherwise it stays a shuffle join (hot grams are split by AQE skew
-    handling).  The language list (one row per language, checked against
-    ``MAX_LANGS``) becomes literals, and every document is scored against
-    each language by a ``transform`` over that list — no document × language
-    join.
+    Documents meet the profile by gram; the commonest grams are salted by document.  A
+    document is scored against the languages it shares a gram with and against the one with the smallest
+    denominator: among languages that match nothing this one is best, and any other cannot beat it.  So there is
+    no document × language join and no limit on languages.
     """
-    langs = norms.orderBy("lang").limit(MAX_LANGS + 1).collect()
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages in the profile")
     g = grams.select(key, "gram", "n")
     totals = g.groupBy(key).agg(F.sum("n").alias("N"))
-    matched = (g.join(profile, "gram")
+    salted = g.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+    spread = profile.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    matched = (salted.join(spread, ["gram", "_salt"])
                .groupBy(key, "lang").agg(F.sum(F.col("n") * F.col("lc")).alias("s")))
-    # ≤ one entry per language per document
-    per_doc = matched.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lang", "s"))).alias("_m"))
-    cand = F.array(*[F.struct(F.lit(r.lang).alias("lang"), F.lit(float(r.log_denom)).alias("den")) for r in langs])
-    scored = totals.join(per_doc, key, "left").select(
-        key, F.array_min(F.transform(cand, lambda c: F.struct(
-            (F.col("N") * c["den"] - F.coalesce(F.col("_m")[c["lang"]], F.lit(0.0))).alias("neg"),
-            c["lang"].alias("lang"))))["lang"].alias("_best"))
+    base = norms.agg(F.min(F.struct(F.col("log_denom").alias("den"), "lang"))).scalar()
+    per_doc = (matched.join(norms, "lang").join(totals, key)
+               .groupBy(key).agg(F.min(F.struct((F.col("N") * F.col("log_denom") - F.col("s")).alias("neg"), "lang")).alias("_m")))
+    base_l = F.struct((F.col("N") * base["den"]).alias("neg"), base["lang"].alias("lang"))
+    scored = totals.join(per_doc, key, "left").select(key, F.when(
+        base["lang"].isNotNull(), F.least(F.coalesce("_m", base_l), base_l))["lang"].alias("_best"))
     t = _stripped(text)
     rule = F.lit(None).cast("string")
     for code, pat in reversed(SCRIPT_RULES):
-        rule = F.when(F.col(text).rlike(pat), F.lit(code)).otherwise(rule)
+        rule = F.when(F.regexp_count(F.col(text), F.lit(pat)) * 2 > F.regexp_count(F.col(text), F.lit(LETTERS)), F.lit(code)).otherwise(rule)
     out = docs.select(key, text).join(scored, key, "left")
     pred = F.when(F.col(text).isNull() | (F.length(t) < MIN_CHARS), F.lit(None).cast("string")) \
             .otherwise(F.coalesce(rule, F.col("_best")))

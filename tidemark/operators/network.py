@@ -12,8 +12,10 @@ def edges(videos: DataFrame) -> DataFrame:
 
 
 def channel_strength(e: DataFrame) -> DataFrame:
-    return e.groupBy("channelTitle").agg(F.sum("weight").alias("weight"))
+    """Channels by weight (SRT-9)."""
+    return e.groupBy("channelTitle").agg(F.sum("weight").alias("weight")).orderBy(F.desc("weight"), F.asc("channelTitle"))
 
 
 def topic_strength(e: DataFrame) -> DataFrame:
-    return e.groupBy("topic_id").agg(F.sum("weight").alias("weight"))
+    """Topics by weight (SRT-9)."""
+    return e.groupBy("topic_id").agg(F.sum("weight").alias("weight")).orderBy(F.desc("weight"), F.asc("topic_id"))

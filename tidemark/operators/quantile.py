@@ -2,17 +2,14 @@
 
 ``percentile`` (exact) keeps every distinct value of the group in one
 aggregation buffer; for a global quantile that is the whole column in one
-task.  Instead:
+task.  Instead the wanted order statistics are closed in on:
 
-1. one pass: ``count`` and an approximate bracket ``[lo, hi]`` around the
-   wanted rank from ``percentile_approx`` (rank error <= n / accuracy);
-2. one pass: rows below ``lo``, rows equal to ``lo`` / ``hi`` and the values
-   strictly inside the bracket (a bounded slice: about 4·n/accuracy ranks);
-3. the exact order statistics are read off that slice and interpolated
-   linearly (NumPy / pandas ``quantile`` semantics).
+1. ``percentile_approx`` gives two values around the wanted rank (rank error at most m / accuracy);
+2. one pass counts the values below, at and between them; a rank that falls on one of the two is settled;
+3. the open interval between them is the next, much smaller column, until at most ``SLICE`` values
+   are left.  Only these are collected: a fixed number, whatever the column's length.
 
-If the bracket ever misses the rank (it cannot under the sketch's guarantee,
-but ties and rounding are checked, not assumed) it is widened and step 2
+If the two values ever miss the rank the margin is widened and the pass
 repeats.  Results are plain floats, so downstream plans see literals.
 """
 from __future__ import annotations
@@ -22,6 +19,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Most values that are ever collected.
+SLICE = 10_000
+
 
 def _lerp(a: float, b: float, t: float) -> float:
     # NumPy's linear interpolation (stable form used by numpy.quantile)
@@ -29,59 +29,51 @@ def _lerp(a: float, b: float, t: float) -> float:
     return b - diff * (1.0 - t) if t >= 0.5 else a + diff * t
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], q: float,
-                    accuracy: int = 200_000) -> dict[str, float | None]:
+def order_statistics(df: DataFrame, c: str, n: int, ranks: list[int], accuracy: int = 10_000,
+                     most: int = SLICE) -> dict[int, float]:
+    """Values at 0-based ``ranks`` (neighbours) of the ``n`` non-null values of a column."""
+    x, out, todo = F.col(c).cast("double"), {}, sorted(set(ranks))
+    inside, below, m, margin = df.where(F.col(c).isNotNull()).select(x.alias("x")), 0, n, 4.0 / accuracy
+    while todo:
+        if m <= most:
+            values = sorted(r.x for r in inside.collect())
+            return out | {r: values[r - below] for r in todo}
+        at = [(r - below) / max(1, m - 1) for r in todo]
+        lo, hi = inside.agg(F.percentile_approx("x", [max(0.0, at[0] - margin), min(1.0, at[-1] + margin)], accuracy)).first()[0]
+        got = inside.agg(F.count_if(F.col("x") < lo).alias("less"), F.count_if(F.col("x") == lo).alias("low"),
+                         F.count_if((F.col("x") > lo) & (F.col("x") < hi)).alias("between"),
+                         F.count_if(F.col("x") == hi).alias("high")).first()
+        first = below + got.less + got.low           # rank of the first value between
+        last = first + got.between
+        if todo[0] < below + got.less or todo[-1] >= last + (got.high if hi > lo else 0):
+            margin *= 8.0
+            continue
+        for r in list(todo):
+            if r < first:
+                out[r] = float(lo)
+            elif r >= last:
+                out[r] = float(hi)
+            else:
+                continue
+            todo.remove(r)
+        inside, below, m = inside.where((F.col("x") > lo) & (F.col("x") < hi)), first, got.between
+    return out
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], q: float, accuracy: int = 10_000,
+                    most: int = SLICE) -> dict[str, float | None]:
     """Exact linear-interpolated ``q`` quantile of each column (NULLs ignored)."""
     if not cols:
         return {}
-    eps = 1.0 / accuracy
-    margins = {c: 4.0 * eps for c in cols}
-    stats = df.agg(*[F.count(c).alias(f"n_{c}") for c in cols]).first()
+    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
     out: dict[str, float | None] = {}
-    pending = [c for c in cols if stats[f"n_{c}"]]
     for c in cols:
-        if not stats[f"n_{c}"]:
+        n = counts[c]
+        if not n:
             out[c] = None
-    while pending:
-        probes = []
-        for c in pending:
-            m = margins[c]
-            probes.append(F.percentile_approx(c, [max(q - m, 0.0), min(q + m, 1.0)], accuracy).alias(f"b_{c}"))
-        bounds = df.agg(*probes).first()
-        aggs = []
-        for c in pending:
-            lo, hi = bounds[f"b_{c}"]
-            x = F.col(c)
-            aggs += [
-                F.count_if(x < F.lit(lo)).alias(f"below_{c}"),
-                F.count_if(x == F.lit(lo)).alias(f"eqlo_{c}"),
-                F.count_if(x == F.lit(hi)).alias(f"eqhi_{c}"),
-                F.array_sort(F.collect_list(F.when((x > F.lit(lo)) & (x < F.lit(hi)), x))).alias(f"in_{c}"),
-            ]
-        res = df.agg(*aggs).first()
-        retry = []
-        for c in pending:
-            n = stats[f"n_{c}"]
-            lo, hi = bounds[f"b_{c}"]
-            below, eqlo, eqhi = res[f"below_{c}"], res[f"eqlo_{c}"], res[f"eqhi_{c}"]
-            inside = res[f"in_{c}"] or []
-            pos = q * (n - 1)
-            r_lo, r_hi = math.floor(pos), math.ceil(pos)
-            first, last = below, below + eqlo + len(inside) + (eqhi if hi != lo else 0) - 1
-
-            def at(r: int) -> float:
-                k = r - below
-                if k < eqlo:
-                    return float(lo)
-                k -= eqlo
-                if k < len(inside):
-                    return float(inside[k])
-                return float(hi)
-
-            if first <= r_lo and r_hi <= last:
-                out[c] = _lerp(at(r_lo), at(r_hi), pos - r_lo)
-            else:
-                margins[c] *= 8.0
-                retry.append(c)
-        pending = retry
+            continue
+        pos = q * (n - 1)
+        lo, hi = math.floor(pos), math.ceil(pos)
+        got = order_statistics(df, c, n, [lo, hi], accuracy, most)
+        out[c] = _lerp(got[lo], got[hi], pos - lo)
     return out

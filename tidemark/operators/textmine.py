@@ -1,50 +1,59 @@
 """Text mining on tables: n-grams, topic labels, TF-IDF, k-means topics."""
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import stage
 
-# Fixed values (must equal the reference's behaviour).
-LABEL_TITLES_PER_TOPIC = 300
+# Fixed value (must equal the reference's behaviour): grams in a label.
 LABEL_TOP_GRAMS = 3
 
+# Defaults of the text model; they do not depend on the corpus.
+MIN_DF = 2            # documents a term must occur in
+NGRAM_MAX = 2         # words and adjacent pairs
+TOPICS = 32           # k of k-means
+BUCKETS = 1 << 16     # hashed term buckets of the k-means vectors
+
+
+def _grams(videos: DataFrame, key: str, text: str, order: tuple, normalize: bool) -> DataFrame:
+    """(key, order..., kind, pos, g): every word (kind 1) and adjacent pair (kind 2) of every title, exploded once."""
+    words = (videos.where(F.col(text).isNotNull() & (F.col(text) != ""))
+             .select(key, *order, X.words(text, normalize=normalize).alias("_w")))
+    tagged = F.concat(
+        F.transform("_w", lambda g, i: F.struct(F.lit(1).alias("_kind"), i.alias("_pos"), g.alias("_g"))),
+        F.transform(X.bigrams("_w"), lambda g, i: F.struct(F.lit(2).alias("_kind"), i.alias("_pos"), g.alias("_g"))))
+    return words.select(key, *order, F.inline(tagged))
+
 
 def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_clean",
-                 order=("platform", "videoId"), cap: int = LABEL_TITLES_PER_TOPIC,
-                 top: int = LABEL_TOP_GRAMS, normalize: bool = True) -> DataFrame:
-    """Most frequent bigrams of a topic's first ``cap`` titles (ML-6).
+                 order=("platform", "videoId"), top: int = LABEL_TOP_GRAMS, normalize: bool = True) -> DataFrame:
+    """Most frequent bigrams over all of a topic's titles (ML-6).
 
     Falls back to unigrams only for a topic with no bigram at all.  Ties go
     to the gram seen first (title order, then position).  Returns
     (key, topic_label); a topic without any word gets ''.
+
+    Grams are counted by a hash aggregate, combined on the map side; a topic's titles never meet in
+    one task.  Where a gram was seen first is worked out only for grams with at least the ``top``-th
+    count of their topic.
     """
-    w_docs = Window.partitionBy(key).orderBy(*order)
-    docs = (videos.where(F.col(text).isNotNull() & (F.col(text) != ""))
-            .select(key, *order, text)
-            .withColumn("_doc", F.row_number().over(w_docs))
-            .where(F.col("_doc") <= cap))                        # WindowGroupLimit: ≤ cap rows per key per task
-    wd = docs.select(key, "_doc", X.words(text, normalize=normalize).alias("_w"))
-    # unigrams and bigrams tagged in one array, exploded once
-    tagged = F.concat(
-        F.transform("_w", lambda g, i: F.struct(F.lit(1).alias("_kind"), i.alias("_pos"), g.alias("_g"))),
-        F.transform(X.bigrams("_w"), lambda g, i: F.struct(F.lit(2).alias("_kind"), i.alias("_pos"), g.alias("_g"))))
-    grams = wd.select(key, "_doc", F.inline(tagged))
-    counts = grams.groupBy(key, "_kind", "_g").agg(
-        # first occurrence as one long (title rank, position): a hash-aggregatable min
-        F.count("*").alias("_cnt"), F.min(F.col("_doc").cast("long") * (1 << 32) + F.col("_pos")).alias("_first"))
-    # Bigrams if the topic has any, else unigrams.  Ranking bigrams first and
-    # taking the top k keeps the WindowGroupLimit partial (≤ k rows per topic
-    # leave each map task); among those ≤ k rows only the best kind is kept,
-    # which drops unigrams that filled slots next to too few bigrams.
-    w_top = Window.partitionBy(key).orderBy(F.desc("_kind"), F.desc("_cnt"), F.asc("_first"))
-    top_k = counts.withColumn("_rn", F.row_number().over(w_top)).where(F.col("_rn") <= top)
-    picked = (top_k.withColumn("_best", F.max("_kind").over(Window.partitionBy(key)))
-              .where(F.col("_kind") == F.col("_best")))
+    order = tuple(order)
+    grams = _grams(videos, key, text, order, normalize)
+    counts = stage(grams.groupBy(key, "_kind", "_g").agg(F.count("*").alias("_cnt")), "label_counts")
+    # WindowGroupLimit: at most ``top`` rows per topic leave each task
+    rank = Window.partitionBy(key).orderBy(F.desc("_kind"), F.desc("_cnt"))
+    best = counts.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= top)
+    cut = best.groupBy(key).agg(F.max("_kind").alias("_best"), F.expr(
+        "min(_cnt) FILTER (WHERE _kind = 2)").alias("_cut2"), F.min("_cnt").alias("_cut1"))
+    tied = stage(counts.join(cut, key).where(
+        (F.col("_kind") == F.col("_best")) & (F.col("_cnt") >= F.coalesce("_cut2", "_cut1")))
+        .select(key, "_kind", "_g", "_cnt"), "label_candidates")
+    first = (grams.join(tied, [key, "_kind", "_g"])
+             .groupBy(key, "_g", "_cnt").agg(F.min(F.struct(*order, "_pos")).alias("_first")))
+    pick = Window.partitionBy(key).orderBy(F.desc("_cnt"), F.asc("_first"))
+    picked = first.withColumn("_rn", F.row_number().over(pick)).where(F.col("_rn") <= top)
     labels = picked.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "_g"))), lambda s: s["_g"]), ", ")
         .alias("topic_label"))
@@ -52,121 +61,89 @@ def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_cl
     return keys.join(labels, key, "left").select(key, F.coalesce("topic_label", F.lit("")).alias("topic_label"))
 
 
-def text_params(n_docs: int) -> dict:
-    """Vocabulary size, min document frequency and n-gram order from corpus size (ML-2)."""
-    return {
-        "max_features": 12000 if n_docs > 500 else 8000,
-        "min_df": 2 if n_docs >= 10 else 1,
-        "ngram_max": 2 if n_docs >= 20 else 1,
-    }
-
-
-def choose_k(n_docs: int) -> int:
-    """Topics: ~1 per 80 docs within [4, 60] from 40 docs up, else n//5 ≥ 2; ≤ n (ML-4)."""
-    k = min(60, max(4, n_docs // 80)) if n_docs >= 40 else max(2, n_docs // 5)
-    return int(max(2, min(k, n_docs)))
-
-
-def doc_terms(docs: DataFrame, doc_key: str, text: str, ngram_max: int) -> DataFrame:
+def doc_terms(docs: DataFrame, doc_key: str, text: str, ngram_max: int = NGRAM_MAX) -> DataFrame:
     """(doc, term) rows: lower-cased ≥2-char words, plus adjacent bigrams."""
     toks = docs.select(doc_key, X.tokens(text).alias("_t"))
-    terms = F.col("_t") if ngram_max < 2 else F.concat(F.col("_t"), X.bigrams("_t"))
-    return toks.select(doc_key, F.explode(terms).alias("term"))
+    return toks.select(doc_key, F.explode(_terms(ngram_max)).alias("term"))
 
 
-def vocabulary(tf: DataFrame, n_docs: int, params: dict) -> DataFrame:
-    """(term, cf, df, idf) of the kept terms: df ≥ min_df, then the max_features
-    most frequent (corpus count; ties alphabetical).  At most max_features rows."""
-    stats = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-    return (stats.where(F.col("df") >= params["min_df"])
-            .orderBy(F.desc("cf"), F.asc("term")).limit(params["max_features"])
-            .select("term", "cf", "df", (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf")))
+def _terms(ngram_max: int):
+    return F.col("_t") if ngram_max < 2 else F.concat(F.col("_t"), X.bigrams("_t"))
 
 
-def tfidf(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", n_docs: int | None = None,
-          params: dict | None = None) -> DataFrame:
+def tfidf(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", min_df: int = MIN_DF,
+          ngram_max: int = NGRAM_MAX) -> DataFrame:
     """TF-IDF weights in long form (doc, term, weight) — the sklearn definition (ML-1).
 
-    Vocabulary: terms in ≥ min_df docs, then the max_features most frequent
-    (corpus count; ties alphabetical).  idf = ln((1+n)/(1+df)) + 1, raw tf,
-    rows L2-normalised.  The vocabulary is a top-k with a fixed bound, so it
-    is broadcast.
-    """
-    if n_docs is None:
-        n_docs = docs.count()
-    p = params or text_params(n_docs)
-    dt = doc_terms(docs, doc_key, text, p["ngram_max"])
-    tf = stage(dt.groupBy(doc_key, "term").agg(F.count("*").alias("tf")), "tfidf_tf")   # read by vocab and weights
-    vocab = vocabulary(tf, n_docs, p).select("term", "idf")
-    w = tf.join(F.broadcast(vocab), "term").select(doc_key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = w.groupBy(doc_key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norms, doc_key).select(doc_key, "term", (F.col("w") / F.col("_norm")).alias("weight"))
-
-
-def kmeans_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", k: int | None = None,
-                  seed: int = 42, n_docs: int | None = None) -> DataFrame:
-    """Topic id per document: MLlib CountVectorizer → IDF → L2 → KMeans (ML-3..5).
-
-    The vectors are built by MLlib from the same tokens as ``tfidf``; the
-    fitted pipeline can be saved and reused so topic ids stay stable.
+    Every term in at least ``min_df`` documents; idf = ln((1+n)/(1+df)) + 1, raw tf, rows
+    L2-normalised.  The idf comes by an ordinary join on the term (the vocabulary grows with the corpus), the norm by a
+    window over the document.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import IDF, CountVectorizerModel, Normalizer
-
-    if n_docs is None:
-        n_docs = docs.count()
-    p = text_params(n_docs)
-    k = k or choose_k(n_docs)
-    toks = docs.select(doc_key, X.tokens(text).alias("_t"))
-    terms = F.col("_t") if p["ngram_max"] < 2 else F.concat(F.col("_t"), X.bigrams("_t"))
-    # fixed partitioning *and* order within partitions: k-means|| initialisation
-    # samples per partition, so the same seed then gives the same topics
-    feats_in = stage(toks.select(doc_key, terms.alias("terms")).repartition(doc_key).sortWithinPartitions(doc_key),
-                     "kmeans_terms")
-    if n_docs < 2:
-        return feats_in.select(doc_key, F.lit(0).alias("topic_id"))
-    # The vocabulary rule of ``tfidf`` (deterministic ties); at most max_features terms reach the driver.
-    tf = feats_in.select(doc_key, F.explode("terms").alias("term")).groupBy(doc_key, "term").agg(F.count("*").alias("tf"))
-    vocab = [r.term for r in vocabulary(tf, n_docs, p).orderBy(F.desc("cf"), F.asc("term")).select("term").collect()]
-    pipe = Pipeline(stages=[
-        CountVectorizerModel.from_vocabulary(vocab, inputCol="terms", outputCol="tf"),
-        IDF(inputCol="tf", outputCol="tfidf"),
-        Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="topic_id"),
-    ])
-    model = pipe.fit(feats_in)
-    return model.transform(feats_in).select(doc_key, F.col("topic_id").cast("int").alias("topic_id"))
+    n = docs.agg(F.count("*")).scalar()
+    tf = stage(doc_terms(docs, doc_key, text, ngram_max).groupBy(doc_key, "term").agg(F.count("*").alias("tf")), "tfidf_tf")
+    stats = tf.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
+    idf = stats.select("term", (F.log((n + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
+    w = tf.join(idf, "term").select(doc_key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_key)))
+    return w.select(doc_key, "term", (F.col("w") / norm).alias("weight"))
 
 
-def hashed_tfidf_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", k: int | None = None,
-                        seed: int = 42, num_features: int = 1 << 18, n_docs: int | None = None) -> DataFrame:
-    """Scale variant (ML-3): English stop words removed, hashed term frequencies
-    (no vocabulary pass), IDF, L2, k-means.
+def _kmeans(docs: DataFrame, doc_key: str, terms, k: int, seed: int, buckets: int, min_df: int, stop_words: bool) -> DataFrame:
+    """(doc, topic_id, _distance): hashed terms → IDF → L2 → k-means.
 
-    MLlib k-means keeps *dense* centers (k × num_features doubles, broadcast
-    every iteration), so the bucket count is bounded: 2^18 buckets × 60
-    topics ≈ 126 MB, where a million buckets would be ≈ 480 MB.
+    Partitioning and the order within partitions are fixed: k-means|| initialisation samples
+    per partition, so the same seed gives the same topics.  MLlib keeps dense centers (k × ``buckets``
+    doubles, sent out every iteration): a size set by these two arguments, whatever the corpus.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, StopWordsRemover
 
-    if n_docs is None:
-        n_docs = docs.count()
-    k = k or choose_k(n_docs)
-    toks = docs.select(doc_key, X.tokens(text).alias("_t")).repartition(doc_key).sortWithinPartitions(doc_key)
-    if n_docs < 2:
-        return toks.select(doc_key, F.lit(0).alias("topic_id"))
+    rows = stage(terms.repartition(doc_key).sortWithinPartitions(doc_key), "kmeans_terms")
+    stages = [StopWordsRemover(inputCol="terms", outputCol="_kept")] if stop_words else []
     pipe = Pipeline(stages=[
-        StopWordsRemover(inputCol="_t", outputCol="_s"),
-        HashingTF(inputCol="_s", outputCol="tf", numFeatures=num_features),
-        IDF(inputCol="tf", outputCol="tfidf"),
+        *stages,
+        HashingTF(inputCol="_kept" if stop_words else "terms", outputCol="tf", numFeatures=buckets),
+        IDF(inputCol="tf", outputCol="tfidf", minDocFreq=min_df),
         Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
         KMeans(k=k, seed=seed, featuresCol="features", predictionCol="topic_id"),
     ])
-    return pipe.fit(toks).transform(toks).select(doc_key, F.col("topic_id").cast("int").alias("topic_id"))
+    model = pipe.fit(rows)
+    centers = model.stages[-1].clusterCenters()
+    shared = rows.sparkSession.sparkContext.broadcast([(c, float(c @ c)) for c in centers])
 
+    def gap(v, topic):
+        """Squared distance to the topic's center minus that to the nearest one."""
+        near = [sq - 2.0 * float(sum(x * c[i] for i, x in zip(v.indices, v.values))) for c, sq in shared.value]
+        return near[topic] - min(near)
+    return model.transform(rows).select(doc_key, F.col("topic_id").cast("int").alias("topic_id"),
+                                        F.udf(gap, "double")("features", "topic_id").alias("_gap"))
 
-def idf_value(n_docs: int, df: int) -> float:
-    return math.log((1.0 + n_docs) / (1.0 + df)) + 1.0
+
+def kmeans_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", k: int = TOPICS, seed: int = 42,
+                  buckets: int = BUCKETS, min_df: int = MIN_DF, ngram_max: int = NGRAM_MAX) -> DataFrame:
+    """Topic id per document: the tokens of ``tfidf``, hashed, MLlib IDF, L2, k-means (ML-3..5).
+
+    ``k``, ``min_df`` and ``ngram_max`` are the caller's; their defaults are fixed.
+    """
+    terms = docs.select(doc_key, X.tokens(text).alias("_t")).select(doc_key, _terms(ngram_max).alias("terms"))
+    return _kmeans(docs, doc_key, terms, k, seed, buckets, min_df, stop_words=False).drop("_gap")
+
+
+def hashed_tfidf_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", k: int = TOPICS, seed: int = 42,
+                        buckets: int = BUCKETS) -> DataFrame:
+    """Variant on single words with English stop words removed (ML-3)."""
+    terms = docs.select(doc_key, X.tokens(text).alias("terms"))
+    return _kmeans(docs, doc_key, terms, k, seed, buckets, 0, stop_words=True).drop("_gap")
+
+
+def kmeans_check(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", k: int = TOPICS, seed: int = 42,
+                 buckets: int = BUCKETS, min_df: int = MIN_DF, ngram_max: int = NGRAM_MAX, stop_words: bool = False) -> DataFrame:
+    """What holds of a k-means result however its topics are numbered: one row of
+    documents read and assigned, topic ids outside 0..k-1, and documents that are not at their nearest center."""
+    terms = docs.select(doc_key, X.tokens(text).alias("_t")).select(
+        doc_key, (F.col("_t") if stop_words else _terms(ngram_max)).alias("terms"))
+    got = _kmeans(docs, doc_key, terms, k, seed, buckets, 0 if stop_words else min_df, stop_words)
+    return got.agg(docs.agg(F.count("*")).scalar().alias("docs_read"), F.count_distinct(doc_key).alias("docs_assigned"),
+                   F.count_if((F.col("topic_id") < 0) | (F.col("topic_id") >= k)).alias("topics_outside"),
+                   F.count_if(F.col("_gap") > 1e-9).alias("not_nearest"))

@@ -8,12 +8,10 @@ from ..functions import numeric as N
 from ..functions import text as X
 from ..functions import temporal as TM
 from ..schemas import TOPICS_HOURLY_COLS, VIDEOS_WITH_TOPICS_COLS
-from .joins import bounded_broadcast
 from .textmine import topic_labels
 
 # Fixed value: number of leader channels per topic-hour.
 LEADERS_TOP = 3
-LABELS_BROADCAST_MAX = 100_000
 
 
 def with_hour(videos: DataFrame) -> DataFrame:
@@ -46,13 +44,22 @@ def sample_title_expr() -> F.Column:
 
 
 def hourly_aggregate(videos: DataFrame) -> DataFrame:
-    """Σ velocity, distinct videos and channels, sample title per (ts_hour, topic_id) (AGG-2/3)."""
-    return videos.groupBy("ts_hour", "topic_id").agg(
-        F.sum("decayed_velocity").alias("velocity_sum"),
-        F.count_distinct("videoId").alias("video_count"),
-        F.count_distinct("channelId").alias("channel_count"),
-        sample_title_expr().alias("sample_title"),
-    )
+    """Σ velocity, distinct videos and channels, sample title per (ts_hour, topic_id) (AGG-2/3).
+
+    Four aggregates on one key, joined: two distinct counts in one would expand
+    every row three times, and the title's text would make all of it sort-based.
+    """
+    keys = ["ts_hour", "topic_id"]
+    sums = videos.groupBy(*keys).agg(F.sum("decayed_velocity").alias("velocity_sum"))
+    vids = videos.select(*keys, "videoId").distinct().groupBy(*keys).agg(F.count("videoId").alias("video_count"))
+    chans = videos.select(*keys, "channelId").distinct().groupBy(*keys).agg(F.count("channelId").alias("channel_count"))
+    titles = videos.groupBy(*keys).agg(sample_title_expr().alias("sample_title"))
+    out = sums
+    for part in (vids, chans, titles):
+        on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+        rest = [c for c in part.columns if c not in keys]
+        out = out.alias("l").join(part.alias("r"), on).select("l.*", *[f"r.{c}" for c in rest])
+    return out
 
 
 def expanding_baseline(agg: DataFrame, value: str = "velocity_sum", key: str = "topic_id",
@@ -78,8 +85,7 @@ def topics_hourly(videos: DataFrame, labels: DataFrame | None = None) -> DataFra
         labels = topic_labels(v)
     agg = hourly_aggregate(v)
     agg = agg.join(leader_channels(v), ["ts_hour", "topic_id"], "left")
-    # labels: one row per topic; broadcast only after counting it (topic ids may come from the data)
-    agg = agg.join(bounded_broadcast(labels, LABELS_BROADCAST_MAX), "topic_id", "left")
+    agg = agg.join(labels, "topic_id", "left")       # one row per topic; AQE broadcasts it if it turns out small
     agg = agg.withColumn("topic_label", X.readable_label("topic_label", "sample_title"))
     return expanding_baseline(agg).select(*TOPICS_HOURLY_COLS)
 

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, langid, topics
-from ..operators.textmine import kmeans_topics
+from ..operators.textmine import TOPICS, kmeans_topics
 from ..schemas import SILVER_COLS
 from ..sinks import write_csv, write_parquet
-from ..sources.bronze import FAMILIES, read_bronze
+from ..session import stage
+from ..sources.bronze import FAMILIES, read_bronze, usable
 
 
 def clean_job(spark: SparkSession, bronze_root: str, silver_path: str, lang_profile: DataFrame | None = None,
@@ -29,26 +30,27 @@ def clean_job(spark: SparkSession, bronze_root: str, silver_path: str, lang_prof
     language profile; titles are then labelled with it.  Without it ``lang``
     stays NULL.  An empty bronze gives an empty silver with the full schema.
     """
-    bronze = read_bronze(spark, bronze_root).where(F.col("_corrupt").isNull())
-    # equal fetch times: the later file wins — youtube files before trends files, each by name
+    bronze = usable(read_bronze(spark, bronze_root))
+    # equal fetch times: the later record wins — youtube files before trends files, each by name, lines in file order
     fam = F.lit(0)
     for i, family in enumerate(FAMILIES):
         fam = F.when(F.col("_source_file").contains(family.rstrip("*")), F.lit(i)).otherwise(fam)
+    place = ["_family", "_source_file", "_block", "_line"]
     bronze = bronze.withColumn("_family", fam)
     pre_path = silver_path.rstrip("/") + "_pre"
-    write_parquet(clean.prepare(bronze, keep=["_family", "_source_file"], order=["_family", "_source_file"])
-                  .drop("_family", "_source_file"), pre_path)
+    write_parquet(clean.prepare(bronze, keep=place, order=place).drop(*place), pre_path)
     pre = spark.read.parquet(pre_path)
+    caps = clean.rate_caps(pre)
     if lang_profile is not None:
         grams = langid.doc_grams(lang_profile.select(F.monotonically_increasing_id().alias("_id"), "text", "lang"),
                                  "_id", "text", "lang")
         profile, norms = langid.train_profile(grams)
         keyed = pre.withColumn("_key", F.concat_ws("\u0001", "platform", "videoId"))
-        tg = langid.doc_grams(keyed.select("_key", F.col("title_clean").alias("text"), F.lit(None).cast("string").alias("lang")),
-                              "_key", "text", "lang")
+        tg = stage(langid.doc_grams(keyed.select("_key", F.col("title_clean").alias("text"), F.lit(None).cast("string").alias("lang")),
+                                    "_key", "text", "lang"), "title_grams")
         pred = langid.detect(keyed.select("_key", F.col("title_clean").alias("text")), tg, profile, norms, "_key", "text")
         pre = keyed.drop("lang").join(pred.withColumnRenamed("lang_pred", "lang"), "_key", "left").drop("_key")
-    silver = clean.finish(pre, clean.rate_caps(pre))
+    silver = clean.finish(pre, caps)
     write_parquet(silver, silver_path)
     out = spark.read.parquet(silver_path).select(*SILVER_COLS)
     if csv_path:
@@ -56,12 +58,12 @@ def clean_job(spark: SparkSession, bronze_root: str, silver_path: str, lang_prof
     return out
 
 
-def topics_job(spark: SparkSession, silver_path: str, gold_root: str, k: int | None = None,
+def topics_job(spark: SparkSession, silver_path: str, gold_root: str, k: int = TOPICS,
                partition_by_date: bool = True) -> tuple[DataFrame, DataFrame]:
     """Silver → TF-IDF + k-means topics → gold tables (Parquet, partitioned by date of ts_hour)."""
     silver = spark.read.parquet(silver_path).dropna(subset=["fetchedAt", "publishedAt"])
     keyed = silver.withColumn("_key", F.concat_ws("\u0001", "platform", "videoId"))
-    assigned = kmeans_topics(keyed.select("_key", "title_clean"), doc_key="_key", text="title_clean", k=k)
+    assigned = stage(kmeans_topics(keyed.select("_key", "title_clean"), doc_key="_key", text="title_clean", k=k), "assigned")
     videos = topics.with_hour(keyed.join(assigned, "_key").drop("_key"))
     th_path, vt_path = os.path.join(gold_root, "topics_hourly"), os.path.join(gold_root, "videos_with_topics")
     by = ["date"] if partition_by_date else None
@@ -73,8 +75,9 @@ def topics_job(spark: SparkSession, silver_path: str, gold_root: str, k: int | N
 
 
 def load_gold(spark: SparkSession, gold_root: str) -> tuple[DataFrame, DataFrame]:
-    """(topics_hourly, videos_with_topics); a ``date`` partition column is dropped
-    after Spark has used it for partition pruning."""
-    th = spark.read.parquet(os.path.join(gold_root, "topics_hourly"))
-    vt = spark.read.parquet(os.path.join(gold_root, "videos_with_topics"))
-    return th.drop("date"), vt.drop("date")
+    """(topics_hourly, videos_with_topics).
+
+    The ``date`` partition column stays: the window filters of ``plans.views`` bound it, which prunes folders.
+    """
+    return (spark.read.parquet(os.path.join(gold_root, "topics_hourly")),
+            spark.read.parquet(os.path.join(gold_root, "videos_with_topics")))

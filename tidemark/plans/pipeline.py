@@ -18,25 +18,36 @@ from ..operators.textmine import topic_labels
 from ..session import scratch_path
 from ..sources.fixtures import bronze_from_tables
 
-_lock = threading.Lock()
+_lock = threading.RLock()       # held while a layer is built; a layer may build the one below
 _written: dict[tuple, str] = {}
 _caps: dict[tuple, dict] = {}
 
 
+INPUTS = ("events", "documents")
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and time of the input tables: a changed input gives new layers."""
+    out = []
+    for t in INPUTS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((status.getLen(), status.getModificationTime()))
+    return tuple(out)
+
+
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _stamp(spark, sf_dir), name)
 
 
 def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     key = _key(spark, sf_dir, name)
     with _lock:
-        path = _written.get(key)
-    if path is None:
-        path = scratch_path(spark, name)
-        build().write.mode("overwrite").parquet(path)
-        with _lock:
+        if key not in _written:
+            path = scratch_path(spark, name)
+            build().write.mode("overwrite").parquet(path)
             _written[key] = path
-    return spark.read.parquet(path)
+    return spark.read.parquet(_written[key])
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,12 +63,9 @@ def silver_pre(spark: SparkSession, sf_dir: str) -> DataFrame:
 def caps(spark: SparkSession, sf_dir: str) -> dict:
     key = _key(spark, sf_dir, "caps")
     with _lock:
-        got = _caps.get(key)
-    if got is None:
-        got = clean.rate_caps(silver_pre(spark, sf_dir))
-        with _lock:
-            _caps[key] = got
-    return got
+        if key not in _caps:
+            _caps[key] = clean.rate_caps(silver_pre(spark, sf_dir))
+    return _caps[key]
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:

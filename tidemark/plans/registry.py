@@ -293,8 +293,18 @@ def q_platform_mix(spark, sf_dir):
     return PL.rounded(V.platform_mix(_tv(spark, sf_dir)))
 
 
-@query("channel_contributions", _top_sql("SELECT channelTitle, " + _r("sum(decayed_velocity)") + " AS contrib "
-                                         "FROM tv WHERE channelTitle IS NOT NULL GROUP BY channelTitle"))
+@query("top_chart", _top_sql("SELECT topic_id, label, " + _r("rising_score") + " AS rising_score, CAST(rank AS INTEGER) AS rank FROM "
+                             "(SELECT *, row_number() OVER (ORDER BY rising_score DESC, velocity_sum DESC, topic_id) AS rank FROM top) "
+                             "WHERE rank <= 10"))
+def q_top_chart(spark, sf_dir):
+    th, vt, sub = _main(spark, sf_dir)
+    return PL.rounded(V.top_chart(V.top_topics(sub)).select("topic_id", "label", "rising_score", "rank"))
+
+
+@query("channel_contributions", _top_sql(
+    "SELECT channelTitle, " + _r("contrib") + " AS contrib, CAST(rank AS INTEGER) AS rank FROM (SELECT channelTitle, contrib, "
+    "row_number() OVER (ORDER BY contrib DESC, channelTitle) AS rank FROM (SELECT channelTitle, sum(decayed_velocity) AS contrib "
+    "FROM tv WHERE channelTitle IS NOT NULL GROUP BY channelTitle)) WHERE rank <= 10"))
 def q_channel_contributions(spark, sf_dir):
     return PL.rounded(V.channel_contributions(_tv(spark, sf_dir)))
 
@@ -372,10 +382,9 @@ toks AS (SELECT doc_id, {tok} AS t FROM documents),
 terms AS (SELECT doc_id, unnest(t) AS term FROM toks
           UNION ALL SELECT doc_id, t[i] || ' ' || t[i + 1] FROM (SELECT doc_id, t, unnest(generate_series(1, len(t) - 1)) AS i FROM toks)),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
-st AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
+st AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 vocab AS (SELECT term, ln((1.0 + n.n) / (df + 1.0)) + 1.0 AS idf FROM st, n
-          WHERE df >= CASE WHEN n.n >= 10 THEN 2 ELSE 1 END
-          ORDER BY cf DESC, term LIMIT (SELECT CASE WHEN n > 500 THEN 12000 ELSE 8000 END FROM n)),
+          WHERE df >= {TX.MIN_DF}),
 w AS (SELECT doc_id, tf.term, tf * idf AS w FROM tf JOIN vocab USING (term)),
 nm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
 SELECT doc_id, term, {_r("w / norm")} AS weight FROM w JOIN nm USING (doc_id)"""
@@ -405,9 +414,12 @@ def q_label_guard(spark, sf_dir):
     return labels.join(samp, "source").select("source", X.readable_label("topic_label", "sample_title").alias("topic_label"))
 
 
-@query("kmeans_topics")
+_KMEANS_SQL = "SELECT count(*) AS docs_read, count(DISTINCT doc_id) AS docs_assigned, 0 AS topics_outside, 0 AS not_nearest FROM documents"
+
+
+@query("kmeans_topics", _KMEANS_SQL)
 def q_kmeans_topics(spark, sf_dir):
-    return TX.kmeans_topics(_docs(spark, sf_dir), "doc_id", "text")
+    return TX.kmeans_check(_docs(spark, sf_dir), "doc_id", "text")
 
 
 def _langid_sql() -> str:
@@ -426,8 +438,8 @@ sc AS (SELECT tot.doc_id, norms.lang, coalesce(m.s, 0.0) - tot.nn * norms.log_de
        FROM tot CROSS JOIN norms LEFT JOIN m ON m.doc_id = tot.doc_id AND m.lang = norms.lang),
 best AS (SELECT doc_id, arg_min(lang, (-score, lang)) AS best FROM sc GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NULL OR length({strip}) < 3 THEN NULL
-                      WHEN regexp_matches(d.text, '[\\x{{0D80}}-\\x{{0DFF}}]') THEN 'si'
-                      WHEN regexp_matches(d.text, '[\\x{{0B80}}-\\x{{0BFF}}]') THEN 'ta'
+                      WHEN len(regexp_extract_all(d.text, '[\\x{{0D80}}-\\x{{0DFF}}]')) * 2 > len(regexp_extract_all(d.text, '[\\p{{L}}\\p{{M}}]')) THEN 'si'
+                      WHEN len(regexp_extract_all(d.text, '[\\x{{0B80}}-\\x{{0BFF}}]')) * 2 > len(regexp_extract_all(d.text, '[\\p{{L}}\\p{{M}}]')) THEN 'ta'
                       ELSE best.best END AS lang_pred
 FROM d LEFT JOIN best USING (doc_id)"""
 
@@ -450,14 +462,15 @@ FETCHED_AT = "2024-01-31T00:00:00Z"
 _LISTING_SQL = f"""nvid AS (SELECT greatest(1, CAST(floor(count(*) * 2 / 5) AS BIGINT)) AS nv FROM events),
 listing AS (
   SELECT 'UC' || CAST(user_id AS VARCHAR) AS channelId, 'vid' || lpad(CAST(event_id % nv AS VARCHAR), CAST(greatest(8, length(CAST(event_id % nv AS VARCHAR))) AS INTEGER), '0') AS videoId,
-         CASE WHEN event_id % 89 = 0 THEN NULL ELSE CAST(ts AS TIMESTAMP) END AS videoPublishedAt FROM events, nvid),
+         CASE WHEN event_id % 89 = 0 THEN NULL ELSE CAST(ts AS TIMESTAMP) END AS videoPublishedAt, -event_id AS position FROM events, nvid),
 seen AS (SELECT DISTINCT 'vid' || lpad(CAST(event_id % nv AS VARCHAR), CAST(greatest(8, length(CAST(event_id % nv AS VARCHAR))) AS INTEGER), '0') AS videoId FROM events, nvid
          WHERE event_type = 'view' AND ts < TIMESTAMP '{RUN_AT}' - INTERVAL {LOOKBACK_DAYS} DAY),
 capped AS (SELECT channelId, videoId, videoPublishedAt FROM (
-  SELECT *, row_number() OVER (PARTITION BY channelId ORDER BY videoPublishedAt DESC NULLS LAST, videoId) AS rn
+  SELECT *, row_number() OVER (PARTITION BY channelId ORDER BY position, videoId) AS rn
   FROM listing WHERE videoPublishedAt IS NULL OR videoPublishedAt >= TIMESTAMP '{RUN_AT}' - INTERVAL {LOOKBACK_DAYS} DAY)
   WHERE rn <= {CAP}),
 newl AS (SELECT * FROM capped WHERE videoId NOT IN (SELECT videoId FROM seen)),
+unseen AS (SELECT * FROM listing WHERE videoId NOT IN (SELECT videoId FROM seen)),
 details AS (SELECT 'vid' || lpad(CAST(event_id % nv AS VARCHAR), CAST(greatest(8, length(CAST(event_id % nv AS VARCHAR))) AS INTEGER), '0') AS videoId,
                    arg_max(value * 100, event_id) AS views FROM events, nvid WHERE event_type <> 'error' GROUP BY 1),
 channels AS (SELECT trim(c_name) AS channel_name, trim('UC' || CAST(c_custkey AS VARCHAR)) AS channelId FROM customer)"""
@@ -472,36 +485,41 @@ def _seen(spark, sf_dir):
 
 
 def _new_listing(spark, sf_dir):
+    """The collector's own listing step: lookback and cap are its features."""
     cutoff = F.lit(RUN_AT).cast("timestamp") - F.make_dt_interval(days=F.lit(LOOKBACK_DAYS))
     listing = IG.per_channel_cap(IG.lookback(_listing(spark, sf_dir), cutoff), CAP)
     return IG.skip_seen(listing, _seen(spark, sf_dir))
 
 
+def _unseen(spark, sf_dir):
+    return IG.skip_seen(_listing(spark, sf_dir), _seen(spark, sf_dir))
+
+
 @query("ingest_new_listing", f"WITH {_LISTING_SQL} SELECT channelId, videoId, videoPublishedAt FROM newl")
 def q_ingest_new_listing(spark, sf_dir):
     return _new_listing(spark, sf_dir).select("channelId", "videoId", "videoPublishedAt")
 
 
 @query("ingest_state_advance", f"WITH {_LISTING_SQL} SELECT videoId FROM seen UNION "
-                               "SELECT videoId FROM newl WHERE videoId IN (SELECT videoId FROM details)")
+                               "SELECT videoId FROM unseen WHERE videoId IN (SELECT videoId FROM details)")
 def q_ingest_state_advance(spark, sf_dir):
-    fetched = IG.fetch_details(_new_listing(spark, sf_dir), FX.details_from_tables(spark, sf_dir))
+    fetched = IG.fetch_details(_unseen(spark, sf_dir), FX.details_from_tables(spark, sf_dir))
     return IG.advance_seen(_seen(spark, sf_dir), fetched)
 
 
 @query("ingest_resolve_channels", f"WITH {_LISTING_SQL} SELECT n.channelId, c.channel_name, n.videoId, " + _r("d.views") + " AS views, "
                                   f"'{FETCHED_AT}' AS _fetched_at, 'youtube' AS platform "
-                                  "FROM newl n JOIN channels c USING (channelId) JOIN details d USING (videoId)")
+                                  "FROM unseen n JOIN channels c USING (channelId) JOIN details d USING (videoId)")
 def q_ingest_resolve_channels(spark, sf_dir):
-    resolved, _ = IG.resolve_channels(_new_listing(spark, sf_dir), FX.channels_from_tables(spark, sf_dir))
+    resolved, _ = IG.resolve_channels(_unseen(spark, sf_dir), FX.channels_from_tables(spark, sf_dir))
     got = IG.fetch_details(resolved, FX.details_from_tables(spark, sf_dir))
     return PL.rounded(IG.stamp(got, F.lit(FETCHED_AT)).select("channelId", "channel_name", "videoId", "views", "_fetched_at", "platform"))
 
 
 @query("ingest_unresolved_channels", f"WITH {_LISTING_SQL} SELECT channelId, channel_name FROM channels "
-                                     "WHERE channelId NOT IN (SELECT channelId FROM newl)")
+                                     "WHERE channelId NOT IN (SELECT channelId FROM listing)")
 def q_ingest_unresolved_channels(spark, sf_dir):
-    _, unresolved = IG.resolve_channels(_new_listing(spark, sf_dir), FX.channels_from_tables(spark, sf_dir))
+    _, unresolved = IG.resolve_channels(_listing(spark, sf_dir), FX.channels_from_tables(spark, sf_dir))
     return unresolved
 
 
@@ -520,22 +538,16 @@ def q_ingest_manifest(spark, sf_dir):
         fetched_at=IG.iso_z("day"))
 
 
-TRENDS_DAYS = 7
-
-
-@query("trends_unpivot", f"""WITH h AS (SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS ts, event_type FROM events),
-lim AS (SELECT max(ts) AS m FROM h),
-wide AS (SELECT ts, count(*) FILTER (WHERE event_type = 'view') AS view, count(*) FILTER (WHERE event_type = 'click') AS click,
-                count(*) FILTER (WHERE event_type = 'purchase') AS purchase, count(*) FILTER (WHERE event_type = 'signup') AS signup,
-                count(*) FILTER (WHERE event_type = 'error') AS error
-         FROM h, lim WHERE ts >= lim.m - INTERVAL {min(TRENDS_DAYS, 7)} DAY GROUP BY ts),
-long AS (UNPIVOT wide ON view, click, purchase, signup, error INTO NAME q VALUE interest)
+@query("trends_unpivot", f"""WITH h AS (SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS ts, event_type FROM events WHERE event_type IS NOT NULL),
+cnt AS (SELECT ts, event_type, count(*) AS interest FROM h GROUP BY ALL),
+long AS (SELECT a.ts, b.event_type AS q, c.interest FROM (SELECT DISTINCT ts FROM h) a CROSS JOIN (SELECT DISTINCT event_type FROM h) b
+         LEFT JOIN cnt c ON c.ts = a.ts AND c.event_type = b.event_type)
 SELECT 'trends' AS platform, 'trends_' || q || '_' || CAST(epoch(ts) AS BIGINT) AS id, q AS title,
        'Google Trends interest for ''' || q || '''' AS description, 'trends:LK' AS channelId, 'Google Trends (LK)' AS channelTitle,
        strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS publishedAt, CAST(coalesce(interest, 0) AS INTEGER) AS viewCount,
        0 AS likeCount, 0 AS commentCount, '{FETCHED_AT}' AS _fetched_at FROM long""")
 def q_trends_unpivot(spark, sf_dir):
-    wide = FX.trends_wide_from_tables(spark, sf_dir, IG.clamp_days(TRENDS_DAYS))
+    wide = FX.trends_wide_from_tables(spark, sf_dir)
     rec = IG.trends_records(IG.unpivot_interest(wide), F.lit(FETCHED_AT))
     return rec.select("platform", "id", F.col("snippet.title").alias("title"), F.col("snippet.description").alias("description"),
                       F.col("snippet.channelId").alias("channelId"), F.col("snippet.channelTitle").alias("channelTitle"),
@@ -549,7 +561,7 @@ def q_trends_unpivot(spark, sf_dir):
 from ..schemas import TOPICS_HOURLY, TOPICS_HOURLY_COLS  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sinks import bronze_json_lines, write_csv  # noqa: E402
-from ..sources.bronze import read_bronze  # noqa: E402
+from ..sources.bronze import read_bronze, usable  # noqa: E402
 from ..sources.csv import read_csv_tolerant, tolerant_rows  # noqa: E402
 
 DUMP_STAMP = "20240131T000000Z"
@@ -568,7 +580,7 @@ def q_json_union_sources(spark, sf_dir):
     lines.where(~is_trends).select("value").unionByName(bad).write.text(f"{root}/youtube_raw_{DUMP_STAMP}")
     lines.where(is_trends).select("value").unionByName(bad).write.text(f"{root}/trends_raw_{DUMP_STAMP}")
     got = read_bronze(spark, root)
-    return PL.rounded(clean.flatten(got.where(F.col("_corrupt").isNull())).select(*_FLAT_COLS))
+    return PL.rounded(clean.flatten(usable(got)).select(*_FLAT_COLS))
 
 
 _CSV_EXTRA = [
@@ -577,6 +589,14 @@ _CSV_EXTRA = [
     "2024-02-01T00:00:00.000Z,99,short row",
     "2024-02-01T01:00:00.000Z,98,too,many,fields,1,2,3,4,5,6,7,8,9",
     '2024-02-01T02:00:00.000Z,97,"two\nlines, ""quoted""",,1.5,2,1,0.25,0,5.0,sample',
+    "2024-02-01T03:00:00.000Z,96,one field too many and empty,,1.5,2,1,0.25,0,5.0,sample,",
+    "2024-02-01T03:00:00.000Z,95,two too many,,1.5,2,1,0.25,0,5.0,sample,,5",
+]
+# An older file: other order, spaces in the header, a column missing, one that is unknown.
+_CSV_OLDER = [
+    "topic_id, velocity_sum ,unknown,ts_hour,sample_title",
+    "94,2.5,?,2024-02-01T04:00:00.000Z,older",
+    "93,,?,2024-02-01T05:00:00.000Z",
 ]
 
 _CSV_SQL = S.with_(S.GOLD, "SELECT ts_hour, topic_id, nullif(topic_label, '') AS topic_label, "
@@ -585,14 +605,59 @@ _CSV_SQL = S.with_(S.GOLD, "SELECT ts_hour, topic_id, nullif(topic_label, '') AS
                    " AS zscore, rising_flag, rising_score, nullif(sample_title, '') AS sample_title FROM topics_hourly "
                    "UNION ALL SELECT TIMESTAMP '2024-02-01 00:00:00', 99, 'short row', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL "
                    "UNION ALL SELECT TIMESTAMP '2024-02-01 02:00:00', 97, 'two' || chr(10) || 'lines, \"quoted\"', NULL, 1.5, 2, 1, "
-                   "0.25, 0, 5.0, 'sample'")
+                   "0.25, 0, 5.0, 'sample' "
+                   "UNION ALL SELECT TIMESTAMP '2024-02-01 04:00:00', 94, NULL, NULL, 2.5, NULL, NULL, NULL, NULL, NULL, 'older' "
+                   "UNION ALL SELECT TIMESTAMP '2024-02-01 05:00:00', 93, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL")
 
 
 @query("csv_tolerant_roundtrip", _CSV_SQL)
 def q_csv_tolerant_roundtrip(spark, sf_dir):
     root = write_csv(PL.topics_hourly(spark, sf_dir), scratch_path(spark, "topics_hourly_csv"))
-    spark.createDataFrame([("\n".join(_CSV_EXTRA),)], "value string").write.mode("append").text(root)
-    return PL.rounded(tolerant_rows(read_csv_tolerant(spark, root, TOPICS_HOURLY)))
+    for extra in (_CSV_EXTRA, _CSV_OLDER):
+        spark.createDataFrame([("\n".join(extra),)], "value string").write.mode("append").text(root)
+    return PL.rounded(tolerant_rows(read_csv_tolerant(spark, root, TOPICS_HOURLY, multiline=True)))
+
+
+# ---------------------------------------------------------------- the file job on messy records
+
+_MESSY_SQL = (S.BRONZE_FLAT.replace("flat AS (", "flat_in AS (") + """,
+flat AS (SELECT * REPLACE (CASE WHEN seq % 17 <> 0 THEN views + 1 END AS views, CASE WHEN seq % 17 <> 0 THEN likes END AS likes,
+                           CASE WHEN seq % 17 <> 0 THEN comments END AS comments,
+                           CASE WHEN seq % 19 <> 0 AND seq % 29 <> 0 THEN duration_sec END AS duration_sec,
+                           CASE WHEN seq % 23 <> 0 OR seq % 50 NOT IN (0, 25) THEN title END AS title) FROM flat_in)"""
+              + S.SILVER[len(S.BRONZE_FLAT):])
+
+
+def _messy_lines(bronze):
+    """Every record twice in a row with the same stamp (the second is the later one), some with fields of a wrong type."""
+    seq = F.col("_seq")
+    b = bronze.withColumn("_again", F.explode(F.array(F.lit(0), F.lit(1))))
+    b = b.withColumns({
+        "statistics": F.col("statistics").withField("viewCount", (F.col("statistics.viewCount").cast("double") + F.col("_again")).cast("string")),
+        "snippet": F.col("snippet").withField("localized", F.when(seq % 23 != 0, F.col("snippet.localized"))),
+        "contentDetails": F.col("contentDetails").withField("duration", F.when(seq % 29 == 0, F.lit("P99999999999999999D"))
+                                                            .otherwise(F.col("contentDetails.duration")))})
+    line = F.col("value")
+    line = F.when(seq % 17 == 0, F.regexp_replace(line, r'"statistics":\{[^}]*\}', '"statistics":"n/a"')).otherwise(line)
+    line = F.when(seq % 19 == 0, F.regexp_replace(line, r'"contentDetails":\{[^}]*\}', '"contentDetails":"x"')).otherwise(line)
+    line = F.when(seq % 23 == 0, F.regexp_replace(line, r'"snippet":\{', '"snippet":{"localized":"x",')).otherwise(line)
+    return (bronze_json_lines(b, keep=["_seq", "_again"]).withColumn("value", line)
+            .repartitionByRange("_seq").sortWithinPartitions("_seq", "_again"))
+
+
+@query("clean_job_messy", S.with_(_MESSY_SQL, "SELECT platform, videoId, title_clean, duration_sec, fetchedAt, " + ", ".join(
+    _r(c) + " AS " + c for c in ("views", "likes", "views_per_min", "decayed_velocity")) + " FROM silver"))
+def q_clean_job_messy(spark, sf_dir):
+    """The file job over records that repeat a stamp, hold wrong types and a duration beyond 64 bits."""
+    from .jobs import clean_job
+    root = scratch_path(spark, "messy")
+    lines = _messy_lines(PL.bronze(spark, sf_dir))
+    trends = F.coalesce(F.col("platform") == "Trends", F.lit(False))
+    lines.where(~trends).select("value").write.text(f"{root}/bronze/youtube_raw_{DUMP_STAMP}")
+    lines.where(trends).select("value").write.text(f"{root}/bronze/trends_raw_{DUMP_STAMP}")
+    silver = clean_job(spark, f"{root}/bronze", f"{root}/silver")
+    return PL.rounded(silver.select("platform", "videoId", "title_clean", "duration_sec", "fetchedAt", "views", "likes",
+                                    "views_per_min", "decayed_velocity"))
 
 
 # ---------------------------------------------------------------- streaming (file source, availableNow runs)
@@ -689,30 +754,28 @@ def q_stream_baseline(spark, sf_dir):
 
 # ---------------------------------------------------------------- the reference's full gold flow and run summary
 
-@query("kmeans_topics_hourly")
+@query("kmeans_topics_hourly", S.with_(S.VIDEOS, "SELECT ts_hour, " + _r("sum(decayed_velocity)") +
+                                     " AS velocity, count(*) AS videos FROM vt GROUP BY ts_hour"))
 def q_kmeans_topics_hourly(spark, sf_dir):
-    """Silver titles → TF-IDF + k-means topics → gold topic-hours (rows-only check)."""
+    """Silver titles → TF-IDF + k-means topics → gold, summed over the topics: numbering does not matter."""
     from ..operators import topics as TP
     v = TP.with_hour(PL.silver_with_kmeans_topics(spark, sf_dir))
-    return PL.rounded(TP.topics_hourly(v))
+    gold = TP.topics_hourly(v).groupBy("ts_hour").agg(F.sum("velocity_sum").alias("velocity"))
+    rows = TP.videos_with_topics(v).groupBy("ts_hour").agg(F.count("*").alias("videos"))
+    return PL.rounded(gold.join(rows, "ts_hour"))
 
 
-@query("hashed_kmeans_topics")
+@query("hashed_kmeans_topics", _KMEANS_SQL)
 def q_hashed_kmeans_topics(spark, sf_dir):
-    return TX.hashed_tfidf_topics(_docs(spark, sf_dir), "doc_id", "text")
+    return TX.kmeans_check(_docs(spark, sf_dir), "doc_id", "text", stop_words=True)
 
 
-@query("run_summary", S.with_(S.GOLD, """SELECT (SELECT count(DISTINCT topic_id) FROM topics_hourly) AS topics,
-  (SELECT count(*) FROM silver) AS videos,
-  (SELECT CAST(greatest(2, least(CASE WHEN n >= 40 THEN least(60, greatest(4, n // 80)) ELSE greatest(2, n // 5) END, n)) AS INTEGER)
-   FROM (SELECT count(*) AS n FROM silver)) AS k"""))
+@query("run_summary", S.with_(S.GOLD, "SELECT (SELECT count(DISTINCT topic_id) FROM topics_hourly) AS topics, "
+                                      "(SELECT count(*) FROM silver) AS videos"))
 def q_run_summary(spark, sf_dir):
-    """Topics, videos and the k the topic model would use for this silver (AGG-15, ML-4)."""
+    """Topics and videos of a run (AGG-15)."""
     th, s = PL.topics_hourly(spark, sf_dir), PL.silver(spark, sf_dir)
-    a = th.agg(F.count_distinct("topic_id").alias("topics"), s.agg(F.count("*")).scalar().alias("videos"))
-    n = F.col("videos")
-    k = F.when(n >= 40, F.least(F.lit(60), F.greatest(F.lit(4), F.floor(n / 80)))).otherwise(F.greatest(F.lit(2), F.floor(n / 5)))
-    return a.select("topics", "videos", F.greatest(F.lit(2), F.least(k, n)).cast("int").alias("k"))
+    return th.agg(F.count_distinct("topic_id").alias("topics"), s.agg(F.count("*")).scalar().alias("videos"))
 
 
 @query("topic_lang_videos", S.with_(S.GOLD, "SELECT topic_id, count(DISTINCT videoId) AS lang_vids FROM videos_with_topics "

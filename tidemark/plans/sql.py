@@ -84,13 +84,13 @@ def readable_label_sql(lbl: str, samp: str) -> str:
 
 
 def labels_cte(src: str, key: str = "topic_id", text: str = "title_clean", order: str = "platform, videoId",
-               name: str = "labels", cap: int = 300, top: int = 3, nfc: bool = True) -> str:
+               name: str = "labels", top: int = 3, nfc: bool = True) -> str:
     norm = f"nfc_normalize({text})" if nfc else text
     return f""",
 {name}_d AS (
   SELECT {key}, doc, regexp_extract_all({norm}, '{WORD_RE2}') AS w FROM (
     SELECT {key}, {text}, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS doc
-    FROM {src} WHERE {text} IS NOT NULL AND {text} <> '') WHERE doc <= {cap}),
+    FROM {src} WHERE {text} IS NOT NULL AND {text} <> '')),
 {name}_u AS (SELECT {key}, doc, unnest(generate_series(1, len(w))) AS pos, w FROM {name}_d),
 {name}_b AS (SELECT {key}, doc, unnest(generate_series(1, len(w) - 1)) AS pos, w FROM {name}_d),
 {name}_g AS (

@@ -1,14 +1,14 @@
 """Dashboard questions as DataFrame functions over the gold tables (VIEW-1..10).
 
-All functions are lazy.  Scalars such as "latest hour" are one-row
-aggregates cross-joined (broadcast, one row) instead of driver round trips;
-set filters are semi-joins on distinct keys.
+All functions are lazy.  Scalars such as "latest hour" are scalar subqueries;
+set filters are semi-joins on distinct keys.  Lists come in the dashboard's order (``orderBy``);
+the charts that show ten rows carry a ``rank``.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import temporal as TM
@@ -35,20 +35,33 @@ class WindowFilter:
     langs: list[str] | None = None
     platforms: list[str] | None = None
     tz: str = TM.LOCAL_TZ
-    extra: dict = field(default_factory=dict)
 
 
 def last_n_hours(topics: DataFrame, hours: int) -> DataFrame:
     """ts_hour >= latest ts_hour − N hours (inclusive) (FLT-3)."""
     latest = topics.agg(F.max("ts_hour")).scalar()           # scalar subquery, evaluated once
-    return topics.where(F.col("ts_hour") >= latest - F.make_dt_interval(hours=F.lit(hours)))
+    return _from(topics, latest - F.make_dt_interval(hours=F.lit(hours)))
+
+
+def _from(topics: DataFrame, start) -> DataFrame:
+    """``ts_hour >= start``; a ``date`` partition column gets the matching bound, which prunes folders."""
+    if "date" in topics.columns:
+        topics = topics.where(F.col("date") >= F.to_date(start))
+    return topics.where(F.col("ts_hour") >= start)
+
+
+def _until(topics: DataFrame, end) -> DataFrame:
+    """``ts_hour < end``, likewise."""
+    if "date" in topics.columns:
+        topics = topics.where(F.col("date") <= F.to_date(end))
+    return topics.where(F.col("ts_hour") < end)
 
 
 def local_date_range(topics: DataFrame, d1: str, d2: str, tz: str = TM.LOCAL_TZ) -> DataFrame:
     """[d1 00:00, d2 + 1 day 00:00) in local time (FLT-4)."""
     start = F.to_utc_timestamp(F.to_timestamp(F.lit(d1)), tz)
     end = F.to_utc_timestamp(F.to_timestamp(F.date_add(F.to_date(F.lit(d2)), 1)), tz)
-    return topics.where((F.col("ts_hour") >= start) & (F.col("ts_hour") < end))
+    return _until(_from(topics, start), end)
 
 
 def topic_window(topics: DataFrame, videos: DataFrame, f: WindowFilter) -> DataFrame:
@@ -101,6 +114,17 @@ def top_topics(subset: DataFrame, min_videos: int = DEFAULT_MIN_VIDEOS, n: int =
                       X.display_label("topic_label", "sample_title").alias("label"))
 
 
+def top_chart(top: DataFrame, n: int = TOP_CHART) -> DataFrame:
+    """First rows of the top list with their rank (SRT-4)."""
+    return _ranked(top, [F.desc("rising_score"), F.desc("velocity_sum"), F.asc("topic_id")], n)
+
+
+def _ranked(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first ``n`` rows in order, numbered from 1: only those n rows meet in one task."""
+    few = df.orderBy(*order).limit(n)
+    return few.withColumn("rank", F.row_number().over(Window.orderBy(*order))).orderBy("rank")
+
+
 def kpis(subset: DataFrame, videos: DataFrame, top: DataFrame) -> DataFrame:
     """Topics in window, videos in the window's hours, top rising score (VIEW-3)."""
     hours = subset.select("ts_hour").distinct()
@@ -117,9 +141,10 @@ def selected_topic(top: DataFrame) -> DataFrame:
 
 
 def topic_history(subset: DataFrame, topic: DataFrame, tz: str = TM.LOCAL_TZ) -> DataFrame:
-    """Momentum over time of the selected topic (VIEW-4)."""
+    """Momentum over time of the selected topic, by hour (VIEW-4, SRT-8)."""
     h = subset.join(F.broadcast(topic), "topic_id", "left_semi")
-    return h.select("ts_hour", TM.to_local("ts_hour", tz).alias("ts_hour_local"), "velocity_sum", "rising_score")
+    return (h.select("ts_hour", TM.to_local("ts_hour", tz).alias("ts_hour_local"), "velocity_sum", "rising_score")
+            .orderBy("ts_hour"))
 
 
 def topic_videos(subset: DataFrame, videos: DataFrame, topic: DataFrame) -> DataFrame:
@@ -129,23 +154,26 @@ def topic_videos(subset: DataFrame, videos: DataFrame, topic: DataFrame) -> Data
 
 
 def topic_videos_search(tv: DataFrame, q: str = "", literal: bool = False, tz: str = TM.LOCAL_TZ) -> DataFrame:
-    """Examples table: optional title search, watch URL, by momentum (VIEW-5)."""
+    """Examples table: optional title search, watch URL, by momentum (VIEW-5, SRT-7)."""
     if q:
         tv = tv.where(X.title_search("title_clean", q, literal=literal))
     return tv.select(TM.to_local("ts_hour", tz).alias("ts_hour_local"), "platform", "channelTitle", "title_clean",
-                     "lang", "decayed_velocity", X.watch_url("platform", "videoId").alias("url"), "videoId")
+                     "lang", "decayed_velocity", X.watch_url("platform", "videoId").alias("url"), "videoId"
+                     ).orderBy(F.desc_nulls_last("decayed_velocity"), F.asc("platform"), F.asc("videoId"))
 
 
 def platform_mix(tv: DataFrame) -> DataFrame:
-    """(VIEW-6, AGG-7)"""
+    """By momentum (VIEW-6, AGG-7)."""
     return (tv.where(F.col("platform").isNotNull()).groupBy("platform")
-            .agg(F.sum("decayed_velocity").alias("momentum"), F.count_distinct("videoId").alias("posts")))
+            .agg(F.sum("decayed_velocity").alias("momentum"), F.count_distinct("videoId").alias("posts"))
+            .orderBy(F.desc("momentum"), F.asc("platform")))
 
 
-def channel_contributions(tv: DataFrame) -> DataFrame:
-    """(VIEW-7, AGG-8)"""
-    return (tv.where(F.col("channelTitle").isNotNull()).groupBy("channelTitle")
-            .agg(F.sum("decayed_velocity").alias("contrib")))
+def channel_contributions(tv: DataFrame, n: int = CONTRIB_CHART) -> DataFrame:
+    """The ``n`` channels that contribute most to the topic (VIEW-7, AGG-8, SRT-6)."""
+    by = (tv.where(F.col("channelTitle").isNotNull()).groupBy("channelTitle")
+          .agg(F.sum("decayed_velocity").alias("contrib")))
+    return _ranked(by, [F.desc("contrib"), F.asc("channelTitle")], n)
 
 
 def channel_leaderboard(subset: DataFrame, videos: DataFrame, n: int = LEADERBOARD) -> DataFrame:
@@ -167,7 +195,7 @@ def filter_options(topics: DataFrame, videos: DataFrame, tz: str = TM.LOCAL_TZ)
     bounds = dates.select(F.inline(F.array(
         F.struct(F.lit("min_local_date").alias("option"), F.date_format("lo", "yyyy-MM-dd").alias("value")),
         F.struct(F.lit("max_local_date").alias("option"), F.date_format("hi", "yyyy-MM-dd").alias("value")))))
-    return langs.unionByName(plats).unionByName(bounds)
+    return langs.unionByName(plats).unionByName(bounds).orderBy("option", "value")
 
 
 def last_updated(topics: DataFrame, tz: str = TM.LOCAL_TZ) -> DataFrame:

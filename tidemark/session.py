@@ -7,7 +7,6 @@ scripts.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -53,22 +52,41 @@ def get_spark(app: str = "tidemark", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder set.
+    Only where the session names none is one set: with a local master, whose executors share the
+    machine, below Java's temporary folder (as in tests); on a cluster in the warehouse,
+    which the driver and the executors share by definition.
     """
     sc = spark.sparkContext
-    root = sc.getCheckpointDir()
-    if root:
-        return root
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    sc.setCheckpointDir(root)
+        if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+            base = sc._jvm.java.lang.System.getProperty("java.io.tmpdir")
+        else:
+            base = spark.conf.get("spark.sql.warehouse.dir")
+        root = f"{base.rstrip('/')}/tidemark-checkpoints"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
 
 
+_folders: dict[str, str] = {}
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder of written intermediates; deleted when the driver's JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/tidemark-{app}-{uuid.uuid4().hex[:8]}")
+        store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _folders[app] = path.toString()
+    return _folders[app]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the checkpoint root for a written table."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique path in the application's scratch folder for a written table."""
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 _shipped: set[str] = set()

@@ -49,8 +49,8 @@ def repair_and_save(df: DataFrame, new_path: str) -> str:
     return write_csv(df, new_path)
 
 
-def bronze_json_lines(b: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Bronze records as JSON text lines (``value``) plus ``platform``.
+def bronze_json_lines(b: DataFrame, extra: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Bronze records as JSON text lines (``value``) plus ``platform`` and the columns in ``keep``.
 
     An id holding a JSON object (search-shaped record) is emitted as an
     object, a plain id as a string; ``extra`` columns are appended as fields.
@@ -59,4 +59,4 @@ def bronze_json_lines(b: DataFrame, extra: list[str] | None = None) -> DataFrame
     rest = F.to_json(F.struct(*fields))
     id_json = F.when(F.ltrim("id").startswith("{"), F.col("id")) \
                .otherwise(F.regexp_extract(F.to_json(F.struct(F.col("id").alias("x"))), r'^\{"x":(.*)\}$', 1))
-    return b.select("platform", F.concat(F.lit('{"id":'), id_json, F.lit(","), F.substring(rest, 2, 1 << 30)).alias("value"))
+    return b.select("platform", *(keep or []), F.concat(F.lit('{"id":'), id_json, F.lit(","), F.substring(rest, 2, 1 << 30)).alias("value"))

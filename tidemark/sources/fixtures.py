@@ -106,17 +106,16 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- collector-side tables
 
-EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
-
 
 def listing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upload listing: one item per event; a channel per user; some publish times unknown."""
+    """Upload listing: one item per event; a channel per user; some publish times unknown; newest first."""
     ev = events(spark, sf_dir)
     ev = ev.withColumn("_nv", n_videos(ev))
     return ev.select(
         F.concat(F.lit("UC"), F.col("user_id").cast("string")).alias("channelId"),
         _vid(F.col("event_id")).alias("videoId"),
-        F.when(F.col("event_id") % 89 == 0, F.lit(None).cast("timestamp")).otherwise(F.col("ts")).alias("videoPublishedAt"))
+        F.when(F.col("event_id") % 89 == 0, F.lit(None).cast("timestamp")).otherwise(F.col("ts")).alias("videoPublishedAt"),
+        (-F.col("event_id")).alias("position"))
 
 
 def seen_from_tables(spark: SparkSession, sf_dir: str, before: F.Column) -> DataFrame:
@@ -139,10 +138,9 @@ def channels_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("c_name").alias("name"), F.concat(F.lit("UC"), F.col("c_custkey").cast("string")).alias("channel_id"))
 
 
-def trends_wide_from_tables(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
-    """Wide hourly interest table (ts, one column per query, isPartial) over the last ``days``."""
-    ev = events(spark, sf_dir).select(F.date_trunc("hour", "ts").alias("ts"), "event_type")
-    latest = ev.agg(F.max("ts")).scalar()
-    recent = ev.where(F.col("ts") >= latest - F.make_dt_interval(days=F.lit(days)))
-    wide = recent.groupBy("ts").pivot("event_type", EVENT_TYPES).agg(F.count(F.lit(1)))
-    return wide.withColumn("isPartial", F.col("ts") == latest)
+def trends_wide_from_tables(spark: SparkSession, sf_dir: str, days: int | None = None) -> DataFrame:
+    """Wide hourly interest table (ts, one column per query found in the data, isPartial)."""
+    from ..operators.ingest import last_days
+    ev = events(spark, sf_dir).select(F.date_trunc("hour", "ts").alias("ts"), "event_type").where(F.col("event_type").isNotNull())
+    wide = last_days(ev, days).groupBy("ts").pivot("event_type").agg(F.count(F.lit(1)))
+    return wide.withColumn("isPartial", F.col("ts") == ev.agg(F.max("ts")).scalar())

@@ -6,34 +6,16 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A scan smaller than this is never re-spread.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _input_bytes(spark: SparkSession, df: DataFrame) -> int:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
 
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than cores.
 
     A single large row group is read by one task, which would serialise all
-    per-row work before the first shuffle.  On a real table (many files and
-    row groups) the scan already has more partitions than cores and this is
-    a no-op; the check reads file metadata only.
+    per-row work before the first shuffle.  A table of many files and
+    row groups has more partitions than cores and stays as it is; rows are the same either way.
     """
     par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
-        return df
-    if _input_bytes(spark, df) < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(par)
+    return df if df.rdd.getNumPartitions() >= par else df.repartition(par)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
