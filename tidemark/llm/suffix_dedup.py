@@ -2,13 +2,13 @@
 
 A byte is removed if it lies in a ``WINDOW``-byte string that also starts in a
 document with a smaller id.  Sorting every suffix of a corpus would shuffle each byte many times,
-so the suffixes that enter the buckets are sampled by content: in each window the 16-gram with
+so the suffixes that enter the buckets are sampled by content: in each window the 24-gram with
 the least hash is its anchor.  Equal windows have the same anchor at the same place, hence
-nothing is lost, and one position in about 17 remains.
+nothing is lost, and one position in about 14 remains.
 
-1. Initial buckets: the anchors' 16-grams.  A bucket that only one document reaches is a singleton
+1. Initial buckets: the anchors' 24-grams.  A bucket that only one document reaches is a singleton
    and leaves.  The survivors are marked in a bitmap of fixed size (it may let others through, never lose one).
-2. Whole contexts: an anchor decides the windows that hold it, which lie within 34 bytes before and 50
+2. Whole contexts: an anchor decides the windows that hold it, which lie within 26 bytes before and 50
    after it.  (Bucket, fingerprint of the context) pairs are reduced per unit of text, then over the corpus,
    to the smallest document; later copies of a context are settled by it, all windows at once.
 3. Refinement: where a bucket holds several contexts, the first copy of each is compared bytewise
@@ -36,15 +36,15 @@ from ..session import scratch_path
 from .common import is_empty, stage, texts
 
 WINDOW = 50
-Q = 16
+Q = 24
 SPAN = WINDOW - Q + 1                          # anchors a window can have
 LEFT = WINDOW - Q                              # bytes before an anchor that its windows reach
-CONTEXT = LEFT + WINDOW                        # 84
-ROW = 88                                       # a context and its two clip lengths, in whole words
+CONTEXT = LEFT + WINDOW                        # 76
+ROW = 80                                       # a context and its two clip lengths, in whole words
 UNIT_BYTES = 1 << 21
 UNITS_PER_TASK = 4
 SLICE = 1 << 20
-FILTER_BITS = 26                               # the bitmap has 2**26 bits, 8 MB, whatever the corpus
+FILTER_BITS = 27                               # the bitmap has 2**27 bits, 16 MB, whatever the corpus
 HOT = 100_000
 GATHER = 40_000                                # contexts in one refinement task
 _NONE = np.iinfo(np.int64).max
@@ -70,7 +70,7 @@ class Unit:
         self.ids = np.array([np.iinfo(np.int64).min if i is None else i for i in ids], np.int64)
 
     def anchors(self, marked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and 16-gram hashes of the anchors (of those that the bitmap lets through)."""
+        """Positions and 24-gram hashes of the anchors (of those that the bitmap lets through)."""
         n = len(self.bytes) - WINDOW + 1
         whole = np.ones(max(n, 0), bool)       # windows within one document
         cut = (self.ends[:, None] - np.arange(1, WINDOW)[None, :]).ravel()
@@ -79,9 +79,12 @@ class Unit:
         found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         for s in range(0, n, SLICE):
             e = min(n, s + SLICE)
-            size = e - s + SPAN - 1            # 16-grams of these windows
+            size = e - s + SPAN - 1            # grams of these windows
             words = np.ndarray((size + Q - 8,), "<u8", self.bytes.data, s, (1,))
-            h = _mix(words[:size] * np.uint64(0x9E3779B97F4A7C15) + _mix(words[8:8 + size])) | np.uint64(1)
+            h = np.zeros(size, np.uint64)
+            for k in range(0, Q, 8):
+                h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + words[k:k + size])
+            h |= np.uint64(1)
             least = h
             step = 1
             while 2 * step <= SPAN:
@@ -293,7 +296,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                .where("count > 1"))
     bit = F.expr(f"(h >> {48 - FILTER_BITS}) + 1")
     slices = reached.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("slice")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()   # at most 2**26 bits in all
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()   # at most 2**FILTER_BITS bits in all
     bitmap = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for s in slices:
         bitmap[(s["slice"] - 1) * 4096:s["slice"] * 4096] = np.frombuffer(bytes(s["bits"]), np.uint8)
@@ -308,17 +311,16 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         h, fp, doc = h[order], fp[order], doc[order]
         new = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (fp[1:] != fp[:-1])]) if len(h) else np.zeros(0, np.int64)
         first = np.minimum.reduceat(doc, new) if len(new) else doc
-        last = np.maximum.reduceat(doc, new) if len(new) else doc
         return pa.RecordBatch.from_arrays([_signed(h[new]), _signed(fp[new]), pa.array(np.full(len(new), unit, np.int64)),
-                                           pa.array(first), pa.array(last)], names=["h", "fp", "unit", "first", "last"])
+                                           pa.array(first)], names=["h", "fp", "unit", "first"])
     same, bucket = Window.partitionBy("h", "fp"), Window.partitionBy("h")
-    contexts = (units.mapInArrow(_each(whole)(folder), "h long, fp long, unit long, first long, last long")
+    contexts = (units.mapInArrow(_each(whole)(folder), "h long, fp long, unit long, first long")
                 .withColumn("least", F.min("first").over(same))
                 .withColumn("several", F.min("fp").over(bucket) < F.max("fp").over(bucket))
                 .withColumn("n", F.count(F.lit(1)).over(bucket)))
-    judged = stage(contexts.where("least < last OR several AND first = least")
-                   .select("unit", "h", "fp", "first", "last", "least", "several", "n"), "contexts")
-    replies = judged.where("least < last").selectExpr(
+    judged = stage(contexts.where("least < first OR several")
+                   .select("unit", "h", "fp", "first", "least", "several", "n"), "contexts")
+    replies = judged.where("least < first").selectExpr(
         "unit", "h", "fp", "0 AS lo", f"{LEFT} AS hi", "least AS first")
 
     # 3. first copies of contexts whose bucket holds others
@@ -411,22 +413,29 @@ def _remove(t: pa.Table, r: pa.Table, folder: str, marked) -> pa.Table:
     u = _open(t, folder)
     row = t.slice(0, 1).to_pylist()[0]
     gone = np.zeros(len(u.bytes), bool)
-    if r.num_rows:
-        at, h = u.anchors(marked.value)
+    at, h = u.anchors(marked.value)
+    if len(at):
         fp, left, right = u.keys(at)
         doc = u.ids[u.docs(at)]
         have = _combined(h, fp)
+        change = np.zeros(len(u.bytes) + 1, np.int32)
+        # copies within the unit need no reply
+        _, number = np.unique(have, return_inverse=True)
+        least = np.full(int(number.max()) + 1, _NONE)
+        np.minimum.at(least, number, doc)
+        later = doc > least[number]
+        np.add.at(change, (at - left)[later], 1)
+        np.add.at(change, (at + right)[later], -1)
         want = _combined(_column(r, "h").view(np.uint64), _column(r, "fp").view(np.uint64))
         order = np.argsort(want, kind="stable")
         want = want[order]
         begin, end = np.searchsorted(want, have, "left"), np.searchsorted(want, have, "right")
         count = end - begin
         which = np.repeat(np.arange(len(at)), count)
-        reply = order[np.repeat(begin - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(len(which))] if len(at) else which
+        reply = order[np.repeat(begin - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(len(which))]
         lo = np.maximum(_column(r, "lo")[reply], WINDOW - right[which])
         hi = np.minimum(_column(r, "hi")[reply], left[which])
         ok = (hi >= lo) & (_column(r, "first")[reply] < doc[which])
-        change = np.zeros(len(u.bytes) + 1, np.int32)
         np.add.at(change, at[which[ok]] - hi[ok], 1)
         np.add.at(change, at[which[ok]] - lo[ok] + WINDOW, -1)
         gone = np.cumsum(change[:-1]) > 0
