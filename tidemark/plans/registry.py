@@ -674,41 +674,45 @@ STREAM_SCHEMA = _T.StructType(list(BRONZE.fields) + [_T.StructField("topic_id",
 
 def _stream_input(spark, sf_dir, stage: int, root: str | None = None) -> str:
     """Write the bronze of one stage as JSONL files into the input folder."""
-    from ..sinks import bronze_json_lines
-    from ..sources.tables import events
     root = root or scratch_path(spark, "stream_in")
-    b = PL.bronze(spark, sf_dir)
-    ev = events(spark, sf_dir).select(F.col("event_id").alias("_seq"), "ts")
-    b = b.join(ev, "_seq")
-    part = b.where(F.col("ts") < F.lit(STREAM_SPLIT).cast("timestamp")) if stage == 1 else \
-        b.where(F.col("ts") >= F.lit(STREAM_SPLIT).cast("timestamp"))
+    split = F.lit(STREAM_SPLIT).cast("timestamp")
+    part = FX.bronze_from_tables(spark, sf_dir, F.col("ts") < split if stage == 1 else F.col("ts") >= split)
     bronze_json_lines(part, extra=["topic_id", "_seq"]).select("value").write.mode("append").text(root)
     return root
 
 
 _FLAT_KEYED = S.BRONZE_FLAT + r""",
 keyed AS (SELECT * REPLACE (least(publishedAt, fetchedAt) AS publishedAt) FROM flat
-          WHERE videoId IS NOT NULL AND publishedAt IS NOT NULL AND fetchedAt IS NOT NULL),
-hourly AS (SELECT date_trunc('hour', fetchedAt) AS ts_hour, topic_id, sum(views) AS views_sum, count(*) AS records
-           FROM keyed GROUP BY ALL),
-closed AS (SELECT h.* FROM hourly h, (SELECT max(fetchedAt) AS m FROM keyed) x
-           WHERE h.ts_hour + INTERVAL 1 HOUR <= x.m - INTERVAL 2 HOUR)"""
+          WHERE videoId IS NOT NULL AND publishedAt IS NOT NULL AND fetchedAt IS NOT NULL)"""
+
+_HOURLY = _FLAT_KEYED + r""",
+latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+             PARTITION BY date_trunc('hour', fetchedAt), platform, videoId ORDER BY fetchedAt DESC, seq DESC) AS rn FROM keyed) WHERE rn = 1),
+aged AS (SELECT *, greatest((epoch_us(fetchedAt) - epoch_us(publishedAt)) / 60000000.0, 0.0001) AS age_min FROM latest),
+hourly AS (SELECT date_trunc('hour', fetchedAt) AS ts_hour, topic_id, sum(coalesce(views, 0.0) / age_min * exp(-age_min / 120.0)) AS velocity_sum,
+                  count(*) AS video_count, count(DISTINCT channelId) AS channel_count FROM aged GROUP BY ALL)"""
 
 
 def _hourly_sink(spark, sf_dir) -> str:
-    """Output folder of the hourly stream; built once per session and shared downstream."""
+    """Output folder of the hourly stream (two intakes, then a closing run); built once per session."""
     key = PL._key(spark, sf_dir, "stream_hourly")
-    if key in PL._written:
-        return PL._written[key]
-    src = _stream_input(spark, sf_dir, 1)
-    _stream_input(spark, sf_dir, 2, src)
-    flat = ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"])
-    sink = ST.run_available_now(ST.hourly_topic(flat), scratch_path(spark, "stream_hourly"), scratch_path(spark, "ckpt_hourly"))
-    PL._written[key] = sink
-    return sink
-
-
-@query("stream_hourly", S.with_(_FLAT_KEYED, "SELECT ts_hour, topic_id, " + _r("views_sum") + " AS views_sum, records FROM closed"))
+    with PL._lock:
+        if key not in PL._written:
+            src = _stream_input(spark, sf_dir, 1)
+            sink, ckpt = scratch_path(spark, "stream_hourly"), scratch_path(spark, "ckpt_hourly")
+            run = lambda: ST.run_available_now(ST.hourly_topic(
+                ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"], delay="2 hours"),
+                order=["_seq"]), sink, ckpt)
+            run()
+            _stream_input(spark, sf_dir, 2, src)
+            run()
+            spark.createDataFrame([(ST.closing_record(),)], "value string").write.mode("append").text(src)
+            run()
+            PL._written[key] = sink
+    return PL._written[key]
+
+
+@query("stream_hourly", S.with_(_HOURLY, "SELECT ts_hour, topic_id, " + _r("velocity_sum") + " AS velocity_sum, video_count, channel_count FROM hourly"))
 def q_stream_hourly(spark, sf_dir):
     return PL.rounded(spark.read.parquet(_hourly_sink(spark, sf_dir)))
 
@@ -738,18 +742,22 @@ def q_stream_upsert(spark, sf_dir):
     return ST.read_snapshot(spark, table).select("platform", "videoId", "fetchedAt", "_seq")
 
 
-@query("stream_baseline", S.with_(_FLAT_KEYED + r""",
-zb AS (SELECT *, (views_sum - coalesce(avg(views_sum) OVER w, 0.0)) /
-                 (CASE WHEN stddev_samp(views_sum) OVER w IS NULL OR stddev_samp(views_sum) OVER w = 0
-                       THEN 1.0 ELSE stddev_samp(views_sum) OVER w END) AS zscore
-       FROM closed WINDOW w AS (PARTITION BY topic_id ORDER BY ts_hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
-    "SELECT ts_hour, topic_id, " + _r("views_sum") + " AS views_sum, " + _r("zscore") + " AS zscore FROM zb"))
+@query("stream_baseline", S.with_(_HOURLY + r""",
+zb AS (SELECT *, (velocity_sum - coalesce(avg(velocity_sum) OVER w, 0.0)) /
+                 (CASE WHEN stddev_samp(velocity_sum) OVER w IS NULL OR stddev_samp(velocity_sum) OVER w = 0
+                       THEN 1.0 ELSE stddev_samp(velocity_sum) OVER w END) AS zscore
+       FROM hourly WINDOW w AS (PARTITION BY topic_id ORDER BY ts_hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+    "SELECT ts_hour, topic_id, " + _r("velocity_sum") + " AS velocity_sum, " + _r("zscore") + " AS zscore FROM zb"))
 def q_stream_baseline(spark, sf_dir):
-    hourly = _hourly_sink(spark, sf_dir)
-    src = spark.readStream.schema(spark.read.parquet(hourly).schema).parquet(hourly)
-    sink = ST.run_available_now(ST.expanding_baseline_stream(src), scratch_path(spark, "stream_baseline"),
-                                scratch_path(spark, "ckpt_baseline"))
-    return PL.rounded(spark.read.parquet(sink))
+    hourly = spark.read.parquet(_hourly_sink(spark, sf_dir))
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("baseline_in", "stream_baseline", "ckpt_baseline"))
+    run = lambda: ST.run_available_now(ST.expanding_baseline_stream(
+        spark.readStream.schema(hourly.schema).parquet(src)), sink, ckpt)
+    hourly.write.parquet(src)
+    run()
+    ST.hour_mark(spark, hourly.schema).write.mode("append").parquet(src)
+    run()
+    return PL.rounded(spark.read.parquet(sink).withColumnRenamed("value", "velocity_sum"))
 
 
 # ---------------------------------------------------------------- the reference's full gold flow and run summary

@@ -40,14 +40,19 @@ def _k() -> F.Column:
     return F.get_json_object("props", "$.k").try_cast("int")
 
 
-def bronze_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested bronze (schema of ``schemas.BRONZE``) plus ``_seq``, ``_lang``, ``topic_id``."""
+def bronze_from_tables(spark: SparkSession, sf_dir: str, only: F.Column | None = None) -> DataFrame:
+    """Nested bronze (schema of ``schemas.BRONZE``) plus ``_seq``, ``_lang``, ``topic_id``.
+
+    ``only``: a condition on ``events``, applied before the documents join.
+    """
     ev = events(spark, sf_dir)
     docs = table(spark, sf_dir, "documents", spread_rows=True).select("doc_id", "text", "lang", "source")
     # counts are scalar subqueries evaluated once; the join key is projected
     # first (a subquery inside the join condition itself is not supported)
     n_docs = docs.agg(F.count("*")).scalar()
     ev = ev.withColumns({"_nv": n_videos(ev), "_doc": F.col("event_id") % n_docs})
+    if only is not None:
+        ev = ev.where(only)
     e = ev.join(docs, ev["_doc"] == docs["doc_id"], "inner")
 
     eid = F.col("event_id")
