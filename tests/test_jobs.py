@@ -25,7 +25,7 @@ def test_clean_topics_views(spark):
     assert n > 0 and silver.groupBy("platform", "videoId").count().where("count > 1").count() == 0
     assert silver.where(F.col("lang").isNotNull()).count() > 0.9 * n
     th, vt = jobs.topics_job(spark, os.path.join(root, "silver"), os.path.join(root, "gold"))
-    assert th.columns == TOPICS_HOURLY_COLS
+    assert th.columns == [*TOPICS_HOURLY_COLS, "date"]
     assert vt.count() == n
     top = V.top_topics(V.topic_window(th, vt, V.WindowFilter(hours=None, rising_only=False, min_videos=1)), min_videos=1)
     assert 0 < top.count() <= 20
@@ -52,3 +52,25 @@ def test_clean_job_tie_goes_to_later_file(spark):
     dump("youtube_raw_20250101T110000Z", "2")        # same fetch time, later dump
     silver = jobs.clean_job(spark, os.path.join(root, "bronze"), os.path.join(root, "silver"))
     assert [r.views for r in silver.collect()] == [2.0]
+
+
+def test_clean_job_tie_in_one_file_goes_to_the_later_line(spark):
+    """Equal stamps within a file, however the scan is split."""
+    import json
+    root = tempfile.mkdtemp(prefix="tidemark-jobs-")
+    d = os.path.join(root, "bronze", "youtube_raw_20250101T100000Z")
+    os.makedirs(d)
+    with open(os.path.join(d, "part-0.json"), "w") as f:
+        for i in range(400):
+            f.write(json.dumps({"id": f"video{i % 8:06d}", "_fetched_at": "2025-01-01T10:00:00Z",
+                                "snippet": {"title": f"t{i}", "publishedAt": "2025-01-01T09:00:00Z"}, "statistics": {"viewCount": str(999 - i)}}) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        results = []
+        for size in ("1m", "4k", "1500"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            silver = jobs.clean_job(spark, os.path.join(root, "bronze"), os.path.join(root, f"silver{size}"))
+            results.append(sorted((r.videoId, r.title) for r in silver.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert results[0] == results[1] == results[2] == [(f"video{i:06d}", f"t{392 + i}") for i in range(8)]

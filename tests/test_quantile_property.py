@@ -17,3 +17,20 @@ def test_exact_quantile_property(spark, vals, q, acc):
     got = exact_quantiles(df, ["x"], q, accuracy=acc)["x"]
     want = float(np.quantile(np.array(vals), q))
     assert abs(got - want) <= 1e-9 * max(1.0, abs(want))
+
+
+def test_collected_slice_stays_small(spark, monkeypatch):
+    """Whatever the column's length, at most ``most`` values reach the driver."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.quantile import exact_quantiles
+    DataFrame = type(spark.range(1))
+    seen, real = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(real(self)) or seen[-1])
+    for n in (2_000, 40_000, 200_000):
+        df = spark.range(n).select((F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 7.0).alias("x"))
+        values = [r.x for r in real(df)]
+        got = exact_quantiles(df, ["x"], 0.999, accuracy=500, most=300)["x"]
+        assert got == np.quantile(values, 0.999)
+    assert max(map(len, seen)) <= 300

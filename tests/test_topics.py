@@ -41,3 +41,27 @@ def test_topic_labels_bigram_then_unigram(spark):
     df = spark.createDataFrame(rows, "topic_id int, platform string, videoId string, title_clean string")
     got = {r.topic_id: r.topic_label for r in topic_labels(df).collect()}
     assert got == {1: "x y, y z, w z", 2: "solo, other", 3: "", 4: "p q"}   # one bigram: no unigram fill
+
+
+def test_topic_labels_read_every_title(spark):
+    """Far more than 300 titles: the commonest pair stands in the late ones only."""
+    rows = [(1, "youtube", f"v{i:05d}", f"early{i} one") for i in range(400)]
+    rows += [(1, "youtube", f"w{i:05d}", "late pair" if i % 2 else "next best") for i in range(301)]
+    df = spark.createDataFrame(rows, "topic_id int, platform string, videoId string, title_clean string").repartition(5)
+    assert topic_labels(df).first().topic_label == "next best, late pair, early0 one"
+
+
+def test_kmeans_check_and_topics(spark):
+    from tidemark.operators import textmine as TX
+    df = spark.createDataFrame([(i, f"{'red green' if i % 2 else 'blue yellow'} word{i % 3}") for i in range(40)], "doc_id long, text string")
+    assert tuple(TX.kmeans_check(df, k=4, buckets=64).first()) == (40, 40, 0, 0)
+    ids = {r.doc_id: r.topic_id for r in TX.kmeans_topics(df, k=4, buckets=64).collect()}
+    assert len(ids) == 40 and set(ids.values()) <= set(range(4))
+
+
+def test_tfidf_keeps_every_term(spark):
+    from tidemark.operators import textmine as TX
+    df = spark.createDataFrame([(1, "aa bb cc"), (2, "aa bb dd"), (3, "aa")], "doc_id long, text string")
+    got = {(r.doc_id, r.term) for r in TX.tfidf(df, min_df=1).collect()}
+    assert got == {(1, t) for t in ("aa", "bb", "cc", "aa bb", "bb cc")} | {(2, t) for t in ("aa", "bb", "dd", "aa bb", "bb dd")} | {(3, "aa")}
+    assert {r.term for r in TX.tfidf(df, min_df=2, ngram_max=1).collect()} == {"aa", "bb"}

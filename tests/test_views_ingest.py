@@ -49,17 +49,18 @@ def test_top_topics_order_and_min_videos(spark):
 
 def test_lookback_cap_seen(spark):
     listing = spark.createDataFrame(
-        [("UC1", "v1", T0), ("UC1", "v2", T0 - dt.timedelta(days=1)), ("UC1", "v3", None),
-         ("UC1", "v4", T0 - dt.timedelta(days=9)), ("UC2", "v5", T0)],
-        "channelId string, videoId string, videoPublishedAt timestamp")
+        [("UC1", "v1", T0, 1), ("UC1", "v2", T0 - dt.timedelta(days=1), 3), ("UC1", "v3", None, 2),
+         ("UC1", "v4", T0 - dt.timedelta(days=9), 4), ("UC2", "v5", T0, 1)],
+        "channelId string, videoId string, videoPublishedAt timestamp, position int")
     cutoff = F.lit(T0 - dt.timedelta(days=2))
     kept = IG.lookback(listing, cutoff)
     assert sorted(r.videoId for r in kept.collect()) == ["v1", "v2", "v3", "v5"]
     capped = IG.per_channel_cap(kept, cap=2)
-    assert sorted(r.videoId for r in capped.collect()) == ["v1", "v2", "v5"]       # newest first, unknown last
+    assert sorted(r.videoId for r in capped.collect()) == ["v1", "v3", "v5"]       # list position, time known or not
+    assert IG.per_channel_cap(listing).count() == IG.lookback(listing).count() == 5  # off unless asked for
     seen = spark.createDataFrame([("v1",)], "videoId string")
-    assert sorted(r.videoId for r in IG.skip_seen(capped, seen).collect()) == ["v2", "v5"]   # cap before seen filter
-    assert sorted(r.videoId for r in IG.advance_seen(seen, capped).collect()) == ["v1", "v2", "v5"]
+    assert sorted(r.videoId for r in IG.skip_seen(capped, seen).collect()) == ["v3", "v5"]   # cap before seen filter
+    assert sorted(r.videoId for r in IG.advance_seen(seen, capped).collect()) == ["v1", "v3", "v5"]
     channels = spark.createDataFrame([(" One ", " UC1 "), (None, "UC9")], "name string, channel_id string")
     resolved, unresolved = IG.resolve_channels(capped, channels)
     assert {r.channel_name for r in resolved.collect()} == {"One"}
@@ -70,7 +71,8 @@ def test_unpivot_interest(spark):
     wide = spark.createDataFrame([(T0, 5, None, False)], "ts timestamp, a int, b int, isPartial boolean")
     got = sorted((r.q, r.interest) for r in IG.unpivot_interest(wide).collect())
     assert got == [("a", 5), ("b", 0)]
-    assert IG.clamp_days(30) == 7 and IG.clamp_days(3) == 3
+    long = spark.createDataFrame([(T0, 1), (T0 - dt.timedelta(days=30), 2)], "ts timestamp, n int")
+    assert IG.last_days(long).count() == 2 and IG.last_days(long, 7).count() == 1
 
 
 def test_normalize_gold_and_export(spark):
@@ -89,3 +91,43 @@ def test_normalize_gold_and_export(spark):
     back = spark.read.option("header", True).csv(paths["top_topics"])
     assert back.count() == 1 and "leader_channels" in back.columns
     assert os.path.isdir(paths["top_topics"])
+
+
+def test_outputs_are_ordered(spark):
+    """Row order, not just row sets."""
+    from tidemark.operators import network as NW
+    hours = [T0 + dt.timedelta(hours=h) for h in (3, 0, 2)]
+    sub = spark.createDataFrame([(t, 1, 1.0, 2.0) for t in hours], "ts_hour timestamp, topic_id int, velocity_sum double, rising_score double").repartition(3)
+    topic = spark.createDataFrame([(1,)], "topic_id int")
+    assert [r.ts_hour for r in V.topic_history(sub, topic).collect()] == sorted(hours)
+    rows = [("a", f"c{i % 13}", "t", "en", float(i % 7), T0, 1, "p" if i % 3 else "q") for i in range(60)]
+    tv = spark.createDataFrame(rows, "videoId string, channelTitle string, title_clean string, lang string, decayed_velocity double, "
+                                     "ts_hour timestamp, topic_id int, platform string").repartition(4)
+    got = [r.decayed_velocity for r in V.topic_videos_search(tv).collect()]
+    assert got == sorted(got, reverse=True)
+    mix = [r.momentum for r in V.platform_mix(tv).collect()]
+    assert mix == sorted(mix, reverse=True)
+    top = V.channel_contributions(tv).collect()
+    want = {}
+    for r in rows:
+        want[r[1]] = want.get(r[1], 0.0) + r[4]
+    assert [(r.channelTitle, r.contrib, r["rank"]) for r in top] == [
+        (c, v, i + 1) for i, (c, v) in enumerate(sorted(want.items(), key=lambda x: (-x[1], x[0]))[:10])]
+    weights = [r.weight for r in NW.channel_strength(NW.edges(tv)).collect()]
+    assert weights == sorted(weights, reverse=True) and len(weights) == 13
+    options = [(r.option, r.value) for r in V.filter_options(sub, tv).collect()]
+    assert options == sorted(options)
+    few = spark.createDataFrame([(i, "l", float(i % 4), float(i)) for i in range(15)], "topic_id int, label string, rising_score double, velocity_sum double")
+    assert [r.topic_id for r in V.top_chart(few).collect()] == [11, 7, 3, 14, 10, 6, 2, 13, 9, 5]
+
+
+def test_window_filter_prunes_dates(spark):
+    import os
+    import tempfile
+    root = os.path.join(tempfile.mkdtemp(prefix="tidemark-dates-"), "t")
+    df = spark.createDataFrame([(T0 - dt.timedelta(days=d), d) for d in range(5)], "ts_hour timestamp, topic_id int")
+    df.withColumn("date", F.to_date("ts_hour")).write.partitionBy("date").parquet(root)
+    sub = V.local_date_range(spark.read.parquet(root), "2024-12-31", "2025-01-01")
+    assert sub.count() == 2
+    plan = sub._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan

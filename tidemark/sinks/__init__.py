@@ -45,7 +45,11 @@ def append_manifest(manifest: DataFrame, path: str) -> str:
 
 
 def repair_and_save(df: DataFrame, new_path: str) -> str:
-    """Rewrite a tolerant read as clean CSV into a *new* folder (SNK-6)."""
+    """Rewrite a tolerant read as clean CSV into a *new* folder (SNK-6); a folder that exists is refused."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new_path)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        raise ValueError(f"{new_path} exists; the input must not be overwritten")
     return write_csv(df, new_path)
 
 
