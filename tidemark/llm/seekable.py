@@ -104,11 +104,11 @@ class ShardReader:
         """``n`` bytes from ``begin``, decompressing the frames that hold them only."""
         from bisect import bisect_right
         parts, k = [], bisect_right(self._starts, begin) - 1
+        if n and (not self._frames or begin < 0 or begin + n > sum(self._frames[-1][:2])):
+            raise ValueError("beyond the end of the shard")
         while n > 0:
             at = begin - self._starts[k]
             part = self._frame(k)[at:at + n]
-            if not part:
-                raise ValueError("beyond the end of the shard")
             parts.append(part)
             begin, n, k = begin + len(part), n - len(part), k + 1
         return b"".join(parts)

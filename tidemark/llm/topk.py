@@ -45,7 +45,7 @@ def top_block(x: np.ndarray, ids: np.ndarray, q: np.ndarray, qids: np.ndarray, k
         for i, row in enumerate(q):
             qi = [int(v) for v in row]
             every = sorted((-sum(a * b for a, b in zip(qi, r)), int(ids[j]), j) for j, r in enumerate(xi) if ids[j] != qids[i])
-            found += [(i, j, -s) for s, _, j in every[:k]]
+            found += [(i, j, max(-1 << 63, min((1 << 63) - 1, -s))) for s, _, j in every[:k]]
         return found
     kind = np.float32 if bound < 2 ** 24 else np.float64
     x, q = x.astype(kind), q.astype(kind)
@@ -94,7 +94,8 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
     Vectors that are null or hold a null or non-finite component, and rows without an id, take no
     part.  A query's own row, and any other row with its id, is no candidate.  Shorter vectors count as
     padded with zeros (an empty one scores 0).  Rows that repeat a query's id are queries of their own.
-    Equal scores go to the smaller id.  An empty table gives no rows; with fewer than k
+    Equal scores go to the smaller id.  A score beyond 64 bits
+    ranks by its true value and is returned as the nearest long.  An empty table gives no rows; with fewer than k
     candidates all are returned.
     """
     spark = table.sparkSession
