@@ -1,6 +1,7 @@
 """Text mining on tables: n-grams, topic labels, TF-IDF, k-means topics."""
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,13 +110,14 @@ def _kmeans(docs: DataFrame, doc_key: str, terms, k: int, seed: int, buckets: in
         KMeans(k=k, seed=seed, featuresCol="features", predictionCol="topic_id"),
     ])
     model = pipe.fit(rows)
-    centers = model.stages[-1].clusterCenters()
-    shared = rows.sparkSession.sparkContext.broadcast([(c, float(c @ c)) for c in centers])
+    centers = np.array(model.stages[-1].clusterCenters())
+    shared = rows.sparkSession.sparkContext.broadcast((centers.T.copy(), (centers * centers).sum(axis=1)))
 
     def gap(v, topic):
         """Squared distance to the topic's center minus that to the nearest one."""
-        near = [sq - 2.0 * float(sum(x * c[i] for i, x in zip(v.indices, v.values))) for c, sq in shared.value]
-        return near[topic] - min(near)
+        by_bucket, squares = shared.value
+        near = squares - 2.0 * (v.values @ by_bucket[v.indices])
+        return float(near[topic] - near.min())
     return model.transform(rows).select(doc_key, F.col("topic_id").cast("int").alias("topic_id"),
                                         F.udf(gap, "double")("features", "topic_id").alias("_gap"))
 
