@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import numeric as N
 from tidemark.functions import parse as P
 from tidemark.functions import text as X
-from tidemark.operators.textmine import choose_k, text_params
 
 
 def col1(spark, values, expr, dtype="string"):
@@ -92,7 +91,15 @@ def test_winsorise_and_decay(spark):
     assert abs(d - 10.0 * 0.36787944117144233) < 1e-12
 
 
-def test_choose_k_and_params():
-    assert [choose_k(n) for n in (5, 39, 40, 319, 320, 400, 4800, 5010)] == [2, 7, 4, 4, 4, 5, 60, 60]
-    assert text_params(501) == {"max_features": 12000, "min_df": 2, "ngram_max": 2}
-    assert text_params(9) == {"max_features": 8000, "min_df": 1, "ngram_max": 1}
+def test_duration_overflow_and_script_share(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.parse import iso_duration_seconds
+    from tidemark.operators import langid
+    df = spark.createDataFrame([("P99999999999999999D",), ("P99999999999999999999999D",), ("P1DT1S",), ("PT",)], "d string")
+    assert [r[0] for r in df.select(iso_duration_seconds("d")).collect()] == [None, None, 86401, 0]
+    rows = [(1, "plain words of one language and a letter அ", "en"), (2, "more plain words here", "en"), (3, "அஆஇஈஉ word", None), (4, "palabras de otra lengua", "es")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.fit_detect(docs).collect()}
+    assert got == {1: "en", 2: "en", 3: "ta", 4: "es"}
+    assert langid.fit_detect(docs.withColumn("lang", F.lit(None).cast("string"))).where("lang_pred IS NOT NULL AND doc_id <> 3").count() == 0

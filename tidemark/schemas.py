@@ -26,6 +26,7 @@ BRONZE = T.StructType([
     T.StructField("_corrupt", T.StringType()),
 ])
 
+# Column names and order of the silver and gold tables are the output contract.
 SILVER_COLS = [
     "platform", "videoId", "channelId", "channelTitle",
     "title", "title_clean", "description", "lang", "duration_sec",
@@ -35,22 +36,11 @@ SILVER_COLS = [
     "decayed_velocity",
 ]
 
-TOPICS_HOURLY_COLS = [
-    "ts_hour", "topic_id", "topic_label", "leader_channels",
-    "velocity_sum", "video_count", "channel_count",
-    "zscore", "rising_flag", "rising_score", "sample_title",
-]
-
 VIDEOS_WITH_TOPICS_COLS = [
     "videoId", "channelId", "channelTitle", "title_clean", "lang",
     "decayed_velocity", "ts_hour", "topic_id", "platform",
 ]
 
-CHANNELS = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("channel_id", T.StringType()),
-])
-
 TOPICS_HOURLY = T.StructType([
     T.StructField("ts_hour", T.TimestampType()),
     T.StructField("topic_id", T.IntegerType()),
@@ -65,14 +55,4 @@ TOPICS_HOURLY = T.StructType([
     T.StructField("sample_title", T.StringType()),
 ])
 
-VIDEOS_WITH_TOPICS = T.StructType([
-    T.StructField("videoId", T.StringType()),
-    T.StructField("channelId", T.StringType()),
-    T.StructField("channelTitle", T.StringType()),
-    T.StructField("title_clean", T.StringType()),
-    T.StructField("lang", T.StringType()),
-    T.StructField("decayed_velocity", T.DoubleType()),
-    T.StructField("ts_hour", T.TimestampType()),
-    T.StructField("topic_id", T.IntegerType()),
-    T.StructField("platform", T.StringType()),
-])
+TOPICS_HOURLY_COLS = TOPICS_HOURLY.names
