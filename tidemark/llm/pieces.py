@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, texts
+from .words import Cached
 
 CHUNK = 1 << 15
 BLOCK = 256                                    # chunks composed by one task
@@ -188,20 +189,6 @@ def load(data: bytes) -> Matrix:
     return out
 
 
-class _Cached(dict):
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, unit: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        got = self.encode(unit)
-        if len(unit) <= 64:
-            self[unit] = got
-        return got
-
-
 class Pieces:
     """A SentencePiece BPE model whose pieces hold the space mark only in front, with byte fallback."""
 
@@ -224,7 +211,7 @@ class Pieces:
         self.texts = [b"" if sp.is_control(i) else " ⁇ ".encode() if sp.is_unknown(i) else bytes([int(p[3:5], 16)])
                       if sp.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
         one = lambda s: array("I", sp.encode(s)).tobytes()
-        self._bare, self._after = _Cached(one), _Cached(lambda s: one(" " + s))
+        self._bare, self._after = Cached(one), Cached(lambda s: one(" " + s))
         self._newline = one("\n")
         self._pairs: dict[tuple[str, str], bool] = {}
         self.lattice = Lattice(dict.fromkeys(self.scores, 0.0), self._joins, syncs=True)

@@ -13,27 +13,35 @@ from array import array
 # The Unicode White_Space characters (fixed values).
 _WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
-_ADJACENT = re.compile(f"[ \n][{_WS}]|[{_WS}][ \n]")
-# One run of Latin-1 letters, then ASCII punctuation (no apostrophe): always two separate words.
-_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]+)")
+_OTHER = re.compile(f"[{_WS}]".replace(" ", "").replace("\t-\r", "\t\x0b-\r"))
+# One run of Latin-1 letters, then perhaps ASCII punctuation (no apostrophe): always two separate words.
+_LETTERS, _MARKS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "!-&(-/:-@\\[-`{-~"
+_TAIL = ".,;:!?%$&*#|)\"-"                        # marks of _MARKS that words end in most often
+_PLAIN = re.compile(f"( ?[{_LETTERS}]+)([{_MARKS}]*)")
 
 CACHE_ENTRIES = 600_000
 
 
-class _Cached(dict):
-    """Text of a unit → its ids as little-endian unsigned 32-bit integers."""
+class Cached(dict):
+    """Unit → what ``encode`` gives for it; of at most twice ``entries`` units, those met recently.
 
-    def __init__(self, encode, split=True):
+    A full memory becomes the older generation, from which units that are met again return.
+    """
+
+    def __init__(self, encode, entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.encode, self.parts = encode, _Cached(encode, False) if split else None
+        self.encode, self.entries, self.older = encode, entries, {}
 
     def __missing__(self, unit: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
+        got = self.older.pop(unit, None)
+        if got is None:
+            got = self.encode(unit)
+            if len(unit) > 64:
+                return got
+        if len(self) >= self.entries:
+            self.older = dict(self)
             self.clear()
-        m = _PLAIN.fullmatch(unit) if self.parts is not None else None
-        got = self.parts[m[1]] + self.parts[m[2]] if m else self.encode(unit)
-        if len(unit) <= 64:
-            self[unit] = got
+        self[unit] = got
         return got
 
 
@@ -46,26 +54,54 @@ class WordEncoder:
     """Ids of whole texts by the tokenizer in ``path``; ``spaced``: white space belongs to the words after it."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True       # the special tokens' names in a text are ordinary text
         self._tok = tok
         self.spaced = bool(pack(tok.encode("a b", add_special_tokens=False).ids) !=
                            pack(tok.encode("a  b", add_special_tokens=False).ids))
         one = lambda s: pack(tok.encode(s, add_special_tokens=False).ids)
+        # A single word needs no cutting: it goes to the library's merges at once, in its byte alphabet.
+        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        byte_names = {c: alphabet.pre_tokenize_str(chr(c))[0][0] for c in range(32, 256)}
+        merges, lower = tok.model, not self.spaced
+
+        mark = byte_names[32]
+
+        def word(part: str) -> bytes:
+            if lower:
+                part = part.lower()
+            if part.isascii():                 # only the blank has another name
+                name = mark + part[1:] if part[0] == " " else part
+            else:
+                name = part.translate(byte_names)
+            return array("I", [t.id for t in merges.tokenize(name)]).tobytes()
+        parts = Cached(word)
+
+        def split(unit: str, space: str = "") -> bytes:
+            core = unit.rstrip(_TAIL)
+            if core.isalpha() and core.isascii():
+                return parts[space + core] + parts[unit[len(core):]] if len(core) < len(unit) else parts[space + core]
+            m = _PLAIN.fullmatch(unit)
+            return (parts[space + m[1]] + (parts[m[2]] if m[2] else b"")) if m else one(space + unit)
+        self._first = Cached(split)                                       # a unit as it stands
         if self.spaced:
-            self._first = _Cached(one)                                    # a unit as it stands
-            self._after = _Cached(lambda s: one(" " + s), False)          # a unit after one space
-            self._after.parts = _Spaced(self._first)
+            self._after = Cached(lambda unit: split(unit, " "))           # a unit after one space
             self._newline = one("\n")
-        else:
-            self._first = _Cached(one)
+
+    @staticmethod
+    def _unusual(text: str) -> bool:
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+            return True
+        if text.isascii():
+            return "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text
+        return _OTHER.search(text) is not None
 
     def encode(self, text: str) -> bytes:
         if not self.spaced:
             first = self._first
             return b"".join([first[u] for u in text.replace("\n", " ").split(" ") if u])
-        if _ADJACENT.search(text):             # runs of white space: general cut
+        if self._unusual(text):                # runs of white space, or other than blank and line break: general cut
             first = self._first
             return b"".join([first[u] for u in _UNIT.findall(text)])
         first, after = self._first, self._after
@@ -76,16 +112,6 @@ class WordEncoder:
         return self._newline.join(lines)
 
 
-class _Spaced:
-    """Parts of a unit after a space: the letters take the space, the punctuation does not."""
-
-    def __init__(self, plain: _Cached):
-        self.plain = plain
-
-    def __getitem__(self, part: str) -> bytes:
-        return self.plain[" " + part if part[0].isalpha() else part]
-
-
 _encoders: dict[str, WordEncoder] = {}
 
 
