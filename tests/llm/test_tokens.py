@@ -45,7 +45,7 @@ def test_cache_keeps_recent_units_when_full():
 def test_token_files_round_trip(llm, make, odd_rows):
     folder, ref = scratch_path(llm, "t"), library(BYTES)
     index = seekable.write_token_files(make(odd_rows), folder, BYTES, frame_bytes=512)
-    got = seekable.starts(seekable.read_token_files(index, folder)).collect()
+    got = seekable.starts(seekable.read_token_files(index, folder), index).collect()
     key = lambda d, t: (d is not None, d or 0, t or "")
     want, start = [], 0
     for doc, text in sorted(odd_rows, key=lambda r: key(*r)):

@@ -74,7 +74,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = seekable.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
     read = seekable.read_token_files(index, folder).select(
         "doc_id", "shard", "at", "n_tokens", seekable.crc32_ids().alias("ids_crc32"))
-    return seekable.starts(read).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return seekable.starts(read, index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -193,14 +193,15 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
         run, "doc_id long, shard int, file string, at long, n_tokens long, ids binary")
 
 
-def starts(index: DataFrame) -> DataFrame:
-    """The index with ``start``: the ids of all documents before each one.
+def starts(rows: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """``rows`` (of the index, or read by it) with ``start``: the ids of all documents before each one.
 
-    The running sum goes over one row per shard (as many as write tasks), never over documents.
+    The running sum goes over one row per shard (as many as write tasks), never over documents; it is
+    taken from the whole ``index``, so the files are not read for it.
     """
-    totals = index.groupBy("shard").agg(F.sum("n_tokens").alias("_n"))
+    totals = (rows if index is None else index).groupBy("shard").agg(F.sum("n_tokens").alias("_n"))
     before = totals.select("shard", (F.sum("_n").over(Window.orderBy("shard")) - F.col("_n")).alias("_before"))
-    return index.join(before, "shard").withColumn("start", F.col("_before") + F.col("at")).drop("_before")
+    return rows.join(before, "shard").withColumn("start", F.col("_before") + F.col("at")).drop("_before")
 
 
 def crc32_ids(data: str = "ids"):
