@@ -104,7 +104,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     multi = chunks.withColumn("place", F.struct("doc_id", "rid", "chunk"))
     copies = stage(multi.select("hash", "place").groupBy("hash").agg(
         F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).where("n > 1").drop("n"), "chunk_hashes")
-    again = stage(multi.select("hash", "rid", "chunk", "n_lines", "place", "body").join(copies, "hash"), "copies")
+    again = stage(multi.select("hash", "rid", "chunk", "n_lines", "place", "body")
+                  .join(copies.hint("merge"), "hash"), "copies")
     removed = []
     while True:
         firsts = again.where("place = first").select("hash", F.col("body").alias("first_body"))
@@ -117,6 +118,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         again = stage(others.join(others.groupBy("hash").agg(F.min("place").alias("first")), "hash"), "copies")
     gone = reduce(DataFrame.unionAll, removed).groupBy("rid").agg(
         F.collect_set("chunk").alias("gone"), F.sum("n_lines").cast("long").alias("n_removed_lines"))
-    return rows.join(gone, "rid", "left").mapInArrow(
+    # merge joins at every size: neither side has a size bound
+    return rows.join(gone.hint("merge"), "rid", "left").mapInArrow(
         _rebuilder((window, divisor, least, most)),
         "doc_id long, rid long, n_lines long, n_chunks long, n_removed_lines long, text string")
