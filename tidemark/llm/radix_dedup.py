@@ -45,11 +45,17 @@ def _normaliser(width: int):
 
 
 def _split(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One radix split: rows equal on ``keys`` share ``gid``, their largest row in the order (doc_id, rid)."""
-    groups = rows.groupBy(*keys).agg(F.max("ord").alias("gid"), F.max("doc_id").alias("keep_id"),
-                                     F.count(F.lit(1)).alias("group_size"))
-    return rows.withColumnsRenamed({k: f"_{k}" for k in keys}).join(
-        groups, reduce(lambda a, b: a & b, [F.col(f"_{k}") == F.col(k) for k in keys]))
+    """One radix split: rows equal on ``keys`` share ``gid``, their largest row in the order (doc_id, rid).
+
+    Groups of several rows are written before they are joined back, so the join has an
+    exchange of its own on both sides and AQE can split a hot group.
+    """
+    groups = stage(rows.groupBy(*keys).agg(F.max("ord").alias("gid"), F.max("doc_id").alias("keep_id"),
+                                           F.count(F.lit(1)).alias("group_size"))
+                   .where("group_size > 1").withColumnsRenamed({k: f"_{k}" for k in keys}), "radix_groups")
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys])
+    own = {"gid": "ord", "keep_id": "doc_id", "group_size": F.lit(1).cast("long")}
+    return rows.join(groups, on, "left").withColumns({c: F.coalesce(c, v) for c, v in own.items()})
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
