@@ -13,9 +13,11 @@ space).  Similarity is the weighted Jaccard of two multisets: sum of minima over
    they pass the latest slot, which is why long documents cost about one point per shingle.
 3. Bands of ``ROWS`` slots give buckets.  Each bucket's first member is its centre; every member is verified against
    it by exact multiset overlap (the texts' own shingles), never pairwise.  Verified links give components.
-4. Buckets that still hold several components: members outside the centre's component are
-   verified against members of other components.  Pairs inside a component need no test, so
-   a group of copies costs links in proportion to its size, and no link between components is lost.
+4. Buckets that still hold several components: members outside the centre's component are compared with members
+   of other components by their signatures, block by block inside a task, and only pairs whose estimate is within
+   5 standard errors of the threshold leave it, to be verified.  A first round sends each member's few best, which joins most
+   components; the second sends all that are left.  Pairs inside a component need no test, so a group of
+   copies costs links in proportion to its size, and no link between components is lost.
 """
 from __future__ import annotations
 
@@ -35,6 +37,10 @@ SIMILARITY = 0.8
 BANDS = 30
 ROWS = 5
 POINTS = 50_000                                # points drawn at once
+FIRST_BEST = 3                                 # candidates of a member in the first round between components
+ERRORS = 5.0                                   # standard errors that an estimate may lie below the threshold
+BLOCK = 2048                                   # members of a bucket compared in one task
+KEPT_BAGS = 512                                # counted texts that a task keeps
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -127,7 +133,7 @@ def signatures(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int, s
 
 def _sketch(bands: int, rows: int):
     schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
-                        ("text", pa.binary()), ("bands", pa.list_(pa.int64()))])
+                        ("text", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -147,21 +153,26 @@ def _sketch(bands: int, rows: int):
             keys = [x.view(np.int64) if n else np.zeros(0, np.int64) for x, n in zip(band, sizes)]
             yield pa.RecordBatch.from_arrays([
                 b.column(0), b.column(2), pa.array(prints[:, 0].copy().view(np.int64)), pa.array(prints[:, 1].copy().view(np.int64)),
-                b.column(1), pa.array(keys, pa.list_(pa.int64()))], schema=schema)
+                b.column(1), pa.array(keys, pa.list_(pa.int64())),
+                pa.array([x.tobytes() for x in _mix(sig.view(np.uint64)).astype(np.uint16)], pa.binary())], schema=schema)
     return run
 
 
 def _overlap():
-    """Similarity of two packed texts, row by row; the last right-hand text is kept counted."""
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        last, bag = None, None
-        for us, vs, vid in batches:
-            out = []
-            for u, v, k in zip(us, vs, vid):
-                if k != last:
-                    last, bag = k, counted(word_hashes(unpack(bytes(v)).decode("utf-8", "surrogatepass")))
-                out.append(similarity(counted(word_hashes(unpack(bytes(u)).decode("utf-8", "surrogatepass"))), bag))
-            yield pd.Series(out, dtype="float64")
+    """Similarity of two packed texts, row by row; texts met recently stay counted."""
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        bags: dict[int, tuple] = {}
+
+        def counts(rid: int, packed: bytes) -> tuple:
+            got = bags.pop(rid, None)
+            if got is None:
+                got = counted(word_hashes(unpack(bytes(packed)).decode("utf-8", "surrogatepass")))
+                if len(bags) >= KEPT_BAGS:
+                    del bags[next(iter(bags))]
+            bags[rid] = got                    # the last one met goes last
+            return got
+        for batch in batches:
+            yield pd.Series([similarity(counts(u, x), counts(v, y)) for u, x, v, y in zip(*batch)], dtype="float64")
     return F.pandas_udf(run, "double")
 
 
@@ -170,7 +181,7 @@ def _verified(pairs: DataFrame, members: DataFrame, least: float) -> DataFrame:
     left = members.select(F.col("rid").alias("u"), F.col("text").alias("u_text"))
     right = members.select(F.col("rid").alias("v"), F.col("text").alias("v_text"))
     both = pairs.join(left, "u").join(right, "v")
-    return stage(both.select("u", "v", _overlap()("u_text", "v_text", "v").alias("similarity"))
+    return stage(both.select("u", "v", _overlap()("u", "u_text", "v", "v_text").alias("similarity"))
                  .where(F.col("similarity") >= least).select("u", "v"), "links")
 
 
@@ -178,7 +189,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     """``node, label`` (smallest node of the component) of every node with a link.
 
     Alternating large-star and small-star steps; each is an aggregate joined back, so a hub
-    is reduced on the map side and no neighbourhood is gathered.  Every step is written, which cuts the lineage.
+    is reduced on the map side and no neighbourhood is gathered.  Every round is written, which cuts the lineage.
     """
     edges = stage(links.selectExpr("greatest(u, v) AS a", "least(u, v) AS b").where("a <> b").distinct(), name)
     seen = None
@@ -186,7 +197,6 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         both = edges.unionAll(edges.selectExpr("b AS a", "a AS b"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a", "least(a, m) AS m")
         large = both.where("b > a").join(least, "a").selectExpr("b AS a", "m AS b").where("a <> b").distinct()
-        large = stage(large, name)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").selectExpr("explode(array(struct(b AS a, m AS b), struct(a AS a, m AS b))) AS e").select("e.*")
         edges = stage(small.where("a <> b").distinct(), name)
@@ -198,6 +208,44 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         edges.selectExpr("b AS node", "b AS label").distinct())
 
 
+def _between(inside: DataFrame, slots: int, least: float, best: int | None) -> DataFrame:
+    """Candidate pairs (u > v) between components of a bucket, by signature: all, or each outsider's ``best``.
+
+    ``inside``: key, u, label, sig, out (outside the centre's component).  A bucket's outsiders and its
+    members are dealt to blocks of bounded size; a task compares one block with one block.
+    """
+    floor = least - ERRORS * float(np.sqrt(least * (1 - least) / slots))
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    sizes = stage(inside.groupBy("key").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS INT)").alias("mb"),
+                                            F.expr(f"CAST(ceil(count_if(out) / {BLOCK}) AS INT)").alias("ob")).where("ob > 0"), "bucket_sizes")
+    deal = lambda n: F.expr(f"CAST(pmod(xxhash64(u), {n}) AS INT)")
+    rows = inside.join(sizes, "key")
+    members = rows.select("key", "u", "label", "sig", deal("mb").alias("m"), F.explode(F.sequence(F.lit(0), F.col("ob") - 1)).alias("o"))
+    outside = rows.where("out").select("key", "u", "label", "sig", deal("ob").alias("o"), F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("m"))
+    outside = outside.select(*[F.col(c).alias(c) for c in outside.columns])      # both sides come from the same rows
+
+    def run(o: pa.Table, m: pa.Table) -> pa.Table:
+        us, vs = [], []
+        if o.num_rows and m.num_rows:
+            (oi, ol, os), (mi, ml, ms) = (
+                (t.column("u").to_numpy(), t.column("label").to_numpy(),
+                 np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(t.num_rows, -1)) for t in (o, m))
+            for s in range(0, len(oi), 32):
+                share = (os[s:s + 32, None, :] == ms[None, :, :]).mean(axis=2)
+                share[ol[s:s + 32, None] == ml[None, :]] = 0.0
+                if best and share.shape[1] > best:
+                    cut = -np.partition(-share, best - 1, axis=1)[:, best - 1:best]
+                    share[share < cut] = 0.0
+                i, j = np.nonzero(share >= floor)
+                us.append(oi[s:s + 32][i])
+                vs.append(mi[j])
+        u = np.concatenate(us) if us else np.zeros(0, np.int64)
+        v = np.concatenate(vs) if vs else np.zeros(0, np.int64)
+        return pa.table([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], schema=schema)
+    by = ["key", "o", "m"]
+    return outside.groupBy(*by).cogroup(members.groupBy(*by)).applyInArrow(run, "u long, v long").distinct()
+
+
 def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY,
              bands: int = BANDS, rows: int = ROWS, row_col: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, rid, class_id, class_size, kept``.
@@ -208,7 +256,7 @@ def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     the class named by null only if no member has an id.  An empty table gives no rows.  ``rid`` numbers the rows in scan order (or is ``row_col``).
     """
     base = stage(packed_texts(docs, id_col, text_col, row_col).mapInArrow(
-        _sketch(bands, rows), "doc_id long, rid long, f1 long, f2 long, text binary, bands array<long>"), "sketches")
+        _sketch(bands, rows), "doc_id long, rid long, f1 long, f2 long, text binary, bands array<long>, sig binary"), "sketches")
     classes = stage(base.groupBy("f1", "f2").agg(F.min("rid").alias("rep")), "classes")
     reps = base.join(classes.select(F.col("rep").alias("rid")), "rid", "left_semi")
     keys = stage(reps.select("rid", F.explode("bands").alias("key")), "band_keys")
@@ -218,26 +266,28 @@ def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     shared = stage(keys.join(centres, "key").selectExpr("key", "rid AS u", "v"), "shared")
     pairs = stage(shared.where("u <> v").select("u", "v").distinct(), "pairs")
     nodes = pairs.select(F.col("u").alias("rid")).unionAll(pairs.select(F.col("v").alias("rid"))).distinct()
-    members = stage(base.select("rid", "text").join(nodes, "rid", "left_semi"), "members")
+    members = stage(base.select("rid", "text", "sig").join(nodes, "rid", "left_semi"), "members")
     links = _verified(pairs, members, least)
-    found = stage(components(links), "components")
+    found = components(links)
 
     # 4. buckets that still hold several components
-    label = lambda df: df.join(found.withColumnRenamed("node", "u"), "u", "left").withColumn(
-        "label", F.coalesce("label", "u"))
-    placed = label(shared)
-    split = stage(placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
-                  .where("lo < hi AND n > 2").select("key"), "split_buckets")
-    if not is_empty(split):
-        inside = stage(placed.join(split, "key"), "split_members")
-        centre = inside.where("u = v").select("key", F.col("label").alias("c"))
-        out = inside.join(centre, "key").where("label <> c AND u <> v").select("key", F.col("u").alias("o"), F.col("label").alias("o_label"))
-        more = (out.join(inside.where("u <> v").select("key", "u", "label"), "key").where("o <> u AND o_label <> label")
-                .selectExpr("greatest(o, u) AS u", "least(o, u) AS v").distinct()
-                .join(pairs, ["u", "v"], "left_anti"))
-        late = _verified(stage(more, "late_pairs"), members, least)
+    tested = pairs.selectExpr("greatest(u, v) AS u", "least(u, v) AS v")
+    for best in (FIRST_BEST, None):
+        placed = shared.join(found.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
+        split = stage(placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                                F.max(F.when(F.col("u") == F.col("v"), F.col("label"))).alias("c"))
+                      .where("lo < hi AND n > 2").select("key", "c"), "split_buckets")
+        if is_empty(split):
+            break
+        inside = placed.join(split, "key").join(members.select(F.col("rid").alias("u"), "sig"), "u").select(
+            "key", "u", "label", "sig", (F.col("label") != F.col("c")).alias("out"))
+        more = stage(_between(stage(inside, "split_members"), bands * rows, least, best)
+                     .join(tested, ["u", "v"], "left_anti"), "late_pairs")
+        late = _verified(more, members, least)
         if not is_empty(late):
-            found = stage(components(links.unionAll(late)), "components")
+            links = links.unionAll(late)
+            found = components(links)
+        tested = tested.unionAll(more)
 
     labels = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "f1", "f2", F.coalesce("label", "rep").alias("label"))
