@@ -95,18 +95,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # where the documents repeat an id.
     found = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
              .join(F.broadcast(sample), "id"))
-    counts = F.pandas_udf(lambda s: pd.Series([term_counts(bytes(t)).tobytes() for t in s]), "binary")
+    counts = F.pandas_udf(lambda s: pd.Series([term_counts(bytes(t)).astype("<f4").tobytes() for t in s]), "binary")
     got = (found.select("id", "label", counts("text").alias("counts")).orderBy(*order, "label", "counts")
            .limit(2 * per_label).toArrow())
     if not got.num_rows:
         return None
-    raw = np.array([np.frombuffer(c, np.float64) for c in got.column("counts").to_pylist()])
+    # one single-precision copy on the driver, turned into weights in place
     y = got.column("label").to_numpy().astype(np.float64)
-    idf = np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))) + 1
-    x = _unit(np.sqrt(raw / np.maximum(raw.sum(axis=1, keepdims=True), 1)) * idf)
-    _, axes = np.linalg.eigh(x.T @ x)
+    x = np.empty((got.num_rows, TERMS), np.float32)
+    for row, c in zip(x, got.column("counts")):
+        row[:] = np.frombuffer(c.as_buffer(), "<f4")
+    del got
+    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1
+    x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
+    np.sqrt(x, out=x)
+    x *= idf.astype(np.float32)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))
     axes = axes[:, ::-1][:, :dimensions].astype(np.float32)
-    return Model(idf, axes, _unit(x.astype(np.float32) @ axes), y)
+    return Model(idf, axes, _unit(x @ axes), y)
 
 
 def vote(model: Model, texts: list[bytes], neighbours: int = NEIGHBOURS, sharpness: int = SHARPNESS) -> np.ndarray:
