@@ -17,7 +17,7 @@ def tokenizer_path(name: str) -> str:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select(
+    return line_dedup.passage_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_chunks", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
 
 
