@@ -51,13 +51,19 @@ def pack(ids) -> bytes:
 
 
 class WordEncoder:
-    """Ids of whole texts by the tokenizer in ``path``; ``spaced``: white space belongs to the words after it."""
+    """Ids of whole texts by the tokenizer in ``path``; ``spaced``: white space belongs to the words after it.
 
-    def __init__(self, path: str):
+    ``names_are_text``: the added tokens' names in a text are ordinary text; else they are the
+    tokens themselves, as the library has it unless told otherwise.
+    """
+
+    def __init__(self, path: str, names_are_text: bool = True):
         from tokenizers import Tokenizer, pre_tokenizers
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True       # the special tokens' names in a text are ordinary text
+        tok.encode_special_tokens = True       # words are asked for as ordinary text
         self._tok = tok
+        self._whole = None if names_are_text else Tokenizer.from_file(path)
+        self._added = () if names_are_text else tuple(t.content for t in tok.get_added_tokens_decoder().values())
         self.spaced = bool(pack(tok.encode("a b", add_special_tokens=False).ids) !=
                            pack(tok.encode("a  b", add_special_tokens=False).ids))
         one = lambda s: pack(tok.encode(s, add_special_tokens=False).ids)
@@ -98,6 +104,9 @@ class WordEncoder:
         return _OTHER.search(text) is not None
 
     def encode(self, text: str) -> bytes:
+        for name in self._added:
+            if name in text:                   # rare: the library cuts such a text at the tokens itself
+                return pack(self._whole.encode(text, add_special_tokens=False).ids)
         if not self.spaced:
             first = self._first
             return b"".join([first[u] for u in text.replace("\n", " ").split(" ") if u])
@@ -116,7 +125,7 @@ _encoders: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder of a file (kept between tasks with its cache)."""
+    """The worker's encoder of a file (kept between tasks with its cache): ids are those of the library's default."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = WordEncoder(path, names_are_text=False)
     return _encoders[path]
