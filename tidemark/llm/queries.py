@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import line_dedup, near_dup, packing, pieces, quality, radix_dedup, seekable, suffix_dedup, topk
+from . import conversation_repair, line_dedup, near_dup, packing, pieces, quality, radix_dedup, seekable, suffix_dedup, topk
 from . import secret_scan
 from .common import prepare, table
 
@@ -91,6 +91,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    rows = conversation_repair.damaged(conversation_repair.rows_of(table(spark, sf_dir, "conversations")))
+    return conversation_repair.summary(conversation_repair.repair(rows))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -102,6 +108,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -127,7 +134,57 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (doc_id)"""
 
 
+# CRC-32 by its table, built in SQL; the key is ASCII.  Then the cheapest edits row by row, per state the least cost and audit.
+_REPAIR_SQL = r"""WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+    lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS tab),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+d AS (SELECT k.*, xor(list_reduce([4294967295] || list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda c, b: xor(c // 256, tab[xor(c % 256, b) + 1])), 4294967295) % 20 AS kind FROM k, crc),
+e AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+      CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+      unnest(CASE kind WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM d WHERE kind > 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, left(role, 64), left(text, 64),
+      md5(length(role) || ':' || role || text), copy) AS i FROM e),
+f AS (SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE '-' END AS init,
+      regexp_replace(text, '[\x20\x09-\x0D]+\z', '') AS bare,
+      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM o),
+r AS (SELECT *, CASE WHEN bare = '' THEN 1 WHEN seen > 1 THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM f),
+ins(q, x, letters, lines) AS (VALUES
+  (0, 0, '', ''), (0, 2, 'I', chr(10) || 'user:'), (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 1, '', ''), (1, 2, 'I', chr(10) || 'user:'), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (2, 2, '', ''), (2, 3, 'I', chr(10) || 'assistant:'), (2, 2, 'II', chr(10) || 'assistant:' || chr(10) || 'user:'),
+  (3, 3, '', ''), (3, 2, 'I', chr(10) || 'user:'), (3, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+kept(init, x, nxt) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+turned(x, nxt, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+edit AS (SELECT q, letters || 'D' AS letters, lines, '-' AS act, x AS nxt, 2 * length(letters) + 3 AS cost, '*' AS init, '' AS role FROM ins
+  UNION ALL SELECT q, letters || 'K', lines, 'K', nxt, 2 * length(letters), init, '' FROM ins JOIN kept USING (x)
+  UNION ALL SELECT q, letters || 'R', lines, 'R', nxt, 2 * length(letters) + 2, '*', role FROM ins JOIN turned USING (x)),
+path AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, CAST(0 AS BIGINT) AS cost, '' AS audit, '' AS lines FROM r WHERE i = 1
+  UNION ALL SELECT conv_id, i, q, cost, audit, lines FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) AS best FROM (
+    SELECT p.conv_id, r.i, edit.nxt AS q, p.cost + edit.cost + CASE WHEN r.fault = 3 AND act <> '-' THEN 1 ELSE 0 END AS cost,
+           p.audit || edit.letters AS audit, p.lines || edit.lines || CASE act WHEN '-' THEN '' WHEN 'K' THEN chr(10) || r.role || ':' || r.text
+             ELSE chr(10) || edit.role || ':' || r.text END AS lines
+    FROM path p JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+    JOIN edit ON edit.q = p.q AND (edit.init = '*' OR edit.init = r.init) AND (act = '-' OR r.fault IN (0, 3)))) WHERE best = 1),
+c AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+      count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated FROM r GROUP BY conv_id),
+g AS (SELECT conv_id, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT conv_id,
+      lag(init) OVER (PARTITION BY conv_id ORDER BY i) || init AS pair FROM r) GROUP BY conv_id),
+z(q, more, letters, lines) AS (VALUES (0, 0, '', ''), (1, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (2, 2, 'I', chr(10) || 'assistant:'), (3, 0, '', '')),
+b AS (SELECT p.conv_id, cost + more AS cost, audit || letters AS audit, p.lines || z.lines AS lines
+      FROM path p JOIN c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.i JOIN z USING (q)
+      QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY cost + more, audit || letters) = 1),
+a AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(substr(lines, 2), '')) AS repaired_sha256
+FROM a LEFT JOIN c ON a.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN g ON a.conv_id IS NOT DISTINCT FROM g.conv_id
+LEFT JOIN b ON a.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+
 ORACLE = {
+    "op11_conversation_repair": _REPAIR_SQL,
     "op5_exact_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
