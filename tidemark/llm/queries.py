@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import conversation_repair, line_dedup, near_dup, packing, pieces, quality, radix_dedup, seekable, suffix_dedup, topk
-from . import secret_scan
+from . import secret_scan, substring_trees
 from .common import prepare, table
 
 
@@ -97,6 +97,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.summary(conversation_repair.repair(rows))
 
 
+def op12_substring_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return substring_trees.substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -109,6 +115,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_substring_trees": op12_substring_trees,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -183,7 +190,20 @@ FROM a LEFT JOIN c ON a.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN g ON a.
 LEFT JOIN b ON a.conv_id IS NOT DISTINCT FROM b.conv_id"""
 
 
+_WINDOW_SQL = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS o,
+  list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT r, o, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) > 12),
+p AS (SELECT r, o, i, array_to_string(w[i:i + 12], ' ') AS words FROM s),
+f AS (SELECT words, min(o) AS least FROM p GROUP BY words HAVING min(o) < max(o)),
+g AS (SELECT r, list_distinct(flatten(list(range(i, i + 13)))) AS gone FROM p JOIN f USING (words) WHERE o > least GROUP BY r),
+k AS (SELECT doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN g USING (r))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN len(gone) = 0 THEN w WHEN len(gone) = len(w) THEN []
+         ELSE list_where(w, list_transform(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i))) END, ' '), '')) AS kept_sha256 FROM k"""
+
+
 ORACLE = {
+    "op12_substring_trees": _WINDOW_SQL,
     "op11_conversation_repair": _REPAIR_SQL,
     "op5_exact_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
