@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import conversation_repair, line_dedup, near_dup, packing, pieces, quality, radix_dedup, seekable, suffix_dedup, topk
-from . import secret_scan, substring_trees
+from . import secret_scan, substring_trees, whitening
 from .common import prepare, table
 
 
@@ -103,6 +103,11 @@ def op12_substring_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_sentencepiece": op2_sentencepiece,
@@ -116,6 +121,7 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_substring_trees": op12_substring_trees,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
