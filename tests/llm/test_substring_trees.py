@@ -46,8 +46,10 @@ def test_equals_brute_force(make, odd_rows, kw):
     assert result(make(rows), **kw) == brute(rows)
 
 
-def test_a_passage_in_very_many_documents(make):
+@pytest.mark.parametrize("frequent", [S.FREQUENT, 0])
+def test_a_passage_in_very_many_documents(make, monkeypatch, frequent):
     """A window in more documents than a group may hold, with other words around it in each: prefixes grow to the whole window."""
+    monkeypatch.setattr(S, "FREQUENT", frequent)
     passage = " ".join(f"p{i}" for i in range(15))
     rows = [(i, f"l{i} m{i} {passage} r{i}") for i in range(3000)] + [(i, f"{passage} t{i}") for i in range(5000, 5300)]
     assert result(make(rows), group=50, gather=500) == brute(rows)

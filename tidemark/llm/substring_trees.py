@@ -9,7 +9,7 @@ Equal windows have equal anchors: in each window the run of ``GRAM`` words with
    units meet by the anchor's hash.  A leaf whose whole context stands in a smaller document is settled: all its windows go.
 2. Vertical partitioning.  Where an anchor stands in several contexts, the suffixes that start at the windows of each one's
    first copy go on.  Their prefix of one word decides a suffix's group; prefixes with more than ``GROUP`` suffixes
-   are lengthened (2, 3, 5, 8, 13 words) until every group fits into memory.  The long prefixes are marked in a bitmap of fixed size
+   are lengthened (4, 13 words) until every group fits into memory.  The long prefixes are marked in a bitmap of fixed size
    per length; a false mark lengthens a prefix more than needed, for all its suffixes alike.
 3. Subtrees.  A task builds the suffix tree of its groups, from sorted suffixes and their common prefixes.  Its topmost nodes of
    depth ``WINDOW`` or more are the windows that repeat, deeper ones the longer repeats; the smallest document below
@@ -42,10 +42,11 @@ LEFT = WINDOW - GRAM
 ALL = (1 << SPAN) - 1                          # a window per word before the anchor: 0 .. LEFT
 UNIT_BYTES = 1 << 21
 UNITS_PER_TASK = 4
-PREFIXES = (1, 2, 3, 5, 8, WINDOW)
-GROUP = 20_000                                 # suffixes of one prefix in a subtree task
-GATHER = 40_000                                # suffixes in a subtree task, over several prefixes
-MARK_BITS = 20
+PREFIXES = (1, 4, WINDOW)
+GROUP = 50_000                                 # suffixes of one prefix in a subtree task
+GATHER = 50_000                                # suffixes in a subtree task, over several prefixes
+FREQUENT = 100_000                             # windows too frequent for a group that are sent to every task; more are joined by shuffle
+MARK_BITS = 24
 SALTS = 64
 WORD_BYTES = 64
 HOLD = 1 << 20
@@ -129,20 +130,34 @@ class Words:
         self.h, self.fp, self.one = sh[begin], sf[begin], order[begin]
         self.who = np.minimum.reduceat(who, begin) if len(begin) else who
 
-    def suffix(self, lo: int, hi: int) -> bytes:
-        words = [self.bytes[s:e].tobytes() for s, e in zip(self.start[lo:hi].tolist(), self.end[lo:hi].tolist())]
+    def suffixes(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """The suffixes that start at the windows of the given leaves: place of the leaf in the list, words before its anchor, words,
+        and hashes of the prefixes."""
+        one = self.one[leaves]
+        at, left, right = self.at[one], self.left[one], self.right[one]
+        which, back = np.nonzero((np.arange(SPAN) <= left[:, None]) & (WINDOW - np.arange(SPAN) <= right[:, None]))
+        lo, hi = at[which] - back, (at + right)[which]
+        total, hashes = np.zeros(len(lo), np.uint64), []
+        for k in range(WINDOW):
+            total = mix(total * _MUL + self.hash[lo + k])
+            if k + 1 in PREFIXES:
+                hashes.append(total.view(np.int64))
+        # Words with one space between them, none of them very long, are one slice of the text.
+        long = self.end - self.start > WORD_BYTES
+        gap = np.zeros(len(self.start), bool)
+        gap[:-1] = (self.start[1:] - self.end[:-1] != 1) | (self.bytes[self.end[:-1]] != 0x20)
+        odd, wide = np.r_[0, np.cumsum(long)], np.r_[0, np.cumsum(gap)]
+        plain = (odd[hi] == odd[lo]) & (wide[hi - 1] == wide[lo])
+        data = self.bytes.tobytes()
+        words = [data[s:e] if p else self._joined(data, i, j) for s, e, p, i, j in zip(
+            self.start[lo].tolist(), self.end[hi - 1].tolist(), plain.tolist(), lo.tolist(), hi.tolist())]
+        return which, back, words, np.stack(hashes, 1) if len(lo) else np.zeros((0, len(PREFIXES)), np.int64)
+
+    def _joined(self, data: bytes, lo: int, hi: int) -> bytes:
+        words = (data[s:e] for s, e in zip(self.start[lo:hi].tolist(), self.end[lo:hi].tolist()))
         return b" ".join(w if len(w) <= WORD_BYTES else w[:WORD_BYTES // 2] + b"\n" + hashlib.blake2b(w, digest_size=16).hexdigest().encode()
                          for w in words)       # no word holds a line break, so digests meet digests only
 
-    def prefixes(self, lo: int) -> list[int]:
-        out, total = [], 0
-        for k, w in enumerate(self.hash[lo:lo + WINDOW].tolist()):
-            total = ((total ^ w) * 0x9E3779B97F4A7C15 + k + 1) & 0xFFFFFFFFFFFFFFFF
-            total ^= total >> 29
-            if k + 1 in PREFIXES:
-                out.append(total - (1 << 64) if total >> 63 else total)
-        return out
-
 
 def nodes(rows: np.ndarray, depth: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Internal nodes ``(depth, lo, hi, parent's depth)`` of the suffix tree whose leaves are the sorted ``rows`` (word numbers,
@@ -266,18 +281,18 @@ def _open(t: pa.Table, folder: str) -> tuple[Words, dict]:
 
 
 def _suffixes(folder: str):
+    names = ["unit", "leaf", "back", "doc", "words", "prefixes"]
+
     def run(t: pa.Table, asked: pa.Table) -> pa.Table:
-        cols: list[list] = [[] for _ in range(6)]
-        if asked.num_rows and t.num_rows:
-            u, row = _open(t, folder)
-            for leaf in asked.column("leaf").to_pylist():
-                i = u.one[leaf]
-                at, left, right = int(u.at[i]), int(u.left[i]), int(u.right[i])
-                for back in range(max(0, WINDOW - right), left + 1):
-                    for c, v in zip(cols, (row["unit"], leaf, back, int(u.who[leaf]), u.suffix(at - back, at + right), u.prefixes(at - back))):
-                        c.append(v)
-        return pa.table([pa.array(c, x) for c, x in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())))],
-                        names=["unit", "leaf", "back", "doc", "words", "prefixes"])
+        if not asked.num_rows or not t.num_rows:
+            return pa.table([pa.array([], x) for x in (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()))], names=names)
+        u, row = _open(t, folder)
+        leaves = asked.column("leaf").to_numpy()
+        which, back, words, hashes = u.suffixes(leaves)
+        return pa.table([pa.array(np.full(len(words), row["unit"])), pa.array(leaves[which].astype(np.int32)), pa.array(back.astype(np.int32)),
+                         pa.array(u.who[leaves][which]), pa.array(words, pa.binary()),
+                         pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * len(PREFIXES)), pa.array(hashes.ravel()))],
+                        names=names)
     return run
 
 
@@ -364,13 +379,16 @@ def _settled(suffixes: DataFrame, group: int, gather: int) -> DataFrame:
     found = (keyed.where(F.col("level") < len(PREFIXES)).groupBy(F.expr(f"pmod(key, {tasks}L)").alias("task"))
              .applyInArrow(_subtrees, "unit long, leaf int, back int"))
     if len(maps) == len(PREFIXES):
-        # Windows that are too frequent themselves: of each one, the smallest document, copied to every salt of its suffixes.
+        # Windows that are too frequent themselves: the smallest document of each.
         window = F.expr(f"substring_index(decode(words, 'ISO-8859-1'), ' ', {WINDOW})")
-        frequent = keyed.where(F.col("level") == len(PREFIXES)).select(
-            "unit", "leaf", "back", "doc", window.alias("window"), F.expr(f"pmod(xxhash64(unit, leaf), {SALTS}L)").alias("salt"))
-        least = frequent.groupBy("window").agg(F.min("doc").alias("least")).withColumn(
-            "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-        found = found.unionAll(frequent.join(least.hint("merge"), ["window", "salt"]).where("doc > least").select("unit", "leaf", "back"))
+        frequent = keyed.where(F.col("level") == len(PREFIXES)).select("unit", "leaf", "back", "doc", window.alias("window"))
+        least = stage(frequent.groupBy("window").agg(F.min("doc").alias("least")), "frequent")
+        if least.count() <= FREQUENT:          # each stands for more than ``group`` suffixes
+            met = frequent.join(F.broadcast(least), "window")
+        else:                                  # copied to every salt of its suffixes
+            salts = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+            met = frequent.withColumn("salt", F.expr(f"pmod(xxhash64(unit, leaf), {SALTS}L)")).join(salts.hint("merge"), ["window", "salt"])
+        found = found.unionAll(met.where("doc > least").select("unit", "leaf", "back"))
     return found.select("unit", "leaf", F.expr("shiftleft(1, back)").alias("windows"))
 
 
@@ -386,8 +404,8 @@ def _removal(folder: str):
             mine[u.ids[u.doc[u.at]] > u.who[u.group]] = ALL            # a copy within the unit
             for back in range(SPAN):
                 at = np.flatnonzero((mine >> back & 1 == 1) & (back <= u.left) & (WINDOW - back <= u.right))
-                np.add.at(change, u.at[at] - back, 1)
-                np.add.at(change, u.at[at] - back + WINDOW, -1)
+                change[u.at[at] - back] += 1       # anchors are distinct places
+                change[u.at[at] - back + WINDOW] -= 1
         kept = np.cumsum(change[:-1]) == 0
         # A kept word takes the white space after it along, as one space, unless it is its document's last.
         order = np.flatnonzero(kept)
@@ -397,7 +415,7 @@ def _removal(folder: str):
         data, edges = u.bytes.copy(), np.zeros(len(u.bytes) + 2, np.int8)
         data[u.end[order[follows]]] = 0x20
         edges[u.start[order]] += 1
-        np.add.at(edges, u.end[order] + follows, -1)
+        edges -= np.bincount(u.end[order] + follows, minlength=len(edges)).astype(np.int8)
         stay = np.cumsum(edges[:len(data)], dtype=np.int8) > 0
         data, place = data[stay], np.r_[0, np.cumsum(stay)]
         ends = np.cumsum(np.array(row["lengths"], np.int64))
