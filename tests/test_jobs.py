@@ -8,7 +8,7 @@ from tidemark.plans import jobs
 from tidemark.plans import views as V
 from tidemark.plans.pipeline import bronze
 from tidemark.sinks import bronze_json_lines
-from tidemark.schemas import SILVER_COLS, TOPICS_HOURLY_COLS
+from tidemark.schemas import SILVER_COLS, TOPICS_HOURLY_COLS, VIDEOS_WITH_TOPICS_COLS
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,6 +38,25 @@ def test_clean_job_empty_bronze(spark):
     assert silver.count() == 0 and silver.columns == SILVER_COLS
 
 
+def test_topics_job_on_few_rows(spark):
+    """A day without data gives empty gold with every column; one and two videos get topics."""
+    import json
+    for n in (0, 1, 2):
+        root = tempfile.mkdtemp(prefix="tidemark-jobs-")
+        d = os.path.join(root, "bronze", "youtube_raw_20250101T100000Z")
+        os.makedirs(d)
+        with open(os.path.join(d, "part-0.json"), "w") as f:
+            for i in range(n):
+                f.write(json.dumps({"id": f"video{i:06d}", "_fetched_at": "2025-01-01T10:00:00Z",
+                                    "snippet": {"title": f"Some title {i}", "publishedAt": "2025-01-01T09:00:00Z"}, "statistics": {"viewCount": "9"}}) + "\n")
+        jobs.clean_job(spark, os.path.join(root, "bronze"), os.path.join(root, "silver"))
+        th, vt = jobs.topics_job(spark, os.path.join(root, "silver"), os.path.join(root, "gold"))
+        assert th.columns == [*TOPICS_HOURLY_COLS, "date"] and vt.columns == [*VIDEOS_WITH_TOPICS_COLS, "date"]
+        assert sorted(r.topic_id for r in vt.collect()) == list(range(n))
+        sub = V.topic_window(th, vt, V.WindowFilter(hours=None, rising_only=False, min_videos=1))
+        assert V.kpis(sub, vt, V.top_topics(sub, min_videos=1)).first().videos_in_window == n
+
+
 def test_clean_job_tie_goes_to_later_file(spark):
     import json
     root = tempfile.mkdtemp(prefix="tidemark-jobs-")

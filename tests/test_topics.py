@@ -51,12 +51,19 @@ def test_topic_labels_read_every_title(spark):
     assert topic_labels(df).first().topic_label == "next best, late pair, early0 one"
 
 
-def test_kmeans_check_and_topics(spark):
+def test_top_terms_by_bracketing(spark):
+    """Ties at the cut, terms that are heads of others, more ties than are ever collected."""
+    import random
+
     from tidemark.operators import textmine as TX
-    df = spark.createDataFrame([(i, f"{'red green' if i % 2 else 'blue yellow'} word{i % 3}") for i in range(40)], "doc_id long, text string")
-    assert tuple(TX.kmeans_check(df, k=4, buckets=64).first()) == (40, 40, 0, 0)
-    ids = {r.doc_id: r.topic_id for r in TX.kmeans_topics(df, k=4, buckets=64).collect()}
-    assert len(ids) == 40 and set(ids.values()) <= set(range(4))
+    rng = random.Random(3)
+    terms = sorted({"".join(rng.choice("abé中") for _ in range(rng.randint(1, 6))) for _ in range(900)}, key=str.encode)
+    rows = [(t, rng.choice([1, 1, 1, 2, 5])) for t in terms]
+    df = spark.createDataFrame(rows, "term string, cnt long").repartition(3)
+    order = sorted(rows, key=lambda r: (-r[1], r[0].encode()))
+    for limit in (0, 1, 50, len(rows) // 2, len(rows) - 1, len(rows), 10**6):
+        assert {r.term for r in TX.top_terms(df, limit).collect()} == {t for t, _ in order[:limit]}
+    assert [TX.nth_term(df, n, most=1) for n in (0, 7, len(terms) - 1)] == [terms[0], terms[7], terms[-1]]
 
 
 def test_tfidf_keeps_every_term(spark):

@@ -50,14 +50,16 @@ def test_top_topics_order_and_min_videos(spark):
 def test_lookback_cap_seen(spark):
     listing = spark.createDataFrame(
         [("UC1", "v1", T0, 1), ("UC1", "v2", T0 - dt.timedelta(days=1), 3), ("UC1", "v3", None, 2),
-         ("UC1", "v4", T0 - dt.timedelta(days=9), 4), ("UC2", "v5", T0, 1)],
+         ("UC1", "v4", T0 - dt.timedelta(days=9), 4), ("UC2", "v5", T0, 1),
+         ("UC1", "v6", None, 5), ("UC1", "v7", T0, 6), (None, "v8", T0 - dt.timedelta(days=9), 1), (None, "v9", T0, 2)],
         "channelId string, videoId string, videoPublishedAt timestamp, position int")
     cutoff = F.lit(T0 - dt.timedelta(days=2))
     kept = IG.lookback(listing, cutoff)
-    assert sorted(r.videoId for r in kept.collect()) == ["v1", "v2", "v3", "v5"]
+    assert sorted(r.videoId for r in kept.collect()) == ["v1", "v2", "v3", "v5"]     # the walk ends at v4: v6 and v7 lie beyond
+    assert kept.columns == listing.columns
     capped = IG.per_channel_cap(kept, cap=2)
     assert sorted(r.videoId for r in capped.collect()) == ["v1", "v3", "v5"]       # list position, time known or not
-    assert IG.per_channel_cap(listing).count() == IG.lookback(listing).count() == 5  # off unless asked for
+    assert IG.per_channel_cap(listing).count() == IG.lookback(listing).count() == 9  # off unless asked for
     seen = spark.createDataFrame([("v1",)], "videoId string")
     assert sorted(r.videoId for r in IG.skip_seen(capped, seen).collect()) == ["v3", "v5"]   # cap before seen filter
     assert sorted(r.videoId for r in IG.advance_seen(seen, capped).collect()) == ["v1", "v3", "v5"]
@@ -73,6 +75,7 @@ def test_unpivot_interest(spark):
     assert got == [("a", 5), ("b", 0)]
     long = spark.createDataFrame([(T0, 1), (T0 - dt.timedelta(days=30), 2)], "ts timestamp, n int")
     assert IG.last_days(long).count() == 2 and IG.last_days(long, 7).count() == 1
+    assert IG.last_days(long, 40).count() == 1         # hours are served for a week
 
 
 def test_normalize_gold_and_export(spark):

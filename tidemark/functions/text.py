@@ -1,8 +1,13 @@
 """Text functions: whitespace cleanup, Unicode words, n-grams, label rules."""
 from __future__ import annotations
 
+import functools
+import itertools
+import sys
+import unicodedata
+
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,11 +41,44 @@ def nfc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFC")
 
 
-def words(c, normalize: bool = False) -> Column:
+@functools.lru_cache(maxsize=1)
+def unstable_class() -> str:
+    """A regex class of the characters that NFC may change or move: a text without any is in NFC (the standard's quick check).
+
+    These are the characters that NFC replaces, those that it may join to the one before them, and those with a
+    combining class.  Derived from the Unicode tables of this Python; the first one is U+0300.
+    """
+    joins = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}           # Hangul vowels and finals
+    bad = []
+    for c in (*range(0xD800), *range(0xE000, sys.maxunicode + 1)):
+        parts = unicodedata.decomposition(chr(c))
+        if parts and not parts.startswith("<"):
+            if not unicodedata.is_normalized("NFC", chr(c)):
+                bad.append(c)
+            elif " " in parts:
+                joins.add(int(parts.split()[1], 16))
+        elif unicodedata.combining(chr(c)):
+            bad.append(c)
+    points = sorted({*bad, *joins})
+    runs = [(a[0], a[-1]) for a in (list(g) for _, g in itertools.groupby(enumerate(points), lambda p: p[1] - p[0]))]
+    return "[" + "".join(f"\\x{{{lo[1]:X}}}-\\x{{{hi[1]:X}}}" for lo, hi in runs) + "]"
+
+
+def maybe_not_nfc(c) -> Column:
+    """Whether a text holds a character that NFC may change; Latin texts are told by one small class."""
+    c = _c(c)
+    return F.coalesce(c.rlike(r"[^\x{0}-\x{2FF}]") & c.rlike(unstable_class()), F.lit(False))
+
+
+def with_nfc(df: DataFrame, c: str) -> DataFrame:
+    """``df`` with column ``c`` in NFC: a branch of a union for the rows that may need it, so no other row goes through Python."""
+    odd = maybe_not_nfc(c)
+    return df.where(~odd).unionByName(df.where(odd).withColumn(c, nfc(F.col(c))))
+
+
+def words(c) -> Column:
     """Words of a text (NULL → empty array)."""
     c = _c(c)
-    if normalize:
-        c = nfc(c)
     return F.coalesce(F.regexp_extract_all(c, F.lit(WORD_PATTERN), 0), F.array().cast("array<string>"))
 
 

@@ -13,15 +13,26 @@ from ..functions import temporal as TM
 
 # Fixed values of the collectors.
 DEFAULT_DAYS = 2
+INTEREST_DAYS_MOST = 7
 TRENDS_CHANNEL_ID = "trends:LK"
 TRENDS_CHANNEL_TITLE = "Google Trends (LK)"
 
 
-def lookback(listing: DataFrame, cutoff: Column | None = None, ts: str = "videoPublishedAt") -> DataFrame:
-    """Keep items published at/after the cutoff, if one is given; an unknown publish time is kept (ING-1)."""
+def lookback(listing: DataFrame, cutoff: Column | None = None, ts: str = "videoPublishedAt", key: str = "channelId",
+             position: str = "position") -> DataFrame:
+    """What a walk down each channel's list meets before its first item older than the cutoff (ING-1).
+
+    The list is newest first; the walk ends at the first item known to be older, and all that lies beyond goes, newer items and
+    unknown publish times included.  Unknown times before it stay.  Without a cutoff all items stay.
+
+    The end of a channel's walk is an aggregate (one row a channel, combined on the map side), joined back.
+    """
     if cutoff is None:
         return listing
-    return listing.where(F.col(ts).isNull() | (F.col(ts) >= cutoff))
+    place = F.struct(F.col(position).alias("p"), F.col("videoId").alias("v"))
+    ends = listing.where(F.col(ts) < cutoff).groupBy(F.col(key).alias("_channel")).agg(F.min(place).alias("_end"))
+    met = listing.join(ends, F.col(key).eqNullSafe(F.col("_channel")), "left")
+    return met.where(F.col("_end").isNull() | (place < F.col("_end"))).select(*listing.columns)
 
 
 def per_channel_cap(listing: DataFrame, cap: int | None = None, key: str = "channelId",
@@ -85,14 +96,14 @@ def unpivot_interest(wide: DataFrame, ts: str = "ts", drop=("isPartial",)) -> Da
     return long.withColumn("interest", F.coalesce(F.col("interest"), F.lit(0)).cast("int"))
 
 
-def last_days(df: DataFrame, days: int | None = None, ts: str = "ts") -> DataFrame:
+def last_days(df: DataFrame, days: int | None = None, ts: str = "ts", most: int = INTEREST_DAYS_MOST) -> DataFrame:
     """Rows of the last ``days`` before the latest one, if a number is given (ING-13).
 
-    The limit of a week that an interface may have is the caller's to pass; nothing is cut by itself.
+    The interest source serves hours for a week: larger numbers count as ``most``.  Without a number nothing is cut.
     """
     if days is None:
         return df
-    return df.where(F.col(ts) >= df.agg(F.max(ts)).scalar() - F.make_dt_interval(days=F.lit(days)))
+    return df.where(F.col(ts) >= df.agg(F.max(ts)).scalar() - F.make_dt_interval(days=F.lit(min(days, most))))
 
 
 def trends_records(long: DataFrame, fetched_at: Column, ts: str = "ts") -> DataFrame:

@@ -1,31 +1,21 @@
-"""Text mining on tables: n-grams, topic labels, TF-IDF, k-means topics."""
+"""Text mining on tables: n-grams, topic labels, TF-IDF (topics: ``topicmodel``)."""
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import stage
+from .quantile import SLICE, order_statistics
+from .topicmodel import MIN_DF, NGRAM_MAX
 
 # Fixed value (must equal the reference's behaviour): grams in a label.
 LABEL_TOP_GRAMS = 3
 
-# Defaults of the text model; they do not depend on the corpus.
-MIN_DF = 2            # documents a term must occur in
-NGRAM_MAX = 2         # words and adjacent pairs
-TOPICS = 32           # k of k-means
-BUCKETS = 1 << 16     # hashed term buckets of the k-means vectors
-
-
-def _grams(videos: DataFrame, key: str, text: str, order: tuple, normalize: bool) -> DataFrame:
-    """(key, order..., kind, pos, g): every word (kind 1) and adjacent pair (kind 2) of every title, exploded once."""
-    words = (videos.where(F.col(text).isNotNull() & (F.col(text) != ""))
-             .select(key, *order, X.words(text, normalize=normalize).alias("_w")))
-    tagged = F.concat(
-        F.transform("_w", lambda g, i: F.struct(F.lit(1).alias("_kind"), i.alias("_pos"), g.alias("_g"))),
-        F.transform(X.bigrams("_w"), lambda g, i: F.struct(F.lit(2).alias("_kind"), i.alias("_pos"), g.alias("_g"))))
-    return words.select(key, *order, F.inline(tagged))
+def _grams(titles: DataFrame, key: str, order: tuple, grams: Column, kind: int) -> DataFrame:
+    """(key, order..., kind, pos, g) of every gram of every title."""
+    tagged = F.transform(grams, lambda g, i: F.struct(F.lit(kind).alias("_kind"), i.alias("_pos"), g.alias("_g")))
+    return titles.select(key, *order, F.inline(tagged))
 
 
 def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_clean",
@@ -36,21 +26,23 @@ def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_cl
     to the gram seen first (title order, then position).  Returns
     (key, topic_label); a topic without any word gets ''.
 
-    Grams are counted by a hash aggregate, combined on the map side; a topic's titles never meet in
-    one task.  Where a gram was seen first is worked out only for grams with at least the ``top``-th
-    count of their topic.
+    Titles are normalised and cut into words once, and written.  Grams are counted by a hash aggregate, combined on the map side; a
+    topic's titles never meet in one task.  Words are counted only for topics without a pair, and where a gram was seen first is
+    worked out only for grams with at least the ``top``-th count of their topic.
     """
     order = tuple(order)
-    grams = _grams(videos, key, text, order, normalize)
+    source = videos.where(F.col(text).isNotNull() & (F.col(text) != "")).select(key, *order, F.col(text).alias("_text"))
+    titles = stage((X.with_nfc(source, "_text") if normalize else source).select(key, *order, X.words("_text").alias("_w"))
+                   .where(F.size("_w") > 0), "label_words")
+    alone = titles.groupBy(key).agg(F.max(F.size("_w")).alias("_most")).where("_most = 1").select(F.col(key).alias("_alone"))
+    single = titles.join(alone, F.col(key).eqNullSafe(F.col("_alone")), "left_semi")
+    grams = _grams(titles, key, order, X.bigrams("_w"), 2).unionByName(_grams(single, key, order, F.col("_w"), 1))
     counts = stage(grams.groupBy(key, "_kind", "_g").agg(F.count("*").alias("_cnt")), "label_counts")
     # WindowGroupLimit: at most ``top`` rows per topic leave each task
-    rank = Window.partitionBy(key).orderBy(F.desc("_kind"), F.desc("_cnt"))
+    rank = Window.partitionBy(key).orderBy(F.desc("_cnt"))
     best = counts.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= top)
-    cut = best.groupBy(key).agg(F.max("_kind").alias("_best"), F.expr(
-        "min(_cnt) FILTER (WHERE _kind = 2)").alias("_cut2"), F.min("_cnt").alias("_cut1"))
-    tied = stage(counts.join(cut, key).where(
-        (F.col("_kind") == F.col("_best")) & (F.col("_cnt") >= F.coalesce("_cut2", "_cut1")))
-        .select(key, "_kind", "_g", "_cnt"), "label_candidates")
+    cut = best.groupBy(key).agg(F.min("_cnt").alias("_cut"))
+    tied = stage(counts.join(cut, key).where(F.col("_cnt") >= F.col("_cut")).select(key, "_kind", "_g", "_cnt"), "label_candidates")
     first = (grams.join(tied, [key, "_kind", "_g"])
              .groupBy(key, "_g", "_cnt").agg(F.min(F.struct(*order, "_pos")).alias("_first")))
     pick = Window.partitionBy(key).orderBy(F.desc("_cnt"), F.asc("_first"))
@@ -72,80 +64,55 @@ def _terms(ngram_max: int):
     return F.col("_t") if ngram_max < 2 else F.concat(F.col("_t"), X.bigrams("_t"))
 
 
+def top_terms(counts: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` rows of (term, cnt, ...) with the largest counts, equal counts by term.
+
+    The last count that gets in, and the last term of that count, are closed in on by counting, so nothing is
+    sorted as a whole and at most ``quantile.SLICE`` values, or one count per next character, are ever collected.
+    """
+    n = counts.count()
+    if n <= limit:
+        return counts
+    if limit <= 0:
+        return counts.limit(0)
+    rank = n - limit
+    cut = order_statistics(counts, "cnt", n, [rank])[rank]
+    above, tied = counts.where(F.col("cnt") > cut), counts.where(F.col("cnt") == cut)
+    last = nth_term(tied, limit - above.count() - 1)
+    return counts.where((F.col("cnt") > cut) | ((F.col("cnt") == cut) & (F.col("term") <= last)))
+
+
+def nth_term(terms: DataFrame, n: int, most: int = SLICE) -> str:
+    """The 0-based ``n``-th of distinct terms in their order (by UTF-8 bytes), one character closer at a time."""
+    prefix, inside = "", terms.select("term")
+    while inside.count() > most:
+        heads = inside.groupBy(F.left("term", F.lit(len(prefix) + 1)).alias("head")).count().collect()    # one row a character
+        for head in sorted(heads, key=lambda r: r["head"].encode()):
+            if n < head["count"]:
+                break
+            n -= head["count"]
+        if head["head"] == prefix:
+            return prefix                      # the term that ends here
+        prefix = head["head"]
+        inside = inside.where(F.col("term").startswith(prefix))
+    return sorted((r["term"] for r in inside.collect()), key=str.encode)[n]
+
+
 def tfidf(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", min_df: int = MIN_DF,
-          ngram_max: int = NGRAM_MAX) -> DataFrame:
+          ngram_max: int = NGRAM_MAX, max_features: int | None = None) -> DataFrame:
     """TF-IDF weights in long form (doc, term, weight) — the sklearn definition (ML-1).
 
-    Every term in at least ``min_df`` documents; idf = ln((1+n)/(1+df)) + 1, raw tf, rows
+    Every term in at least ``min_df`` documents, or with ``max_features`` so many of these that occur most (equal counts: in
+    alphabetical order); idf = ln((1+n)/(1+df)) + 1, raw tf, rows
     L2-normalised.  The idf comes by an ordinary join on the term (the vocabulary grows with the corpus), the norm by a
     window over the document.
     """
     n = docs.agg(F.count("*")).scalar()
     tf = stage(doc_terms(docs, doc_key, text, ngram_max).groupBy(doc_key, "term").agg(F.count("*").alias("tf")), "tfidf_tf")
-    stats = tf.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= min_df)
+    stats = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cnt")).where(F.col("df") >= min_df)
+    if max_features is not None:
+        stats = top_terms(stage(stats, "vocabulary"), max_features)
     idf = stats.select("term", (F.log((n + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
     w = tf.join(idf, "term").select(doc_key, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_key)))
     return w.select(doc_key, "term", (F.col("w") / norm).alias("weight"))
-
-
-def _kmeans(docs: DataFrame, doc_key: str, terms, k: int, seed: int, buckets: int, min_df: int, stop_words: bool) -> DataFrame:
-    """(doc, topic_id, _distance): hashed terms → IDF → L2 → k-means.
-
-    Partitioning and the order within partitions are fixed: k-means|| initialisation samples
-    per partition, so the same seed gives the same topics.  MLlib keeps dense centers (k × ``buckets``
-    doubles, sent out every iteration): a size set by these two arguments, whatever the corpus.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer, StopWordsRemover
-
-    rows = stage(terms.repartition(doc_key).sortWithinPartitions(doc_key), "kmeans_terms")
-    stages = [StopWordsRemover(inputCol="terms", outputCol="_kept")] if stop_words else []
-    pipe = Pipeline(stages=[
-        *stages,
-        HashingTF(inputCol="_kept" if stop_words else "terms", outputCol="tf", numFeatures=buckets),
-        IDF(inputCol="tf", outputCol="tfidf", minDocFreq=min_df),
-        Normalizer(inputCol="tfidf", outputCol="features", p=2.0),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="topic_id"),
-    ])
-    model = pipe.fit(rows)
-    centers = np.array(model.stages[-1].clusterCenters())
-    shared = rows.sparkSession.sparkContext.broadcast((centers.T.copy(), (centers * centers).sum(axis=1)))
-
-    def gap(v, topic):
-        """Squared distance to the topic's center minus that to the nearest one."""
-        by_bucket, squares = shared.value
-        near = squares - 2.0 * (v.values @ by_bucket[v.indices])
-        return float(near[topic] - near.min())
-    return model.transform(rows).select(doc_key, F.col("topic_id").cast("int").alias("topic_id"),
-                                        F.udf(gap, "double")("features", "topic_id").alias("_gap"))
-
-
-def kmeans_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", k: int = TOPICS, seed: int = 42,
-                  buckets: int = BUCKETS, min_df: int = MIN_DF, ngram_max: int = NGRAM_MAX) -> DataFrame:
-    """Topic id per document: the tokens of ``tfidf``, hashed, MLlib IDF, L2, k-means (ML-3..5).
-
-    ``k``, ``min_df`` and ``ngram_max`` are the caller's; their defaults are fixed.
-    """
-    terms = docs.select(doc_key, X.tokens(text).alias("_t")).select(doc_key, _terms(ngram_max).alias("terms"))
-    return _kmeans(docs, doc_key, terms, k, seed, buckets, min_df, stop_words=False).drop("_gap")
-
-
-def hashed_tfidf_topics(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", k: int = TOPICS, seed: int = 42,
-                        buckets: int = BUCKETS) -> DataFrame:
-    """Variant on single words with English stop words removed (ML-3)."""
-    terms = docs.select(doc_key, X.tokens(text).alias("terms"))
-    return _kmeans(docs, doc_key, terms, k, seed, buckets, 0, stop_words=True).drop("_gap")
-
-
-def kmeans_check(docs: DataFrame, doc_key: str = "doc_id", text: str = "text", k: int = TOPICS, seed: int = 42,
-                 buckets: int = BUCKETS, min_df: int = MIN_DF, ngram_max: int = NGRAM_MAX, stop_words: bool = False) -> DataFrame:
-    """What holds of a k-means result however its topics are numbered: one row of
-    documents read and assigned, topic ids outside 0..k-1, and documents that are not at their nearest center."""
-    terms = docs.select(doc_key, X.tokens(text).alias("_t")).select(
-        doc_key, (F.col("_t") if stop_words else _terms(ngram_max)).alias("terms"))
-    got = _kmeans(docs, doc_key, terms, k, seed, buckets, 0 if stop_words else min_df, stop_words)
-    return got.agg(docs.agg(F.count("*")).scalar().alias("docs_read"), F.count_distinct(doc_key).alias("docs_assigned"),
-                   F.count_if((F.col("topic_id") < 0) | (F.col("topic_id") >= k)).alias("topics_outside"),
-                   F.count_if(F.col("_gap") > 1e-9).alias("not_nearest"))

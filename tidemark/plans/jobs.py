@@ -13,10 +13,11 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import clean, langid, topics
-from ..operators.textmine import TOPICS, kmeans_topics
-from ..schemas import SILVER_COLS
+from ..operators.topicmodel import topics as topic_model
+from ..schemas import SILVER_COLS, TOPICS_HOURLY, VIDEOS_WITH_TOPICS
 from ..sinks import write_csv, write_parquet
 from ..session import stage
 from ..sources.bronze import FAMILIES, read_bronze, usable
@@ -42,14 +43,7 @@ def clean_job(spark: SparkSession, bronze_root: str, silver_path: str, lang_prof
     pre = spark.read.parquet(pre_path)
     caps = clean.rate_caps(pre)
     if lang_profile is not None:
-        grams = langid.doc_grams(lang_profile.select(F.monotonically_increasing_id().alias("_id"), "text", "lang"),
-                                 "_id", "text", "lang")
-        profile, norms = langid.train_profile(grams)
-        keyed = pre.withColumn("_key", F.concat_ws("\u0001", "platform", "videoId"))
-        tg = stage(langid.doc_grams(keyed.select("_key", F.col("title_clean").alias("text"), F.lit(None).cast("string").alias("lang")),
-                                    "_key", "text", "lang"), "title_grams")
-        pred = langid.detect(keyed.select("_key", F.col("title_clean").alias("text")), tg, profile, norms, "_key", "text")
-        pre = keyed.drop("lang").join(pred.withColumnRenamed("lang_pred", "lang"), "_key", "left").drop("_key")
+        pre = pre.withColumn("lang", langid.language(spark, langid.train(lang_profile), "title_clean"))
     silver = clean.finish(pre, caps)
     write_parquet(silver, silver_path)
     out = spark.read.parquet(silver_path).select(*SILVER_COLS)
@@ -58,13 +52,17 @@ def clean_job(spark: SparkSession, bronze_root: str, silver_path: str, lang_prof
     return out
 
 
-def topics_job(spark: SparkSession, silver_path: str, gold_root: str, k: int = TOPICS,
+def topics_job(spark: SparkSession, silver_path: str, gold_root: str, k: int | None = None,
                partition_by_date: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Silver → TF-IDF + k-means topics → gold tables (Parquet, partitioned by date of ts_hour)."""
+    """Silver → TF-IDF + k-means topics → gold tables (Parquet, partitioned by date of ts_hour).
+
+    The number of topics, the least document count and the n-grams follow from the number of videos (``topicmodel``), ``k`` unless given.
+    An empty silver gives empty gold tables with all columns, a single video topic 0.
+    """
     silver = spark.read.parquet(silver_path).dropna(subset=["fetchedAt", "publishedAt"])
     keyed = silver.withColumn("_key", F.concat_ws("\u0001", "platform", "videoId"))
-    assigned = stage(kmeans_topics(keyed.select("_key", "title_clean"), doc_key="_key", text="title_clean", k=k), "assigned")
-    videos = topics.with_hour(keyed.join(assigned, "_key").drop("_key"))
+    assigned = stage(topic_model(keyed.select("_key", "title_clean"), "_key", "title_clean", k).drop("distance"), "assigned")
+    videos = stage(topics.with_hour(keyed.join(assigned, "_key").drop("_key")), "videos")
     th_path, vt_path = os.path.join(gold_root, "topics_hourly"), os.path.join(gold_root, "videos_with_topics")
     by = ["date"] if partition_by_date else None
     th = topics.topics_hourly(videos).withColumn("date", F.to_date("ts_hour"))
@@ -79,5 +77,13 @@ def load_gold(spark: SparkSession, gold_root: str) -> tuple[DataFrame, DataFrame
 
     The ``date`` partition column stays: the window filters of ``plans.views`` bound it, which prunes folders.
     """
-    return (spark.read.parquet(os.path.join(gold_root, "topics_hourly")),
-            spark.read.parquet(os.path.join(gold_root, "videos_with_topics")))
+    return (_gold_table(spark, os.path.join(gold_root, "topics_hourly"), TOPICS_HOURLY),
+            _gold_table(spark, os.path.join(gold_root, "videos_with_topics"), VIDEOS_WITH_TOPICS))
+
+
+def _gold_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A gold table; one that was written without rows has no file below its date folders, hence no schema of its own."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{{*,*/*}}.parquet")
+    if pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern):
+        return spark.read.parquet(path)
+    return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("date", T.DateType())]))

@@ -107,18 +107,20 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[round_half_away(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
+KMEANS_ROUNDS = 4        # k-means rounds of the checked queries
+
+
 def silver_with_kmeans_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver with ``topic_id`` from TF-IDF + k-means over titles (the reference's gold flow).
 
-    Topic ids come from an MLlib model fitted on the silver titles; each
-    video is keyed by (platform, videoId) for the join back.
+    The number of topics follows from the number of videos; each video is keyed by (platform, videoId) for the join back.
     """
-    from ..operators.textmine import kmeans_topics
+    from ..operators.topicmodel import topics as topic_model
 
     def build():
         s = silver(spark, sf_dir).drop("topic_id")
         keyed = s.select(F.concat_ws("\u0001", "platform", "videoId").alias("_key"), "title_clean")
-        topics = kmeans_topics(keyed, doc_key="_key", text="title_clean")
+        topics = topic_model(keyed, "_key", "title_clean", rounds=KMEANS_ROUNDS).drop("distance")
         return (s.withColumn("_key", F.concat_ws("\u0001", "platform", "videoId"))
                 .join(topics, "_key").drop("_key"))
     return _materialise(spark, sf_dir, "silver_kmeans", build)

@@ -7,6 +7,7 @@ bits between engines).
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import clean
+from ..operators import sketch as SK
 from . import pipeline as PL
 from . import sql as S
 
@@ -352,6 +354,8 @@ def q_network_topic(spark, sf_dir):
 
 from ..operators import langid as LID  # noqa: E402
 from ..operators import textmine as TX  # noqa: E402
+from ..operators import topicmodel as TM  # noqa: E402
+from . import topicsql as TQ  # noqa: E402
 from ..sources.tables import table as _table  # noqa: E402
 
 
@@ -375,16 +379,17 @@ def q_bigrams(spark, sf_dir):
     return d.groupBy("doc_id", "gram").agg(F.count("*").alias("cnt"))
 
 
-def _tfidf_sql() -> str:
+def _tfidf_sql(most: int | None = None) -> str:
+    top = "" if most is None else f" QUALIFY row_number() OVER (ORDER BY cnt DESC, term) <= {most}"
     tok = f"list_filter(regexp_extract_all(lower(text), '{S.WORD_RE2}'), lambda t: length(t) >= 2)"
     return f"""WITH n AS (SELECT count(*) AS n FROM documents),
 toks AS (SELECT doc_id, {tok} AS t FROM documents),
 terms AS (SELECT doc_id, unnest(t) AS term FROM toks
           UNION ALL SELECT doc_id, t[i] || ' ' || t[i + 1] FROM (SELECT doc_id, t, unnest(generate_series(1, len(t) - 1)) AS i FROM toks)),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
-st AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+st AS (SELECT term, count(*) AS df, sum(tf) AS cnt FROM tf GROUP BY term),
 vocab AS (SELECT term, ln((1.0 + n.n) / (df + 1.0)) + 1.0 AS idf FROM st, n
-          WHERE df >= {TX.MIN_DF}),
+          WHERE df >= {TM.MIN_DF}{top}),
 w AS (SELECT doc_id, tf.term, tf * idf AS w FROM tf JOIN vocab USING (term)),
 nm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
 SELECT doc_id, term, {_r("w / norm")} AS weight FROM w JOIN nm USING (doc_id)"""
@@ -395,6 +400,15 @@ def q_tfidf_weights(spark, sf_dir):
     return PL.rounded(TX.tfidf(_docs(spark, sf_dir), "doc_id", "text"))
 
 
+MAX_FEATURES = 2000
+
+
+@query("tfidf_max_features", _tfidf_sql(MAX_FEATURES))
+def q_tfidf_max_features(spark, sf_dir):
+    """Weights over the commonest terms only; the limit is the vocabulary's feature (ML-1)."""
+    return PL.rounded(TX.tfidf(_docs(spark, sf_dir), "doc_id", "text", max_features=MAX_FEATURES))
+
+
 _DOC_LABELS = S.labels_cte("documents", key="source", text="text", order="doc_id", name="dl", nfc=True)
 
 
@@ -414,29 +428,37 @@ def q_label_guard(spark, sf_dir):
     return labels.join(samp, "source").select("source", X.readable_label("topic_label", "sample_title").alias("topic_label"))
 
 
-_KMEANS_SQL = "SELECT count(*) AS docs_read, count(DISTINCT doc_id) AS docs_assigned, 0 AS topics_outside, 0 AS not_nearest FROM documents"
+KMEANS_TOPICS = 32
 
 
-@query("kmeans_topics", _KMEANS_SQL)
+def _kmeans_sql(**kw) -> str:
+    model = TQ.topics_sql("documents", "doc_id", "text", str(KMEANS_TOPICS), seed_rounds=TM.SEED_ROUNDS, rounds=PL.KMEANS_ROUNDS, **kw)
+    return S.with_(model, "SELECT key AS doc_id, topic_id, " + _r("sqrt(d2)") + " AS distance FROM topics")
+
+
+@query("kmeans_topics", _kmeans_sql(min_df=TM.MIN_DF, ngram_max=TM.NGRAM_MAX, stop_words=False, smooth=1.0))
 def q_kmeans_topics(spark, sf_dir):
-    return TX.kmeans_check(_docs(spark, sf_dir), "doc_id", "text")
+    """Topic and distance of every document: words and pairs, smoothed weights (ML-5)."""
+    return PL.rounded(TM.topics(_docs(spark, sf_dir), "doc_id", "text", KMEANS_TOPICS, TM.MIN_DF, TM.NGRAM_MAX, rounds=PL.KMEANS_ROUNDS))
 
 
 def _langid_sql() -> str:
     strip = f"regexp_replace(regexp_replace(text, '^{S.WS_RE2}', ''), '{S.WS_RE2}$', '')"
-    grams = "list_transform(generate_series(1, length(t) - 2), lambda i: substring(t, i, 3))"
+    hashed = " + ".join(f"{m} * p[i + {k}]" for k, m in enumerate(LID.MULTIPLIERS))
+    buckets = f"list_transform(range(1, len(p) - 1), lambda i: ({hashed}) % {LID.BUCKETS})"
     return f"""WITH d AS (SELECT doc_id, lang, text, lower({strip}) AS t FROM documents),
-dg AS (SELECT doc_id, lang, unnest({grams}) AS gram FROM d WHERE length(t) >= 3),
-pc AS (SELECT lang, gram, count(*) AS c FROM dg WHERE lang IS NOT NULL GROUP BY ALL),
+pt AS (SELECT doc_id, lang, list_transform(string_split(t, ''), lambda x: CAST(ord(x) AS BIGINT)) AS p FROM d WHERE length(t) >= 3),
+dg AS (SELECT doc_id, lang, unnest({buckets}) AS gram FROM pt),
+g AS MATERIALIZED (SELECT doc_id, lang, gram, count(*) AS n FROM dg GROUP BY ALL),
+pc AS MATERIALIZED (SELECT lang, gram, sum(n) AS c FROM g WHERE lang IS NOT NULL GROUP BY ALL),
 nv AS (SELECT count(DISTINCT gram) AS v FROM pc),
 norms AS (SELECT lang, ln(sum(c) + (SELECT v FROM nv)) AS log_denom FROM pc GROUP BY lang),
 prof AS (SELECT lang, gram, ln(c + 1.0) AS lc FROM pc),
-g AS (SELECT doc_id, gram, count(*) AS n FROM dg GROUP BY ALL),
 tot AS (SELECT doc_id, sum(n) AS nn FROM g GROUP BY doc_id),
-m AS (SELECT doc_id, lang, sum(n * lc) AS s FROM g JOIN prof USING (gram) GROUP BY ALL),
-sc AS (SELECT tot.doc_id, norms.lang, coalesce(m.s, 0.0) - tot.nn * norms.log_denom AS score
+m AS (SELECT doc_id, prof.lang, sum(n * lc) AS s FROM g JOIN prof USING (gram) GROUP BY ALL),
+sc AS (SELECT tot.doc_id, norms.lang, floor((tot.nn * norms.log_denom - coalesce(m.s, 0.0)) * 1e6 + 0.5) AS neg
        FROM tot CROSS JOIN norms LEFT JOIN m ON m.doc_id = tot.doc_id AND m.lang = norms.lang),
-best AS (SELECT doc_id, arg_min(lang, (-score, lang)) AS best FROM sc GROUP BY doc_id)
+best AS (SELECT doc_id, arg_min(lang, (neg, lang)) AS best FROM sc GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NULL OR length({strip}) < 3 THEN NULL
                       WHEN len(regexp_extract_all(d.text, '[\\x{{0D80}}-\\x{{0DFF}}]')) * 2 > len(regexp_extract_all(d.text, '[\\p{{L}}\\p{{M}}]')) THEN 'si'
                       WHEN len(regexp_extract_all(d.text, '[\\x{{0B80}}-\\x{{0BFF}}]')) * 2 > len(regexp_extract_all(d.text, '[\\p{{L}}\\p{{M}}]')) THEN 'ta'
@@ -465,10 +487,10 @@ listing AS (
          CASE WHEN event_id % 89 = 0 THEN NULL ELSE CAST(ts AS TIMESTAMP) END AS videoPublishedAt, -event_id AS position FROM events, nvid),
 seen AS (SELECT DISTINCT 'vid' || lpad(CAST(event_id % nv AS VARCHAR), CAST(greatest(8, length(CAST(event_id % nv AS VARCHAR))) AS INTEGER), '0') AS videoId FROM events, nvid
          WHERE event_type = 'view' AND ts < TIMESTAMP '{RUN_AT}' - INTERVAL {LOOKBACK_DAYS} DAY),
-capped AS (SELECT channelId, videoId, videoPublishedAt FROM (
-  SELECT *, row_number() OVER (PARTITION BY channelId ORDER BY position, videoId) AS rn
-  FROM listing WHERE videoPublishedAt IS NULL OR videoPublishedAt >= TIMESTAMP '{RUN_AT}' - INTERVAL {LOOKBACK_DAYS} DAY)
-  WHERE rn <= {CAP}),
+walk AS (SELECT *, coalesce(bool_or(videoPublishedAt < TIMESTAMP '{RUN_AT}' - INTERVAL {LOOKBACK_DAYS} DAY)
+           OVER (PARTITION BY channelId ORDER BY position, videoId ROWS UNBOUNDED PRECEDING), false) AS ended,
+         row_number() OVER (PARTITION BY channelId ORDER BY position, videoId) AS rn FROM listing),
+capped AS (SELECT channelId, videoId, videoPublishedAt FROM walk WHERE NOT ended AND rn <= {CAP}),
 newl AS (SELECT * FROM capped WHERE videoId NOT IN (SELECT videoId FROM seen)),
 unseen AS (SELECT * FROM listing WHERE videoId NOT IN (SELECT videoId FROM seen)),
 details AS (SELECT 'vid' || lpad(CAST(event_id % nv AS VARCHAR), CAST(greatest(8, length(CAST(event_id % nv AS VARCHAR))) AS INTEGER), '0') AS videoId,
@@ -485,7 +507,7 @@ def _seen(spark, sf_dir):
 
 
 def _new_listing(spark, sf_dir):
-    """The collector's own listing step: lookback and cap are its features."""
+    """The collector's own listing step: the walk's end and the cap are its features."""
     cutoff = F.lit(RUN_AT).cast("timestamp") - F.make_dt_interval(days=F.lit(LOOKBACK_DAYS))
     listing = IG.per_channel_cap(IG.lookback(_listing(spark, sf_dir), cutoff), CAP)
     return IG.skip_seen(listing, _seen(spark, sf_dir))
@@ -538,16 +560,28 @@ def q_ingest_manifest(spark, sf_dir):
         fetched_at=IG.iso_z("day"))
 
 
-@query("trends_unpivot", f"""WITH h AS (SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS ts, event_type FROM events WHERE event_type IS NOT NULL),
+def _trends_sql(days: int | None = None) -> str:
+    cut = "" if days is None else f" WHERE ts >= (SELECT max(ts) FROM h0) - INTERVAL {min(days, IG.INTEREST_DAYS_MOST)} DAY"
+    return f"""WITH h0 AS (SELECT date_trunc('hour', CAST(ts AS TIMESTAMP)) AS ts, event_type FROM events WHERE event_type IS NOT NULL),
+h AS (SELECT * FROM h0{cut}),
 cnt AS (SELECT ts, event_type, count(*) AS interest FROM h GROUP BY ALL),
 long AS (SELECT a.ts, b.event_type AS q, c.interest FROM (SELECT DISTINCT ts FROM h) a CROSS JOIN (SELECT DISTINCT event_type FROM h) b
          LEFT JOIN cnt c ON c.ts = a.ts AND c.event_type = b.event_type)
 SELECT 'trends' AS platform, 'trends_' || q || '_' || CAST(epoch(ts) AS BIGINT) AS id, q AS title,
        'Google Trends interest for ''' || q || '''' AS description, 'trends:LK' AS channelId, 'Google Trends (LK)' AS channelTitle,
        strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS publishedAt, CAST(coalesce(interest, 0) AS INTEGER) AS viewCount,
-       0 AS likeCount, 0 AS commentCount, '{FETCHED_AT}' AS _fetched_at FROM long""")
-def q_trends_unpivot(spark, sf_dir):
-    wide = FX.trends_wide_from_tables(spark, sf_dir)
+       0 AS likeCount, 0 AS commentCount, '{FETCHED_AT}' AS _fetched_at FROM long"""
+
+
+@query("trends_last_days", _trends_sql(3))
+def q_trends_last_days(spark, sf_dir):
+    """The interest of the last three days (ING-13)."""
+    return q_trends_unpivot(spark, sf_dir, 3)
+
+
+@query("trends_unpivot", _trends_sql())
+def q_trends_unpivot(spark, sf_dir, days=None):
+    wide = FX.trends_wide_from_tables(spark, sf_dir, days)
     rec = IG.trends_records(IG.unpivot_interest(wide), F.lit(FETCHED_AT))
     return rec.select("platform", "id", F.col("snippet.title").alias("title"), F.col("snippet.description").alias("description"),
                       F.col("snippet.channelId").alias("channelId"), F.col("snippet.channelTitle").alias("channelTitle"),
@@ -685,61 +719,91 @@ _FLAT_KEYED = S.BRONZE_FLAT + r""",
 keyed AS (SELECT * REPLACE (least(publishedAt, fetchedAt) AS publishedAt) FROM flat
           WHERE videoId IS NOT NULL AND publishedAt IS NOT NULL AND fetchedAt IS NOT NULL)"""
 
+# An hour's caps come from the hours before it, by the buckets of operators/sketch.py.
+_RATES_SQL = {"views_per_min": "views", "likes_per_min": "likes", "comments_per_min": "comments"}
+_LN = repr(math.log(SK.GAMMA))
 _HOURLY = _FLAT_KEYED + r""",
 latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
              PARTITION BY date_trunc('hour', fetchedAt), platform, videoId ORDER BY fetchedAt DESC, seq DESC) AS rn FROM keyed) WHERE rn = 1),
-aged AS (SELECT *, greatest((epoch_us(fetchedAt) - epoch_us(publishedAt)) / 60000000.0, 0.0001) AS age_min FROM latest),
-hourly AS (SELECT date_trunc('hour', fetchedAt) AS ts_hour, topic_id, sum(coalesce(views, 0.0) / age_min * exp(-age_min / 120.0)) AS velocity_sum,
-                  count(*) AS video_count, count(DISTINCT channelId) AS channel_count FROM aged GROUP BY ALL)"""
-
-
-def _hourly_sink(spark, sf_dir) -> str:
-    """Output folder of the hourly stream (two intakes, then a closing run); built once per session."""
+aged AS (SELECT *, date_trunc('hour', fetchedAt) AS ts_hour, greatest((epoch_us(fetchedAt) - epoch_us(publishedAt)) / 60000000.0, 0.0001) AS age_min FROM latest),
+rated AS (""" + " UNION ALL ".join(
+    f"SELECT ts_hour, '{c}' AS name, coalesce({v}, 0.0) / age_min AS x FROM aged" for c, v in _RATES_SQL.items()) + r"""),
+counted AS (SELECT ts_hour, name, CASE WHEN x <= 0 THEN """ + str(SK.LOW) + r""" ELSE CAST(ceil(ln(x) / """ + _LN + r""") AS INTEGER) END AS bucket, count(*) AS n
+            FROM rated WHERE isfinite(x) GROUP BY ALL),
+hs AS (SELECT DISTINCT ts_hour, name FROM rated),
+past AS (SELECT h.ts_hour, name, bucket, sum(n) AS n FROM hs h JOIN counted c USING (name) WHERE c.ts_hour < h.ts_hour GROUP BY h.ts_hour, name, bucket),
+upto AS (SELECT *, sum(n) OVER (PARTITION BY ts_hour, name ORDER BY bucket) AS c, sum(n) OVER (PARTITION BY ts_hour, name) AS total FROM past),
+found AS (SELECT ts_hour, name, min(bucket) AS bucket, any_value(total) AS n FROM upto WHERE c * 1000 >= total * 999 GROUP BY ts_hour, name),
+caps AS (SELECT h.ts_hour, h.name, f.bucket, CAST(coalesce(f.n, 0) AS BIGINT) AS n, CASE WHEN f.bucket = """ + str(SK.LOW) + r""" THEN 0.0
+         ELSE pow(""" + repr(SK.GAMMA) + r""", f.bucket) * (2.0 / (""" + repr(SK.GAMMA) + r""" + 1.0)) END AS cap FROM hs h LEFT JOIN found f USING (ts_hour, name)),
+clipped AS (SELECT a.*, coalesce(views, 0.0) / age_min AS raw, cap FROM aged a JOIN caps c ON a.ts_hour = c.ts_hour AND c.name = 'views_per_min'),
+hourly AS (SELECT ts_hour, topic_id, sum(CASE WHEN cap > 0 THEN least(greatest(raw, 0.0), cap) ELSE raw END * exp(-age_min / 120.0)) AS velocity_sum,
+                  count(*) AS video_count, count(DISTINCT channelId) AS channel_count FROM clipped GROUP BY ALL)"""
+
+
+def _hourly_table(spark, sf_dir) -> str:
+    """Folder of the hourly stream (two intakes, then a closing run); built once per session."""
     key = PL._key(spark, sf_dir, "stream_hourly")
     with PL._lock:
         if key not in PL._written:
             src = _stream_input(spark, sf_dir, 1)
-            sink, ckpt = scratch_path(spark, "stream_hourly"), scratch_path(spark, "ckpt_hourly")
-            run = lambda: ST.run_available_now(ST.hourly_topic(
+            table, ckpt = scratch_path(spark, "stream_hourly"), scratch_path(spark, "ckpt_hourly")
+            run = lambda: ST.run_hourly(ST.hourly_videos(
                 ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"], delay="2 hours"),
-                order=["_seq"]), sink, ckpt)
+                order=["_seq"]), table, ckpt)
             run()
             _stream_input(spark, sf_dir, 2, src)
             run()
             spark.createDataFrame([(ST.closing_record(),)], "value string").write.mode("append").text(src)
             run()
-            PL._written[key] = sink
+            PL._written[key] = table
     return PL._written[key]
 
 
 @query("stream_hourly", S.with_(_HOURLY, "SELECT ts_hour, topic_id, " + _r("velocity_sum") + " AS velocity_sum, video_count, channel_count FROM hourly"))
 def q_stream_hourly(spark, sf_dir):
-    return PL.rounded(spark.read.parquet(_hourly_sink(spark, sf_dir)))
+    return PL.rounded(ST.closed_hours(spark, _hourly_table(spark, sf_dir)))
 
 
-@query("stream_dedup", S.with_(_FLAT_KEYED, f"SELECT platform, videoId, min(CASE WHEN fetchedAt < TIMESTAMP '{STREAM_SPLIT}' "
-                                            "THEN 1 ELSE 2 END) AS first_run FROM keyed GROUP BY platform, videoId"))
-def q_stream_dedup(spark, sf_dir):
-    src = _stream_input(spark, sf_dir, 1)
-    sink, ckpt = scratch_path(spark, "stream_first_seen"), scratch_path(spark, "ckpt_first_seen")
+@query("stream_rate_caps", S.with_(_HOURLY, "SELECT name, ts_hour, bucket, n, " + _r("cap") + " AS cap FROM caps"))
+def q_stream_rate_caps(spark, sf_dir):
+    """Each rate's cap for each closed hour, from the merged sketches of the hours before (STM-4, AGG-13)."""
+    return PL.rounded(ST.hourly_caps(spark, _hourly_table(spark, sf_dir)))
+
+
+def _stream_twice(spark, sf_dir, name: str, run) -> None:
+    """``run(flat stream, checkpoint)`` over a first intake, then over a second one from the same checkpoint."""
+    src, ckpt = _stream_input(spark, sf_dir, 1), scratch_path(spark, f"ckpt_{name}")
     flat = lambda: ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"])
-    ST.run_available_now(ST.first_seen(flat()), sink, ckpt)
+    run(flat(), ckpt)
     _stream_input(spark, sf_dir, 2, src)
-    ST.run_available_now(ST.first_seen(flat()), sink, ckpt)       # same checkpoint: state carries over
-    got = spark.read.parquet(sink)
-    return got.select("platform", "videoId", F.when(F.col("fetchedAt") < F.lit(STREAM_SPLIT).cast("timestamp"), 1)
-                      .otherwise(2).alias("first_run"))
+    run(flat(), ckpt)
+
+
+def _flat_schema(spark) -> _T.StructType:
+    return ST.flat_stream(spark.createDataFrame([], STREAM_SCHEMA), keep=["topic_id", "_seq"]).schema
+
+
+@query("stream_dedup", S.with_(_FLAT_KEYED, "SELECT platform, videoId, fetchedAt, seq AS _seq FROM keyed QUALIFY row_number() OVER ("
+                                            f"PARTITION BY platform, videoId ORDER BY fetchedAt >= TIMESTAMP '{STREAM_SPLIT}', fetchedAt, seq) = 1"))
+def q_stream_dedup(spark, sf_dir):
+    """The first snapshot ever of each video, over two intakes."""
+    table = scratch_path(spark, "stream_first_seen")
+    _stream_twice(spark, sf_dir, "first_seen", lambda flat, ckpt: ST.run_first_seen(flat, table, ckpt, order=["_seq"]))
+    return ST.seen_first(spark, table, _flat_schema(spark)).select("platform", "videoId", "fetchedAt", "_seq")
 
 
 @query("stream_upsert", S.with_(S.SILVER, "SELECT platform, videoId, fetchedAt, seq AS _seq FROM ded"))
 def q_stream_upsert(spark, sf_dir):
-    src = _stream_input(spark, sf_dir, 1)
-    table, ckpt = scratch_path(spark, "stream_snapshot"), scratch_path(spark, "ckpt_upsert")
-    flat = lambda: ST.flat_stream(ST.bronze_stream(spark, src, STREAM_SCHEMA), keep=["topic_id", "_seq"])
-    ST.upsert_latest(flat(), table, ckpt, order=["_seq"])
-    _stream_input(spark, sf_dir, 2, src)
-    ST.upsert_latest(flat(), table, ckpt, order=["_seq"])
-    return ST.read_snapshot(spark, table).select("platform", "videoId", "fetchedAt", "_seq")
+    """The latest snapshot of each video: a compacted table and the batches since."""
+    table, base, schema = scratch_path(spark, "stream_snapshot"), scratch_path(spark, "stream_compacted"), _flat_schema(spark)
+
+    def run(flat, ckpt):
+        ST.upsert_latest(flat, table, ckpt, order=["_seq"])
+        if ST.rows(spark, base, schema).isEmpty():
+            ST.compact(spark, table, base, schema, order=["_seq"])
+    _stream_twice(spark, sf_dir, "upsert", run)
+    return ST.read_snapshot(spark, [base, table], schema, order=["_seq"]).select("platform", "videoId", "fetchedAt", "_seq")
 
 
 @query("stream_baseline", S.with_(_HOURLY + r""",
@@ -749,7 +813,7 @@ zb AS (SELECT *, (velocity_sum - coalesce(avg(velocity_sum) OVER w, 0.0)) /
        FROM hourly WINDOW w AS (PARTITION BY topic_id ORDER BY ts_hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
     "SELECT ts_hour, topic_id, " + _r("velocity_sum") + " AS velocity_sum, " + _r("zscore") + " AS zscore FROM zb"))
 def q_stream_baseline(spark, sf_dir):
-    hourly = spark.read.parquet(_hourly_sink(spark, sf_dir))
+    hourly = ST.closed_hours(spark, _hourly_table(spark, sf_dir))
     src, sink, ckpt = (scratch_path(spark, n) for n in ("baseline_in", "stream_baseline", "ckpt_baseline"))
     run = lambda: ST.run_available_now(ST.expanding_baseline_stream(
         spark.readStream.schema(hourly.schema).parquet(src)), sink, ckpt)
@@ -762,28 +826,34 @@ def q_stream_baseline(spark, sf_dir):
 
 # ---------------------------------------------------------------- the reference's full gold flow and run summary
 
-@query("kmeans_topics_hourly", S.with_(S.VIDEOS, "SELECT ts_hour, " + _r("sum(decayed_velocity)") +
-                                     " AS velocity, count(*) AS videos FROM vt GROUP BY ts_hour"))
+_VT_TOPICS = S.VIDEOS + ",\nvk AS (SELECT *, platform || chr(1) || videoId AS vkey FROM vt),\n" + TQ.topics_sql(
+    "vk", "vkey", "title_clean", TQ.topic_count_sql("(SELECT count(*) FROM vk)"), TM.MIN_DF, TM.NGRAM_MAX, False, 1.0,
+    TM.SEED_ROUNDS, PL.KMEANS_ROUNDS) + """,
+kv AS (SELECT vk.* EXCLUDE (topic_id), topics.topic_id FROM vk JOIN topics ON topics.key = vk.vkey)"""
+
+
+@query("kmeans_topics_hourly", S.with_(_VT_TOPICS, "SELECT ts_hour, topic_id, " + _r("sum(decayed_velocity)") + " AS velocity_sum, "
+       "count(DISTINCT videoId) AS video_count, count(DISTINCT channelId) AS channel_count FROM kv GROUP BY ts_hour, topic_id"))
 def q_kmeans_topics_hourly(spark, sf_dir):
-    """Silver titles → TF-IDF + k-means topics → gold, summed over the topics: numbering does not matter."""
+    """Silver titles → TF-IDF + k-means topics (their number by the rule) → gold, a row per topic and hour."""
     from ..operators import topics as TP
-    v = TP.with_hour(PL.silver_with_kmeans_topics(spark, sf_dir))
-    gold = TP.topics_hourly(v).groupBy("ts_hour").agg(F.sum("velocity_sum").alias("velocity"))
-    rows = TP.videos_with_topics(v).groupBy("ts_hour").agg(F.count("*").alias("videos"))
-    return PL.rounded(gold.join(rows, "ts_hour"))
+    gold = TP.topics_hourly(TP.with_hour(PL.silver_with_kmeans_topics(spark, sf_dir)))
+    return PL.rounded(gold.select("ts_hour", "topic_id", "velocity_sum", "video_count", "channel_count"))
 
 
-@query("hashed_kmeans_topics", _KMEANS_SQL)
+@query("hashed_kmeans_topics", _kmeans_sql(min_df=1, ngram_max=1, stop_words=True, smooth=0.0))
 def q_hashed_kmeans_topics(spark, sf_dir):
-    return TX.kmeans_check(_docs(spark, sf_dir), "doc_id", "text", stop_words=True)
+    """The variant on single words without stop words, weights ln((1 + n) / (1 + df)) (ML-3)."""
+    return PL.rounded(TM.topics(_docs(spark, sf_dir), "doc_id", "text", KMEANS_TOPICS, 1, 1, stop_words=True, smooth=0.0, rounds=PL.KMEANS_ROUNDS))
 
 
-@query("run_summary", S.with_(S.GOLD, "SELECT (SELECT count(DISTINCT topic_id) FROM topics_hourly) AS topics, "
-                                      "(SELECT count(*) FROM silver) AS videos"))
+@query("run_summary", S.with_(S.GOLD, "SELECT (SELECT count(DISTINCT topic_id) FROM topics_hourly) AS topics, (SELECT count(*) FROM silver) AS videos, "
+                              + TQ.topic_count_sql("(SELECT count(*) FROM silver)") + " AS k"))
 def q_run_summary(spark, sf_dir):
-    """Topics and videos of a run (AGG-15)."""
+    """Topics and videos of a run, and the number of topics that the rule gives (AGG-15)."""
     th, s = PL.topics_hourly(spark, sf_dir), PL.silver(spark, sf_dir)
-    return th.agg(F.count_distinct("topic_id").alias("topics"), s.agg(F.count("*")).scalar().alias("videos"))
+    n = s.count()
+    return th.agg(F.count_distinct("topic_id").alias("topics"), F.lit(n).cast("long").alias("videos"), F.lit(TM.topic_count(n)).cast("long").alias("k"))
 
 
 @query("topic_lang_videos", S.with_(S.GOLD, "SELECT topic_id, count(DISTINCT videoId) AS lang_vids FROM videos_with_topics "

@@ -36,10 +36,13 @@ SILVER_COLS = [
     "decayed_velocity",
 ]
 
-VIDEOS_WITH_TOPICS_COLS = [
-    "videoId", "channelId", "channelTitle", "title_clean", "lang",
-    "decayed_velocity", "ts_hour", "topic_id", "platform",
-]
+VIDEOS_WITH_TOPICS = T.StructType([
+    *(T.StructField(c, T.StringType()) for c in ("videoId", "channelId", "channelTitle", "title_clean", "lang")),
+    T.StructField("decayed_velocity", T.DoubleType()),
+    T.StructField("ts_hour", T.TimestampType()),
+    T.StructField("topic_id", T.IntegerType()),
+    T.StructField("platform", T.StringType()),
+])
 
 TOPICS_HOURLY = T.StructType([
     T.StructField("ts_hour", T.TimestampType()),
@@ -56,3 +59,4 @@ TOPICS_HOURLY = T.StructType([
 ])
 
 TOPICS_HOURLY_COLS = TOPICS_HOURLY.names
+VIDEOS_WITH_TOPICS_COLS = VIDEOS_WITH_TOPICS.names
