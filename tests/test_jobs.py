@@ -48,7 +48,7 @@ def test_topics_job_on_few_rows(spark):
         with open(os.path.join(d, "part-0.json"), "w") as f:
             for i in range(n):
                 f.write(json.dumps({"id": f"video{i:06d}", "_fetched_at": "2025-01-01T10:00:00Z",
-                                    "snippet": {"title": f"Some title {i}", "publishedAt": "2025-01-01T09:00:00Z"}, "statistics": {"viewCount": "9"}}) + "\n")
+                                    "snippet": {"title": f"Some title no{i}", "publishedAt": "2025-01-01T09:00:00Z"}, "statistics": {"viewCount": "9"}}) + "\n")
         jobs.clean_job(spark, os.path.join(root, "bronze"), os.path.join(root, "silver"))
         th, vt = jobs.topics_job(spark, os.path.join(root, "silver"), os.path.join(root, "gold"))
         assert th.columns == [*TOPICS_HOURLY_COLS, "date"] and vt.columns == [*VIDEOS_WITH_TOPICS_COLS, "date"]
