@@ -17,6 +17,27 @@ def test_expanding_baseline_example(spark):
     assert math.isclose(z[3], (9 - 19 / 3) / sd4, rel_tol=1e-12)
 
 
+def test_expanding_baseline_over_many_days(spark):
+    """Against plain Python: days of one row and of many, equal values over days, large means with small spreads, a null topic."""
+    import random
+    rng = random.Random(5)
+    t0, rows = dt.datetime(2025, 1, 1), []
+    makes = {1: lambda i: rng.lognormvariate(3, 1), 2: lambda i: 0.1, 3: lambda i: 1e9 + rng.random(), 4: lambda i: float(i // 40), None: lambda i: 7.0 + i % 2}
+    for topic, make in makes.items():
+        hours = sorted(rng.sample(range(24 * 30), 200))
+        rows += [(t0 + dt.timedelta(hours=h), topic, make(i)) for i, h in enumerate(hours)]
+    df = spark.createDataFrame(rows, "ts_hour timestamp, topic_id int, velocity_sum double").repartition(5)
+    got = {(r.topic_id, r.ts_hour): r.zscore for r in TP.expanding_baseline(df).collect()}
+    assert len(got) == len(rows)
+    for topic in makes:
+        seen = []
+        for t, _, v in (r for r in rows if r[1] == topic):
+            sd = statistics.stdev(seen) if len(seen) > 1 else 1.0
+            want = (v - (statistics.fmean(seen) if seen else 0.0)) / (sd or 1.0)
+            assert math.isclose(got[topic, t], want, rel_tol=1e-6, abs_tol=1e-6), (topic, t)
+            seen.append(v)
+
+
 def test_leaders_alphabetical_top3(spark):
     t = dt.datetime(2025, 1, 1)
     rows = [(t, 1, "Z", 3.0), (t, 1, "A", 2.0), (t, 1, "M", 2.0), (t, 1, "B", 1.0), (t, 1, None, 9.0)]

@@ -67,14 +67,38 @@ def expanding_baseline(agg: DataFrame, value: str = "velocity_sum", key: str = "
     """z = (v − mean of prior rows) / sample std of prior rows (WIN-3/4, MTH-5..7).
 
     No prior row → mean 0; fewer than two → std 1; std 0 → 1.  The frame
-    counts existing rows (hours without activity are not filled).  The
-    window runs on the aggregated series (one row per topic-hour).
+    counts existing rows (hours without activity are not filled).
+
+    In two levels, so that no task sorts a topic's whole history: rows are reduced to moments per topic and day (count, mean,
+    squared deviations, least, largest), the days before are added up per topic (one row a day), and within a day a
+    window runs over its own rows; both parts are joined by the rule for merging moments.  Means are kept as
+    distances from the topic's first day, which keeps their differences exact enough; equal values are told by least and largest.
     """
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    mean = F.coalesce(F.avg(value).over(w), F.lit(0.0))
-    sd = F.stddev_samp(value).over(w)
-    sd = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
-    out = agg.withColumn("zscore", (F.col(value) - mean) / sd)
+    day = agg.withColumn("_day", F.date_trunc("day", F.col(order)))
+    daily = day.groupBy(F.col(key).alias("_key"), F.col("_day").alias("_on")).agg(
+        F.count(value).alias("_n"), F.avg(value).alias("_mean"), (F.var_pop(value) * F.count(value)).alias("_m2"),
+        F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    topic = Window.partitionBy("_key").orderBy("_on")
+    before = topic.rowsBetween(Window.unboundedPreceding, -1)
+    days = daily.withColumn("_c", F.first("_mean").over(topic.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    gap = F.col("_mean") - F.col("_c")
+    days = days.select("_key", "_on", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n1"), F.sum(F.col("_n") * gap).over(before).alias("_s1"),
+                       F.sum(F.col("_m2") + F.col("_n") * gap * gap).over(before).alias("_q1"), F.min("_lo").over(before).alias("_lo1"), F.max("_hi").over(before).alias("_hi1"))
+    rows = day.join(days, F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_on")))
+    w = Window.partitionBy("_key", "_on").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({"_n2": F.count(value).over(w), "_a2": F.avg(F.col(value) - F.col("_c")).over(w), "_v2": F.var_pop(value).over(w),
+                             "_lo2": F.min(value).over(w), "_hi2": F.max(value).over(w)})
+    n1, n2 = F.col("_n1"), F.col("_n2")
+    n, a1 = n1 + n2, F.col("_s1") / F.nullif(n1, F.lit(0))
+    # a mean of one part alone needs no merging
+    shifted = F.when(n2 == 0, a1).when(n1 == 0, F.col("_a2")).otherwise((n1 * a1 + n2 * F.col("_a2")) / n)
+    squares = (F.coalesce(F.greatest(F.col("_q1") - F.col("_s1") * a1, F.lit(0.0)), F.lit(0.0)) + F.coalesce(F.col("_v2") * n2, F.lit(0.0))
+               + F.when((n1 > 0) & (n2 > 0), F.pow(F.col("_a2") - a1, F.lit(2)) * n1 * n2 / n).otherwise(0.0))
+    same = F.least("_lo1", "_lo2") == F.greatest("_hi1", "_hi2")
+    sd = F.sqrt(squares / (n - 1))
+    sd = F.when((n < 2) | same | (sd == 0), F.lit(1.0)).otherwise(sd)
+    mean = F.when(n == 0, F.lit(0.0)).otherwise(F.col("_c") + shifted)
+    out = rows.withColumn("zscore", (F.col(value) - mean) / sd).select(*agg.columns, "zscore")
     return out.withColumns({"rising_flag": N.rising_flag("zscore"), "rising_score": N.rising_score("zscore")})
 
 
