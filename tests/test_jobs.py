@@ -54,7 +54,7 @@ def test_topics_job_on_few_rows(spark):
         assert th.columns == [*TOPICS_HOURLY_COLS, "date"] and vt.columns == [*VIDEOS_WITH_TOPICS_COLS, "date"]
         assert sorted(r.topic_id for r in vt.collect()) == list(range(n))
         sub = V.topic_window(th, vt, V.WindowFilter(hours=None, rising_only=False, min_videos=1, langs=[]))
-        assert V.kpis(sub, vt, V.top_topics(sub, min_videos=1)).first().videos_in_window == n
+        assert V.kpis(sub, jobs.load_sets(spark, os.path.join(root, "gold"))[0], V.top_topics(sub, min_videos=1)).first().videos_in_window == n
 
 
 def test_clean_job_tie_goes_to_later_file(spark):

@@ -73,6 +73,10 @@ def test_sinks(spark):
     for _ in range(2):
         sinks.append_manifest(spark.createDataFrame([("f", 3)], "file string, records int"), manifest)
     assert spark.read.option("header", True).csv(manifest).count() == 2
+    for records, run in ((3, "20250101T000000Z"), (4, "20250102T000000Z"), (5, "20250101T000000Z")):
+        sinks.append_manifest(spark.createDataFrame([("f", records)], "file string, records int"), manifest + "-runs", run)
+    kept = spark.read.option("header", True).csv(manifest + "-runs")
+    assert sorted((r.run, r.records) for r in kept.collect()) == [("20250101T000000Z", "5"), ("20250102T000000Z", "4")]
     one = sinks.write_csv(df.repartition(3), os.path.join(d, "one"), single_file=True)
     assert len([f for f in os.listdir(one) if f.startswith("part-")]) == 1
     back = sinks.repair_and_save(spark.read.option("header", True).csv(one), os.path.join(d, "two"))

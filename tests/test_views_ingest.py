@@ -108,8 +108,13 @@ def test_outputs_are_ordered(spark):
                                      "ts_hour timestamp, topic_id int, platform string").repartition(4)
     got = [r.decayed_velocity for r in V.topic_videos_search(tv).collect()]
     assert got == sorted(got, reverse=True)
-    mix = [r.momentum for r in V.platform_mix(tv).collect()]
+    from tidemark.operators import videosets as VS
+    numbers = VS.video_numbers(tv)
+    mix = [r.momentum for r in V.platform_mix(VS.sets(tv, numbers, VS.TOPIC_SET)).collect()]
     assert mix == sorted(mix, reverse=True)
+    window = spark.createDataFrame([(T0,)], "ts_hour timestamp")
+    board = V.channel_leaderboard(window, VS.sets(tv, numbers, VS.CHANNEL_SET)).collect()
+    assert [(-r.momentum, r.channelTitle) for r in board] == sorted((-r.momentum, r.channelTitle) for r in board) and {r.posts for r in board} == {1}
     top = V.channel_contributions(tv).collect()
     want = {}
     for r in rows:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import clean, langid, topics
+from ..operators import clean, langid, topics, videosets
 from ..operators.topicmodel import topics as topic_model
 from ..schemas import SILVER_COLS, TOPICS_HOURLY, VIDEOS_WITH_TOPICS
 from ..sinks import write_csv, write_parquet
@@ -69,9 +69,17 @@ def topics_job(spark: SparkSession, silver_path: str, gold_root: str, k: int | N
     vt = topics.videos_with_topics(videos).withColumn("date", F.to_date("ts_hour"))
     write_parquet(th if by else th.drop("date"), th_path, by)
     write_parquet(vt if by else vt.drop("date"), vt_path, by)
+    numbers = videosets.video_numbers(vt)
+    for name, by in (("video_sets", videosets.TOPIC_SET), ("channel_sets", videosets.CHANNEL_SET)):
+        write_parquet(videosets.sets(vt, numbers, by), os.path.join(gold_root, name))
     return load_gold(spark, gold_root)
 
 
+def load_sets(spark: SparkSession, gold_root: str) -> tuple[DataFrame, DataFrame]:
+    """(video_sets, channel_sets): partial results of distinct counts, for the KPIs, the platform mix and the leaderboard."""
+    return tuple(spark.read.parquet(os.path.join(gold_root, name)) for name in ("video_sets", "channel_sets"))
+
+
 def load_gold(spark: SparkSession, gold_root: str) -> tuple[DataFrame, DataFrame]:
     """(topics_hourly, videos_with_topics).
 

@@ -13,7 +13,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, topics
+from ..operators import clean, topics, videosets
 from ..operators.textmine import topic_labels
 from ..session import scratch_path
 from ..sources.fixtures import bronze_from_tables
@@ -107,6 +107,22 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[round_half_away(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
+def video_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Videos per hour, topic, platform and language, as words of 64 bits."""
+    return _materialise(spark, sf_dir, "video_sets", lambda: videosets.sets(
+        videos_with_topics(spark, sf_dir), _numbers(spark, sf_dir), videosets.TOPIC_SET))
+
+
+def channel_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Videos per hour and channel."""
+    return _materialise(spark, sf_dir, "channel_sets", lambda: videosets.sets(
+        videos_with_topics(spark, sf_dir), _numbers(spark, sf_dir), videosets.CHANNEL_SET))
+
+
+def _numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _materialise(spark, sf_dir, "video_numbers", lambda: videosets.video_numbers(videos_with_topics(spark, sf_dir)))
+
+
 KMEANS_ROUNDS = 4        # k-means rounds of the checked queries
 
 

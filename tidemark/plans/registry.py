@@ -265,7 +265,7 @@ def q_top_topics(spark, sf_dir):
                         "(SELECT " + _r("max(rising_score)") + " FROM top) AS top_rising_score"))
 def q_kpis(spark, sf_dir):
     th, vt, sub = _main(spark, sf_dir)
-    return PL.rounded(V.kpis(sub, vt, V.top_topics(sub)))
+    return PL.rounded(V.kpis(sub, PL.video_sets(spark, sf_dir), V.top_topics(sub)))
 
 
 @query("topic_history", _top_sql("SELECT ts_hour, " + _local("ts_hour") + " AS ts_hour_local, " + _r("velocity_sum") +
@@ -292,7 +292,8 @@ def q_topic_videos_search(spark, sf_dir):
 @query("platform_mix", _top_sql("SELECT platform, " + _r("sum(decayed_velocity)") + " AS momentum, count(DISTINCT videoId) AS posts "
                                 "FROM tv WHERE platform IS NOT NULL GROUP BY platform"))
 def q_platform_mix(spark, sf_dir):
-    return PL.rounded(V.platform_mix(_tv(spark, sf_dir)))
+    _, _, sub = _main(spark, sf_dir)
+    return PL.rounded(V.platform_mix(V.topic_videos(sub, PL.video_sets(spark, sf_dir), V.selected_topic(V.top_topics(sub)))))
 
 
 @query("top_chart", _top_sql("SELECT topic_id, label, " + _r("rising_score") + " AS rising_score, CAST(rank AS INTEGER) AS rank FROM "
@@ -317,7 +318,7 @@ def q_channel_contributions(spark, sf_dir):
     "GROUP BY channelTitle ORDER BY momentum DESC, channelTitle LIMIT 25)"))
 def q_channel_leaderboard(spark, sf_dir):
     th, vt, sub = _main(spark, sf_dir)
-    return PL.rounded(V.channel_leaderboard(sub, vt))
+    return PL.rounded(V.channel_leaderboard(sub, PL.channel_sets(spark, sf_dir)))
 
 
 @query("filter_options", S.with_(S.GOLD, "SELECT DISTINCT 'lang' AS option, lang AS value FROM videos_with_topics WHERE lang IS NOT NULL "
@@ -860,5 +861,6 @@ def q_run_summary(spark, sf_dir):
                                             "WHERE lang IN ('en', 'es') GROUP BY topic_id"))
 def q_topic_lang_videos(spark, sf_dir):
     """Distinct videos per topic in the selected languages (AGG-12)."""
-    vt = PL.videos_with_topics(spark, sf_dir)
-    return vt.where(F.col("lang").isin("en", "es")).groupBy("topic_id").agg(F.count_distinct("videoId").alias("lang_vids"))
+    from ..operators.videosets import united
+    some = PL.video_sets(spark, sf_dir).where(F.col("lang").isin("en", "es"))
+    return united(some, "topic_id").select("topic_id", F.col("videos").alias("lang_vids"))

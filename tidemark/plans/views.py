@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import temporal as TM
 from ..functions import text as X
+from ..operators.videosets import united
 
 # Dashboard defaults.
 DEFAULT_HOURS = 6
@@ -125,13 +126,12 @@ def _ranked(df: DataFrame, order: list, n: int) -> DataFrame:
     return few.withColumn("rank", F.row_number().over(Window.orderBy(*order))).orderBy("rank")
 
 
-def kpis(subset: DataFrame, videos: DataFrame, top: DataFrame) -> DataFrame:
-    """Topics in window, videos in the window's hours, top rising score (VIEW-3)."""
+def kpis(subset: DataFrame, video_sets: DataFrame, top: DataFrame) -> DataFrame:
+    """Topics in window, videos in the window's hours, top rising score (VIEW-3); videos from ``operators.videosets``."""
     hours = subset.select("ts_hour").distinct()
-    vids = videos.join(hours, "ts_hour", "left_semi")
     return subset.agg(
         F.count_distinct("topic_id").alias("topics_in_window"),
-        vids.agg(F.count_distinct("videoId")).scalar().alias("videos_in_window"),
+        united(video_sets.join(hours, "ts_hour", "left_semi")).select("videos").scalar().alias("videos_in_window"),
         top.agg(F.max("rising_score")).scalar().alias("top_rising_score"))   # first row of the ordered top list
 
 
@@ -148,7 +148,7 @@ def topic_history(subset: DataFrame, topic: DataFrame, tz: str = TM.LOCAL_TZ) ->
 
 
 def topic_videos(subset: DataFrame, videos: DataFrame, topic: DataFrame) -> DataFrame:
-    """Videos of the selected topic within that topic's window hours (JN-7)."""
+    """Videos (rows or sets) of the selected topic within that topic's window hours (JN-7)."""
     keys = subset.join(F.broadcast(topic), "topic_id", "left_semi").select("topic_id", "ts_hour").distinct()
     return videos.join(keys, ["topic_id", "ts_hour"], "left_semi")
 
@@ -162,10 +162,9 @@ def topic_videos_search(tv: DataFrame, q: str = "", literal: bool = False, tz: s
                      ).orderBy(F.desc_nulls_last("decayed_velocity"), F.asc("platform"), F.asc("videoId"))
 
 
-def platform_mix(tv: DataFrame) -> DataFrame:
-    """By momentum (VIEW-6, AGG-7)."""
-    return (tv.where(F.col("platform").isNotNull()).groupBy("platform")
-            .agg(F.sum("decayed_velocity").alias("momentum"), F.count_distinct("videoId").alias("posts"))
+def platform_mix(topic_sets: DataFrame) -> DataFrame:
+    """By momentum (VIEW-6, AGG-7), from the topic's video sets."""
+    return (united(topic_sets.where(F.col("platform").isNotNull()), "platform").select("platform", "momentum", F.col("videos").alias("posts"))
             .orderBy(F.desc("momentum"), F.asc("platform")))
 
 
@@ -176,12 +175,11 @@ def channel_contributions(tv: DataFrame, n: int = CONTRIB_CHART) -> DataFrame:
     return _ranked(by, [F.desc("contrib"), F.asc("channelTitle")], n)
 
 
-def channel_leaderboard(subset: DataFrame, videos: DataFrame, n: int = LEADERBOARD) -> DataFrame:
-    """Channels by momentum over the window's hours (VIEW-8, JN-6, AGG-9, SRT-5)."""
+def channel_leaderboard(subset: DataFrame, channel_sets: DataFrame, n: int = LEADERBOARD) -> DataFrame:
+    """Channels by momentum over the window's hours (VIEW-8, JN-6, AGG-9, SRT-5), from the channels' video sets."""
     hours = subset.select("ts_hour").distinct()
-    vv = videos.join(hours, "ts_hour", "left_semi").where(F.col("channelTitle").isNotNull())
-    board = vv.groupBy("channelTitle").agg(F.sum("decayed_velocity").alias("momentum"),
-                                           F.count_distinct("videoId").alias("posts"))
+    some = channel_sets.join(hours, "ts_hour", "left_semi").where(F.col("channelTitle").isNotNull())
+    board = united(some, "channelTitle").select("channelTitle", "momentum", F.col("videos").alias("posts"))
     return board.orderBy(F.desc("momentum"), F.asc("channelTitle")).limit(n)
 
 

@@ -38,9 +38,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return path
 
 
-def append_manifest(manifest: DataFrame, path: str) -> str:
-    """Append run-summary rows; the header is written with every part (SNK-5)."""
-    manifest.write.mode("append").option("header", True).csv(path)
+def append_manifest(manifest: DataFrame, path: str, run: str | None = None) -> str:
+    """Append run-summary rows; the header is written with every part (SNK-5).
+
+    With ``run`` the rows lie in a folder of that run, and the same run replaces them when it is repeated; readers get its name as
+    a column ``run``.  A manifest uses one of the two forms throughout.
+    """
+    if run is None:
+        manifest.write.mode("append").option("header", True).csv(path)
+    else:
+        manifest.write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}/run={run}")
     return path
 
 
