@@ -125,3 +125,39 @@ def test_components(llm):
     got = {r.node: r.label for r in N.components(df).collect()}
     want = {x: find(x) for p in pairs for x in p if p[0] != p[1]}
     assert got == want
+
+
+def test_block_links_join_what_pairs_would(llm):
+    """Exact overlap within a block: the same components as by all pairs, with fewer links than rows."""
+    rng = random.Random(12)
+    base = [f"t{rng.randrange(60)}" for _ in range(120)]
+    rows = [(i, edited(rng, base, rng.randint(0, 9))) for i in range(60)] + [(60 + i, " ".join(f"t{rng.randrange(60)}" for _ in range(100))) for i in range(10)]
+    bags = [N.counted(N.word_hashes(t)) for _, t in rows]
+    labels = [i // 2 * 2 for i, _ in rows]                 # neighbours are joined already
+    members = [(i, labels[i], bags[i]) for i, _ in rows]
+    got = N.block_links([m for m in members if m[0] % 3], members, 0.8)
+    assert all(N.similarity(bags[u], bags[v]) >= 0.8 and labels[u] != labels[v] and u > v for u, v in got) and len(got) < len(rows)
+    up = {x: x for x in labels}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    def joined(pairs):
+        up.update({x: x for x in labels})
+        for u, v in pairs:
+            x, y = find(labels[u]), find(labels[v])
+            up[max(x, y)] = min(x, y)
+        return [find(x) for x in labels]
+    every = [(u, v) for u, v in combinations(range(len(rows)), 2) if (u % 3 or v % 3) and N.similarity(bags[u], bags[v]) >= 0.8]
+    assert joined(got) == joined(every)
+
+
+def test_large_bucket_in_many_blocks(make, monkeypatch):
+    """Near copies around several centres share buckets; blocks of a few rows give the brute-force classes, too."""
+    monkeypatch.setattr(N, "BLOCK", 7)
+    rng = random.Random(15)
+    base = [f"t{rng.randrange(90)}" for _ in range(100)]
+    rows = [(i, edited(rng, base, rng.randint(0, 8))) for i in range(150)]
+    assert result(make(rows)) == classes(rows)

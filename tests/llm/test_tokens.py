@@ -36,10 +36,12 @@ def test_word_memory_equals_library(path, odd_rows):
 def test_cache_keeps_recent_units_when_full():
     from tidemark.llm.words import Cached
     asked = []
-    c = Cached(lambda u: asked.append(u) or u.encode(), entries=3)
+    c = Cached(lambda u: asked.append(u) or u.encode(), most=600)          # three of these units fill it
     for u in ("a", "b", "c", "a", "d", "a", "e", "a"):
         assert c[u] == u.encode()
     assert asked.count("a") == 1 and len(c) <= 3 and len(c.older) <= 3
+    c.forget()
+    assert not c and not c.older and not c.size
 
 
 def test_token_files_round_trip(llm, make, odd_rows):

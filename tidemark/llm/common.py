@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf, checkpoint_root, scratch_path, ship_package
 
-# Rows in an Arrow batch handed to Python: documents are long, so batches are small.
+# Rows and bytes in an Arrow batch handed to Python: documents are long, so batches are small.
 ARROW_ROWS = 512
+ARROW_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Runtime settings, checkpoint folder and package shipping; idempotent."""
     apply_runtime_conf(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     checkpoint_root(spark)
     ship_package(spark)
 

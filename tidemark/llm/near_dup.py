@@ -13,11 +13,10 @@ space).  Similarity is the weighted Jaccard of two multisets: sum of minima over
    they pass the latest slot, which is why long documents cost about one point per shingle.
 3. Bands of ``ROWS`` slots give buckets.  Each bucket's first member is its centre; every member is verified against
    it by exact multiset overlap (the texts' own shingles), never pairwise.  Verified links give components.
-4. Buckets that still hold several components: members outside the centre's component are compared with members
-   of other components by their signatures, block by block inside a task, and only pairs whose estimate is within
-   5 standard errors of the threshold leave it, to be verified.  A first round sends each member's few best, which joins most
-   components; the second sends all that are left.  Pairs inside a component need no test, so a group of
-   copies costs links in proportion to its size, and no link between components is lost.
+4. Buckets that still hold several components (of buckets with the same members one): members outside the centre's component meet
+   all members in blocks of bounded size inside a task, which counts the shingles that each outsider shares with every
+   member through an inverted index of the block.  Every pair of different components is judged by its exact overlap; once two
+   components are joined in a task, their pairs need no test, so a block gives fewer links than it has members and no pair becomes a row.
 """
 from __future__ import annotations
 
@@ -30,17 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW_ORDER, is_empty, packed_texts, stage, unpack
-from .words import Cached
+from .words import Cached, start_task
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 30
 ROWS = 5
 POINTS = 50_000                                # points drawn at once
-FIRST_BEST = 3                                 # candidates of a member in the first round between components
-ERRORS = 5.0                                   # standard errors that an estimate may lie below the threshold
 BLOCK = 2048                                   # members of a bucket compared in one task
-KEPT_BAGS = 512                                # counted texts that a task keeps
+BLOCK_BYTES = 4 << 20                          # and their packed texts
+KEPT_SHINGLES = 2 << 20                        # counted texts that a task keeps: 32 MB
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,9 +131,10 @@ def signatures(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int, s
 
 def _sketch(bands: int, rows: int):
     schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()),
-                        ("text", pa.binary()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
+                        ("text", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_task()
         for b in batches:
             words = [word_hashes(unpack(t).decode("utf-8", "surrogatepass")) for t in b.column(1).to_pylist()]
             prints = np.zeros((len(words), 2), np.uint64)
@@ -153,26 +152,35 @@ def _sketch(bands: int, rows: int):
             keys = [x.view(np.int64) if n else np.zeros(0, np.int64) for x, n in zip(band, sizes)]
             yield pa.RecordBatch.from_arrays([
                 b.column(0), b.column(2), pa.array(prints[:, 0].copy().view(np.int64)), pa.array(prints[:, 1].copy().view(np.int64)),
-                b.column(1), pa.array(keys, pa.list_(pa.int64())),
-                pa.array([x.tobytes() for x in _mix(sig.view(np.uint64)).astype(np.uint16)], pa.binary())], schema=schema)
+                b.column(1), pa.array(keys, pa.list_(pa.int64()))], schema=schema)
     return run
 
 
+class Bags:
+    """Counted texts by row number; those met recently stay, up to ``KEPT_SHINGLES`` different shingles."""
+
+    def __init__(self):
+        self.kept: dict[int, tuple] = {}
+        self.size = 0
+
+    def get(self, rid: int, packed: bytes) -> tuple:
+        got = self.kept.pop(rid, None)
+        if got is None:
+            got = counted(word_hashes(unpack(bytes(packed)).decode("utf-8", "surrogatepass")))
+            self.size += len(got[0])
+            while self.kept and self.size > KEPT_SHINGLES:
+                self.size -= len(self.kept.pop(next(iter(self.kept)))[0])
+        self.kept[rid] = got                   # the last one met goes last
+        return got
+
+
 def _overlap():
-    """Similarity of two packed texts, row by row; texts met recently stay counted."""
+    """Similarity of two packed texts, row by row."""
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        bags: dict[int, tuple] = {}
-
-        def counts(rid: int, packed: bytes) -> tuple:
-            got = bags.pop(rid, None)
-            if got is None:
-                got = counted(word_hashes(unpack(bytes(packed)).decode("utf-8", "surrogatepass")))
-                if len(bags) >= KEPT_BAGS:
-                    del bags[next(iter(bags))]
-            bags[rid] = got                    # the last one met goes last
-            return got
+        start_task()
+        bags = Bags()
         for batch in batches:
-            yield pd.Series([similarity(counts(u, x), counts(v, y)) for u, x, v, y in zip(*batch)], dtype="float64")
+            yield pd.Series([similarity(bags.get(u, x), bags.get(v, y)) for u, x, v, y in zip(*batch)], dtype="float64")
     return F.pandas_udf(run, "double")
 
 
@@ -180,7 +188,7 @@ def _verified(pairs: DataFrame, members: DataFrame, least: float) -> DataFrame:
     """Links (u, v) among candidate ``pairs`` whose texts overlap enough."""
     left = members.select(F.col("rid").alias("u"), F.col("text").alias("u_text"))
     right = members.select(F.col("rid").alias("v"), F.col("text").alias("v_text"))
-    both = pairs.join(left, "u").join(right, "v")
+    both = pairs.join(left, "u").join(right.hint("merge"), "v")
     return stage(both.select("u", "v", _overlap()("u", "u_text", "v", "v_text").alias("similarity"))
                  .where(F.col("similarity") >= least).select("u", "v"), "links")
 
@@ -208,42 +216,73 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         edges.selectExpr("b AS node", "b AS label").distinct())
 
 
-def _between(inside: DataFrame, slots: int, least: float, best: int | None) -> DataFrame:
-    """Candidate pairs (u > v) between components of a bucket, by signature: all, or each outsider's ``best``.
+def block_links(outside: list[tuple], members: list[tuple], least: float) -> list[tuple[int, int]]:
+    """Links (greater, smaller row) that join components: ``outside`` and ``members`` are (row, label, bag); exact overlap of every pair.
+
+    Components that have met are one from then on, so there are fewer links than labels.
+    """
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while up.get(x, x) != x:
+            up[x] = x = up.get(up[x], up[x])
+        return x
+    key, owner = np.concatenate([b[0] for _, _, b in members]), np.repeat(np.arange(len(members)), [len(b[0]) for _, _, b in members])
+    count = np.concatenate([b[1] for _, _, b in members])
+    order = np.argsort(key, kind="stable")
+    owner, count = owner[order], count[order]
+    terms, first = np.unique(key[order], return_index=True)
+    last = np.r_[first[1:], len(order)]
+    size = np.array([int(b[1].sum()) for _, _, b in members])
+    labels = np.array([label for _, label, _ in members])
+    out = []
+    for row, label, (shingle, times) in outside:
+        place = np.minimum(np.searchsorted(terms, shingle), len(terms) - 1)
+        met = np.flatnonzero(terms[place] == shingle)
+        lo, n = first[place[met]], (last - first)[place[met]]
+        at = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        both = np.bincount(owner[at], np.minimum(count[at], np.repeat(times[met], n)), len(members))
+        total = int(times.sum()) + size
+        for j in np.flatnonzero((both / np.maximum(total - both, 1) >= least) & (labels != label)).tolist():
+            x, y = find(label), find(int(labels[j]))
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                out.append((max(row, members[j][0]), min(row, members[j][0])))
+    return out
+
 
-    ``inside``: key, u, label, sig, out (outside the centre's component).  A bucket's outsiders and its
-    members are dealt to blocks of bounded size; a task compares one block with one block.
+def _between(inside: DataFrame, members: DataFrame, least: float) -> DataFrame:
+    """Links (u > v) between components of a bucket.
+
+    ``inside``: key, u, label, out (outside the centre's component).  Of buckets with the same members one is kept.  A bucket's outsiders
+    and its members are dealt to blocks of bounded size; a task compares one block with one block.
     """
-    floor = least - ERRORS * float(np.sqrt(least * (1 - least) / slots))
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-    sizes = stage(inside.groupBy("key").agg(F.expr(f"CAST(ceil(count(*) / {BLOCK}) AS INT)").alias("mb"),
-                                            F.expr(f"CAST(ceil(count_if(out) / {BLOCK}) AS INT)").alias("ob")).where("ob > 0"), "bucket_sizes")
+    same = inside.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.expr("sum(CAST(xxhash64(u) AS DECIMAL(38,0)))").alias("f1"),
+                                     F.expr("bit_xor(xxhash64(u, 1))").alias("f2"))
+    kept = same.groupBy("n", "f1", "f2").agg(F.min("key").alias("key")).select("key")
+    texts = members.select(F.col("rid").alias("u"), "text")
+    rows = stage(inside.join(kept, "key", "left_semi").join(texts, "u"), "split_members")
+    blocks = lambda which: F.expr(f"CAST(ceil(greatest(sum({which}) / {BLOCK}, sum({which} * length(text)) / {BLOCK_BYTES})) AS INT)")
+    sizes = stage(rows.groupBy("key").agg(blocks("1").alias("mb"), blocks("CAST(out AS INT)").alias("ob")).where("ob > 0"), "bucket_sizes")
     deal = lambda n: F.expr(f"CAST(pmod(xxhash64(u), {n}) AS INT)")
-    rows = inside.join(sizes, "key")
-    members = rows.select("key", "u", "label", "sig", deal("mb").alias("m"), F.explode(F.sequence(F.lit(0), F.col("ob") - 1)).alias("o"))
-    outside = rows.where("out").select("key", "u", "label", "sig", deal("ob").alias("o"), F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("m"))
-    outside = outside.select(*[F.col(c).alias(c) for c in outside.columns])      # both sides come from the same rows
+    rows = rows.join(sizes, "key")
+    inner = rows.select("key", "u", "label", "text", deal("mb").alias("m"), F.explode(F.sequence(F.lit(0), F.col("ob") - 1)).alias("o"))
+    outer = rows.where("out").select("key", "u", "label", "text", deal("ob").alias("o"), F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("m"))
+    outer = outer.select(*[F.col(c).alias(c) for c in outer.columns])      # both sides come from the same rows
+    bags = None
 
     def run(o: pa.Table, m: pa.Table) -> pa.Table:
-        us, vs = [], []
+        nonlocal bags
+        if bags is None:
+            start_task()
+            bags = Bags()
+        found: list[tuple[int, int]] = []
         if o.num_rows and m.num_rows:
-            (oi, ol, os), (mi, ml, ms) = (
-                (t.column("u").to_numpy(), t.column("label").to_numpy(),
-                 np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(t.num_rows, -1)) for t in (o, m))
-            for s in range(0, len(oi), 32):
-                share = (os[s:s + 32, None, :] == ms[None, :, :]).mean(axis=2)
-                share[ol[s:s + 32, None] == ml[None, :]] = 0.0
-                if best and share.shape[1] > best:
-                    cut = -np.partition(-share, best - 1, axis=1)[:, best - 1:best]
-                    share[share < cut] = 0.0
-                i, j = np.nonzero(share >= floor)
-                us.append(oi[s:s + 32][i])
-                vs.append(mi[j])
-        u = np.concatenate(us) if us else np.zeros(0, np.int64)
-        v = np.concatenate(vs) if vs else np.zeros(0, np.int64)
-        return pa.table([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], schema=schema)
+            sides = [[(u, label, bags.get(u, text)) for u, label, text in zip(*(t.column(c).to_pylist() for c in ("u", "label", "text")))] for t in (o, m)]
+            found = block_links(*sides, least)
+        return pa.table([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], names=["u", "v"])
     by = ["key", "o", "m"]
-    return outside.groupBy(*by).cogroup(members.groupBy(*by)).applyInArrow(run, "u long, v long").distinct()
+    return outer.groupBy(*by).cogroup(inner.groupBy(*by)).applyInArrow(run, "u long, v long").distinct()
 
 
 def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY,
@@ -256,38 +295,30 @@ def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     the class named by null only if no member has an id.  An empty table gives no rows.  ``rid`` numbers the rows in scan order (or is ``row_col``).
     """
     base = stage(packed_texts(docs, id_col, text_col, row_col).mapInArrow(
-        _sketch(bands, rows), "doc_id long, rid long, f1 long, f2 long, text binary, bands array<long>, sig binary"), "sketches")
+        _sketch(bands, rows), "doc_id long, rid long, f1 long, f2 long, text binary, bands array<long>"), "sketches")
     classes = stage(base.groupBy("f1", "f2").agg(F.min("rid").alias("rep")), "classes")
     reps = base.join(classes.select(F.col("rep").alias("rid")), "rid", "left_semi")
     keys = stage(reps.select("rid", F.explode("bands").alias("key")), "band_keys")
 
     # 3. every bucket's members against its centre
     centres = stage(keys.groupBy("key").agg(F.min("rid").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "centres")
-    shared = stage(keys.join(centres, "key").selectExpr("key", "rid AS u", "v"), "shared")
+    shared = stage(keys.join(centres.hint("merge"), "key").selectExpr("key", "rid AS u", "v"), "shared")
     pairs = stage(shared.where("u <> v").select("u", "v").distinct(), "pairs")
     nodes = pairs.select(F.col("u").alias("rid")).unionAll(pairs.select(F.col("v").alias("rid"))).distinct()
-    members = stage(base.select("rid", "text", "sig").join(nodes, "rid", "left_semi"), "members")
+    members = stage(base.select("rid", "text").join(nodes.hint("merge"), "rid", "left_semi"), "members")
     links = _verified(pairs, members, least)
     found = components(links)
 
     # 4. buckets that still hold several components
-    tested = pairs.selectExpr("greatest(u, v) AS u", "least(u, v) AS v")
-    for best in (FIRST_BEST, None):
-        placed = shared.join(found.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u"))
-        split = stage(placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"),
-                                                F.max(F.when(F.col("u") == F.col("v"), F.col("label"))).alias("c"))
-                      .where("lo < hi AND n > 2").select("key", "c"), "split_buckets")
-        if is_empty(split):
-            break
-        inside = placed.join(split, "key").join(members.select(F.col("rid").alias("u"), "sig"), "u").select(
-            "key", "u", "label", "sig", (F.col("label") != F.col("c")).alias("out"))
-        more = stage(_between(stage(inside, "split_members"), bands * rows, least, best)
-                     .join(tested, ["u", "v"], "left_anti"), "late_pairs")
-        late = _verified(more, members, least)
+    placed = stage(shared.join(found.withColumnRenamed("node", "u"), "u", "left").withColumn("label", F.coalesce("label", "u")), "placed")
+    split = stage(placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                            F.max(F.when(F.col("u") == F.col("v"), F.col("label"))).alias("c"))
+                  .where("lo < hi AND n > 2").select("key", "c"), "split_buckets")
+    if not is_empty(split):
+        inside = stage(placed.join(split, "key").select("key", "u", "label", (F.col("label") != F.col("c")).alias("out")), "inside")
+        late = stage(_between(inside, members, least), "late_links")
         if not is_empty(late):
-            links = links.unionAll(late)
-            found = components(links)
-        tested = tested.unionAll(more)
+            found = components(links.unionAll(late))
 
     labels = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "f1", "f2", F.coalesce("label", "rep").alias("label"))

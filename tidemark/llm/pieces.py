@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, texts
-from .words import Cached
+from .words import Cached, start_task
 
 CHUNK = 1 << 15
 BLOCK = 256                                    # chunks composed by one task
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 100_000
 SPACE = "▁"
 _NEVER = float("-inf")
 State = tuple[int, int]                        # (reach beyond the cut, length of the piece); (0, 0) at a text's ends
@@ -273,7 +273,8 @@ _models: dict[str, Pieces] = {}
 
 
 def model(path: str) -> Pieces:
-    """The worker's model of a file (kept between tasks with its cache)."""
+    """The worker's model of a file (kept between tasks, its cache between those of a stage)."""
+    start_task()
     if path not in _models:
         _models[path] = Pieces(path)
     return _models[path]

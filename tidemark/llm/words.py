@@ -3,11 +3,12 @@
 Both vocabularies cut a text into words before they merge, and no merge crosses
 a word; the ids of a text are the ids of its words in order.  Words repeat, so a
 worker keeps the ids of the words it has met and asks the tokenizers library for
-the others only.  The memory is bounded: a full cache is emptied.
+the others only.  The memory is bounded in bytes, and a worker that goes on to another stage forgets it.
 """
 from __future__ import annotations
 
 import re
+import weakref
 from array import array
 
 # The Unicode White_Space characters (fixed values).
@@ -19,18 +20,42 @@ _LETTERS, _MARKS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "!-&(-/:-@\\[-`{-~"
 _TAIL = ".,;:!?%$&*#|)\"-"                        # marks of _MARKS that words end in most often
 _PLAIN = re.compile(f"( ?[{_LETTERS}]+)([{_MARKS}]*)")
 
-CACHE_ENTRIES = 600_000
+CACHE_BYTES = 24 << 20                         # of one generation of a memory
+_ENTRY = 220                                   # a short unit, a short result and their place in a dictionary
+
+_memories: list[weakref.ref] = []
+_stage = None
+
+
+def start_task() -> None:
+    """To be called when a task begins: memories filled in another stage are emptied."""
+    global _stage
+    from pyspark import TaskContext
+    now = TaskContext.get()
+    if now is not None and now.stageId() != _stage:
+        _stage = now.stageId()
+        for ref in list(_memories):
+            one = ref()
+            if one is None:
+                _memories.remove(ref)
+            else:
+                one.forget()
 
 
 class Cached(dict):
-    """Unit → what ``encode`` gives for it; of at most twice ``entries`` units, those met recently.
+    """Unit → what ``encode`` gives for it; those met recently, in two generations of at most ``most`` bytes.
 
     A full memory becomes the older generation, from which units that are met again return.
     """
 
-    def __init__(self, encode, entries: int = CACHE_ENTRIES):
+    def __init__(self, encode, most: int = CACHE_BYTES):
         super().__init__()
-        self.encode, self.entries, self.older = encode, entries, {}
+        self.encode, self.most, self.size, self.older = encode, most, 0, {}
+        _memories.append(weakref.ref(self))
+
+    def forget(self) -> None:
+        self.clear()
+        self.size, self.older = 0, {}
 
     def __missing__(self, unit: str) -> bytes:
         got = self.older.pop(unit, None)
@@ -38,9 +63,11 @@ class Cached(dict):
             got = self.encode(unit)
             if len(unit) > 64:
                 return got
-        if len(self) >= self.entries:
+        if self.size >= self.most:
             self.older = dict(self)
             self.clear()
+            self.size = 0
+        self.size += _ENTRY + len(unit) + (len(got) if isinstance(got, bytes) else 8)
         self[unit] = got
         return got
 
@@ -125,7 +152,8 @@ _encoders: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder of a file (kept between tasks with its cache): ids are those of the library's default."""
+    """The worker's encoder of a file (kept between tasks, its cache between those of a stage): ids are those of the library's default."""
+    start_task()
     if path not in _encoders:
         _encoders[path] = WordEncoder(path, names_are_text=False)
     return _encoders[path]
