@@ -14,10 +14,12 @@ weighted by ``similarity ** sharpness``.  Only the text enters a score.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -96,24 +98,36 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
              .join(F.broadcast(sample), "id"))
     counts = F.pandas_udf(lambda s: pd.Series([term_counts(bytes(t)).astype("<f4").tobytes() for t in s]), "binary")
-    got = (found.select("id", "label", counts("text").alias("counts")).orderBy(*order, "label", "counts")
-           .limit(2 * per_label).toArrow())
+    sample = found.select("id", "label", counts("text").alias("counts")).orderBy(*order, "label", "counts").limit(2 * per_label)
+    got = sample.select("label", "counts").mapInArrow(_learned(dimensions), "idf binary, axes binary, vectors binary, labels binary").toArrow()
     if not got.num_rows:
         return None
-    # one single-precision copy on the driver, turned into weights in place
-    y = got.column("label").to_numpy().astype(np.float64)
-    x = np.empty((got.num_rows, TERMS), np.float32)
-    for row, c in zip(x, got.column("counts")):
-        row[:] = np.frombuffer(c.as_buffer(), "<f4")
-    del got
-    idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1
-    x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
-    np.sqrt(x, out=x)
-    x *= idf.astype(np.float32)
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))
-    axes = axes[:, ::-1][:, :dimensions].astype(np.float32)
-    return Model(idf, axes, _unit(x @ axes), y)
+    idf, axes, vectors, y = (np.frombuffer(got.column(c)[0].as_buffer(), t) for c, t in (
+        ("idf", np.float64), ("axes", np.float32), ("vectors", np.float32), ("labels", np.float64)))
+    return Model(idf, axes.reshape(TERMS, -1), vectors.reshape(len(y), -1), y)
+
+
+def _learned(dimensions: int):
+    """The model of the sampled rows, which are one partition of bounded size, computed where they are: the driver gets the result only."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, rows = [], []
+        for b in batches:
+            labels += b.column(0).to_pylist()
+            rows += [np.frombuffer(c.as_buffer(), "<f4") for c in b.column(1)]
+        if not rows:
+            return
+        y, x = np.array(labels, np.float64), np.stack(rows)              # one single-precision copy, turned into weights in place
+        rows.clear()
+        idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1
+        x /= np.maximum(x.sum(axis=1, keepdims=True), 1)
+        np.sqrt(x, out=x)
+        x *= idf.astype(np.float32)
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))
+        axes = np.ascontiguousarray(axes[:, ::-1][:, :dimensions], np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (idf, axes, _unit(x @ axes), y)],
+                                         names=["idf", "axes", "vectors", "labels"])
+    return run
 
 
 def vote(model: Model, texts: list[bytes], neighbours: int = NEIGHBOURS, sharpness: int = SHARPNESS) -> np.ndarray:
