@@ -37,7 +37,7 @@ def sample(n=60):
                    (1003, "q" * 49), (1004, "q" * 50), (1005, "q" * 50), (1006, "\x00" * 60), (1007, "\x00" * 120)]
 
 
-@pytest.mark.parametrize("kw", [{}, {"unit_bytes": 200, "gather": 7}, {"hot": 3}])
+@pytest.mark.parametrize("kw", [{}, {"unit_bytes": 200, "gather": 7}, {"hot": 3}, {"hot": 1, "gather": 2}])
 def test_matches_brute_force(make, kw):
     rows = sample()
     assert result(make(rows), **kw) == brute(rows)
@@ -45,11 +45,42 @@ def test_matches_brute_force(make, kw):
 
 
 def test_odd_rows(make, odd_rows):
-    rows = [(d, t if t is None or len(t) < 60000 else t[:3000]) for d, t in odd_rows]
-    assert result(make(rows)) == brute(rows)
+    assert result(make(odd_rows)) == brute(odd_rows)
     assert result(make([])) == []
 
 
+def test_states_lead_to_every_window():
+    """Refinement of a bucket: offsets are split among its parts, bytes only added, and the ends are the single windows."""
+    todo, ends = [S.START], []
+    while todo:
+        state = todo.pop()
+        parts = S.narrower(state)
+        if not parts:
+            ends.append(state)
+            continue
+        assert [o for x in parts for o in range(x[2], x[3] + 1)] == list(range(state[2], state[3] + 1))
+        assert all(x[0] >= state[0] and x[1] >= state[1] and x[0] <= x[2] and x[1] <= S.WINDOW - x[3] and x != state for x in parts)
+        todo += parts
+    assert sorted(ends) == [(o, S.WINDOW - o, o, o) for o in range(S.SPAN)]
+
+
+@pytest.mark.parametrize("kw, variants", [({"hot": 200, "gather": 500}, 60), ({}, 340)])
+def test_a_bucket_of_very_many_contexts(make, kw, variants):
+    """One 24-gram with other bytes around it in each document; by default more contexts than are gathered (``HOT``)."""
+    rng = np.random.default_rng(7)
+    letters = lambda k: bytes(rng.choice(np.frombuffer(b"abcd", np.uint8), k))
+    pool = rng.integers(65, 91, 400_000).astype(np.uint8).tobytes()
+    at, h = S.Unit(pool, [0], [len(pool)]).anchors()
+    gram = pool[at[h.argmin()]:][:S.Q]                     # the least hash of all: an anchor wherever it stands
+    tails, heads = [letters(6) for _ in range(40)], [letters(14) for _ in range(90)]
+    left = [letters(14) + tails[i % 40] for i in range(variants)]
+    right = [heads[i % 90] + letters(6) for i in range(variants)]
+    rows = [(int(d), (left[i] + gram + right[j]).decode()) for d, (i, j) in zip(
+        rng.permutation(variants * variants), ((i, j) for i in range(variants) for j in range(variants)))]
+    assert not kw and len(rows) > S.HOT or kw
+    assert result(make(rows), **kw) == brute(rows)
+
+
 def test_slices_of_a_giant_document_find_the_same_anchors(monkeypatch):
     rng = np.random.default_rng(1)
     data = rng.integers(97, 100, 5000).astype(np.uint8).tobytes()

@@ -231,7 +231,7 @@ def _leaves(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = _reader(folder)
         for b in batches:
-            for unit, file, at, size, _, ids, lengths in zip(*(c.to_pylist() for c in b.columns)):
+            for unit, file, at, size, _, ids, lengths, _ in zip(*(c.to_pylist() for c in b.columns)):
                 u = get(file, at, size, ids, lengths)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(u.h.view(np.int64)), pa.array(u.fp.view(np.int64)), pa.array(u.who), pa.array(np.full(len(u.h), unit, np.int64)),

@@ -17,12 +17,15 @@ nothing is lost, and one position in about 14 remains.
    the sort keys of the next step, and after three steps a bucket is a window of 50 bytes.  Singletons leave
    at each step.  The smallest document of a bucket settles its windows.
 
+A bucket too large to gather (over ``HOT`` contexts) is refined first by the same rule on rows: into buckets
+of the next bytes that all its windows hold, of half its offsets each where there are none, until it is small or one window.
+
 Steps 2 and 3 never bring the text itself into a shuffle: texts are packed once into units of about
-``UNIT_BYTES`` in the shared folder, and a task that has to mark or look up places reads its unit.  A
-bucket with over ``HOT`` contexts is not gathered: its windows become rows, aggregated by their own bytes.
+``UNIT_BYTES`` in the shared folder, with the places of their anchors, and a task that has to mark or look up places reads its unit.
 """
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Iterator
 
@@ -43,6 +46,7 @@ CONTEXT = LEFT + WINDOW                        # 76
 ROW = 80                                       # a context and its two clip lengths, in whole words
 UNIT_BYTES = 1 << 21
 UNITS_PER_TASK = 4
+WINDOWS_SENT = 100_000                         # windows of large buckets that are sent to every task; more are joined by shuffle
 SLICE = 1 << 20
 FILTER_BITS = 27                               # the bitmap has 2**27 bits, 16 MB, whatever the corpus
 HOT = 100_000
@@ -63,7 +67,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Unit:
     """Documents laid end to end, and the places of each."""
 
-    def __init__(self, data: bytes, ids: list, lengths: list[int]):
+    def __init__(self, data: bytes, ids: list, lengths: list[int], places: np.ndarray | None = None):
+        self.places = places
         self.bytes = np.frombuffer(data, np.uint8)
         self.ends = np.cumsum(np.array(lengths, np.int64))
         self.starts = self.ends - np.array(lengths, np.int64)
@@ -71,6 +76,21 @@ class Unit:
 
     def anchors(self, marked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Positions and 24-gram hashes of the anchors (of those that the bitmap lets through)."""
+        if self.places is None:
+            at, h = self._found()
+        else:                                  # known since the unit was written
+            at, h = self.places, np.zeros(len(self.places), np.uint64)
+            words = np.ndarray((max(0, len(self.bytes) - 7),), "<u8", self.bytes.data, 0, (1,))
+            for k in range(0, Q, 8):
+                h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + words[at + k])
+            h |= np.uint64(1)
+        if marked is not None:
+            bit = h >> np.uint64(64 - FILTER_BITS)
+            keep = (marked[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            at, h = at[keep], h[keep]
+        return at, h
+
+    def _found(self) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.bytes) - WINDOW + 1
         whole = np.ones(max(n, 0), bool)       # windows within one document
         cut = (self.ends[:, None] - np.arange(1, WINDOW)[None, :]).ravel()
@@ -102,10 +122,6 @@ class Unit:
                 most = np.maximum(most[:len(most) - (SPAN - step)], most[SPAN - step:])
             at = np.nonzero(most[:size] == h)[0]
             h = h[at]
-            if marked is not None:
-                bit = h >> np.uint64(64 - FILTER_BITS)
-                keep = (marked[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                at, h = at[keep], h[keep]
             found[0].append(at + s)
             found[1].append(h)
         at, h = np.concatenate(found[0]), np.concatenate(found[1])
@@ -123,8 +139,10 @@ class Unit:
         left, right = np.minimum(LEFT, at - self.starts[doc]), np.minimum(WINDOW, self.ends[doc] - at)
         padded = np.concatenate([np.zeros(LEFT, np.uint8), self.bytes, np.zeros(ROW, np.uint8)])
         rows = np.lib.stride_tricks.sliding_window_view(padded, ROW)[at]
+        rows[:, CONTEXT:] = 0
+        cut = np.flatnonzero((left < LEFT) | (right < WINDOW))
         col = np.arange(ROW)[None, :]
-        rows[(col < LEFT - left[:, None]) | (col >= LEFT + right[:, None])] = 0
+        rows[cut] = np.where((col < LEFT - left[cut, None]) | (col >= LEFT + right[cut, None]), 0, rows[cut])
         rows[:, CONTEXT], rows[:, CONTEXT + 1] = left, right
         return rows, left, right
 
@@ -181,13 +199,14 @@ def _runs(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return row[keep], lo[keep], hi[keep], doc[keep]
 
 
-_UNIT = "unit long, file string, at long, size long, rids array<long>, ids array<long>, lengths array<long>"
+_UNIT = "unit long, file string, at long, size long, rids array<long>, ids array<long>, lengths array<long>, places long"
 _REPLY = "unit long, h long, fp long, lo int, hi int, first long"
 
 
-def _pack(folder: str, unit_bytes: int):
+def _pack(folder: str, unit_bytes: int, anchored: bool = False):
+    """Texts to units in the shared folder; ``anchored``: with the anchors' places (``places`` bytes after the unit's)."""
     schema = pa.schema([("unit", pa.int64()), ("file", pa.string()), ("at", pa.int64()), ("size", pa.int64()),
-                        ("rids", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64()))])
+                        ("rids", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("places", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -203,11 +222,16 @@ def _pack(folder: str, unit_bytes: int):
             if out is None:
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(f"{root}/_{name}", compression=None)
-            frame = squeeze.compress(b"".join(body))
+            data = b"".join(body)
+            frame, places = squeeze.compress(data), b""
             out.write(frame)
-            row = [[unit], [name], [at], [len(frame)], *([h] for h in held)]
+            if anchored:                       # four bytes a place, as distances
+                found, _ = Unit(data, held[1], held[2]).anchors()
+                places = squeeze.compress(np.diff(found, prepend=0).astype("<u4").tobytes())
+                out.write(places)
+            row = [[unit], [name], [at], [len(frame)], *([h] for h in held), [len(places)]]
             got = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, schema.types)], schema=schema)
-            unit, at, size = unit + 1, at + len(frame), 0
+            unit, at, size = unit + 1, at + len(frame) + len(places), 0
             body.clear()
             for k in range(3):
                 held[k].clear()
@@ -235,14 +259,15 @@ def _fetch(folder: str):
     store, root = fs.FileSystem.from_uri(folder)
     opened: dict = {}
 
-    def get(file: str, at: int, size: int, ids: list, lengths: list) -> Unit:
+    def get(file: str, at: int, size: int, ids: list, lengths: list, places: int) -> Unit:
         if file not in opened:
             for f in opened.values():
                 f.close()
             opened.clear()
             opened[file] = store.open_input_file(f"{root}/{file}")
-        frame = opened[file].read_at(size, at)
-        return Unit(zstandard.ZstdDecompressor().decompress(frame), ids, lengths)
+        frame, unpack = opened[file].read_at(size + places, at), zstandard.ZstdDecompressor().decompress
+        known = np.cumsum(np.frombuffer(unpack(frame[size:]), "<u4"), dtype=np.int64) if places else None
+        return Unit(unpack(frame[:size]), ids, lengths, known)
     return get
 
 
@@ -256,8 +281,8 @@ def _each(run):
         def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             get = _fetch(folder)
             for b in batches:
-                for unit, file, at, size, _, ids, lengths in zip(*(c.to_pylist() for c in b.columns)):
-                    yield run(unit, get(file, at, size, ids, lengths))
+                for unit, file, at, size, _, ids, lengths, places in zip(*(c.to_pylist() for c in b.columns)):
+                    yield run(unit, get(file, at, size, ids, lengths, places))
         return over
     return outer
 
@@ -286,7 +311,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "units")
-    units = stage(texts(docs, id_col, text_col).mapInArrow(_pack(folder, unit_bytes), _UNIT), "unit_index")
+    units = stage(texts(docs, id_col, text_col).mapInArrow(_pack(folder, unit_bytes, anchored=True), _UNIT), "unit_index")
     # A unit is a few hundred bytes here and seconds of work: the number of tasks follows the units.
     tasks = max(1, -(-units.count() // UNITS_PER_TASK))
     units = units.repartition(tasks, "unit")
@@ -325,13 +350,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # 3. first copies of contexts whose bucket holds others
     asked = judged.where("several AND first = least")
-    n = asked.where(f"n <= {hot}").count()
-    if n:
-        replies = replies.unionAll(_gathered(
-            units, asked.where(f"n <= {hot}").repartition(tasks, "unit"), folder, marked, -(-n // gather)))
-    large = asked.where(f"n > {hot}")
-    if not is_empty(large):
-        replies = replies.unionAll(_by_window(units, large.repartition(tasks, "unit"), folder, marked))
+    if not is_empty(asked):
+        replies = replies.unionAll(_refined(stage(_fetched(units, asked.repartition(tasks, "unit"), folder, marked), "asked_contexts"), hot, gather))
 
     def final(t: pa.Table, r: pa.Table) -> pa.Table:
         return _remove(t, r, folder, marked)
@@ -341,7 +361,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _open(t: pa.Table, folder: str) -> Unit:
     row = t.slice(0, 1).to_pylist()[0]
-    return _fetch(folder)(row["file"], row["at"], row["size"], row["ids"], row["lengths"])
+    return _fetch(folder)(row["file"], row["at"], row["size"], row["ids"], row["lengths"], row["places"])
 
 
 def _combined(h: np.ndarray, fp: np.ndarray) -> np.ndarray:
@@ -363,8 +383,11 @@ def _asked(u: Unit, r: pa.Table, marked) -> tuple[np.ndarray, np.ndarray]:
     return at[first[where[ok]]], ok
 
 
-def _gathered(units: DataFrame, asked: DataFrame, folder: str, marked, tasks: int) -> DataFrame:
-    """Refinement replies of buckets small enough to gather, several buckets to a task."""
+_ROWS = "h long, fp long, unit long, doc long, context binary"
+
+
+def _fetched(units: DataFrame, asked: DataFrame, folder: str, marked) -> DataFrame:
+    """The bytes of the asked contexts, from their units."""
     def fetch(t: pa.Table, r: pa.Table) -> pa.Table:
         names = ["h", "fp", "unit", "doc", "context"]
         if not r.num_rows:
@@ -374,39 +397,96 @@ def _gathered(units: DataFrame, asked: DataFrame, folder: str, marked, tasks: in
         rows, _, _ = u.contexts(at)
         return pa.table([r.column("h").take(pa.array(ok)), r.column("fp").take(pa.array(ok)), r.column("unit").take(pa.array(ok)),
                          r.column("first").take(pa.array(ok)), pa.array([x.tobytes() for x in rows], pa.binary())], names=names)
+    return units.groupBy("unit").cogroup(asked.groupBy("unit")).applyInArrow(fetch, _ROWS)
+
+
+# What the contexts of a bucket share (``l`` bytes before the anchor, ``r`` from it on) and the offsets that it answers for.
+State = tuple[int, int, int, int]              # l, r, lo, hi
+START: State = (0, Q, 0, LEFT)
+
+
+def narrower(state: State) -> list[State]:
+    """The buckets that a large one is refined into: by the next bytes that all its windows hold, or half its offsets each."""
+    l, r, lo, hi = state  # noqa: E741
+    if r < WINDOW - hi:
+        return [(l, min(r + 8, WINDOW - hi), lo, hi)]
+    if l < lo:
+        return [(min(l + 8, lo), r, lo, hi)]
+    if lo == hi:
+        return []                              # the bucket is a window
+    mid = (lo + hi) // 2
+    return [(l, r, lo, mid), (l, r, mid + 1, hi)]
+
+
+def _narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of large buckets (with ``key, l, r, lo, hi``) to their rows in the narrower ones."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        rows = np.frombuffer(b"".join(b.column(b.schema.get_field_index("context")).to_pylist()), np.uint8).reshape(-1, ROW)
+        state = np.stack([b.column(b.schema.get_field_index(c)).to_numpy() for c in ("l", "r", "lo", "hi")], 1)
+        key = b.column(b.schema.get_field_index("key")).to_numpy().view(np.uint64)
+        left, right = rows[:, CONTEXT].astype(np.int64), rows[:, CONTEXT + 1].astype(np.int64)
+        for old in np.unique(state, axis=0).tolist():
+            mine = np.flatnonzero((state == old).all(1))
+            for part, new in enumerate(narrower(tuple(old))):
+                # of these, the rows that have a window within their document at one of the offsets
+                at = mine[(np.minimum(left[mine], new[3]) >= np.maximum(WINDOW - right[mine], new[2]))]
+                k = _mix(key[at] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(part + 1))
+                for place in (*range(LEFT - new[0], LEFT - old[0]), *range(LEFT + old[1], LEFT + new[1])):
+                    k = _mix(k * np.uint64(0xD6E8FEB86659FD93) + rows[at, place].astype(np.uint64) + np.uint64(1))
+                pick = b.take(pa.array(at)).select(["h", "fp", "unit", "doc", "context"])
+                yield pa.RecordBatch.from_arrays([*pick.columns, pa.array(k.view(np.int64)), *(pa.array(np.full(len(at), v, np.int32)) for v in new)],
+                                                 names=[*pick.schema.names, "key", "l", "r", "lo", "hi"])
+
+
+def _refined(rows: DataFrame, hot: int, gather: int) -> DataFrame:
+    """Replies for contexts that meet others in their bucket.
+
+    A bucket of more than ``hot`` contexts is refined into narrower ones first, as often as it takes; a bucket that has
+    become one window is answered by an aggregate.  The others are gathered, several to a task.
+    """
+    state = dict(zip(("l", "r", "lo", "hi"), START))
+    open_ = rows.withColumns({"key": F.col("h"), **{c: F.lit(v) for c, v in state.items()}})
+    replies = []
+    schema = f"{_ROWS}, key long, l int, r int, lo int, hi int"
+    while True:
+        counts = stage(open_.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(f"n > {hot}").select("key"), "large_buckets")
+        if is_empty(counts):
+            replies.append(_gathered(open_, gather))
+            break
+        # few rows: each stands for more than ``hot`` contexts
+        replies.append(_gathered(open_.join(counts, "key", "left_anti"), gather))
+        large = open_.join(counts, "key", "left_semi")
+        whole = F.expr(f"lo = hi AND l = lo AND r = {WINDOW} - lo")
+        replies.append(_windows(large.where(whole)))
+        open_ = stage(large.where(~whole).select([c.split()[0] for c in schema.split(", ")]).mapInArrow(_narrowed, schema), "narrower")
+    return functools.reduce(DataFrame.unionAll, replies)
+
+
+def _gathered(rows: DataFrame, gather: int) -> DataFrame:
+    """Refinement replies of buckets small enough to gather, several buckets to a task."""
+    tasks = max(1, -(-rows.count() // gather))
 
     def settle(t: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(t.column("context").to_pylist()), np.uint8).reshape(-1, ROW)
-        row, lo, hi, doc = _runs(refine(rows, _column(t, "doc")))
+        some = np.frombuffer(b"".join(t.column("context").to_pylist()), np.uint8).reshape(-1, ROW)
+        first = refine(some, _column(t, "doc"))
+        offset = np.arange(SPAN)[None, :]
+        first = np.where((offset >= _column(t, "lo")[:, None]) & (offset <= _column(t, "hi")[:, None]), first, _NONE)
+        row, lo, hi, doc = _runs(first)
         pick = pa.array(row)
         return pa.table([t.column("unit").take(pick), t.column("h").take(pick), t.column("fp").take(pick),
                          pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(doc)],
                         names=["unit", "h", "fp", "lo", "hi", "first"])
-    got = units.groupBy("unit").cogroup(asked.groupBy("unit")).applyInArrow(
-        fetch, "h long, fp long, unit long, doc long, context binary")
-    return got.groupBy(F.expr(f"pmod(h, {tasks}L)").alias("task")).applyInArrow(settle, _REPLY)
-
-
-def _by_window(units: DataFrame, asked: DataFrame, folder: str, marked) -> DataFrame:
-    """Refinement replies of large buckets: a row per window, reduced by the window's own bytes."""
-    def windows(t: pa.Table, r: pa.Table) -> pa.Table:
-        names = ["bytes", "h", "fp", "unit", "doc", "o"]
-        cols: list[list] = [[], [], [], [], [], []]
-        if r.num_rows:
-            u = _open(t, folder)
-            at, ok = _asked(u, r, marked)
-            rows, left, right = u.contexts(at)
-            ask = r.take(pa.array(ok)).to_pylist()
-            for row, a, lft, rgt in zip(rows, ask, left.tolist(), right.tolist()):
-                data = row.tobytes()
-                for o in range(max(0, WINDOW - rgt), lft + 1):
-                    for c, v in zip(cols, (data[LEFT - o:LEFT - o + WINDOW], a["h"], a["fp"], a["unit"], a["first"], o)):
-                        c.append(v)
-        return pa.table([pa.array(c, x) for c, x in zip(cols, (pa.binary(), *[pa.int64()] * 4, pa.int32()))], names=names)
-    rows = stage(units.groupBy("unit").cogroup(asked.groupBy("unit")).applyInArrow(
-        windows, "bytes binary, h long, fp long, unit long, doc long, o int"), "windows")
-    least = rows.groupBy("bytes").agg(F.min("doc").alias("first"))
-    return rows.join(least, "bytes").where("first < doc").selectExpr("unit", "h", "fp", "o AS lo", "o AS hi", "first")
+    return rows.groupBy(F.expr(f"pmod(key, {tasks}L)").alias("task")).applyInArrow(settle, _REPLY)
+
+
+def _windows(rows: DataFrame) -> DataFrame:
+    """Replies of buckets that are one window each: the smallest document by the window's own bytes."""
+    found = rows.select("h", "fp", "unit", "doc", "lo", F.expr(f"substring(context, {LEFT + 1} - lo, {WINDOW})").alias("bytes"))
+    least = stage(found.groupBy("bytes").agg(F.min("doc").alias("first")), "least")
+    side = F.broadcast(least) if least.count() <= WINDOWS_SENT else least.hint("merge")
+    return found.join(side, "bytes").where("first < doc").selectExpr("unit", "h", "fp", "lo", "lo AS hi", "first")
 
 
 def _remove(t: pa.Table, r: pa.Table, folder: str, marked) -> pa.Table:
