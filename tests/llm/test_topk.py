@@ -42,18 +42,45 @@ def test_odd_rows(llm):
     assert result(table(llm, [])) == [] and result(table(llm, [(1, [1.0])])) == [] and result(table(llm, [(50, [1.0])])) == []
 
 
-def test_reading_stops_early_and_stays_exact(monkeypatch):
+def found(x, ids, q, qids, k=5, size=None):
+    """Results over blocks of ``size``, and the share of all entries that was read."""
+    best, read = T.Best(len(q), k), 0
+    for s in range(0, len(x), size or len(x)):
+        read += T.top_block(x[s:s + (size or len(x))], ids[s:s + (size or len(x))], q, qids, best)
+    return best.found, read / max(1, x.size * len(q))
+
+
+def plain(x, ids, q, qids, k=5):
+    out = []
+    for r, i in zip(q, qids):
+        s = sorted((-sum(int(a) * int(b) for a, b in zip(v, r)), int(j)) for v, j in zip(x, ids) if j != i)
+        out.append([(-a, b) for a, b in s[:k]])
+    return out
+
+
+def test_reading_stops_early_and_stays_exact():
     rng = np.random.default_rng(4)
-    x = np.floor(rng.normal(0, 40, (3000, 6)) * np.array([30, 1, 1, 1, 1, 1]))
-    q = np.floor(rng.normal(0, 40, (5, 6)) * np.array([30, 1, 1, 1, 1, 1]))
-    ids, qids = np.arange(3000), np.array([0, 50, 100, 150, 200])
-    steps = []
-    real = T.np.partition
-    monkeypatch.setattr(T.np, "partition", lambda *a, **k: steps.append(a[0].shape[1]) or real(*a, **k))
-    got = T.top_block(x, ids, q, qids, 5)
-    assert steps[0] == 5 and sum(steps) < 15                   # fewer than three full readings
-    for r in range(5):
-        s = x @ q[r]
-        s[qids[r]] = -np.inf
-        want = sorted(((-s[j], j) for j in range(3000)))[:5]
-        assert [(int(-a), b) for a, b in want] == [(c, b) for a, b, c in got if a == r]
+    scale = np.array([60, 40, 9, 3, 1, 1, 1, 1])
+    x, ids = np.floor(rng.normal(0, 40, (3000, 8)) * scale), np.arange(3000)
+    q, qids = np.floor(rng.normal(0, 40, (5, 8)) * scale), np.array([0, 50, 100, 150, 200])
+    got, share = found(x, ids, q, qids)
+    assert got == plain(x, ids, q, qids) and share < 0.6                     # most candidates leave after half of the lists
+    assert found(x, ids, q, qids, size=500)[0] == got and found(x, ids, q, qids, size=500)[1] < 0.6
+
+
+def test_every_entry_is_read_once_where_nothing_can_stop():
+    rng = np.random.default_rng(5)
+    x, ids = np.floor(rng.normal(0, 40, (400, 64))), np.arange(400)
+    q, qids = np.floor(rng.normal(0, 40, (7, 64))), np.arange(7) * 50
+    got, share = found(x, ids, q, qids)
+    assert got == plain(x, ids, q, qids) and share <= 1.0
+
+
+def test_blocks_of_ties_small_blocks_and_wide_numbers():
+    rng = np.random.default_rng(6)
+    for x in (np.floor(rng.integers(-2, 3, (300, 4))).astype(float), np.floor(rng.normal(0, 1e12, (120, 3))), np.zeros((90, 2)), np.zeros((20, 0)),
+              np.floor(rng.normal(0, 9, (3, 4)))):
+        ids = rng.permutation(len(x)) + 10
+        q, qids = x[: min(6, len(x))].copy(), ids[: min(6, len(x))]
+        for size in (None, 1, 7, 64):
+            assert found(x, ids, q, qids, size=size)[0] == plain(x, ids, q, qids)
