@@ -324,7 +324,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 def _giants(rows: DataFrame, path: str, chunk: int, block: int) -> DataFrame:
     reach = max(1, model(path).lattice.longest)
-    rows = rows.select("doc_id", "text", "rid")
+    rows = stage(rows.select("doc_id", "text", "rid"), "giants")         # numbered once, however often they are read
     parts = stage(rows.mapInArrow(_cut(chunk, reach), "rid long, k long, last long, before int, size int, part string")
                   .repartition("rid", "k"), "giant_parts")
 
@@ -366,7 +366,7 @@ def _giants(rows: DataFrame, path: str, chunk: int, block: int) -> DataFrame:
     ids = parts.join(states, ["rid", "k"]).select("rid", "k", "last", "before", "size", "part", "ends").mapInArrow(
         traced, "rid long, k long, ids binary")
     whole = ids.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts")).select(
-        "rid", F.expr("aggregate(parts, X'', (a, p) -> concat(a, p.ids))").alias("ids"))
+        "rid", F.expr("unhex(array_join(transform(parts, p -> hex(p.ids)), ''))").alias("ids"))      # in proportion to the ids
     return rows.select("doc_id", "rid").join(whole, "rid")
 
 
