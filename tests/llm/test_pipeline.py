@@ -9,8 +9,8 @@ import pytest
 import __spark_entry__ as E
 import corpus_pipeline as C
 from tidemark.llm.common import stage
-from tidemark.llm.queries import ORACLE, QUERIES, tokenizer_path
-from tidemark.llm.words import WordEncoder, pack
+from tidemark.llm.queries import ORACLE, QUERIES
+from tidemark.llm.words import WordEncoder, located, pack
 from tidemark.session import scratch_path
 
 from .test_near_dup import bag, similarity
@@ -82,7 +82,7 @@ def test_stages_equal_brute_force(llm, folder):
     assert all((str(exact[i]) in left) != (str(exact[j]) in left) for i, j in linked)
     assert secret == sorted(((d, t if t is None else redact(t)) for d, t in near), key=str) and secret != near
     rows = C.STAGES[-1][1](llm, docs, folder).collect()
-    enc = WordEncoder(tokenizer_path("word_bpe_49k.json"))
+    enc = WordEncoder(located("word_bpe_49k.json"))
     want = sorted((str(d), zlib.crc32(ids[at:at + 8192]), at // 4) for d, t in secret for ids in [enc.encode(t or "") + pack([1])]
                   for at in range(0, len(ids), 8192))
     assert sorted((str(r.doc_id), r.ids_crc32, r.start) for r in rows) == want

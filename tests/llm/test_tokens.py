@@ -6,7 +6,7 @@ from array import array
 import pytest
 
 from tidemark.llm import packing, pieces, seekable
-from tidemark.llm.queries import tokenizer_path
+from tidemark.llm.words import located as tokenizer_path
 from tidemark.llm.words import WordEncoder, pack
 from tidemark.session import scratch_path
 

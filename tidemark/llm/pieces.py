@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, texts
-from .words import Cached, start_task
+from .words import Cached, located, start_task
 
 CHUNK = 1 << 15
 BLOCK = 256                                    # chunks composed by one task
@@ -276,7 +276,7 @@ def model(path: str) -> Pieces:
     """The worker's model of a file (kept between tasks, its cache between those of a stage)."""
     start_task()
     if path not in _models:
-        _models[path] = Pieces(path)
+        _models[path] = Pieces(located(path))
     return _models[path]
 
 

@@ -10,11 +10,6 @@ from . import secret_scan, substring_trees, whitening
 from .common import prepare, table
 
 
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return line_dedup.passage_dedup(table(spark, sf_dir, "documents")).select(
@@ -23,7 +18,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    path = tokenizer_path("piece_bpe_32k.model")
+    path = "piece_bpe_32k.model"
     ids = pieces.encode(table(spark, sf_dir, "documents"), path)
     return pieces.decode(ids, path).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), seekable.crc32_ids().alias("ids_crc32"),
@@ -53,7 +48,7 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    pieces, places = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    pieces, places = packing.pack_documents(table(spark, sf_dir, "documents"), "word_bpe_49k.json")
     return packed_rows(pieces, places)
 
 
@@ -71,7 +66,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     folder = scratch_path(spark, "token-files")
-    index = seekable.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
+    index = seekable.write_token_files(table(spark, sf_dir, "documents"), folder, "byte_bpe_50k.json")
     read = seekable.read_token_files(index, folder).select(
         "doc_id", "shard", "at", "n_tokens", seekable.crc32_ids().alias("ids_crc32"))
     return seekable.starts(read, index).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -7,6 +7,7 @@ the others only.  The memory is bounded in bytes, and a worker that goes on to a
 """
 from __future__ import annotations
 
+import os
 import re
 import weakref
 from array import array
@@ -148,6 +149,14 @@ class WordEncoder:
         return self._newline.join(lines)
 
 
+def located(path: str) -> str:
+    """A vocabulary file's place on this machine: a bare name is one of the public tokenizers' package, which every worker has of its own."""
+    if os.path.dirname(path):
+        return path
+    import public_tokenizers
+    return public_tokenizers.path(path)
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -155,5 +164,5 @@ def encoder(path: str) -> WordEncoder:
     """The worker's encoder of a file (kept between tasks, its cache between those of a stage): ids are those of the library's default."""
     start_task()
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path, names_are_text=False)
+        _encoders[path] = WordEncoder(located(path), names_are_text=False)
     return _encoders[path]
