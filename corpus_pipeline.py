@@ -67,7 +67,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return queries.packed_rows(*packing.pack_documents(docs, queries.tokenizer_path("word_bpe_49k.json")))
+    return queries.packed_rows(*packing.pack_documents(docs, "word_bpe_49k.json"))
 
 
 STAGES = [
