@@ -807,6 +807,9 @@ def q_stream_upsert(spark, sf_dir):
     return ST.read_snapshot(spark, [base, table], schema, order=["_seq"]).select("platform", "videoId", "fetchedAt", "_seq")
 
 
+TOPICS_PER_PART = 8
+
+
 @query("stream_baseline", S.with_(_HOURLY + r""",
 zb AS (SELECT *, (velocity_sum - coalesce(avg(velocity_sum) OVER w, 0.0)) /
                  (CASE WHEN stddev_samp(velocity_sum) OVER w IS NULL OR stddev_samp(velocity_sum) OVER w = 0
@@ -816,8 +819,9 @@ zb AS (SELECT *, (velocity_sum - coalesce(avg(velocity_sum) OVER w, 0.0)) /
 def q_stream_baseline(spark, sf_dir):
     hourly = ST.closed_hours(spark, _hourly_table(spark, sf_dir))
     src, sink, ckpt = (scratch_path(spark, n) for n in ("baseline_in", "stream_baseline", "ckpt_baseline"))
+    parts = -(-hourly.select("topic_id").distinct().count() // TOPICS_PER_PART)
     run = lambda: ST.run_available_now(ST.expanding_baseline_stream(
-        spark.readStream.schema(hourly.schema).parquet(src)), sink, ckpt)
+        spark.readStream.schema(hourly.schema).parquet(src)), sink, ckpt, partitions=max(1, parts))
     hourly.write.parquet(src)
     run()
     ST.hour_mark(spark, hourly.schema).write.mode("append").parquet(src)
