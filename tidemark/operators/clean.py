@@ -42,6 +42,11 @@ def key_filter(df: DataFrame) -> DataFrame:
     return df.dropna(subset=["videoId", "publishedAt", "fetchedAt"])
 
 
+def valid_times(silver: DataFrame) -> DataFrame:
+    """Rows with both times: what topics are built from (FLT-2)."""
+    return silver.dropna(subset=["fetchedAt", "publishedAt"])
+
+
 def cap_future_publish(df: DataFrame) -> DataFrame:
     """Clock skew: publishedAt = min(publishedAt, fetchedAt) (PRJ-11)."""
     return df.withColumn("publishedAt", F.least("publishedAt", "fetchedAt"))

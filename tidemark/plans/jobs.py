@@ -59,7 +59,7 @@ def topics_job(spark: SparkSession, silver_path: str, gold_root: str, k: int | N
     The number of topics, the least document count and the n-grams follow from the number of videos (``topicmodel``), ``k`` unless given.
     An empty silver gives empty gold tables with all columns, a single video topic 0.
     """
-    silver = spark.read.parquet(silver_path).dropna(subset=["fetchedAt", "publishedAt"])
+    silver = clean.valid_times(spark.read.parquet(silver_path))
     keyed = silver.withColumn("_key", F.concat_ws("\u0001", "platform", "videoId"))
     assigned = stage(topic_model(keyed.select("_key", "title_clean"), "_key", "title_clean", k).drop("distance"), "assigned")
     videos = stage(topics.with_hour(keyed.join(assigned, "_key").drop("_key")), "videos")

@@ -7,6 +7,7 @@ bits between engines).
 """
 from __future__ import annotations
 
+import datetime as _dt
 import math
 from collections.abc import Callable
 
@@ -546,11 +547,14 @@ def q_ingest_unresolved_channels(spark, sf_dir):
     return unresolved
 
 
-@query("ingest_manifest", """WITH runs AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events WHERE event_type <> 'error')
+_MANIFEST_SQL = """WITH runs AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM events WHERE event_type <> 'error')
 SELECT 'youtube_raw_' || strftime(day, '%Y%m%dT%H%M%SZ') || '.jsonl' AS file, count(*) AS records,
        (SELECT count(*) FROM customer) AS channels,
        strftime(day - INTERVAL 2 DAY, '%Y-%m-%dT%H:%M:%SZ') AS published_after, strftime(day, '%Y-%m-%dT%H:%M:%SZ') AS fetched_at
-FROM runs GROUP BY day""")
+FROM runs GROUP BY day"""
+
+
+@query("ingest_manifest", _MANIFEST_SQL)
 def q_ingest_manifest(spark, sf_dir):
     from ..sources.tables import events
     runs = events(spark, sf_dir).where(F.col("event_type") != "error").select(F.date_trunc("day", "ts").alias("day"))
@@ -595,9 +599,10 @@ def q_trends_unpivot(spark, sf_dir, days=None):
 
 from ..schemas import TOPICS_HOURLY, TOPICS_HOURLY_COLS  # noqa: E402
 from ..session import scratch_path  # noqa: E402
+from .. import sinks  # noqa: E402
 from ..sinks import bronze_json_lines, write_csv  # noqa: E402
 from ..sources.bronze import read_bronze, usable  # noqa: E402
-from ..sources.csv import read_csv_tolerant, tolerant_rows  # noqa: E402
+from ..sources.csv import csv_diagnostics, read_channels, read_csv_tolerant, tolerant_rows  # noqa: E402
 
 DUMP_STAMP = "20240131T000000Z"
 
@@ -645,12 +650,88 @@ _CSV_SQL = S.with_(S.GOLD, "SELECT ts_hour, topic_id, nullif(topic_label, '') AS
                    "UNION ALL SELECT TIMESTAMP '2024-02-01 05:00:00', 93, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL")
 
 
-@query("csv_tolerant_roundtrip", _CSV_SQL)
-def q_csv_tolerant_roundtrip(spark, sf_dir):
+def _messy_csv(spark, sf_dir):
     root = write_csv(PL.topics_hourly(spark, sf_dir), scratch_path(spark, "topics_hourly_csv"))
     for extra in (_CSV_EXTRA, _CSV_OLDER):
         spark.createDataFrame([("\n".join(extra),)], "value string").write.mode("append").text(root)
-    return PL.rounded(tolerant_rows(read_csv_tolerant(spark, root, TOPICS_HOURLY, multiline=True)))
+    return read_csv_tolerant(spark, root, TOPICS_HOURLY, multiline=True)
+
+
+@query("csv_tolerant_roundtrip", _CSV_SQL)
+def q_csv_tolerant_roundtrip(spark, sf_dir):
+    return PL.rounded(tolerant_rows(_messy_csv(spark, sf_dir)))
+
+
+@query("csv_skipped_counts", S.with_(S.GOLD, "SELECT count(*) + 4 AS rows, 3 AS skipped FROM topics_hourly"))
+def q_csv_skipped_counts(spark, sf_dir):
+    """Kept and skipped records over all files (SRC-11)."""
+    return csv_diagnostics(_messy_csv(spark, sf_dir)).agg(F.sum("rows").alias("rows"), F.sum("skipped").alias("skipped"))
+
+
+@query("csv_repaired", _CSV_SQL)
+def q_csv_repaired(spark, sf_dir):
+    """A tolerant read saved as clean CSV in a new folder, and read again (SNK-6)."""
+    saved = sinks.repair_and_save(tolerant_rows(_messy_csv(spark, sf_dir)), scratch_path(spark, "repaired"))
+    return PL.rounded(tolerant_rows(read_csv_tolerant(spark, saved, TOPICS_HOURLY, multiline=True)))
+
+
+@query("channels_roundtrip", "SELECT CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_name END AS name, 'UC' || CAST(c_custkey AS VARCHAR) AS channel_id FROM customer")
+def q_channels_roundtrip(spark, sf_dir):
+    """A channel file with blanks around names, ids and headers, and rows without a name, in one CSV file (SRC-3, SNK-4)."""
+    c = _table(spark, sf_dir, "customer")
+    messy = c.select(F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("  "), "c_name", F.lit(" "))).alias(" name"),
+                     F.concat(F.lit(" UC"), F.col("c_custkey").cast("string"), F.lit(" ")).alias("channel_id "))
+    return read_channels(spark, write_csv(messy, scratch_path(spark, "channels"), single_file=True))
+
+
+@query("jsonl_dump_roundtrip", S.with_(S.GOLD, "SELECT videoId, channelTitle, title_clean, topic_id FROM videos_with_topics"))
+def q_jsonl_dump_roundtrip(spark, sf_dir):
+    """A timestamped JSON-lines dump, read again (SNK-1)."""
+    vt = PL.videos_with_topics(spark, sf_dir).select("videoId", "channelTitle", "title_clean", "topic_id")
+    path = sinks.write_jsonl(vt, scratch_path(spark, "dump"), "videos", _dt.datetime(2024, 1, 31, tzinfo=_dt.timezone.utc))
+    return spark.read.schema(vt.schema).json(path)
+
+
+@query("views_export", _top_sql("SELECT topic_id, " + _r("rising_score") + " AS rising_score, video_count, sample_title FROM top"))
+def q_views_export(spark, sf_dir):
+    """The top list written as CSV, and read again (SNK-7)."""
+    _, _, sub = _main(spark, sf_dir)
+    paths = V.export({"top_topics": V.top_topics(sub)}, scratch_path(spark, "export"))
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(paths["top_topics"])
+    return PL.rounded(back.select(F.col("topic_id").cast("int"), F.col("rising_score").cast("double"), F.col("video_count").cast("long"), "sample_title"))
+
+
+_MANIFEST_SPLIT = "20240116"
+
+
+@query("manifest_runs", _MANIFEST_SQL.replace("SELECT 'youtube_raw_'", "SELECT CASE WHEN strftime(day, '%Y%m%d') < '" + _MANIFEST_SPLIT + "' THEN 'first' ELSE 'second' END AS run, 'youtube_raw_'"))
+def q_manifest_runs(spark, sf_dir):
+    """Run summaries by run; the first run is repeated after it left half of its rows (SNK-5)."""
+    rows = q_ingest_manifest(spark, sf_dir)
+    early = F.substring("file", 13, 8) < _MANIFEST_SPLIT
+    path = scratch_path(spark, "manifest")
+    for part, run in ((rows.where(early & (F.col("records") % 2 == 0)), "first"), (rows.where(~early), "second"), (rows.where(early), "first")):
+        sinks.append_manifest(part, path, run)
+    back = spark.read.option("header", True).csv(path)
+    return back.select("run", "file", F.col("records").cast("long"), F.col("channels").cast("long"), "published_after", "fetched_at")
+
+
+@query("gold_normalized", S.with_(S.GOLD, "SELECT ts_hour, topic_id, sample_title AS topic_label, leader_channels, rising_score, "
+       "(SELECT count(*) FROM videos_with_topics) AS youtube_videos FROM topics_hourly"))
+def q_gold_normalized(spark, sf_dir):
+    """Gold of an older layout: labels, leaders, scores and platforms are derived (PRJ-10, JN-11)."""
+    th, vt = _gold(spark, sf_dir)
+    th, vt = V.normalize_gold(th.drop("topic_label", "leader_channels", "rising_score"), vt.drop("platform"))
+    return th.select("ts_hour", "topic_id", "topic_label", "leader_channels", "rising_score",
+                     vt.where("platform = 'youtube'").agg(F.count("*")).scalar().alias("youtube_videos"))
+
+
+@query("silver_valid_times", S.with_(S.SILVER, "SELECT platform, videoId FROM ded WHERE seq % 5 <> 0 AND seq % 7 <> 0"))
+def q_silver_valid_times(spark, sf_dir):
+    """Rows without a readable time leave before topics are built (FLT-2)."""
+    s = PL.silver_pre(spark, sf_dir)
+    gaps = s.withColumns({"publishedAt": F.when(F.col("_seq") % 5 != 0, F.col("publishedAt")), "fetchedAt": F.when(F.col("_seq") % 7 != 0, F.col("fetchedAt"))})
+    return clean.valid_times(gaps).select("platform", "videoId")
 
 
 # ---------------------------------------------------------------- the file job on messy records
