@@ -292,7 +292,8 @@ def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     Rows are in one class if links of similarity ``least`` or more connect them; ``class_id`` is the class's smallest
     ``doc_id`` and that row (the first in scan order among equal ids) is the one kept.  Rows without a word (null, empty,
     white space) are equal to each other and to nothing else.  A null id comes before all others and leaves
-    the class named by null only if no member has an id.  An empty table gives no rows.  ``rid`` numbers the rows in scan order (or is ``row_col``).
+    the class named by null only if no member has an id.  A text is counted whole by one task, however long.  Other columns of the
+    input, whatever their names, are not read.  An empty table gives no rows.  ``rid`` numbers the rows in scan order (or is ``row_col``).
     """
     base = stage(packed_texts(docs, id_col, text_col, row_col).mapInArrow(
         _sketch(bands, rows), "doc_id long, rid long, f1 long, f2 long, text binary, bands array<long>"), "sketches")

@@ -308,7 +308,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``doc_id, rid, ids`` (little-endian unsigned 32-bit) of every row, equal to the library's own encoding.
 
     Null text counts as empty and has no ids; rows that repeat an id or a text are encoded
-    each; an empty table gives no rows.
+    each; an empty table gives no rows.  Texts of ``chunk`` characters or more are encoded in chunks, however long; other
+    columns of the input, whatever their names, are not read.
     """
     rows = texts(docs, id_col, text_col)
     big = F.char_length("text") >= chunk

@@ -85,6 +85,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Rows with a null id, or a label other than 0 and 1, teach nothing.  Of each label the ``per_label`` rows
     with the smallest hash of the id are used (fewer if there are fewer), so the sample does not depend on partitioning.
+    Other columns of both tables, whatever their names, are not read.
     """
     rows = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where(
         F.col("id").isNotNull() & F.col("label").isin(0, 1) & (F.crc32(F.col("id").cast("string")) % 4 != 2))

@@ -307,7 +307,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null text counts as empty and keeps nothing; a null id is smaller than all others.  Rows that share
     an id do not remove from each other.  Overlapping windows count, windows are judged on the input, and
-    none crosses documents.  An empty table gives no rows.
+    none crosses documents.  A text is read whole by one task, however long.  An empty table gives no rows; other columns of the input,
+    whatever their names, are not read.
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "units")

@@ -151,7 +151,7 @@ def top_k(table: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
     padded with zeros (an empty one scores 0).  Rows that repeat a query's id are queries of their own.
     Equal scores go to the smaller id.  A score beyond 64 bits
     ranks by its true value and is returned as the nearest long.  An empty table gives no rows; with fewer than k
-    candidates all are returned.
+    candidates all are returned.  Other columns of the input, whatever their names, are not read.
     """
     spark = table.sparkSession
     folder = scratch_path(spark, "vector-blocks")
