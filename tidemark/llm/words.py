@@ -21,7 +21,7 @@ _LETTERS, _MARKS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "!-&(-/:-@\\[-`{-~"
 _TAIL = ".,;:!?%$&*#|)\"-"                        # marks of _MARKS that words end in most often
 _PLAIN = re.compile(f"( ?[{_LETTERS}]+)([{_MARKS}]*)")
 
-CACHE_BYTES = 24 << 20                         # of one generation of a memory
+CACHE_BYTES = 64 << 20                         # of one generation of a memory
 _ENTRY = 220                                   # a short unit, a short result and their place in a dictionary
 
 _memories: list[weakref.ref] = []
