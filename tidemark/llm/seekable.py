@@ -153,11 +153,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     Returns the index, read back from ``folder/index``: ``doc_id, shard, file, at
     (ids of the shard before the document), n_tokens``.  Null text counts as empty (one
     id, ``end_id``); null ids come first; rows that repeat an id follow each other in the order of their
-    texts and are all written.  An empty table gives an empty index and no shard.  ``folder`` is a URI of a shared store.
+    texts (64 characters, then a hash) and are all written, by as many tasks as they fill.  An empty table gives an empty index and no
+    shard.  ``folder`` is a URI of a shared store.
     """
     spark = docs.sparkSession
-    ordered = (texts(docs, id_col, text_col).select("doc_id", "text")
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    order = ["doc_id", "head", "hash"]
+    keyed = texts(docs, id_col, text_col).select("doc_id", "text", F.left("text", F.lit(64)).alias("head"), F.xxhash64("text").alias("hash"),
+                                                 F.rand(5).alias("salt"))      # equal rows may be parted anywhere
+    ordered = keyed.repartitionByRange(*order, "salt").sortWithinPartitions(*order, "text").select("doc_id", "text")
     ordered.mapInArrow(_shard_tasks(f"{folder}/shards", tokenizer, end_id, frame_bytes),
                        "doc_id long, shard int, file string, at long, n_tokens long"
                        ).write.parquet(f"{folder}/index")
