@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..session import stage
@@ -12,10 +13,22 @@ from .topicmodel import MIN_DF, NGRAM_MAX
 # Fixed value (must equal the reference's behaviour): grams in a label.
 LABEL_TOP_GRAMS = 3
 
-def _grams(titles: DataFrame, key: str, order: tuple, grams: Column, kind: int) -> DataFrame:
-    """(key, order..., kind, pos, g) of every gram of every title."""
-    tagged = F.transform(grams, lambda g, i: F.struct(F.lit(kind).alias("_kind"), i.alias("_pos"), g.alias("_g")))
-    return titles.select(key, *order, F.inline(tagged))
+def _grams(titles: DataFrame, key: str, grams: Column) -> DataFrame:
+    """(key, g, place) of every gram of every title; ``place`` is the title's number and the position as one number.
+
+    Unlike a struct it is of fixed width, so its minimum stays in the hash aggregate.
+    """
+    tagged = F.transform(grams, lambda g, i: F.struct(i.alias("_pos"), g.alias("_g")))
+    return titles.select(key, "_n", F.inline(tagged)).select(
+        key, "_g", F.expr("CAST(_n AS DECIMAL(38,0)) * 4294967296 + _pos").alias("_place"))
+
+
+def _numbered(titles: DataFrame, order: tuple) -> DataFrame:
+    """``titles`` with ``_n``, which follows ``order``: the column itself where it is one long, else a number given within ranges of the order."""
+    if len(order) == 1 and titles.schema[order[0]].dataType == T.LongType():
+        return titles.withColumn("_n", F.coalesce(order[0], F.lit(-(1 << 63))))
+    ranged = titles.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.withColumn("_n", F.monotonically_increasing_id())
 
 
 def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_clean",
@@ -26,27 +39,20 @@ def topic_labels(videos: DataFrame, key: str = "topic_id", text: str = "title_cl
     to the gram seen first (title order, then position).  Returns
     (key, topic_label); a topic without any word gets ''.
 
-    Titles are normalised and cut into words once, and written.  Grams are counted by a hash aggregate, combined on the map side; a
-    topic's titles never meet in one task.  Words are counted only for topics without a pair, and where a gram was seen first is
-    worked out only for grams with at least the ``top``-th count of their topic.
+    Titles are normalised, cut into words and numbered once, and written.  One hash aggregate, combined on the map side, gives each
+    gram's count and first place; a topic's titles never meet in one task.  Words are counted only for topics without a pair.
     """
     order = tuple(order)
     source = videos.where(F.col(text).isNotNull() & (F.col(text) != "")).select(key, *order, F.col(text).alias("_text"))
-    titles = stage((X.with_nfc(source, "_text") if normalize else source).select(key, *order, X.words("_text").alias("_w"))
-                   .where(F.size("_w") > 0), "label_words")
+    words = (X.with_nfc(source, "_text") if normalize else source).select(key, *order, X.words("_text").alias("_w"))
+    titles = stage(_numbered(words.where(F.size("_w") > 0), order).select(key, "_n", "_w"), "label_words")
     alone = titles.groupBy(key).agg(F.max(F.size("_w")).alias("_most")).where("_most = 1").select(F.col(key).alias("_alone"))
     single = titles.join(alone, F.col(key).eqNullSafe(F.col("_alone")), "left_semi")
-    grams = _grams(titles, key, order, X.bigrams("_w"), 2).unionByName(_grams(single, key, order, F.col("_w"), 1))
-    counts = stage(grams.groupBy(key, "_kind", "_g").agg(F.count("*").alias("_cnt")), "label_counts")
+    grams = _grams(titles, key, X.bigrams("_w")).unionByName(_grams(single, key, F.col("_w")))
+    counts = grams.groupBy(key, "_g").agg(F.count("*").alias("_cnt"), F.min("_place").alias("_first"))
     # WindowGroupLimit: at most ``top`` rows per topic leave each task
-    rank = Window.partitionBy(key).orderBy(F.desc("_cnt"))
-    best = counts.withColumn("_rn", F.row_number().over(rank)).where(F.col("_rn") <= top)
-    cut = best.groupBy(key).agg(F.min("_cnt").alias("_cut"))
-    tied = stage(counts.join(cut, key).where(F.col("_cnt") >= F.col("_cut")).select(key, "_kind", "_g", "_cnt"), "label_candidates")
-    first = (grams.join(tied, [key, "_kind", "_g"])
-             .groupBy(key, "_g", "_cnt").agg(F.min(F.struct(*order, "_pos")).alias("_first")))
     pick = Window.partitionBy(key).orderBy(F.desc("_cnt"), F.asc("_first"))
-    picked = first.withColumn("_rn", F.row_number().over(pick)).where(F.col("_rn") <= top)
+    picked = counts.withColumn("_rn", F.row_number().over(pick)).where(F.col("_rn") <= top)
     labels = picked.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rn", "_g"))), lambda s: s["_g"]), ", ")
         .alias("topic_label"))
