@@ -9,6 +9,7 @@ from ..functions import parse as P
 from ..functions import text as X
 from ..functions import temporal as TM
 from ..schemas import SILVER_COLS
+from .narrow import pick
 from .quantile import exact_quantiles
 
 RATE_COLS = ["views_per_min", "likes_per_min", "comments_per_min"]
@@ -55,18 +56,14 @@ def cap_future_publish(df: DataFrame) -> DataFrame:
 def dedup_latest(df: DataFrame, keys=("platform", "videoId"), order: list[str] | None = None) -> DataFrame:
     """Latest snapshot per key by fetchedAt; ties by ``order``, then by the other columns (DED-1).
 
-    Written as a ``max_by`` aggregate rather than a window: the aggregate is
-    combined map-side, so a hot key (many snapshots of one video) is reduced
-    before the shuffle instead of landing whole in one task.  All columns take part in
-    the rank at last, so the result does not depend on the partitioning.
+    The rank (``fetchedAt``, ``order``) is aggregated alone and combined map-side, so a hot key (many snapshots of one
+    video) is reduced before the shuffle; titles are carried for the picked rows only (``narrow.pick``).  All columns
+    take part in the rank at last, so the result does not depend on the partitioning.
     """
     order = list(order or [])
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    tail = order + [c for c in rest if c != "fetchedAt" and c not in order]
-    rank = F.struct(F.col("fetchedAt"), *[F.col(c) for c in tail])
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), rank).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    tail = [c for c in df.columns if c not in keys and c != "fetchedAt" and c not in order]
+    return pick(df, keys, ["fetchedAt", *order], tail)
 
 
 def text_features(df: DataFrame, lang: Column | None = None) -> DataFrame:
