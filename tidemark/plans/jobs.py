@@ -38,10 +38,8 @@ def clean_job(spark: SparkSession, bronze_root: str, silver_path: str, lang_prof
         fam = F.when(F.col("_source_file").contains(family.rstrip("*")), F.lit(i)).otherwise(fam)
     place = ["_family", "_source_file", "_block", "_line"]
     bronze = bronze.withColumn("_family", fam)
-    pre_path = silver_path.rstrip("/") + "_pre"
-    write_parquet(clean.prepare(bronze, keep=place, order=place).drop(*place), pre_path)
-    pre = spark.read.parquet(pre_path)
-    caps = clean.rate_caps(pre)
+    pre = clean.prepare(bronze, keep=place, order=place).drop(*place)
+    caps = clean.rate_caps(stage(pre.select(*clean.RATE_COLS), "rates"))     # titles are written once, with the silver
     if lang_profile is not None:
         pre = pre.withColumn("lang", langid.language(spark, langid.train(lang_profile), "title_clean"))
     silver = clean.finish(pre, caps)
