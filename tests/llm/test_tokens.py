@@ -33,6 +33,39 @@ def test_word_memory_equals_library(path, odd_rows):
         assert enc.encode(text) == ref(text), repr(text[:80])
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+@pytest.mark.parametrize("most", [1, 500, 1 << 24])
+def test_batches_equal_single_texts(path, most, odd_rows, monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.llm import words
+    monkeypatch.setattr(words, "SLICE_BYTES", most)                       # a text alone, a few, all at once
+    texts = ["", "\n", " a", "a ", "\na", "a\n", "a b\nC d.", "É ßx, \nÀ!!", "K 10 '' a'b"] + samples() + [t or "" for _, t in odd_rows]
+    ref = library(path)
+    enc = WordEncoder(path)
+    assert list(enc.encode_all(pa.array(["x", *texts]).slice(1))) == [ref(t) for t in texts]
+    assert list(enc.encode_all(pa.array([], pa.string()))) == []
+    named = WordEncoder(path, names_are_text=False)
+    assert list(named.encode_all(pa.array(texts))) == [named.encode(t) for t in texts]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_a_word_of_a_batch_is_looked_up_once(path):
+    import pyarrow as pa
+
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            Counted.asked += 1
+            return inner[word]
+    enc = WordEncoder(path)
+    inner, enc._parts = enc._parts, Counted()
+    texts = ["Über the hills, and\nthe hills; over the hills."] * 500
+    assert list(enc.encode_all(pa.array(texts))) == [library(path)(t) for t in texts]
+    assert Counted.asked <= 12
+
+
 def test_cache_keeps_recent_units_when_full():
     from tidemark.llm.words import Cached
     asked = []

@@ -60,8 +60,8 @@ def _cutter(tokenizer: str, end_id: int, capacity: int):
         enc, end, step = encoder(tokenizer), array("I", [end_id]).tobytes(), 4 * capacity
         for b in batches:
             rows: list[tuple] = []
-            for doc, text, rid in zip(*(c.to_pylist() for c in b.columns)):
-                data = enc.encode(text) + end
+            for doc, ids, rid in zip(b.column(0).to_pylist(), enc.encode_all(b.column(1)), b.column(2).to_pylist()):
+                data = ids + end
                 for at in range(0, len(data), step):
                     part = data[at:at + step]
                     rows.append((doc, rid, at // 4, len(part) // 4, len(data) // 4, part))
