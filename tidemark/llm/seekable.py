@@ -130,8 +130,8 @@ def _shard_tasks(folder: str, tokenizer: str, end_id: int, frame_bytes: int):
                 out = store.open_output_stream(f"{root}/_{name}", compression=None)
                 writer = ShardWriter(out, frame_bytes)
             ids, counts, ats = b.column(0), [], []
-            for text in b.column(1).to_pylist():
-                data = enc.encode(text) + end
+            for one in enc.encode_all(b.column(1)):
+                data = one + end
                 writer.write(data)
                 ats.append(at)
                 counts.append(len(data) // 4)
