@@ -57,6 +57,35 @@ def test_csv_columns_by_name_and_exact_field_count(spark):
         ("1.csv", 2, 2), ("2.csv", 1, 0), ("3.csv", 1, 0)}
 
 
+def test_header_scan_sorts_no_lines(spark):
+    from tidemark.sources import csv
+    d = tempfile.mkdtemp(prefix="tidemark-test-")
+    for k in range(3):
+        spark.range(k * 40000, (k + 1) * 40000, 1, 1).selectExpr(f"id AS a{k % 2}", "repeat('x', 50) AS b").write.mode("append").option("header", True).csv(
+            d, compression="gzip" if k else None)
+    plans, spark_df = [], type(spark.range(1))
+    collect = spark_df.collect
+    spark_df.collect = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df)
+    try:
+        got = csv._headers(spark, d, "UTF-8")
+    finally:
+        spark_df.collect = collect
+    assert [(names, len(files)) for names, files in got] == [(["a0", "b"], 2), (["a1", "b"], 1)]
+    assert plans and not any("SortAggregate" in p or "Sort [file" in p for p in plans)
+    assert csv.read_csv_tolerant(spark, d, T.StructType([T.StructField("a0", T.LongType())])).where("a0 IS NOT NULL").count() == 80000
+
+
+def test_compressed_csv(spark):
+    from tidemark import sinks
+    d = tempfile.mkdtemp(prefix="tidemark-test-")
+    rows = [(1, 'a "b"\nc', 0.5), (2, None, None)]
+    path = sinks.write_csv(spark.createDataFrame(rows, SCHEMA), os.path.join(d, "one"), compression="gzip")
+    assert sorted(map(tuple, tolerant_rows(read_csv_tolerant(spark, path, SCHEMA, multiline=True)).collect())) == rows
+    saved = sinks.repair_and_save(tolerant_rows(read_csv_tolerant(spark, path, SCHEMA, multiline=True)), os.path.join(d, "two"), "gzip")
+    assert all(f.endswith(".gz") for f in os.listdir(saved) if f.startswith("part-"))
+    assert sorted(map(tuple, tolerant_rows(read_csv_tolerant(spark, saved, SCHEMA, multiline=True)).collect())) == rows
+
+
 def test_sinks(spark):
     import datetime as dt
 
