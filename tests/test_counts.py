@@ -63,3 +63,26 @@ def test_file_job_writes_titles_once(spark, tmp_path):
     out = clean_job(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"))
     assert sorted((r.videoId, r.title_clean) for r in out.collect()) == sorted((f"v{i}", f"t{i + 10}") for i in range(10))
     assert sorted(p.name for p in tmp_path.iterdir()) == ["bronze", "silver"]
+
+
+def test_weights_send_no_row_per_document_and_term(spark, monkeypatch):
+    """Weights over several slices equal the plain formula, with null and repeated ids; what is written has no document column."""
+    import math
+    staged = []
+    monkeypatch.setattr(TX, "stage", lambda df, *a, keep=TX.stage: (staged.append(df.columns), keep(df, *a))[1])
+    monkeypatch.setattr(TX, "SLICE_BYTES", 200)
+    rng = random.Random(2)
+    rows = [(i % 70 if i % 11 else None, rng.choice([None, "", "Solo!", " ".join(rng.choice(["aa", "bb", "\u00e9\u00e9", "dd", "x"]) for _ in range(rng.randint(1, 20)))])) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tf: dict = collections.defaultdict(collections.Counter)
+    for k, text in rows:
+        w = [x for x in (text or "").lower().replace("!", "").split() if len(x) >= 2]
+        tf[k].update(w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    df_of = collections.Counter(t for c in tf.values() for t in c)
+    want = {}
+    for k, c in tf.items():
+        w = {t: n * (math.log((len(rows) + 1) / (df_of[t] + 1)) + 1) for t, n in c.items() if df_of[t] >= 2}
+        want |= {(k, t): x / math.sqrt(sum(y * y for y in w.values())) for t, x in w.items()}
+    got = {(r.doc_id, r.term): r.weight for r in TX.tfidf(df).collect()}
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-12 for x in want)
+    assert staged and not [c for c in staged if "doc_id" in c or "k" in c]
